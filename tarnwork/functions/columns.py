@@ -13,6 +13,12 @@ NULL_MARK = "~"  # stands for null inside a row hash, so that null and '' differ
 NBSP = "\u00a0"
 
 
+def lit_like(df: DataFrame, expr: str, value) -> Column:
+    """A literal in the type of a column expression. Comparing a column with a literal of another time type would cast
+    the column and keep the filter from being pushed into the scan."""
+    return F.lit(value).cast(df.select(F.expr(expr)).schema[0].dataType)
+
+
 def project(df: DataFrame, exprs: list[str] | None) -> DataFrame:
     """SQL-expression projection; an empty list keeps every column."""
     return df.selectExpr(*exprs) if exprs else df

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnwork.functions.columns import lit_like
 from tarnwork.operators.keys import assert_unique, join_null_safe
 from tarnwork.operators.skew import fits_broadcast
 from tarnwork.operators.windows import dense_number, latest_per_key
@@ -211,7 +212,7 @@ def cdc_net_changes(changes: DataFrame, keys: list[str], op: str, lsn: str, seq:
     """Net changes after ``last_lsn``: before-images dropped, the last change per key, ``is_deleted`` = delete."""
     rows = changes.filter(F.col(op).isin(OP_DELETE, OP_INSERT, OP_UPDATE))
     if last_lsn is not None:
-        rows = rows.filter(F.col(lsn) > F.lit(last_lsn))
+        rows = rows.filter(F.col(lsn) > lit_like(rows, lsn, last_lsn))
     return cdc_latest(rows, keys, lsn, seq).withColumn("is_deleted", (F.col(op) == OP_DELETE).cast("int"))
 
 

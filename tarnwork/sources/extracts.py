@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnwork.functions.columns import lit_like
+
 
 def clean_filter(text: str | None) -> str | None:
     """A user filter without a leading WHERE or AND; literals keep their case."""
@@ -31,7 +33,7 @@ def start_mark(state: dict | None, identifier: str, initial):
 
 def watermark_extract(df: DataFrame, mark: str, last, columns: list[str] | None = None, where: str | None = None) -> DataFrame:
     """Rows whose mark expression is strictly greater than ``last``, with the mark as ``dl_watermark``."""
-    out = df.filter(F.expr(mark) > F.lit(last))
+    out = df.filter(F.expr(mark) > lit_like(df, mark, last))
     cond = clean_filter(where)
     out = out.filter(cond) if cond else out
     return out.selectExpr(*(columns or ["*"]), f"{mark} AS dl_watermark")
@@ -44,9 +46,9 @@ def limit_rows(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
 
 def advance_watermark(df: DataFrame, mark: str, previous) -> DataFrame:
     """One row with the next mark: the largest value, or the previous mark when there is none."""
-    return df.agg(F.coalesce(F.max(F.expr(mark)), F.lit(previous)).alias("watermark"))
+    return df.agg(F.coalesce(F.max(F.expr(mark)), lit_like(df, mark, previous)).alias("watermark"))
 
 
 def incremental_source(df: DataFrame, ts: str, since) -> DataFrame:
     """Rows modified at or after the last successful run; everything on the first run."""
-    return df if since is None else df.filter(F.col(ts) >= F.lit(since))
+    return df if since is None else df.filter(F.col(ts) >= lit_like(df, ts, since))

@@ -34,9 +34,10 @@ def read_files(spark: SparkSession, path: str, fmt: str, options: dict | None =
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
-def read_json_docs(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Multi-line JSON documents under a fixed schema; absent fields are null, broken documents are all null."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+def read_json_docs(spark: SparkSession, path: str, schema, multi_line: bool = True) -> DataFrame:
+    """JSON documents under a fixed schema; absent fields are null, broken documents are all null. A multi-line file
+    is one document (or array) and is read by one task; large data belongs into one document per line."""
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path)
 
 
 def read_stream(spark: SparkSession, path: str, fmt: str, schema, options: dict | None = None, max_files: int | None = None) -> DataFrame:
