@@ -1,15 +1,204 @@
-"""Transaction facts."""
+"""Transaction facts: the transaction fact and the detail fact.
+
+``tables`` maps the source and dimension names to frames. All text keys compare without regard to case and outer blanks;
+each is normalised once, before its first join.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnwork.functions.columns import norm, prefer
+from tarnwork.operators.aggregates import reconcile
+from tarnwork.operators.joins import choice_key, date_roles, star_lookup
 from tarnwork.operators.windows import top_n_per_key
 
+# Measure of the fact -> amount column of a written transaction.
+AMOUNTS = {
+    "prem_amt": "amount", "fsa_amt": "fsamount", "paa_amt": "paamount", "sf3_amt": "sf3amount", "sf4_amt": "sf4amount", "sf5_amt": "sf5amount",
+    "sf6_amt": "sf6amount", "sf7_amt": "sf7amount", "comm_amt": "commisamt", "non_comm_prem_amt": "nocommprem",
+}
+# Reconciliation flag -> measure.
+RECONCILED = {
+    "dq_rule_544": "prem_amt", "dq_rule_545": "fsa_amt", "dq_rule_546": "paa_amt", "dq_rule_547": "sf3_amt", "dq_rule_548": "sf4_amt",
+    "dq_rule_549": "sf5_amt", "dq_rule_550": "sf6_amt", "dq_rule_551": "sf7_amt", "dq_rule_552": "comm_amt", "dq_rule_553": "non_comm_prem_amt",
+}
+# Fixed values.
+ADMITTED_LOBS = ["WC", "CA", "DB", "PL", "UM", "UP", "CX", "CP"]
+CLASSED_LOBS = ["WC", "BP"]
+TEST_AGENCY = "PAFAKE10"
+SURPLUS_CARRIER = "PAAZGU10"
+SURPLUS_MARKET = "E&S"
+NO_CLASS = "NOT APPLICABLE"
+
+Frames = dict[str, DataFrame]
+
 
 def dominant(rows: DataFrame, keys: list[str], group: list[str], measures: dict[str, str], order: list[Column]) -> DataFrame:
     """Per key the group that comes first by its summed measures."""
     sums = rows.groupBy(*keys, *group).agg(*[F.sum(F.col(c).cast("decimal(18,2)")).alias(o) for o, c in measures.items()])
     top = top_n_per_key(sums, keys, order, 1)
     return top.select(*keys, *group, *[F.col(o).cast("double").alias(o) for o in measures])
+
+
+def with_archive(tables: Frames, name: str, cols: list[str]) -> DataFrame:
+    """Current and archived rows of a table, keyed by the normalised policy code."""
+    both = tables[name].select("code", *cols).union(tables[f"archive_{name}"].select("code", *cols))
+    return both.withColumn("code_n", norm("code")).drop("code")
+
+
+def payroll_class(tables: Frames, order: list[Column]) -> DataFrame:
+    """The policy's dominant payroll class among those its governing classes name."""
+    pay = with_archive(tables, "wcpayrol", ["classcode", "classuffix", "state", "premium", "exposure", "primeseq", "seqcode"])
+    pay = pay.filter((norm("primeseq") == "1") & (norm("seqcode") == "000")).withColumn("class_n", norm("classcode"))
+    gov = tables["wcinfo"].select(norm("code").alias("code_n"), norm("govclass").alias("class_n"))
+    ranked = dominant(pay.join(gov, ["code_n", "class_n"]), ["code_n"], ["classcode", "classuffix", "state"], {"exposure": "exposure", "premium": "premium"}, order)
+    return ranked.select("code_n", norm(F.concat("classcode", "state")).alias("wc_class"), norm("classuffix").alias("wc_suffix"))
+
+
+def building_class(tables: Frames) -> DataFrame:
+    """The class of the policy's building with the largest premium, then insured value."""
+    rows = with_archive(tables, "uwbuildings", ["class", "classsuffix", "bpclass_id", "premium", "tiv"])
+    order = [F.col("premium").desc(), F.col("tiv").desc(), F.col("class"), F.col("classsuffix"), F.col("bpclass_id")]
+    top = top_n_per_key(rows, ["code_n"], order, 1)
+    return top.select("code_n", norm("class").alias("bp_class"), norm("classsuffix").alias("bp_suffix"), norm(F.col("bpclass_id").cast("string")).alias("bp_id"))
+
+
+def with_class(rows: DataFrame, tables: Frames, order: list[Column]) -> DataFrame:
+    """Add the three parts of the business class key, chosen by line of business (``lob_n``)."""
+    out = rows.join(payroll_class(tables, order), "code_n", "left").join(building_class(tables), "code_n", "left")
+    def by_lob(wc, bp):
+        return F.when(F.col("lob_n") == "WC", wc).when(F.col("lob_n") == "BP", bp).otherwise(NO_CLASS)
+
+    return out.withColumns({
+        "class_n": by_lob(F.col("wc_class"), F.col("bp_class")), "suffix_n": by_lob(F.col("wc_suffix"), F.col("bp_suffix")),
+        "class_id_n": by_lob(F.lit("0"), F.col("bp_id")),
+    }).drop("wc_class", "wc_suffix", "bp_class", "bp_suffix", "bp_id")
+
+
+def master_policies(tables: Frames, without_test: bool) -> DataFrame:
+    """Policies that are their own master, with normalised dimension codes."""
+    i = tables["insured"].withColumn("code_n", norm("code")).filter(F.col("code_n") == norm("basemgacode"))
+    if without_test:
+        i = i.filter(norm("agency") != TEST_AGENCY)
+    return i.withColumns({
+        "lob_n": norm("lob"), "agency_n": norm("agency"), "market_n": norm("markettype"), "source_n": norm("productionsrc"), "carrier_n": norm("carrier"),
+        "is_canceled": F.coalesce(norm("stat5") == "C", F.lit(False)),
+    })
+
+
+def _dim(tables: Frames, name: str, code: str, key: str, attrs: dict[str, str] | None = None) -> DataFrame:
+    return tables[name].select(norm(code).alias("code_n"), key, *[norm(c).alias(a) for a, c in (attrs or {}).items()])
+
+
+def look_up(rows: DataFrame, tables: Frames, trans_type: str) -> DataFrame:
+    """Surrogate keys of every shared dimension, and the attributes the rules need."""
+    one = lambda col: {col: "code_n"}
+    classes = tables["dim_business_class"].select(
+        norm("bus_class_cd_bus_key").alias("c1"), norm("bus_class_suffix_bus_key").alias("c2"), norm("bus_class_src_id_bus_key").alias("c3"), "bus_class_key"
+    )
+    return star_lookup(rows, [
+        (_dim(tables, "dim_policy", "policy_num_bus_key", "policy_key"), one("code_n"), {"policy_key": "policy_key"}),
+        (_dim(tables, "dim_insured", "policy_num_bus_key", "insd_key"), one("code_n"), {"insd_key": "insd_key"}),
+        (_dim(tables, "dim_lob", "lob_cd_bus_key", "lob_key", {"lob_found": "lob_cd_bus_key"}), one("lob_n"), {"lob_key": "lob_key"}, {"lob_found": "lob_found"}),
+        (_dim(tables, "dim_dist_chnl", "agcy_cd_bus_key", "dist_chnl_key"), one("agency_n"), {"dist_chnl_key": "dist_chnl_key"}),
+        (_dim(tables, "dim_naics", "naics_bus_key", "naics_key"), one("naics_n"), {"naics_key": "naics_key"}),
+        (_dim(tables, "dim_employee", "emp_cd_bus_key", "emp_key"), one("emp_n"), {"dec_uw_emp_key": "emp_key"}),
+        (_dim(tables, "dim_mkt_type", "mkt_type_cd_bus_key", "mkt_type_key", {"market": "mkt_type_desc"}), one("market_n"), {"mkt_type_key": "mkt_type_key"}, {"market": "market"}),
+        (_dim(tables, "dim_prod_src", "prod_src_cd_bus_key", "prod_src_key"), one("source_n"), {"prod_src_key": "prod_src_key"}),
+        (_dim(tables, "dim_carrier", "carrier_cd_bus_key", "carrier_key", {"carrier_found": "carrier_cd_bus_key"}), one("carrier_n"), {"carrier_key": "carrier_key"}, {"carrier_found": "carrier_found"}),
+        (_dim(tables, "dim_policy_trans_type", "policy_trans_type_cd_bus_key", "policy_trans_type_key"), one(trans_type), {"policy_trans_type_key": "policy_trans_type_key"}),
+        (classes, {"class_n": "c1", "suffix_n": "c2", "class_id_n": "c3"}, {"bus_class_key": "bus_class_key"}, {"class_found": "c1"}),
+    ])
+
+
+def cross_rules(names: tuple[str, str, str]) -> dict[str, Column]:
+    """The three cross-dimension flags (1 pass, 0 fail) under the given names."""
+    surplus = F.col("market") == SURPLUS_MARKET
+    bad = [
+        F.col("lob_found").isin(ADMITTED_LOBS) & surplus,
+        (F.col("carrier_found") == SURPLUS_CARRIER) & ~surplus,
+        ~F.col("lob_found").isin(CLASSED_LOBS) & F.col("class_found").isNotNull(),
+    ]
+    return {n: F.when(b, 0).otherwise(1) for n, b in zip(names, bad, strict=True)}
+
+
+def history_columns() -> dict[str, Column]:
+    return {
+        "dl_is_current_flag": F.lit(True), "dl_row_effective_date": F.lit("1901-01-01"), "dl_row_expiration_date": F.lit("9999-12-31"), "dl_is_deleted_flag": F.lit(False),
+    }
+
+
+def transaction_rows(tables: Frames) -> DataFrame:
+    """One stream of transactions: the written ones, and the others whose (policy, count) was not written.
+
+    A (policy, count) that both sources hold takes the written row whole, even where a value is null. Choosing by
+    anti-join keeps the two sources apart, so their rows are never paired.
+    """
+    w = tables["mgtrans"].withColumn("code_n", norm("code"))
+    written = w.select(
+        "code_n", "trancnt", "transcode", "effdate", F.col("transdate").alias("trans_date"), F.col("transno").cast("long").alias("trans_id"), "writtenon", "state",
+        *[F.col(c).alias(o) for o, c in AMOUNTS.items()], F.lit(1).alias("src_trans_id_type"),
+    )
+    acts = tables["polact"].groupBy(norm("code").alias("code_n"), "trancnt").agg(F.max("effdate").alias("act_date"))
+    n = tables["mgnotrans"].withColumn("code_n", norm("code"))
+    other = n.join(w.select("code_n", "trancnt"), ["code_n", "trancnt"], "left_anti").join(acts, ["code_n", "trancnt"], "left")
+    other = other.select(
+        "code_n", "trancnt", "transcode", F.coalesce("effdate", "act_date").alias("effdate"), F.col("enteredon").alias("trans_date"), F.col("id").cast("long").alias("trans_id"),
+        F.col("enteredon").alias("writtenon"), "state", F.lit(2).alias("src_trans_id_type"),
+    )
+    return written.unionByName(other, allowMissingColumns=True)
+
+
+def fact_transactions(tables: Frames) -> DataFrame:
+    """The transaction fact: dimension keys (-1 when unknown), measures and the quality flags."""
+    policy = master_policies(tables, without_test=True).select(
+        "code_n", "pobegin", "poexpir", F.when(F.col("is_canceled"), F.col("pocancel")).otherwise(F.col("poexpir")).alias("coverage_end"),
+        "lob_n", "agency_n", "market_n", "source_n", "carrier_n", norm(prefer(F.col("decsbr"), F.col("decsbr"), F.col("decuw"))).alias("emp_n"),
+    )
+    extra = tables["mgextra"].select(norm("code").alias("code_n"), norm("naics").alias("naics_n"))
+    rows = transaction_rows(tables).join(policy, "code_n").join(extra, "code_n", "left")
+    order = [F.col("exposure").desc(), F.col("premium").desc(), F.col("state"), F.col("classcode"), F.col("classuffix")]
+    rows = with_class(rows, tables, order).withColumn("trans_type_n", norm("transcode")).distinct()
+
+    source = tables["mgtrans"].select(norm("code").alias("code_n"), *[F.col(c).alias(o) for o, c in AMOUNTS.items()])
+    checks = reconcile(rows, source, ["code_n"], {flag: (m, m) for flag, m in RECONCILED.items()})
+
+    keyed = look_up(rows.join(checks, "code_n"), tables, "trans_type_n")
+    roles = {
+        "policy_effec_start_dt_key": "pobegin", "policy_effec_end_dt_key": "poexpir", "policy_coverage_start_dt_key": "pobegin", "policy_coverage_end_dt_key": "coverage_end",
+        "policy_trans_effec_dt_key": "effdate", "policy_trans_dt_key": "trans_date", "policy_trans_written_on_dt_key": "writtenon",
+    }
+    dated = date_roles(keyed, tables["dim_date"], roles).withColumns({**cross_rules(("dq_rule_542", "dq_rule_543", "dq_rule_554")), **history_columns()})
+    return dated.select(
+        "policy_key", *roles, "lob_key", "dist_chnl_key", "insd_key", "naics_key", "dec_uw_emp_key", "mkt_type_key", "prod_src_key", "carrier_key", "policy_trans_type_key",
+        F.col("trancnt").alias("policy_trans_seq_num"), "src_trans_id_type", F.col("trans_id").alias("src_trans_id"), *AMOUNTS, F.col("state").alias("policy_trans_state"),
+        "bus_class_key", *history_columns(), "dq_rule_542", "dq_rule_543", *RECONCILED, "dq_rule_554",
+    )
+
+
+def fact_detail(tables: Frames) -> DataFrame:
+    """The detail fact of transactions that were not written: one row per source row of a master policy."""
+    policy = master_policies(tables, without_test=False)
+    policy = choice_key(policy, norm("flags19") == "S", "decsbr", "decuw", "emp").withColumn("emp_n", norm("emp")).select(
+        "code_n", "pobegin", "poexpir", F.when(F.col("is_canceled"), F.col("pocancel")).otherwise(F.col("poexpir")).alias("inforce_end"),
+        "lob_n", "agency_n", "market_n", "source_n", "carrier_n", "emp_n",
+    )
+    extra = tables["mgextra"].select(norm("code").alias("code_n"), norm("naics").alias("naics_n"))
+    details = tables["mgnotrans"].withColumns({"code_n": norm("code"), "trans_type_n": norm("transcode"), "subtype_n": norm(F.col("typeid").cast("string"))}).drop("code")
+    rows = details.join(policy, "code_n").join(extra, "code_n", "left")
+    order = [F.col("premium").desc(), F.col("exposure").desc(), F.col("state"), F.col("classcode"), F.col("classuffix")]
+    keyed = look_up(with_class(rows, tables, order), tables, "trans_type_n")
+    subtype = _dim(tables, "dim_policy_trans_subtype", "policy_trans_subtype_bus_key", "policy_trans_subtype_key")
+    keyed = star_lookup(keyed, [(subtype, {"subtype_n": "code_n"}, {"policy_trans_subtype_key": "policy_trans_subtype_key"})])
+    roles = {
+        "policy_effec_start_dt_key": "pobegin", "policy_effec_end_dt_key": "poexpir", "policy_inforce_start_dt_key": "pobegin", "policy_inforce_end_dt_key": "inforce_end",
+        "policy_trans_effec_dt_key": "effdate", "policy_trans_dt_key": "enteredon",
+    }
+    dated = date_roles(keyed, tables["dim_date"], roles).withColumns({**cross_rules(("dq_rule_558", "dq_rule_559", "dq_rule_560")), **history_columns()})
+    return dated.select(
+        "policy_key", *roles, "lob_key", "dist_chnl_key", "insd_key", "naics_key", "dec_uw_emp_key", "mkt_type_key", "prod_src_key", "carrier_key", "policy_trans_type_key",
+        F.col("trancnt").alias("policy_trans_seq_num"), F.col("id").alias("src_trans_detail_id"), "policy_trans_subtype_key", F.col("extra").alias("extra_info"),
+        "additional_info", F.col("reason").alias("reason_cd"), "bus_class_key", *history_columns(), "dq_rule_558", "dq_rule_559", "dq_rule_560",
+    )
