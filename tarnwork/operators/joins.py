@@ -33,14 +33,14 @@ def star_lookup(fact: DataFrame, dims: list[tuple], default: int = -1) -> DataFr
     part ``{output: dimension attribute}``. An unmatched key gets ``default``, an unmatched attribute null. Only the
     columns named here enter the plan.
     """
-    out = fact
+    out, found = fact, []
     for i, (dim, on, keys, *rest) in enumerate(dims):
-        taken = {**keys, **(rest[0] if rest else {})}
-        side = dim.select(*[F.col(d).alias(f"_d{i}_{d}") for d in on.values()], *[F.col(c).alias(o) for o, c in taken.items()])
-        cond = reduce(lambda a, b: a & b, [out[f] == side[f"_d{i}_{d}"] for f, d in on.items()])
-        out = out.join(side, cond, "left").drop(*[f"_d{i}_{d}" for d in on.values()])
-        out = out.withColumns({o: F.coalesce(F.col(o), F.lit(default)) for o in keys})
-    return out
+        attrs = rest[0] if rest else {}
+        side = dim.select(*[F.col(d).alias(f"_d{i}_{d}") for d in on.values()], *[F.col(c).alias(o) for o, c in {**keys, **attrs}.items()])
+        out = out.join(side, reduce(lambda a, b: a & b, [out[f] == side[f"_d{i}_{d}"] for f, d in on.items()]), "left")
+        found += [F.coalesce(F.col(o), F.lit(default)).alias(o) for o in keys] + [F.col(o) for o in attrs]
+    # One projection at the end: every further step over a wide plan is analysed anew.
+    return out.select(*fact.columns, *found)
 
 
 def join_norm(left: DataFrame, right: DataFrame, cols: dict[str, str], how: str = "inner") -> DataFrame:
@@ -66,8 +66,8 @@ def date_roles(fact: DataFrame, dim_date: DataFrame, roles: dict[str, str], date
     out = fact
     for role, source in roles.items():
         day = dim_date.select(F.col(date).alias(f"_d_{role}"), F.col(key).alias(role))
-        out = out.join(day, F.to_date(out[source]) == day[f"_d_{role}"], "left").drop(f"_d_{role}")
-    return out.withColumns({r: F.coalesce(F.col(r), F.lit(default)) for r in roles})
+        out = out.join(day, F.to_date(out[source]) == day[f"_d_{role}"], "left")
+    return out.select(*fact.columns, *[F.coalesce(F.col(r), F.lit(default)).alias(r) for r in roles])
 
 
 def lookup_codes(df: DataFrame, codes: DataFrame, wanted: list[tuple[str, str, str, str]]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarnwork.functions.columns import mask_to_null
 from tarnwork.operators.merge import assign_identity, ensure_unknown_member, merge_upsert, overwrite_by_key, scd2_apply, sync_columns
+from tarnwork.session import cut
 from tarnwork.sources.extracts import incremental_source
 
 STRATEGIES = {"type_two", "merge", "overwrite", "append", "overwrite_by_key"}
@@ -67,12 +68,14 @@ def load_target(target: dict, existing: DataFrame | None, rows: DataFrame, batch
     """The target's new state: identity, load strategy, unknown member."""
     how = strategy or target["load_strategy"]
     keys = target.get("key_columns") or []
-    rows = mask_to_null(rows, target.get("pii_columns") or [])
+    # The chain's joins run once: identity and key checks below read the rows several times.
+    rows = cut(mask_to_null(rows, target.get("pii_columns") or []), "chain")
     identity = (target.get("identity_column_name") or f"{target['table']}_key") if target.get("identity") else None
     if how == "type_two":
         out = scd2_apply(existing.drop(identity) if existing is not None and identity else existing, rows, keys,
                          [c for c in rows.columns if c not in keys], batch_time)
         if identity:
+            out = cut(out, "versions")
             # A version is identified by its key and start, so each new version gets a number of its own.
             known = existing.select(identity, *keys, "effective_from") if existing is not None else None
             out = assign_identity(known, out, [*keys, "effective_from"], identity)

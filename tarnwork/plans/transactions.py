@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.functions.columns import norm, prefer
-from tarnwork.operators.aggregates import reconcile
 from tarnwork.operators.joins import choice_key, date_roles, star_lookup
 from tarnwork.operators.windows import top_n_per_key
 
@@ -92,13 +91,23 @@ def _dim(tables: Frames, name: str, code: str, key: str, attrs: dict[str, str] |
     return tables[name].select(norm(code).alias("code_n"), key, *[norm(c).alias(a) for a, c in (attrs or {}).items()])
 
 
-def look_up(rows: DataFrame, tables: Frames, trans_type: str) -> DataFrame:
-    """Surrogate keys of every shared dimension, and the attributes the rules need."""
+def extra_rows(tables: Frames) -> DataFrame:
+    return tables["mgextra"].select(norm("code").alias("code_n"), norm("naics").alias("naics_n")).distinct()
+
+
+def resolve_policies(policies: DataFrame, tables: Frames, order: list[Column], roles: dict[str, str], names: tuple[str, str, str]) -> DataFrame:
+    """Surrogate keys, dates and cross-dimension flags of each policy.
+
+    Everything that depends on the policy alone is looked up here, once per policy; the transactions then take it over
+    with a single join. ``policies`` must be distinct: distinct policy rows joined to distinct transaction rows give
+    distinct fact rows, so the fact itself needs no distinct over its full width.
+    """
+    p = with_class(policies.join(extra_rows(tables), "code_n", "left"), tables, order)
     one = lambda col: {col: "code_n"}
     classes = tables["dim_business_class"].select(
         norm("bus_class_cd_bus_key").alias("c1"), norm("bus_class_suffix_bus_key").alias("c2"), norm("bus_class_src_id_bus_key").alias("c3"), "bus_class_key"
     )
-    return star_lookup(rows, [
+    keyed = star_lookup(p, [
         (_dim(tables, "dim_policy", "policy_num_bus_key", "policy_key"), one("code_n"), {"policy_key": "policy_key"}),
         (_dim(tables, "dim_insured", "policy_num_bus_key", "insd_key"), one("code_n"), {"insd_key": "insd_key"}),
         (_dim(tables, "dim_lob", "lob_cd_bus_key", "lob_key", {"lob_found": "lob_cd_bus_key"}), one("lob_n"), {"lob_key": "lob_key"}, {"lob_found": "lob_found"}),
@@ -108,9 +117,17 @@ def look_up(rows: DataFrame, tables: Frames, trans_type: str) -> DataFrame:
         (_dim(tables, "dim_mkt_type", "mkt_type_cd_bus_key", "mkt_type_key", {"market": "mkt_type_desc"}), one("market_n"), {"mkt_type_key": "mkt_type_key"}, {"market": "market"}),
         (_dim(tables, "dim_prod_src", "prod_src_cd_bus_key", "prod_src_key"), one("source_n"), {"prod_src_key": "prod_src_key"}),
         (_dim(tables, "dim_carrier", "carrier_cd_bus_key", "carrier_key", {"carrier_found": "carrier_cd_bus_key"}), one("carrier_n"), {"carrier_key": "carrier_key"}, {"carrier_found": "carrier_found"}),
-        (_dim(tables, "dim_policy_trans_type", "policy_trans_type_cd_bus_key", "policy_trans_type_key"), one(trans_type), {"policy_trans_type_key": "policy_trans_type_key"}),
         (classes, {"class_n": "c1", "suffix_n": "c2", "class_id_n": "c3"}, {"bus_class_key": "bus_class_key"}, {"class_found": "c1"}),
     ])
+    dated = date_roles(keyed, tables["dim_date"], roles)
+    flags = cross_rules(names)
+    return dated.select("code_n", *POLICY_KEYS, *roles, *[c.alias(o) for o, c in flags.items()])
+
+
+# Surrogate keys that depend on the policy alone.
+POLICY_KEYS = [
+    "policy_key", "lob_key", "dist_chnl_key", "insd_key", "naics_key", "dec_uw_emp_key", "mkt_type_key", "prod_src_key", "carrier_key", "bus_class_key",
+]
 
 
 def cross_rules(names: tuple[str, str, str]) -> dict[str, Column]:
@@ -130,8 +147,8 @@ def history_columns() -> dict[str, Column]:
     }
 
 
-def transaction_rows(tables: Frames) -> DataFrame:
-    """One stream of transactions: the written ones, and the others whose (policy, count) was not written.
+def transaction_rows(tables: Frames) -> tuple[DataFrame, DataFrame]:
+    """The distinct transactions in two parts: the written ones, and the others whose (policy, count) was not written.
 
     A (policy, count) that both sources hold takes the written row whole, even where a value is null. Choosing by
     anti-join keeps the two sources apart, so their rows are never paired.
@@ -148,7 +165,24 @@ def transaction_rows(tables: Frames) -> DataFrame:
         "code_n", "trancnt", "transcode", F.coalesce("effdate", "act_date").alias("effdate"), F.col("enteredon").alias("trans_date"), F.col("id").cast("long").alias("trans_id"),
         F.col("enteredon").alias("writtenon"), "state", F.lit(2).alias("src_trans_id_type"),
     )
-    return written.unionByName(other, allowMissingColumns=True)
+    return written.distinct(), other.distinct()
+
+
+def reconciliation(policies: DataFrame, transactions: DataFrame, tables: Frames) -> DataFrame:
+    """Flags per policy code: the fact's total of a measure equals the source's (a missing total fails).
+
+    Each side is aggregated once for all measures. A code with several policy rows counts its transactions as often as
+    the fact does; that number follows from the two distinct inputs, without building the policy rows again.
+    """
+    def sums(df: DataFrame, prefix: str, cols: dict[str, str]) -> DataFrame:
+        return df.groupBy("code_n").agg(*[F.sum(F.col(c).cast("decimal(18,2)")).alias(f"{prefix}_{o}") for o, c in cols.items()])
+
+    fact = sums(transactions, "f", {o: o for o in AMOUNTS})
+    source = sums(tables["mgtrans"].withColumn("code_n", norm("code")), "s", AMOUNTS)
+    extras = extra_rows(tables).groupBy("code_n").agg(F.count(F.lit(1)).alias("_extras"))
+    both = policies.groupBy("code_n").agg(F.count(F.lit(1)).alias("_rows")).join(extras, "code_n", "left").join(fact, "code_n", "left").join(source, "code_n", "left")
+    copies = F.col("_rows") * F.coalesce("_extras", F.lit(1))
+    return both.select("code_n", *[F.when(F.col(f"f_{m}") * copies == F.col(f"s_{m}"), 1).otherwise(0).alias(flag) for flag, m in RECONCILED.items()])
 
 
 def fact_transactions(tables: Frames) -> DataFrame:
@@ -156,49 +190,43 @@ def fact_transactions(tables: Frames) -> DataFrame:
     policy = master_policies(tables, without_test=True).select(
         "code_n", "pobegin", "poexpir", F.when(F.col("is_canceled"), F.col("pocancel")).otherwise(F.col("poexpir")).alias("coverage_end"),
         "lob_n", "agency_n", "market_n", "source_n", "carrier_n", norm(prefer(F.col("decsbr"), F.col("decsbr"), F.col("decuw"))).alias("emp_n"),
-    )
-    extra = tables["mgextra"].select(norm("code").alias("code_n"), norm("naics").alias("naics_n"))
-    rows = transaction_rows(tables).join(policy, "code_n").join(extra, "code_n", "left")
+    ).distinct()
     order = [F.col("exposure").desc(), F.col("premium").desc(), F.col("state"), F.col("classcode"), F.col("classuffix")]
-    rows = with_class(rows, tables, order).withColumn("trans_type_n", norm("transcode")).distinct()
-
-    source = tables["mgtrans"].select(norm("code").alias("code_n"), *[F.col(c).alias(o) for o, c in AMOUNTS.items()])
-    checks = reconcile(rows, source, ["code_n"], {flag: (m, m) for flag, m in RECONCILED.items()})
-
-    keyed = look_up(rows.join(checks, "code_n"), tables, "trans_type_n")
-    roles = {
+    begin = {
         "policy_effec_start_dt_key": "pobegin", "policy_effec_end_dt_key": "poexpir", "policy_coverage_start_dt_key": "pobegin", "policy_coverage_end_dt_key": "coverage_end",
-        "policy_trans_effec_dt_key": "effdate", "policy_trans_dt_key": "trans_date", "policy_trans_written_on_dt_key": "writtenon",
     }
-    dated = date_roles(keyed, tables["dim_date"], roles).withColumns({**cross_rules(("dq_rule_542", "dq_rule_543", "dq_rule_554")), **history_columns()})
-    return dated.select(
-        "policy_key", *roles, "lob_key", "dist_chnl_key", "insd_key", "naics_key", "dec_uw_emp_key", "mkt_type_key", "prod_src_key", "carrier_key", "policy_trans_type_key",
-        F.col("trancnt").alias("policy_trans_seq_num"), "src_trans_id_type", F.col("trans_id").alias("src_trans_id"), *AMOUNTS, F.col("state").alias("policy_trans_state"),
-        "bus_class_key", *history_columns(), "dq_rule_542", "dq_rule_543", *RECONCILED, "dq_rule_554",
+    policies = resolve_policies(policy, tables, order, begin, ("dq_rule_542", "dq_rule_543", "dq_rule_554"))
+    written, other = transaction_rows(tables)
+    policies = policies.join(reconciliation(policy, written, tables), "code_n")
+    rows = written.unionByName(other, allowMissingColumns=True)
+
+    types = _dim(tables, "dim_policy_trans_type", "policy_trans_type_cd_bus_key", "policy_trans_type_key")
+    keyed = star_lookup(rows.join(policies, "code_n").withColumn("trans_type_n", norm("transcode")), [(types, {"trans_type_n": "code_n"}, {"policy_trans_type_key": "policy_trans_type_key"})])
+    happened = {"policy_trans_effec_dt_key": "effdate", "policy_trans_dt_key": "trans_date", "policy_trans_written_on_dt_key": "writtenon"}
+    return date_roles(keyed, tables["dim_date"], happened).select(
+        *POLICY_KEYS, "policy_trans_type_key", *begin, *happened, F.col("trancnt").alias("policy_trans_seq_num"), "src_trans_id_type", F.col("trans_id").alias("src_trans_id"), *AMOUNTS,
+        F.col("state").alias("policy_trans_state"), *[c.alias(o) for o, c in history_columns().items()], "dq_rule_542", "dq_rule_543", *RECONCILED, "dq_rule_554",
     )
 
 
 def fact_detail(tables: Frames) -> DataFrame:
     """The detail fact of transactions that were not written: one row per source row of a master policy."""
-    policy = master_policies(tables, without_test=False)
-    policy = choice_key(policy, norm("flags19") == "S", "decsbr", "decuw", "emp").withColumn("emp_n", norm("emp")).select(
+    policy = choice_key(master_policies(tables, without_test=False), norm("flags19") == "S", "decsbr", "decuw", "emp").select(
         "code_n", "pobegin", "poexpir", F.when(F.col("is_canceled"), F.col("pocancel")).otherwise(F.col("poexpir")).alias("inforce_end"),
-        "lob_n", "agency_n", "market_n", "source_n", "carrier_n", "emp_n",
+        "lob_n", "agency_n", "market_n", "source_n", "carrier_n", norm("emp").alias("emp_n"),
     )
-    extra = tables["mgextra"].select(norm("code").alias("code_n"), norm("naics").alias("naics_n"))
-    details = tables["mgnotrans"].withColumns({"code_n": norm("code"), "trans_type_n": norm("transcode"), "subtype_n": norm(F.col("typeid").cast("string"))}).drop("code")
-    rows = details.join(policy, "code_n").join(extra, "code_n", "left")
     order = [F.col("premium").desc(), F.col("exposure").desc(), F.col("state"), F.col("classcode"), F.col("classuffix")]
-    keyed = look_up(with_class(rows, tables, order), tables, "trans_type_n")
-    subtype = _dim(tables, "dim_policy_trans_subtype", "policy_trans_subtype_bus_key", "policy_trans_subtype_key")
-    keyed = star_lookup(keyed, [(subtype, {"subtype_n": "code_n"}, {"policy_trans_subtype_key": "policy_trans_subtype_key"})])
-    roles = {
+    begin = {
         "policy_effec_start_dt_key": "pobegin", "policy_effec_end_dt_key": "poexpir", "policy_inforce_start_dt_key": "pobegin", "policy_inforce_end_dt_key": "inforce_end",
-        "policy_trans_effec_dt_key": "effdate", "policy_trans_dt_key": "enteredon",
     }
-    dated = date_roles(keyed, tables["dim_date"], roles).withColumns({**cross_rules(("dq_rule_558", "dq_rule_559", "dq_rule_560")), **history_columns()})
-    return dated.select(
-        "policy_key", *roles, "lob_key", "dist_chnl_key", "insd_key", "naics_key", "dec_uw_emp_key", "mkt_type_key", "prod_src_key", "carrier_key", "policy_trans_type_key",
-        F.col("trancnt").alias("policy_trans_seq_num"), F.col("id").alias("src_trans_detail_id"), "policy_trans_subtype_key", F.col("extra").alias("extra_info"),
-        "additional_info", F.col("reason").alias("reason_cd"), "bus_class_key", *history_columns(), "dq_rule_558", "dq_rule_559", "dq_rule_560",
+    policies = resolve_policies(policy, tables, order, begin, ("dq_rule_558", "dq_rule_559", "dq_rule_560"))
+    details = tables["mgnotrans"].withColumns({"code_n": norm("code"), "trans_type_n": norm("transcode"), "subtype_n": norm(F.col("typeid").cast("string"))})
+    keyed = star_lookup(details.join(policies, "code_n"), [
+        (_dim(tables, "dim_policy_trans_type", "policy_trans_type_cd_bus_key", "policy_trans_type_key"), {"trans_type_n": "code_n"}, {"policy_trans_type_key": "policy_trans_type_key"}),
+        (_dim(tables, "dim_policy_trans_subtype", "policy_trans_subtype_bus_key", "policy_trans_subtype_key"), {"subtype_n": "code_n"}, {"policy_trans_subtype_key": "policy_trans_subtype_key"}),
+    ])
+    happened = {"policy_trans_effec_dt_key": "effdate", "policy_trans_dt_key": "enteredon"}
+    return date_roles(keyed, tables["dim_date"], happened).select(
+        *POLICY_KEYS, "policy_trans_type_key", *begin, *happened, F.col("trancnt").alias("policy_trans_seq_num"), F.col("id").alias("src_trans_detail_id"), "policy_trans_subtype_key",
+        F.col("extra").alias("extra_info"), "additional_info", F.col("reason").alias("reason_cd"), *[c.alias(o) for o, c in history_columns().items()], "dq_rule_558", "dq_rule_559", "dq_rule_560",
     )

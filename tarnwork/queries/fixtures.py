@@ -111,13 +111,18 @@ INSURED = {
 GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
-def frames(t, views: dict[str, str]) -> dict[str, DataFrame]:
-    """The views as frames over the tables ``t``."""
-    out = {}
-    for name, sql in views.items():
+class frames(dict):  # noqa: N801
+    """The views as frames over the tables ``t``, each built when it is first asked for."""
+
+    def __init__(self, t, views: dict[str, str]):
+        super().__init__()
+        self.t, self.views = t, views
+
+    def __missing__(self, name: str) -> DataFrame:
+        sql = self.views[name]
         used = [g for g in GIVEN if "{" + g + "}" in sql]
-        out[name] = t.spark.sql(sql, **{g: getattr(t, g) for g in used})
-    return out
+        self[name] = self.t.spark.sql(sql, **{g: getattr(self.t, g) for g in used})
+        return self[name]
 
 
 def ctes(views: dict[str, str], prefix: str = "") -> str:

@@ -50,6 +50,14 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def cut(df: DataFrame, label: str = "cut") -> DataFrame:
+    """The frame's rows, written once to the shared folder and read back: later steps do not recompute it, and a lost
+    executor costs no more than its own tasks."""
+    path = run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Tables:
     """Attribute access to the parquet tables of one folder: ``Tables(spark, dir).orders``."""
 
@@ -60,4 +68,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(os.path.join(self.folder, f"{name}.parquet"))
+        df = self.spark.read.parquet(os.path.join(self.folder, f"{name}.parquet"))
+        self.__dict__[name] = df  # list the files and read the footer once
+        return df
