@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tarnwork.functions.columns import norm
 from tarnwork.operators.keys import assert_unique, join_null_safe
-from tarnwork.operators.skew import fits_broadcast
+from tarnwork.operators.skew import broadcast_limit, key_profile
 from tarnwork.operators.windows import latest_per_key, running
 
 FEW_VERSIONS = 64  # most versions of one key for which a range test per candidate stays cheap
@@ -153,7 +153,8 @@ def scd2_join(
     any other goes through the single-sort as-of form.
     """
     slim = dim.select(*keys, start, end, *values)
-    if _few_versions(slim, keys) and fits_broadcast(slim):
+    most, size = key_profile(slim, keys)
+    if most <= FEW_VERSIONS and size <= broadcast_limit(facts.sparkSession):
         d = F.broadcast(slim.select(*[F.col(k).alias(f"_d_{k}") for k in keys], start, end, *values))
         on = [facts[k] == d[f"_d_{k}"] for k in keys] + [facts[ts].between(d[start], d[end])]
         hit = facts.join(d, reduce(lambda a, b: a & b, on), "left")
@@ -169,8 +170,3 @@ def scd2_join(
     last = slim.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(start)).alias("_last"))
     out = joined.join(last, keys, "left")
     return out.select(*facts.columns, *[F.when(F.col("_hit"), F.col(v)).otherwise(F.col(f"_last.{v}")).alias(v) for v in values])
-
-
-def _few_versions(dim: DataFrame, keys: list[str]) -> bool:
-    most = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return (most or 0) <= FEW_VERSIONS

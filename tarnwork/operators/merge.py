@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tarnwork.functions.columns import lit_like
 from tarnwork.operators.keys import assert_unique, join_null_safe
-from tarnwork.operators.skew import fits_broadcast
+from tarnwork.operators.skew import broadcast_limit, fits_broadcast, key_profile
 from tarnwork.operators.windows import dense_number, latest_per_key
 
 
@@ -37,11 +37,12 @@ def any_differs(cols: list[str], left: str = "t", right: str = "s") -> Column:
 
 def merge_rows(
     target: DataFrame, source: DataFrame, keys: list[str], update: dict[str, Column], insert: dict[str, Column] | None,
-    matched: Column | None = None, null_safe: bool = False,
+    matched: Column | None = None, null_safe: bool = False, small: bool | None = None,
 ) -> DataFrame:
     """The common core. Inside ``update``, ``insert`` and ``matched`` target columns are called ``t_<name>`` and source
     columns ``s_<name>``. ``update`` values replace target columns of matched rows that satisfy ``matched``; ``insert``
-    gives the columns of unmatched source rows, or is ``None`` for no insert.
+    gives the columns of unmatched source rows, or is ``None`` for no insert. ``small`` says whether the source was
+    measured to fit a broadcast; it is measured here when not given.
     """
     cols = target.columns
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"))
@@ -53,9 +54,10 @@ def merge_rows(
         hit = hit & F.coalesce(matched, F.lit(False))
     changed = {c: F.when(hit, update[c]).otherwise(F.col(f"t_{c}")) if c in update else F.col(f"t_{c}") for c in cols}
 
-    if insert is None or fits_broadcast(source):
-        side = F.broadcast(s) if insert is not None else s
-        kept = t.join(side, on, "left").select(*[changed[c].alias(c) for c in cols])
+    if small is None:
+        small = fits_broadcast(source)
+    if insert is None or small:
+        kept = t.join(F.broadcast(s) if small else s, on, "left").select(*[changed[c].alias(c) for c in cols])
         if insert is None:
             return kept
         present = t.join(F.broadcast(s.select(*[f"s_{k}" for k in keys])), on, "left_semi").select(*[F.col(f"t_{k}") for k in keys])
@@ -67,13 +69,30 @@ def merge_rows(
     return both.select(*[F.when(F.col("_t"), changed[c]).otherwise(insert[c]).alias(c) for c in cols])
 
 
+def check_source(source: DataFrame, keys: list[str]) -> bool:
+    """Refuse repeated keys; tell whether the source is small enough to broadcast. One pass answers both."""
+    most, size = key_profile(source, keys)
+    if most > 1:
+        assert_unique(source.dropna(subset=keys), keys, "source")
+    return size <= broadcast_limit(source.sparkSession)
+
+
+def absent(source: DataFrame, target: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """Source rows whose key is not in the target. With a small source the target's keys are first reduced to the
+    source's by a broadcast semi join, so the target is not shuffled."""
+    known = target.select(*keys)
+    if small:
+        known = known.join(F.broadcast(source.select(*keys)), keys, "left_semi")
+    return source.join(known, keys, "left_anti")
+
+
 def merge_insert_only(target: DataFrame | None, source: DataFrame, keys: list[str]) -> DataFrame:
     """Append the source rows whose key is not in the target; existing rows stay as they are."""
-    assert_unique(source, keys, "source")
+    small = check_source(source, keys)
     if target is None:
         return source
     t, s = sync_columns(target, source)
-    return t.unionByName(s.join(target.select(*keys), keys, "left_anti").select(*t.columns))
+    return t.unionByName(absent(s, target, keys, small).select(*t.columns))
 
 
 def merge_upsert(
@@ -81,14 +100,14 @@ def merge_upsert(
 ) -> DataFrame:
     """Replace matched rows, insert the others. With ``condition`` a matched row is replaced only if one of those
     columns differs; ``keep`` names columns that retain the target's value. ``target=None`` is the first load."""
-    assert_unique(source, keys, "source")
+    small = check_source(source, keys)
     if target is None:
         return source
     t, s = sync_columns(target, source)
     fixed = {*keys, *(keep or [])}
     update = {c: F.col(f"s_{c}") for c in t.columns if c not in fixed}
     insert = {c: F.col(f"s_{c}") for c in t.columns}
-    return merge_rows(t, s, keys, update, insert, any_differs(condition) if condition else None)
+    return merge_rows(t, s, keys, update, insert, any_differs(condition) if condition else None, small=small)
 
 
 def merge_on_hash(
@@ -102,8 +121,12 @@ def merge_on_hash(
 
 def merge_update_columns(target: DataFrame, source: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Null-safe key match, update of the named columns only, no insert."""
-    assert_unique(source, keys, "source")
-    return merge_rows(target, source.select(*keys, *cols), keys, {c: F.col(f"s_{c}") for c in cols}, None, null_safe=True)
+    rows = source.select(*keys, *cols)
+    most, size = key_profile(rows, keys)
+    if most > 1:
+        assert_unique(rows, keys, "source")
+    small = size <= broadcast_limit(source.sparkSession)
+    return merge_rows(target, rows, keys, {c: F.col(f"s_{c}") for c in cols}, None, null_safe=True, small=small)
 
 
 def update_where(target: DataFrame, cond: Column, values: dict[str, object]) -> DataFrame:
@@ -181,15 +204,17 @@ def scd2_apply(
 ) -> DataFrame:
     """Type-two history. Same key and same tracked values: nothing. Tracked values differ: the current version ends at
     ``batch_time`` and a new one starts. New key: a first version."""
-    assert_unique(source, keys, "source")
+    small = check_source(source, keys)
     incoming = scd2_first(source, batch_time, start, end, current)
     if target is None:
         return incoming
     t, s = sync_columns(target, incoming)
     changed = (F.col(f"t_{current}") == 1) & any_differs(tracked)
     close = {end: F.lit(batch_time).cast(t.schema[end].dataType), current: F.lit(0).cast(t.schema[current].dataType)}
-    closed = merge_rows(t, source.select(*keys, *tracked), keys, close, None, changed)
+    closed = merge_rows(t, source.select(*keys, *tracked), keys, close, None, changed, small=small)
     same = t.filter(F.col(current) == 1).select(*keys, *tracked)
+    if small:  # only the current versions of the incoming keys matter
+        same = same.join(F.broadcast(source.select(*keys)), keys, "left_semi")
     return closed.unionByName(_not_identical(s, same, keys, tracked))
 
 

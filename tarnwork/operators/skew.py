@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,9 +105,9 @@ def range_bounds(df: DataFrame, order: list[str]) -> list:
     return [] if found is None else list(found["_bounds"])
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Data size of the frame by one aggregation: text by its length, nested values by their JSON, the rest by width."""
-    width = 0
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row: text by its length, nested values by their JSON, the rest by width."""
+    width = 16
     parts = []
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
@@ -116,11 +116,24 @@ def measured_bytes(df: DataFrame) -> int:
             parts.append(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))))
         else:
             width += 16
-    text = reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0)) for p in parts], F.lit(0))
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(text.cast("long")), F.lit(0)).alias("b")).first()
-    return row["n"] * (width + 16) + row["b"]
+    return reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0)) for p in parts], F.lit(width)).cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Data size of the frame by one aggregation."""
+    return df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()["b"]
+
+
+def key_profile(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """(most rows of one key, measured bytes) in one pass."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b"))
+    row = per_key.agg(F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes")).first()
+    return row["most"], row["bytes"]
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    return int(spark.conf.get("tarnwork.broadcastBytes", str(BROADCAST_BYTES)))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get("tarnwork.broadcastBytes", str(BROADCAST_BYTES)))
-    return measured_bytes(df) <= limit
+    return measured_bytes(df) <= broadcast_limit(df.sparkSession)

@@ -26,16 +26,17 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return top_n_per_key(df, keys, order, 1)
 
 
-def running(df: DataFrame, keys: list[str], order: list[str], outputs: dict[str, tuple]) -> DataFrame:
+def running(df: DataFrame, keys: list[str], order: list[str], outputs: dict[str, tuple], profile: DataFrame | None = None) -> DataFrame:
     """Add running values per key along ascending ``order`` (nulls first).
 
     ``outputs`` maps a new column to ``("row_number",)``, ``("lag", col)``, ``("last", col)`` (latest non-null up to
     and including the row) or ``("sum", col)``. ``order`` must be a total order within a key for ``lag``.
 
     A hot key is cut along ``order``: each chunk is its own window group, and what the earlier chunks carry over is
-    computed from one summary row per chunk.
+    computed from one summary row per chunk. Where ``df`` is expensive, ``profile`` may be a cheaper frame with the same
+    key and order columns and about the same rows: it only decides where to cut, never the result.
     """
-    bounds = chunk_bounds(df, keys, order)
+    bounds = chunk_bounds(df if profile is None else profile, keys, order)
     if bounds is None:
         w = W.partitionBy(*keys).orderBy(*order)
         return df.withColumns({out: _inside(spec, w) for out, spec in outputs.items()})

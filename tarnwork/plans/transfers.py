@@ -88,7 +88,9 @@ def stg_transfers(tables: dict[str, DataFrame]) -> DataFrame:
     a = lookup_codes(a, spelled, [("claimant", "complexity", "complexity", "complexity_code"), ("business_unit", "business_unit", "businessunit", "unit_code")])
 
     a = a.withColumns({"claimType": claim_type(), "unit": unit()})
-    t = running(a, ["claimantid"], ["enteredon", "adjustorstatsid"], {"rcount": ("row_number",), "prevClaimType": ("lag", "claimType"), "prev_unit_bus_key": ("lag", "unit")})
+    t = running(a, ["claimantid"], ["enteredon", "adjustorstatsid"], {
+        "rcount": ("row_number",), "prevClaimType": ("lag", "claimType"), "prev_unit_bus_key": ("lag", "unit"),
+    }, profile=assignments(tables["claims_adjustor_stats"]))
     same = (F.col("claimType") == F.col("prevClaimType")) & (F.col("unit") == F.col("prev_unit_bus_key"))
     return t.select(
         "adjustorstatsid", F.concat(F.lit("EMP-"), F.col("adjustor").cast("string"), F.lit("-"), F.upper(F.trim("coveragecategory"))).alias("adjustr_bus_key"),

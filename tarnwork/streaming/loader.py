@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tarnwork.operators.joins import scd2_join
-from tarnwork.operators.keys import assert_unique
-from tarnwork.operators.merge import merge_insert_only, merge_upsert, scd2_apply, sync_columns
+from tarnwork.operators.merge import absent, check_source, merge_insert_only, merge_upsert, scd2_apply, sync_columns
 from tarnwork.operators.runlog import ingestion_log, parse_messages, run_zone_rollup
 from tarnwork.sources.writer import path_exists, publish, versions
 
@@ -91,8 +90,8 @@ def load_batch(
         _append(batch, path, batch_id)
     elif strategy == "append_new":
         before = read_batches(spark, path, below=batch_id)
-        assert_unique(batch, keys, "batch")
-        _append(batch if before is None else batch.join(before.select(*keys), keys, "left_anti"), path, batch_id)
+        small = check_source(batch, keys)
+        _append(batch if before is None else absent(batch, before, keys, small), path, batch_id)
     elif strategy == "overwrite":
         if not batch.isEmpty():
             publish(batch, path, version=batch_id)
