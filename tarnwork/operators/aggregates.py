@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnwork.functions.columns import total_of
 from tarnwork.operators.windows import latest_per_key
 
 
@@ -144,9 +145,8 @@ def completeness_gate(df: DataFrame, key: str, expected: list[str], day_col: str
 def reconcile(fact: DataFrame, source: DataFrame, keys: list[str], measures: dict[str, tuple[str, str]], scale: int = 2) -> DataFrame:
     """Per key of ``fact`` and measure 1 when the fact total equals the source total, else 0 (a missing or null total
     fails). ``measures`` maps a flag to ``(fact column, source column)``; both sides are aggregated once."""
-    kind = f"decimal(18,{scale})"
-    f = fact.groupBy(*keys).agg(*[F.sum(F.col(a).cast(kind)).alias(f"_f_{o}") for o, (a, _) in measures.items()])
-    s = source.groupBy(*keys).agg(*[F.sum(F.col(b).cast(kind)).alias(f"_s_{o}") for o, (_, b) in measures.items()])
+    f = fact.groupBy(*keys).agg(*[total_of(fact, a, scale).alias(f"_f_{o}") for o, (a, _) in measures.items()])
+    s = source.groupBy(*keys).agg(*[total_of(source, b, scale).alias(f"_s_{o}") for o, (_, b) in measures.items()])
     both = f.join(s, keys, "left")
     return both.select(*keys, *[F.when(F.col(f"_f_{o}") == F.col(f"_s_{o}"), 1).otherwise(0).alias(o) for o in measures])
 

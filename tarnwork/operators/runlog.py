@@ -35,33 +35,48 @@ def prepared_failed(meta: Column) -> Column:
     return F.coalesce(meta["runOutput"]["error_message"], meta["error_message"]).isNotNull()
 
 
+def parse_once(df: DataFrame, **docs: Column) -> DataFrame:
+    """Add parsed JSON columns. ``inline`` keeps the parsing in one place; as plain columns the optimizer would copy the
+    parser into every field that is read from it."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in docs.items()]))))
+
+
+def with_metadata(df: DataFrame, meta: str, zone: str) -> DataFrame:
+    """``_r`` and ``_p``: the metadata document of a raw and of a prepared run, the other one null."""
+    prepared = F.coalesce(F.col(zone) == "Prepared", F.lit(False))
+    return parse_once(
+        df, _r=F.from_json(F.when(~prepared, F.col(meta)), RAW_METADATA), _p=F.from_json(F.when(prepared, F.col(meta)), PREPARED_METADATA)
+    )
+
+
+def status_column(zone: str) -> Column:
+    bad = F.when(F.col(zone) == "Prepared", prepared_failed(F.col("_p"))).otherwise(raw_failed(F.col("_r")))
+    return F.when(bad, "Failed").otherwise("Success")
+
+
 def derive_status(df: DataFrame, meta: str = "metadata", zone: str = "zone", out: str = "status") -> DataFrame:
     """``Failed`` or ``Success`` from the metadata document of a raw or prepared run."""
-    raw = F.from_json(F.col(meta), RAW_METADATA)
-    prepared = F.from_json(F.col(meta), PREPARED_METADATA)
-    bad = F.when(F.col(zone) == "Prepared", prepared_failed(prepared)).otherwise(raw_failed(raw))
-    return df.withColumn(out, F.when(bad, "Failed").otherwise("Success"))
+    return with_metadata(df, meta, zone).withColumn(out, status_column(zone)).drop("_r", "_p")
 
 
 def parse_messages(raw: DataFrame, col: str = "value") -> DataFrame:
     """JSON messages to columns; ``metadata`` stays a JSON text."""
-    return raw.select(F.from_json(F.col(col), MESSAGE).alias("m")).select("m.*")
+    return raw.select(F.inline(F.array(F.from_json(F.col(col), MESSAGE))))
 
 
 def ingestion_log(messages: DataFrame) -> DataFrame:
     """The flat log. A prepared run without row counts shows -1; a timestamp in no known format shows null."""
-    m = derive_status(messages).withColumns({"_r": F.from_json("metadata", RAW_METADATA), "_p": F.from_json("metadata", PREPARED_METADATA)})
     prepared = F.col("zone") == "Prepared"
-    return m.select(
+    return with_metadata(messages, "metadata", "zone").select(
         "run_id", "product_name", "source_system", "dataset_name", "feed_name", "metadata",
         parse_timestamp("start_time", TIME_FORMATS).alias("start_time"), parse_timestamp("end_time", TIME_FORMATS).alias("end_time"),
         F.when(prepared, F.coalesce("_p.runOutput.total_rows_read", F.lit(-1))).otherwise(F.col("_r.dataRead")).alias("data_read"),
         F.when(prepared, F.coalesce("_p.runOutput.total_rows_written", F.lit(-1))).otherwise(F.col("_r.dataWritten")).alias("data_written"),
-        F.when(~prepared, F.coalesce("_r.filesRead", "_r.rowsRead")).alias("files_read"),
-        F.when(~prepared, F.coalesce("_r.filesWritten", "_r.rowsCopied")).alias("files_written"),
-        "status",
-        F.when(~prepared, F.col("_r.throughput")).alias("throughput"),
-        F.when(~prepared, F.col("_r.copyDuration")).alias("copy_duration"),
+        F.coalesce("_r.filesRead", "_r.rowsRead").alias("files_read"),
+        F.coalesce("_r.filesWritten", "_r.rowsCopied").alias("files_written"),
+        status_column("zone").alias("status"),
+        F.col("_r.throughput").alias("throughput"),
+        F.col("_r.copyDuration").alias("copy_duration"),
         "inserted_by", "modified_by", "zone",
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.functions.columns import norm, prefer
+from tarnwork.functions.columns import norm, prefer, total_of
 from tarnwork.operators.joins import choice_key, date_roles, star_lookup
 from tarnwork.operators.windows import top_n_per_key
 
@@ -36,7 +36,7 @@ Frames = dict[str, DataFrame]
 
 def dominant(rows: DataFrame, keys: list[str], group: list[str], measures: dict[str, str], order: list[Column]) -> DataFrame:
     """Per key the group that comes first by its summed measures."""
-    sums = rows.groupBy(*keys, *group).agg(*[F.sum(F.col(c).cast("decimal(18,2)")).alias(o) for o, c in measures.items()])
+    sums = rows.groupBy(*keys, *group).agg(*[total_of(rows, c).alias(o) for o, c in measures.items()])
     top = top_n_per_key(sums, keys, order, 1)
     return top.select(*keys, *group, *[F.col(o).cast("double").alias(o) for o in measures])
 
@@ -175,7 +175,7 @@ def reconciliation(policies: DataFrame, transactions: DataFrame, tables: Frames)
     the fact does; that number follows from the two distinct inputs, without building the policy rows again.
     """
     def sums(df: DataFrame, prefix: str, cols: dict[str, str]) -> DataFrame:
-        return df.groupBy("code_n").agg(*[F.sum(F.col(c).cast("decimal(18,2)")).alias(f"{prefix}_{o}") for o, c in cols.items()])
+        return df.groupBy("code_n").agg(*[total_of(df, c).alias(f"{prefix}_{o}") for o, c in cols.items()])
 
     fact = sums(transactions, "f", {o: o for o in AMOUNTS})
     source = sums(tables["mgtrans"].withColumn("code_n", norm("code")), "s", AMOUNTS)

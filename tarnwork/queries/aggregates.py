@@ -1,10 +1,11 @@
 """Aggregations and the analytic reports."""
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from tarnwork.functions.columns import money_sum
+from tarnwork.functions.columns import money_sum, units
 from tarnwork.operators import aggregates as a
 from tarnwork.operators.runlog import run_zone_rollup
 from tarnwork.queries.registry import query
@@ -109,7 +110,7 @@ def monthly_totals(t):
     SELECT 2000 AS year, CAST(a.n AS DOUBLE) AS orders_current, CAST(b.n AS DOUBLE) AS orders_prior, CAST(a.n - b.n AS DOUBLE) AS orders_delta,
            CAST(a.p AS DOUBLE) AS price_current, CAST(b.p AS DOUBLE) AS price_prior, CAST(a.p - b.p AS DOUBLE) AS price_delta FROM y a JOIN y b ON a.y = 2000 AND b.y = 1999""")
 def yoy_compare(t):
-    return a.yoy(t.orders, "o_orderdate", {"orders": F.lit(1), "price": F.col("o_totalprice").cast("decimal(18,2)")}, 2000)
+    return a.yoy(t.orders, "o_orderdate", {"orders": F.lit(1), "price": units("o_totalprice") * Decimal("0.01")}, 2000)
 
 
 def _by_status(df):

@@ -1,10 +1,11 @@
 """Joins and set operations."""
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from tarnwork.functions.columns import money_sum
+from tarnwork.functions.columns import money_sum, units
 from tarnwork.operators import joins as j
 from tarnwork.operators import sets
 from tarnwork.queries.registry import query
@@ -218,10 +219,9 @@ def join_null_safe(t):
       (SELECT CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) FROM lineitem WHERE l_orderkey = o_orderkey) AS line_total,
       (SELECT CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) FROM lineitem WHERE l_orderkey = o_orderkey) AS line_quantity FROM orders""")
 def correlated_sum(t):
-    kind = "decimal(18,2)"
-    sums = {"line_total": F.col("l_extendedprice").cast(kind), "line_quantity": F.col("l_quantity").cast(kind)}
+    sums = {"line_total": units("l_extendedprice"), "line_quantity": units("l_quantity")}
     out = j.with_child_sums(t.orders.select("o_orderkey", "o_totalprice"), t.lineitem, {"o_orderkey": "l_orderkey"}, sums)
-    return out.withColumns({c: F.col(c).cast("double") for c in sums})
+    return out.withColumns({c: (F.col(c) * Decimal("0.01")).cast("double") for c in sums})
 
 
 @query("changed_rows", """

@@ -1,7 +1,10 @@
 """Window operators."""
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
+from tarnwork.functions.columns import units
 from tarnwork.operators import windows as w
 from tarnwork.operators.merge import cdc_latest
 from tarnwork.queries.registry import query
@@ -90,8 +93,8 @@ def days_in_status(t):
 
 @query("window_sum", "SELECT o_orderkey, o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_custkey) AS DOUBLE) AS customer_total FROM orders")
 def window_sum(t):
-    out = w.window_sum(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), ["o_custkey"], {"customer_total": F.col("o_totalprice").cast("decimal(18,2)")})
-    return out.select("o_orderkey", "o_custkey", F.col("customer_total").cast("double").alias("customer_total"))
+    out = w.window_sum(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), ["o_custkey"], {"customer_total": units("o_totalprice")})
+    return out.select("o_orderkey", "o_custkey", (F.col("customer_total") * Decimal("0.01")).cast("double").alias("customer_total"))
 
 
 @query("sequence_in_key", "SELECT event_id, user_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM events")
