@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 HEADLINE = [
     "fact_transactions", "fact_detail", "dim_lifecycle", "stg_transfers", "star_lookup", "role_playing_date", "join_scd2_asof", "late_arriving_fact", "join_asof_latest",
     "agg_totals", "inforce_book", "customer_360", "monthly_totals", "yoy_compare", "rolling_12m", "reconcile_sums", "correlated_sum", "latest_per_key", "dominant_class",
