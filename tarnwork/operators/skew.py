@@ -61,6 +61,16 @@ def _bounds(sample: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return chosen.filter("_c > 1").select(*keys, F.array_distinct(F.filter(cuts, lambda c: c.isNotNull())).alias("_bounds"))
 
 
+def position(bounds: Column, coarse: Column, step: Column, here: Column) -> Column:
+    """How many sorted boundaries lie below ``here``. ``coarse`` holds every ``step``-th boundary: searching it first
+    and then one stretch of ``step`` keeps the comparisons per row near the square root of the number of boundaries."""
+    def below(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda b: b < here))
+
+    skipped = below(coarse) * step
+    return skipped + below(F.slice(bounds, skipped + 1, step))
+
+
 def chunk_bounds(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame | None:
     """Chunk boundaries for the hot keys of ``df`` along ``order``; ``None`` when no key is hot.
 
@@ -82,11 +92,13 @@ def chunk_bounds(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 def with_chunks(df: DataFrame, keys: list[str], order: list[str], bounds: DataFrame) -> DataFrame:
     """Add ``_hot`` and ``_chunk``: the number of boundaries below the row; 0 for ordinary keys."""
     here = F.struct(*order)
-    joined = join_null_safe(df, F.broadcast(bounds), keys, "left")
+    step = F.ceil(F.sqrt(F.size("_bounds"))).cast("int")
+    table = bounds.withColumn("_step", step).withColumn("_coarse", F.filter("_bounds", lambda b, i: (i + 1) % F.col("_step") == 0))
+    joined = join_null_safe(df, F.broadcast(table), keys, "left")
     return joined.withColumns({
         "_hot": F.col("_bounds").isNotNull(),
-        "_chunk": F.when(F.col("_bounds").isNull(), 0).otherwise(F.size(F.filter("_bounds", lambda b: b < here))),
-    }).drop("_bounds")
+        "_chunk": F.when(F.col("_bounds").isNull(), 0).otherwise(position(F.col("_bounds"), F.col("_coarse"), F.col("_step"), here)),
+    }).drop("_bounds", "_coarse", "_step")
 
 
 def range_bounds(df: DataFrame, order: list[str]) -> list:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tarnwork.operators.keys import join_null_safe
-from tarnwork.operators.skew import chunk_bounds, hot_keys, range_bounds, shuffle_partitions, with_chunks
+from tarnwork.operators.skew import chunk_bounds, hot_keys, position, range_bounds, shuffle_partitions, with_chunks
 
 QUARANTINE_ALL = "quarantine_all_duplicates"
 RETAIN_ONE = "retain_one_duplicate"
@@ -189,8 +191,10 @@ def dense_number(df: DataFrame, order: list[str], out: str = "id", start: int =
     here = F.struct(*order)
     if cuts:
         kinds = {c: df.schema[c].dataType for c in order}
-        bounds = F.array(*[F.struct(*[F.lit(cut[c]).cast(kinds[c]).alias(c) for c in order]) for cut in cuts])
-        tagged = df.withColumn("_range", F.size(F.filter(bounds, lambda b: b < here)))
+        bounds = [F.struct(*[F.lit(cut[c]).cast(kinds[c]).alias(c) for c in order]) for cut in cuts]
+        step = math.isqrt(len(bounds) - 1) + 1
+        coarse = F.slice(F.array(*bounds), 1, 0) if step > len(bounds) else F.array(*bounds[step - 1::step])
+        tagged = df.withColumn("_range", position(F.array(*bounds), coarse, F.lit(step), here))
     else:
         tagged = df.withColumn("_range", F.lit(0))
     sizes = tagged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))

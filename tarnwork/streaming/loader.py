@@ -7,7 +7,7 @@ reads only what smaller ids left, so a repeat writes the same result.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,8 +100,9 @@ def load_batch(
         publish(merge_upsert(before, batch, keys, [c for c in batch.columns if c not in keys]), path, version=batch_id)
     elif strategy == "scd2":
         before = read_version(spark, path, below=batch_id)
-        when = batch_time(batch_id) if batch_time else datetime.now(timezone.utc).replace(tzinfo=None)
-        publish(scd2_apply(before, batch, keys, tracked or [c for c in batch.columns if c not in keys], when), path, version=batch_id)
+        if batch_time is None:
+            raise ValueError("scd2 needs batch_time: a repeated batch must get the same time")
+        publish(scd2_apply(before, batch, keys, tracked or [c for c in batch.columns if c not in keys], batch_time(batch_id)), path, version=batch_id)
     else:
         raise ValueError(f"unknown load strategy {strategy!r}")
 

@@ -95,9 +95,10 @@ def test_status_hierarchy_paths(spark):
 
 
 def test_status_hierarchy_without_a_root_has_no_path(spark):
-    df = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", None)], "code string, parent string")
+    chain = [(f"d{i}", f"d{i - 1}" if i else None) for i in range(7)]  # deeper than the levels there are
+    df = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", None), ("e", "absent"), *chain], "code string, parent string")
     out = {r["code"]: r["l0_level"] for r in status_hierarchy(df, "code", "parent").collect()}
-    assert out == {"a": None, "b": None, "c": "c"}
+    assert out == {"a": None, "b": None, "c": "c", "e": None, **{f"d{i}": "d0" if i < 5 else None for i in range(7)}}
 
 
 def test_scd2_two_changes(spark):
