@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL: dict[str, str] = {}  # fallback folder of each local application
+
+
 def build_session(app: str = "tarnwork", master: str | None = None, **conf: object) -> SparkSession:
     """A session with adaptive execution, UTC time and Arrow; ``conf`` overrides any default.
 
@@ -40,9 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
         return base
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="tarnwork-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="tarnwork-")
+    return _LOCAL[app]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

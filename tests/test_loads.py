@@ -227,3 +227,21 @@ def test_row_hash_tells_null_from_empty(spark):
 def test_watermark_is_strict_and_keeps_the_previous(spark, old):
     assert rows(extracts.watermark_extract(old, "x", 1.0, ["id"])) == [(2, 2.0)]
     assert extracts.advance_watermark(old.filter("id > 99"), "x", 7.5).first()[0] == 7.5
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    from tarnwork import session
+
+    assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+    class Fake:
+        """A session without the setting, on a cluster or local."""
+
+        def __init__(self, master):
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": f"test-{master}"})()
+            self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Fake("yarn"))
+    local = Fake("local[2]")
+    assert session.shared_dir(local) == session.shared_dir(local)
