@@ -12,6 +12,7 @@ from tarnwork.functions.columns import add_technical_columns, project, validate_
 from tarnwork.operators.merge import merge_metrics, merge_on_hash, sync_columns
 from tarnwork.operators.quality import Rule, apply_rules, quarantine, rules_succeeded
 from tarnwork.operators.windows import RETAIN_ONE, split_duplicates
+from tarnwork.session import cut
 from tarnwork.sources.extracts import advance_watermark
 from tarnwork.sources.writer import publish, read_current
 
@@ -81,7 +82,8 @@ def run_ingest(
         t, s = sync_columns(target, rows)
         table = t.unionByName(s)
     else:
-        table = merge_on_hash(target, rows, keys)
+        # The merge reads its source several times; deduplication and rules should run once.
+        table = merge_on_hash(target, cut(rows, "ingest"), keys)
     return IngestResult(table, duplicates, failed, measured, target, keys)
 
 
