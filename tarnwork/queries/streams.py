@@ -1,4 +1,4 @@
-"""Streaming loads: the events, replayed as files of one week each."""
+"""Streaming loads: the events, replayed week by week."""
 
 from datetime import datetime, timedelta
 
@@ -18,23 +18,18 @@ WEEK_SQL = "CAST(floor(CAST(datediff('day', TIMESTAMP '2024-01-01', date_trunc('
 WEEKS = 5
 
 
-def replay(t, df, ts="ts", fmt="parquet"):
-    """Write ``df`` week by week, oldest first, and open the folder as a stream of one file per batch."""
+def replay(t, df, start, fmt="parquet"):
+    """Append ``df`` to a folder week by week and after each week run the stream that ``start`` opens on it: one
+    micro-batch per week, each continuing from the checkpoint of the one before."""
     path = run_dir(t.spark, "feed")
-    week = F.floor(F.datediff(F.col(ts), F.lit(START.date())) / 7)
+    week = F.floor(F.datediff(F.col("ts"), F.lit(START.date())) / 7)
     for w in range(WEEKS):
         part = df.filter(week == w)
         if fmt == "text":
-            part.select("value").coalesce(1).write.mode("append").text(path)
+            part.select("value").write.mode("append").text(path)
         else:
-            load_append(part.coalesce(1), path)
-    return read_stream(t.spark, path, fmt, "value string" if fmt == "text" else df.schema, max_files=1)
-
-
-def finish(query):
-    query.awaitTermination()
-    if query.exception():
-        raise query.exception()
+            load_append(part, path)
+        start(read_stream(t.spark, path, fmt, "value string" if fmt == "text" else df.schema)).awaitTermination()
 
 
 def last_per(*keys):
@@ -50,7 +45,7 @@ def stream_merge(t):
     """Latest event per user, merged batch by batch; the per-batch steps deduplicate, then add a column."""
     path, checkpoint = run_dir(t.spark, "table"), run_dir(t.spark, "checkpoint")
     steps = loader.compose(last_per("user_id"), lambda df: df.withColumn("note", F.lit("loaded")))
-    finish(loader.stream_load(replay(t, t.events.select(*COLUMNS)), "merge", path, checkpoint, ["user_id"], "availableNow", steps))
+    replay(t, t.events.select(*COLUMNS), lambda s: loader.stream_load(s, "merge", path, checkpoint, ["user_id"], "availableNow", steps))
     return loader.read_version(t.spark, path).select("user_id", "event_id", "event_type", "value", "note")
 
 
@@ -61,7 +56,7 @@ def stream_append_new(t):
     path, checkpoint = run_dir(t.spark, "table"), run_dir(t.spark, "checkpoint")
     week = F.floor(F.datediff("ts", F.lit(START.date())) / 7).cast("int")
     steps = loader.compose(last_per("user_id", "event_type"), lambda df: df.select("user_id", "event_type", week.alias("first_week")))
-    finish(loader.stream_load(replay(t, t.events.select(*COLUMNS)), "append_new", path, checkpoint, ["user_id", "event_type"], "once", steps))
+    replay(t, t.events.select(*COLUMNS), lambda s: loader.stream_load(s, "append_new", path, checkpoint, ["user_id", "event_type"], "once", steps))
     return loader.read_batches(t.spark, path)
 
 
@@ -73,8 +68,8 @@ def stream_scd2(t):
     """Weekly type-two versions of each user's latest event type."""
     path, checkpoint = run_dir(t.spark, "table"), run_dir(t.spark, "checkpoint")
     steps = loader.compose(last_per("user_id"), lambda df: df.select("user_id", "event_type", "value"))
-    finish(loader.stream_load(
-        replay(t, t.events.select(*COLUMNS)), "scd2", path, checkpoint, ["user_id"], "batch", steps, ["event_type"], lambda n: START + timedelta(days=7 * (n + 1))
+    replay(t, t.events.select(*COLUMNS), lambda s: loader.stream_load(
+        s, "scd2", path, checkpoint, ["user_id"], "batch", steps, ["event_type"], lambda n: START + timedelta(days=7 * (n + 1))
     ))
     return loader.read_version(t.spark, path).select("user_id", "event_type", "value", "effective_from", "effective_to", "is_current")
 
@@ -85,7 +80,7 @@ def stream_scd2(t):
 def stream_run_logs(t):
     log, rollup, checkpoint = run_dir(t.spark, "log"), run_dir(t.spark, "rollup"), run_dir(t.spark, "checkpoint")
     timed = messages(t).join(t.events.select("event_id", "ts"), "event_id")
-    finish(loader.stream_run_logs(replay(t, timed, fmt="text"), log, rollup, checkpoint))
+    replay(t, timed, lambda s: loader.stream_run_logs(s, log, rollup, checkpoint), fmt="text")
     out = loader.read_version(t.spark, rollup)
     return out.select("run_id", "zone", F.col("zone_start").cast("timestamp_ntz").alias("zone_start"), F.col("zone_end").cast("timestamp_ntz").alias("zone_end"), "zone_status", "total_size")
 
@@ -96,6 +91,6 @@ def stream_run_logs(t):
 def stream_late_fact(t):
     path, checkpoint = run_dir(t.spark, "facts"), run_dir(t.spark, "checkpoint")
     dim = cut(signup_versions(t), "versions")
-    facts = replay(t, t.events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts", "value"))
-    finish(loader.stream_versioned_facts(facts, dim, path, checkpoint, ["user_id"], "ts", "v_start", "v_end", ["plan"]))
+    facts = t.events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts", "value")
+    replay(t, facts, lambda s: loader.stream_versioned_facts(s, dim, path, checkpoint, ["user_id"], "ts", "v_start", "v_end", ["plan"]))
     return loader.read_batches(t.spark, path)
