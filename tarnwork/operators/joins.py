@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.functions.columns import norm
-from tarnwork.operators.keys import assert_unique, join_null_safe
+from tarnwork.operators.keys import assert_unique, join_null_safe  # noqa: F401 (join_null_safe is offered here too)
 from tarnwork.operators.skew import broadcast_limit, key_profile
 from tarnwork.operators.windows import latest_per_key, running
 
