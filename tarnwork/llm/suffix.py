@@ -28,7 +28,7 @@ from tarnwork.llm.common import parts, settle, ship
 
 LENGTH = 50
 # Text bytes whose suffixes are sorted as one batch, and bytes hashed together.
-BATCH, BLOCK = 24_000_000, 1_000_000
+BATCH, BLOCK = 16_000_000, 1_000_000
 # Distinct ``a`` of one ``g`` in a batch from which its windows are compared without asking the family.
 CROWD = 4
 SEED = 11
@@ -274,14 +274,15 @@ def removed_spans(rows: Columns, length: int) -> list[tuple[int, int]]:
     return list(zip(lo[new].tolist(), end[np.append(new[1:], len(lo)) - 1].tolist(), strict=True))
 
 
-def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH, buckets: int | None = None) -> DataFrame:
+def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) -> DataFrame:
     """Packed spans ``(bucket of the document, kind, blob)`` of all repeated windows of ``length`` bytes."""
     if not 8 <= length <= 256:
         raise ValueError("length must be 8 to 256")
     spark = df.sparkSession
     ship(spark)
     tasks = parts(spark)
-    count = buckets or 4 * tasks
+    # A task gives out one blob at most per bucket: as many buckets of documents as tasks, and two of keys for each.
+    count, keys = tasks, 2 * tasks
     rows = documents(df, id_col, text_col)
 
     def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +298,7 @@ def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH, buc
             mark = take(asked, new)
             mark["at"] = np.full(len(new), 255, np.uint64)
             both = stack([kept, mark, mark | {"a": mark["a"] ^ np.uint64(1)}])
-            out += emit(KEYS, both, SUFFIX, by_key(both, count), count)
+            out += emit(KEYS, both, SUFFIX, by_key(both, keys), keys)
             if out:
                 yield as_batch(out)
 
@@ -360,7 +361,7 @@ def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH, buc
                 kept, found = resolve(low_bytes(array, WINDOW))
                 found |= {"more": np.zeros(len(found["lo"]), np.uint64), "at": np.zeros(len(found["lo"]), np.uint64)}
                 out += emit(SPANS, found, SPAN, by_doc(found, count), count)
-                out += emit(KEYS, kept, WINDOW, by_key(kept, count), count)
+                out += emit(KEYS, kept, WINDOW, by_key(kept, keys), keys)
         return pa.Table.from_batches([as_batch(out)] if out else [], schema=pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())]))
 
     dealt = rows.withColumn("bucket", bucket_of(count)("doc"))
@@ -426,8 +427,8 @@ def without_repeats(df: DataFrame, id_col: str, text_col: str, change: Callable[
     spark = df.sparkSession
     keep = keep or [id_col]
     tasks = parts(spark)
-    count = 4 * tasks
-    spans = matches(df, id_col, text_col, length, count)
+    count = tasks
+    spans = matches(df, id_col, text_col, length)
     fields = [f.name for f in spark.createDataFrame([], schema).schema.fields]
     types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
     arrow = {"bigint": pa.int64(), "string": pa.string(), "int": pa.int32()}
