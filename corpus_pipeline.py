@@ -19,11 +19,8 @@ REPEAT_BYTES = 160
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language: null texts and texts without a letter."""
-    profiles = langid.fit_profiles(docs)
-    named = langid.predict(docs, profiles, ["doc_id"])
-    gone = named.filter(F.col("lang_pred") == langid.UNKNOWN).select(F.col("doc_id").alias("_gone")).distinct()
-    no_letter = F.col("text").isNull() | ~F.col("text").rlike(r"\p{L}")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]) & no_letter, "left_anti")
+    named = langid.predict(docs, langid.fit_profiles(docs), docs.columns)
+    return named.filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

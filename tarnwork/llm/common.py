@@ -9,14 +9,19 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnwork.operators.skew import fits_broadcast
 from tarnwork.session import run_dir
 
 _SHIPPED: set[str] = set()
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that it need not be installed there."""
+    """Send this package to the executors once per application, so that it need not be installed there, and keep Arrow
+    batches small enough for long texts unless the session says otherwise."""
+    if spark.conf.get(BATCH_BYTES) == "67108864b":
+        spark.conf.set(BATCH_BYTES, "8m")
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -74,3 +79,8 @@ def numbered(df: DataFrame, order: list[str], out: str = "rank") -> DataFrame:
 
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def small(df: DataFrame) -> DataFrame:
+    """The frame with a broadcast hint if its measured size allows it; without one it is joined by a shuffle."""
+    return F.broadcast(df) if fits_broadcast(df) else df

@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import settle
-from tarnwork.operators.skew import broadcast_limit, measured_bytes
+from tarnwork.llm.common import settle, small
 
 # Selected positions of each mask, from 0: five words each. The first takes five words running.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 6), (0, 2, 3, 5, 7))
@@ -55,9 +54,6 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item
     item = settle(items.filter(F.col(item_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(item_col).alias("_item"), word_hashes(F.col(text_col)).alias("_iw")).distinct(), "items")
     item_seeds = settle(exploded(item.select("_item", F.col("_iw").alias("_w"), F.size("_iw").alias("_n")), ["_item", "_n"], masks).withColumnRenamed("at", "_iat").distinct(), "seeds")
 
-    def small(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if measured_bytes(df) <= broadcast_limit(df.sparkSession) else df
-
     hits = exploded(doc, ["_doc"], masks).join(small(item_seeds), "seed")
     # One row per alignment, combined before the shuffle.
     found = settle(hits.groupBy("_doc", "_item", (F.col("at") - F.col("_iat")).alias("_shift")).agg(F.max("_n").alias("_n")), "alignments")
@@ -75,8 +71,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found; rows with a null id stay."""
-    found = contaminated(docs, items, id_col, **options).select(F.col(id_col).alias("_found")).distinct()
-    return docs.join(found, docs[id_col] == found["_found"], "left_anti")
+    found = settle(contaminated(docs, items, id_col, **options).select(F.col(id_col).alias("_found")).distinct(), "found")
+    return docs.join(small(found), docs[id_col] == found["_found"], "left_anti")
 
 
 SQL = r"""

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import numpy as np
 
-EMBED, STATE = 12, 16
+EMBED, STATE = 8, 12
 WINDOW = 16  # steps of truncated backpropagation; the state is carried on
-LANES = 256  # documents side by side in training
+LANES = 512  # stretches of text side by side in training
+STRETCH = 256  # tokens of a stretch: in training a long text is learnt in several, each from a fresh state
 RATE = 0.006
 Params = dict[str, np.ndarray]
 
@@ -46,15 +47,17 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Texts:
-    """Token arrays of several documents, longest first; step ``t`` holds the first ``alive(t)`` of them."""
+    """Input numbers of several documents, longest first; step ``t`` holds the first ``alive(t)`` of them. ``outs``: class
+    and place of each input number."""
 
-    def __init__(self, docs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], end_input: int):
-        sizes = np.array([len(d[0]) for d in docs])
+    def __init__(self, docs: list[np.ndarray], end_input: int, outs: tuple[np.ndarray, np.ndarray]):
+        sizes = np.array([len(d) for d in docs])
         self.order = np.argsort(-sizes, kind="stable")
         self.sizes = sizes[self.order]
         docs = [docs[i] for i in self.order]
         self.off = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
-        self.inputs, self.classes, self.places = (np.concatenate([d[k] for d in docs]) for k in range(3))
+        self.inputs = np.concatenate(docs)
+        self.classes, self.places = (table[self.inputs] for table in outs)
         self.end = end_input
         self.longest = int(self.sizes[0])
 
@@ -67,18 +70,20 @@ class Texts:
 
 def outputs(p: Params, h: np.ndarray, cls: np.ndarray, place: np.ndarray, learn: bool):
     """Natural log probabilities of (class, place) at states ``h``; with ``learn`` also the gradients."""
+    # States lie between -1 and 1, so logits stay far below what exp can take: no maximum is subtracted.
     rows = np.arange(len(h))
-    logits = h @ p["wc"] + p["bc"]
-    logits -= logits.max(axis=1, keepdims=True)
-    e = np.exp(logits)
-    total = e.sum(axis=1)
-    ll = logits[rows, cls] - np.log(total)
+    e = h @ p["wc"]
+    e += p["bc"]
+    ll = e[rows, cls]
+    np.exp(e, out=e)
+    total = e @ np.ones(e.shape[1], np.float32)
+    ll -= np.log(total)
     grads = dh = None
     if learn:
-        d = e / total[:, None]
-        d[rows, cls] -= 1
-        grads = {"wc": h.T @ d, "bc": d.sum(axis=0), "wo": np.zeros_like(p["wo"]), "bo": np.zeros_like(p["bo"])}
-        dh = d @ p["wc"].T
+        e /= total[:, None]
+        e[rows, cls] -= 1
+        grads = {"wc": h.T @ e, "bc": e.sum(axis=0), "wo": np.zeros_like(p["wo"]), "bo": np.zeros_like(p["bo"])}
+        dh = e @ p["wc"].T
     head = np.flatnonzero(place >= 0)
     if len(head):
         head = head[np.argsort(cls[head], kind="stable")]
@@ -86,18 +91,19 @@ def outputs(p: Params, h: np.ndarray, cls: np.ndarray, place: np.ndarray, learn:
         for g, lo, hi in zip(groups, at, np.append(at[1:], len(head)), strict=True):
             who = head[lo:hi]
             hh = h[who]
-            lg = hh @ p["wo"][g] + p["bo"][g]
-            lg -= lg.max(axis=1, keepdims=True)
-            e = np.exp(lg)
-            total = e.sum(axis=1)
+            e = hh @ p["wo"][g]
+            e += p["bo"][g]
             k, i = place[who], np.arange(len(who))
-            ll[who] += lg[i, k] - np.log(total)
+            part = e[i, k]
+            np.exp(e, out=e)
+            total = e @ np.ones(e.shape[1], np.float32)
+            ll[who] += part - np.log(total)
             if learn:
-                d = e / total[:, None]
-                d[i, k] -= 1
-                grads["wo"][g] = hh.T @ d
-                grads["bo"][g] = d.sum(axis=0)
-                dh[who] += d @ p["wo"][g].T
+                e /= total[:, None]
+                e[i, k] -= 1
+                grads["wo"][g] = hh.T @ e
+                grads["bo"][g] = e.sum(axis=0)
+                dh[who] += e @ p["wo"][g].T
     return ll, grads, dh
 
 
@@ -182,10 +188,10 @@ class Trainer:
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.v = {k: np.zeros_like(v) for k, v in p.items()}
 
-    def learn(self, docs: list, end_input: int, lanes: int = LANES) -> None:
-        docs = sorted(docs, key=lambda d: len(d[0]))
+    def learn(self, docs: list[np.ndarray], end_input: int, outs: tuple[np.ndarray, np.ndarray], lanes: int = LANES) -> None:
+        docs = sorted((d[lo:lo + STRETCH] for d in docs for lo in range(0, len(d), STRETCH)), key=len)
         for lo in np.random.default_rng(self.steps).permutation(range(0, len(docs), lanes)):
-            texts = Texts(docs[lo:lo + lanes], end_input)
+            texts = Texts(docs[lo:lo + lanes], end_input, outs)
             h = np.zeros((len(texts.sizes), STATE), np.float32)
             for t0 in range(0, texts.longest, WINDOW):
                 table = self.p["emb"] @ self.p["wx"] + self.p["b"]

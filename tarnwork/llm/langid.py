@@ -23,11 +23,9 @@ SYMBOLS = 64  # 0: not a letter, 1 to 26: a to z, above: other letters by their
 # Characters of one text turned into trigrams at a time.
 STEP = 1_000_000
 
-_TABLES: dict[tuple, "Space"] = {}
-
 
 class Space:
-    """Letter vectors and the trigram vectors made from them so far; SYMBOLS^3 at most."""
+    """Letter vectors and the trigram vectors made from them so far; one per task, SYMBOLS^3 vectors at most."""
 
     def __init__(self, dim: int, seed: int):
         rng = np.random.default_rng(seed)
@@ -39,12 +37,6 @@ class Space:
         self.used = 0
         self.symbol = np.full(0x110000, 255, np.uint8)
 
-    @classmethod
-    def of(cls, dim: int, seed: int) -> "Space":
-        if (dim, seed) not in _TABLES:
-            _TABLES[dim, seed] = cls(dim, seed)
-        return _TABLES[dim, seed]
-
     def symbols(self, text: str) -> np.ndarray:
         codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
         got = self.symbol[codes]
@@ -92,7 +84,7 @@ def fit_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space, sums = Space.of(dim, seed), {}
+        space, sums = Space(dim, seed), {}
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 v = space.bundle(text)
@@ -121,7 +113,7 @@ def predict(df: DataFrame, profiles: dict[str, np.ndarray], keep: list[str], tex
     centred = centred / np.maximum(np.linalg.norm(centred, axis=1, keepdims=True), 1e-12) if langs else centred
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space = Space.of(dim, seed)
+        space = Space(dim, seed)
         for batch in batches:
             names, scores = [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():

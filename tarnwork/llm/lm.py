@@ -23,13 +23,12 @@ from tarnwork.llm import gru
 from tarnwork.llm.common import parts, settle, ship, text_or_empty
 
 HEAD, PLACES = 512, 32  # frequent words in classes of so many
-TAILS = 48  # classes of rarer words
+TAILS = 32  # classes of rarer words
 KNOWN = 200_000  # counts that tasks look up at once; those of rarer words are joined
 WARM = 512  # documents of the warm start
 ALPHA = 0.1
 # Distinct words counted before a task hands them on; documents scored side by side.
-FLUSH, SIDE = 400_000, 2048
-_SENT: dict[int, "Words"] = {}
+FLUSH, SIDE = 400_000, 4096
 
 
 def words_of(text: str) -> list[bytes]:
@@ -71,32 +70,56 @@ class Words:
         self.end_class = self.groups
         self.end_input = HEAD
         self.classes = self.groups + 1 + TAILS
-        self.inputs = HEAD + 1 + TAILS
+        self.inputs = HEAD + 1 + TAILS  # words of the head, the end, classes of the tail
         self.log_all = math.log10(total + ALPHA * (distinct + 1))
-        self.memo: dict[bytes, tuple] = {}
+        head_input = np.arange(HEAD)
+        tail = np.arange(TAILS + 1)  # the end first
+        self.outs = (np.concatenate([head_input // PLACES, self.end_class + tail]).astype(np.int64), np.concatenate([head_input % PLACES, np.full(TAILS + 1, -1)]).astype(np.int64))
+        self.forget()
 
-    def look(self, word: bytes) -> tuple[int, int, int, float, float, int]:
-        """(input, class, place, base, constant, known): base and constant without what a joined count adds."""
+    def forget(self) -> None:
+        self.number: dict[bytes, int] = {}  # word seen -> its place in the arrays
+        self.input, self.base, self.constant, self.seen = np.zeros(0, np.int32), np.zeros(0), np.zeros(0), np.zeros(0, np.int8)
+
+    def look(self, word: bytes) -> tuple[int, float, float, int]:
+        """(input, base, constant, known): base and constant without what a joined count adds; known -1: to be joined."""
         c = self.known.get(word)
         part = 0.0 if c is None else math.log10(c + ALPHA)
         i = self.head.get(word)
         if i is not None:
-            return i, i // self.places, i % self.places, part - self.log_all, 0.0, 1
+            return i, part - self.log_all, 0.0, 1
         t = tail_class(word)
-        return HEAD + 1 + t, self.end_class + 1 + t, -1, part - self.log_all, part - math.log10(self.mass[t] + ALPHA), -1 if c is None else 1
-
-    def tokens(self, text: str):
-        """((inputs, classes, places), words, base, constant, known, rare words with their number) of a text."""
-        words, memo = words_of(text), self.memo
-        if len(memo) > 2 * KNOWN:
-            memo.clear()
-        for w in set(words) - memo.keys():
-            memo[w] = self.look(w)
-        got = [memo[w] for w in words]
-        end = (self.end_input, self.end_class, -1, math.log10(self.ends + ALPHA) - self.log_all, 0.0, int(self.ends > 0))
-        a = np.array([*got, end])
-        rare = Counter(w for w, g in zip(words, got, strict=True) if g[5] < 0)
-        return (a[:, 0].astype(np.int32), a[:, 1].astype(np.int32), a[:, 2].astype(np.int32)), len(got) + 1, math.fsum(a[:, 3]), math.fsum(a[:, 4]), int((a[:, 5] > 0).sum()), rare
+        return HEAD + 1 + t, part - self.log_all, part - math.log10(self.mass[t] + ALPHA), -1 if c is None else 1
+
+    def places_of(self, words: list[bytes]) -> np.ndarray:
+        number = self.number
+        new = [w for w in set(words) if w not in number]
+        if new:
+            if len(number) > 2 * KNOWN:
+                self.forget()
+                return self.places_of(words)
+            at, facts = len(number), list(zip(*map(self.look, new), strict=True))
+            number.update(zip(new, range(at, at + len(new)), strict=True))
+            for name, values in zip(("input", "base", "constant", "seen"), facts, strict=True):
+                have = getattr(self, name)
+                if at + len(new) > len(have):
+                    have = np.concatenate([have, np.zeros(len(have) + len(new) + 1000, have.dtype)])
+                    setattr(self, name, have)
+                have[at:at + len(new)] = values
+        return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+
+    def inputs_of(self, text: str) -> np.ndarray:
+        at = self.places_of(words_of(text))  # may replace the arrays
+        return np.append(self.input[at], np.int32(self.end_input))
+
+    def facts(self, text: str) -> tuple[np.ndarray, float, float, int, Counter]:
+        """(input numbers, base, constant, known, rare words with their number) of a text and its end."""
+        words = words_of(text)
+        at = self.places_of(words)
+        seen = self.seen[at]
+        rare = Counter(words[i] for i in np.flatnonzero(seen < 0).tolist())
+        end = math.log10(self.ends + ALPHA) - self.log_all
+        return np.append(self.input[at], np.int32(self.end_input)), float(self.base[at].sum()) + end, float(self.constant[at].sum()), int((seen > 0).sum()) + (self.ends > 0), rare
 
 
 def train_model(train: DataFrame, sent, shape: gru.Params) -> gru.Params:
@@ -108,9 +131,9 @@ def train_model(train: DataFrame, sent, shape: gru.Params) -> gru.Params:
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for lo in range(0, len(texts), SIDE):
-                docs = [words.tokens(t)[0] for t in texts[lo:lo + SIDE]]
+                docs = [words.inputs_of(t) for t in texts[lo:lo + SIDE]]
                 for _ in range(rounds):
-                    trainer.learn(docs, words.end_input, lanes)
+                    trainer.learn(docs, words.end_input, words.outs, lanes)
         if trainer.seen:
             flat = gru.pack_params(trainer.p).astype(np.float64) * trainer.seen
             yield pa.RecordBatch.from_pydict({"flat": pa.array([flat.tobytes()], pa.binary()), "seen": pa.array([trainer.seen], pa.int64()), "log": pa.array([trainer.log], pa.float64())})
@@ -177,14 +200,14 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for batch in batches:
             texts = batch.column(3).to_pylist()
             for lo in range(0, len(texts), SIDE):
-                got = [words.tokens(t) for t in texts[lo:lo + SIDE]]
-                ll = gru.score(p, gru.Texts([g[0] for g in got], words.end_input)) / math.log(10)
+                got = [words.facts(t) for t in texts[lo:lo + SIDE]]
+                ll = gru.score(p, gru.Texts([g[0] for g in got], words.end_input, words.outs)) / math.log(10)
                 n, part = len(got), batch.slice(lo, len(got))
                 yield pa.RecordBatch.from_arrays([
-                    *part.columns[:3], pa.array([g[1] for g in got], pa.int64()), pa.array([g[4] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.float64()),
-                    pa.array([s + g[3] for s, g in zip(ll.tolist(), got, strict=True)], pa.float64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
+                    *part.columns[:3], pa.array([len(g[0]) for g in got], pa.int64()), pa.array([g[3] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.float64()),
+                    pa.array([s + g[2] for s, g in zip(ll.tolist(), got, strict=True)], pa.float64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
                 ], names=names)
-                rare = [(i, w, c) for i, g in enumerate(got) for w, c in g[5].items()]
+                rare = [(i, w, c) for i, g in enumerate(got) for w, c in g[4].items()]
                 if rare:
                     i, w, c = zip(*rare, strict=True)
                     m = len(i)

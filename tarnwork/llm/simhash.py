@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import parts, settle, ship, text_or_empty
+from tarnwork.llm.common import parts, settle, ship, small, text_or_empty
 from tarnwork.llm.components import components
 
 THRESHOLD = 2
@@ -308,8 +308,8 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     known = settle(classes.select("node", "_first").join(member, "node", "left").withColumn("_root", F.coalesce("root", "node")), "members")
     first = known.groupBy("_root").agg(F.min("_first").alias("_low"))
     low = known.select("node", "_root").join(first, "_root").select("node", "_low")
-    gone = prints.join(low, "node").filter(F.col(id_col) != F.col("_low")).select(F.col(id_col).alias("_gone")).distinct()
-    return df.join(gone, df[id_col] == gone["_gone"], "left_anti")
+    gone = settle(prints.join(low, "node").filter(F.col(id_col) != F.col("_low")).select(F.col(id_col).alias("_gone")).distinct(), "gone")
+    return df.join(small(gone), df[id_col] == gone["_gone"], "left_anti")
 
 
 def fingerprints_of(text: str, width: int) -> tuple[int, int]:

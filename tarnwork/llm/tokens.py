@@ -120,9 +120,9 @@ class Vocabulary:
             else:
                 first, *rest = t.replace("\n", " \n").split(" ")
                 cut.append(([first] if first else (), rest))
-        new = list(set(chain.from_iterable(a for a, _ in cut)) - plain.keys())
+        new = [r for r in set(chain.from_iterable(a for a, _ in cut)) if r not in plain]
         plain.update(zip(new, learn(new), strict=True))
-        new = list(set(chain.from_iterable(b for _, b in cut)) - spaced.keys())
+        new = [r for r in set(chain.from_iterable(b for _, b in cut)) if r not in spaced]
         spaced.update(zip(new, learn([r if r[:1] == "\n" else " " + r for r in new]), strict=True))
         for a, b in cut:
             yield chain(map(plain.__getitem__, a), map(spaced.__getitem__, b))
