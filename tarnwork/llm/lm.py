@@ -60,6 +60,23 @@ def count_words(train: DataFrame, tails: int = TAILS) -> DataFrame:
     return train.select("_t").mapInArrow(run, "word binary, cls int, n bigint").groupBy("word", "cls").agg(F.sum("n").alias("c"))
 
 
+def frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """The most frequent words, in order: all from some count on, as many as fit ``most``. The count is found from the
+    number of words per eighth of an octave, so no task sends more than it has of them."""
+    step = F.floor(F.log2("c") * 8).alias("s")
+    sizes = counts.groupBy(step).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c")).collect()
+    least, held = None, 0
+    for r in sorted(sizes, key=lambda r: -r["s"]):
+        held += r["n"]
+        if held > most:
+            break
+        least = r["c"]
+    if least is None:
+        return {}
+    rows = counts.filter(F.col("c") >= least).select("word", "c").collect()
+    return dict(sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0])))
+
+
 class Words:
     """What tasks need to turn words into tokens of the model."""
 
@@ -178,7 +195,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     ends = train.count()
     total, distinct = sums[0] + ends, sums[1] + (ends > 0)
-    known = {bytes(r["word"]): r["c"] for r in counts.orderBy(F.col("c").desc(), "word").limit(KNOWN).select("word", "c").collect()}
+    known = frequent(counts, KNOWN)
     head = list(known)[:HEAD]
     mass = [0.0] * TAILS
     for r in counts.groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect():
