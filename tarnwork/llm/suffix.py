@@ -152,6 +152,8 @@ def block_suffixes(texts: list[bytes], docs: list[int], tags: list[int], length:
 
 def resolve(rows: Columns) -> tuple[Columns, Columns]:
     """Rows sorted by key and document, parted into those of each key's smallest document and all others."""
+    if not len(rows["g"]):
+        return rows, rows
     order = np.lexsort((rows["doc"].view(np.int64), rows["a"], rows["g"]))
     rows = take(rows, order)
     new = np.append(True, (rows["g"][1:] != rows["g"][:-1]) | (rows["a"][1:] != rows["a"][:-1]))
