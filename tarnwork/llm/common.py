@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -84,3 +85,13 @@ def text_or_empty(name: str) -> Column:
 def small(df: DataFrame) -> DataFrame:
     """The frame with a broadcast hint if its measured size allows it; without one it is joined by a shuffle."""
     return F.broadcast(df) if fits_broadcast(df) else df
+
+
+def release() -> None:
+    """In a task: hand memory that earlier tasks of this worker have freed back to the machine."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -21,14 +21,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import parts, settle, ship
+from tarnwork.llm.common import parts, release, settle, ship
 
 LENGTH = 50
 # Text bytes whose suffixes are sorted as one batch, and bytes hashed together.
-BATCH, BLOCK = 8_000_000, 1_000_000
+BATCH, BLOCK = 4_000_000, 1_000_000
 # Distinct ``a`` of one ``g`` in a batch from which its windows are compared without asking the family.
 CROWD = 4
 SEED = 11
@@ -227,7 +227,13 @@ def by_key(rows: Columns, count: int) -> np.ndarray:
 
 
 def by_doc(rows: Columns, count: int) -> np.ndarray:
-    return (mixed(rows["doc"] ^ np.uint64(0x5A5A)) % np.uint64(count)).astype(np.int64)
+    doc = rows["doc"].view(np.int64)
+    return (doc ^ doc >> 7 ^ doc >> 19) % count
+
+
+def bucket_of(doc: str, count: int) -> Column:
+    """``by_doc`` as a column."""
+    return F.expr(f"cast(pmod({doc} ^ shiftright({doc}, 7) ^ shiftright({doc}, 19), {count}L) as int)")
 
 
 def low_bytes(rows: Columns, layout) -> Columns:
@@ -288,6 +294,7 @@ def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) ->
     rows = documents(df, id_col, text_col)
 
     def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         source = batched(blocks(batches), lambda t, d, g: block_suffixes(t, d, g, length), BATCH)
         for array in source:
             kept, found = resolve(low_bytes(array, SUFFIX))
@@ -333,6 +340,7 @@ def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) ->
                 yield from emit(ASKED, asked, SPAN, by_doc(asked, count), count)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release()
             held: dict[int, list[bytes]] = {}
             for batch in batches:
                 passed = []
@@ -355,6 +363,7 @@ def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) ->
 
     def ask(key, left: pa.Table, right: pa.Table) -> pa.Table:
         """Windows asked for, of one bucket of documents."""
+        release()
         wanted = asked_by_doc(right.column("blob").to_pylist())
         out: list[tuple[int, int, bytes]] = []
         if wanted and left.num_rows:
@@ -366,22 +375,12 @@ def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) ->
                 out += emit(KEYS, kept, WINDOW, by_key(kept, keys), keys)
         return pa.Table.from_batches([as_batch(out)] if out else [], schema=pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())]))
 
-    dealt = rows.withColumn("bucket", bucket_of(count)("doc"))
+    dealt = rows.withColumn("bucket", bucket_of("doc", count))
     windows = dealt.groupBy("bucket").cogroup(first.filter(F.col("kind") == ASKED).groupBy("bucket")).applyInArrow(ask, BLOBS)
     second = settle(windows.repartition(tasks, "bucket").mapInArrow(family(WINDOW, True), BLOBS), "windows")
     return first.filter(F.col("kind") == SPANS).unionByName(second.filter(F.col("kind") == SPANS))
 
 
-def bucket_of(count: int):
-    @F.pandas_udf("int")
-    def bucket(doc):
-        import pandas as pd
-
-        return pd.Series(by_doc({"doc": doc.to_numpy(np.int64).view(np.uint64)}, count).astype(np.int32))
-
-    return bucket
-
-
 def documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows that can match: with an id and a text, and a tag that tells texts of one id apart."""
     rows = df.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
@@ -439,9 +438,10 @@ def without_repeats(df: DataFrame, id_col: str, text_col: str, change: Callable[
     rows = df.select(
         *[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], F.col(id_col).cast("long").alias("_doc"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"),
         F.pmod(F.xxhash64(text_col), F.lit(65_521)).cast("int").alias("_tag"),
-    ).withColumn("bucket", bucket_of(count)(F.coalesce("_doc", F.xxhash64("_t"))))
+    ).withColumn("_place", F.coalesce("_doc", F.xxhash64("_t"))).withColumn("bucket", bucket_of("_place", count)).drop("_place")
 
     def finish(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         found = asked_by_doc(right.column("blob").to_pylist())
         made = []
         for doc, text, tag in zip(*(left.column(c).to_pylist() for c in ("_doc", "_t", "_tag")), strict=True):

@@ -12,10 +12,10 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Iterator
 from itertools import chain
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from tarnwork.llm.common import ship, text_or_empty
 
 VOCABULARY = "byte_bpe_50k.json"
 # Runs of text remembered by one worker: about 100 bytes each.
-REMEMBER = 400_000
+REMEMBER = 600_000
 # Texts handled together: bounds what a worker holds besides one Arrow batch.
 SLICE_CHARS = 4_000_000
 # White space as the pre-token pattern of the vocabulary sees it.
@@ -59,6 +59,7 @@ class Vocabulary:
         self._whole: frozenset[str] | None = None
         self.counts: tuple[dict, dict] = ({}, {})
         self.ids: tuple[dict, dict] = ({}, {})
+        self.pre: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str | None) -> "Vocabulary":
@@ -105,7 +106,20 @@ class Vocabulary:
         return out
 
     def id_runs(self, runs: list[str]) -> list[bytes]:
-        return [np.asarray(ids, "<u4").tobytes() for ids in self._encode(runs)]
+        """Ids of each run: of whole tokens from the vocabulary, through the merges for pre-tokens not met before."""
+        if len(self.pre) > REMEMBER:
+            self.pre.clear()
+        if not self.pre:
+            self.pre.update(zip(w := sorted(self.whole), self._bytes(self._encode(w)), strict=True))
+        pre = self.pre
+        split = [[run] if "|" in run and any(s in run for s in self.special) else self.pattern.findall(run) for run in runs]
+        new = list({p for s in split for p in s if p not in pre})
+        pre.update(zip(new, self._bytes(self._encode(new)), strict=True))
+        return [pre[s[0]] if len(s) == 1 else b"".join([pre[p] for p in s]) for s in split]
+
+    @staticmethod
+    def _bytes(codes: list[list[int]]) -> list[bytes]:
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in codes]
 
     def per_text(self, texts: list[str], memo: tuple[dict, dict], learn) -> Iterator[map]:
         """For each text the remembered values of its runs. ``memo``: of runs as they stand, of runs behind one space."""
