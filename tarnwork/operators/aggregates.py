@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.functions.columns import total_of
+from tarnwork.operators.keys import join_null_safe
 from tarnwork.operators.windows import latest_per_key
 
 
@@ -55,7 +56,7 @@ def customer_360(df: DataFrame, keys: list[str], id_col: str, measures: dict[str
         F.array_join(F.array_sort(F.collect_list(category)), ", ").alias("categories"),
         F.count(category).alias("category_count"),
     )
-    return sums.join(lists, keys)
+    return join_null_safe(sums, lists, keys)
 
 
 def cross_sell(c360: DataFrame, segment_col: str, segment: str) -> DataFrame:

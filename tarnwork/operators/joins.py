@@ -126,6 +126,8 @@ def asof_latest(
 ) -> DataFrame:
     """Each left row with ``values`` of the latest right row of its key at or before ``left_ts`` (null if none).
 
+    Right rows without a key or a time match nothing, and left rows without one find nothing.
+
     Both sides are stacked and one running ``last`` does the match, so no pair of rows is ever formed. ``tie`` is a
     right column that decides between right rows of equal time.
     """
@@ -134,7 +136,8 @@ def asof_latest(
     payload = F.struct(*left.columns)
     value = F.struct(*values)
     a = left.select(*keys, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"), F.lit(None).cast(tie_type).alias("_tie"), payload.alias("_row"))
-    b = right.select(
+    known = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in [*keys, right_ts]])
+    b = right.filter(known).select(
         *keys, F.col(right_ts).cast(ts_type).alias("_ts"), F.lit(0).alias("_side"),
         (F.col(tie) if tie else F.lit(None).cast("int")).alias("_tie"), value.alias("_val"),
     )

@@ -144,9 +144,11 @@ def overwrite_by_key(target: DataFrame, source: DataFrame, keys: list[str]) -> D
 
 
 def capture_deletes(target: DataFrame, snapshot: DataFrame, keys: list[str], flag: str = "is_deleted") -> DataFrame:
-    """Flag target rows whose key is missing from a full snapshot: the snapshot's distinct keys decide."""
+    """Flag target rows whose key is missing from a full snapshot: the snapshot's distinct keys decide. Null keys match
+    null keys; a flag from an earlier run is replaced."""
     seen = snapshot.select(*keys).distinct().withColumn("_seen", F.lit(True))
-    return target.join(seen, keys, "left").select(*target.columns, F.col("_seen").isNull().cast("int").alias(flag))
+    kept = [c for c in target.columns if c != flag]
+    return join_null_safe(target, seen, keys, "left").select(*kept, F.col("_seen").isNull().cast("int").alias(flag))
 
 
 def ensure_unknown_member(dim: DataFrame, key: str, defaults: dict[str, object] | None = None, value: int = -1) -> DataFrame:

@@ -170,8 +170,8 @@ def json_struct_out(t):
 
 
 @query("merge_partitions", """
-    SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'
-      AND NOT (o_orderdate >= TIMESTAMP '1999-06-01' AND o_orderstatus = 'F')
+    SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders
+    WHERE NOT (o_orderdate >= TIMESTAMP '1999-06-01' AND o_orderstatus = 'F')
     UNION ALL SELECT o_orderkey, o_totalprice + 1, CAST(year(o_orderdate) AS INTEGER) FROM orders
     WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1999-06-01'""")
 def merge_partitions(t):
@@ -179,7 +179,7 @@ def merge_partitions(t):
     path, stage = run_dir(t.spark, "years"), run_dir(t.spark, "stage")
     rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate", F.year("o_orderdate").alias("o_year"))
     kept = ["o_orderkey", "o_totalprice", "o_year"]
-    writer.load_append(rows.filter(F.col("o_orderdate") < F.lit(date(2000, 1, 1))).select(*kept), path, ["o_year"])
+    writer.load_append(rows.select(*kept), path, ["o_year"])
     news = rows.filter("o_orderstatus = 'F'").filter(F.col("o_orderdate") >= F.lit(date(1999, 6, 1)))
     writer.merge_partitions(
         t.spark, path, news.withColumn("o_totalprice", F.col("o_totalprice") + 1).select(*kept), ["o_orderkey", "o_year"], ["o_year"], stage

@@ -1,4 +1,4 @@
-"""Streaming loads: the events, replayed week by week."""
+"""Streaming loads: all events, replayed in slices of their time."""
 
 from datetime import datetime, timedelta
 
@@ -15,16 +15,19 @@ from tarnwork.streaming import loader
 
 START = datetime(2024, 1, 1)
 WEEK_SQL = "CAST(floor(CAST(datediff('day', TIMESTAMP '2024-01-01', date_trunc('day', ts)) AS DOUBLE) / 7) AS INTEGER)"
-WEEKS = 5
+SLICES = 5
 
 
 def replay(t, df, start, fmt="parquet"):
-    """Append ``df`` to a folder week by week and after each week run the stream that ``start`` opens on it: one
-    micro-batch per week, each continuing from the checkpoint of the one before."""
+    """Append ``df`` to a folder slice by slice and after each one run the stream that ``start`` opens on it: one
+    micro-batch per slice, each continuing from the checkpoint of the one before. The slices are equal stretches of the
+    weeks between the lowest and the highest in the data; rows without a time are in the first."""
     path = run_dir(t.spark, "feed")
     week = F.floor(F.datediff(F.col("ts"), F.lit(START.date())) / 7)
-    for w in range(WEEKS):
-        part = df.filter(week == w)
+    span = df.agg(F.coalesce(F.min(week), F.lit(0)).alias("lo"), F.coalesce(F.max(week), F.lit(0)).alias("hi")).first()
+    piece = F.coalesce(F.floor((week - span["lo"]) * SLICES / (span["hi"] - span["lo"] + 1)), F.lit(0))
+    for w in range(SLICES):
+        part = df.filter(piece == w)
         if fmt == "text":
             part.select("value").write.mode("append").text(path)
         else:
