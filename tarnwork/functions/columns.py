@@ -47,9 +47,14 @@ def with_norm_keys(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def row_hash(df: DataFrame, cols: list[str] | None = None) -> Column:
-    """SHA-256 over the '|'-joined text of the sorted columns; by default all but the technical ones."""
+    """SHA-256 over the '|'-joined values of the sorted columns; by default all but the technical ones.
+
+    Every value is preceded by its length, so no other row has the same text and a value like the null mark is not null.
+    """
     chosen = sorted(cols if cols is not None else [c for c in df.columns if not c.startswith(TECHNICAL_PREFIX)])
-    return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in chosen]), 256)
+    texts = [F.col(c).cast("string") for c in chosen]
+    marked = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_MARK)) for t in texts]
+    return F.sha2(F.concat_ws("|", *marked), 256)
 
 
 def add_technical_columns(
@@ -198,7 +203,12 @@ def money_sum(col: str | Column) -> Column:
 
 
 def total_of(df: DataFrame, col: str, scale: int = 2) -> Column:
-    """Exact sum of a column of any number type."""
-    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
-        return exact_sum(col, scale)
-    return F.sum(F.col(col).cast(f"decimal(18,{scale})"))
+    """Exact sum of a column of any number type. Decimals keep their own scale; doubles are amounts of ``scale`` places,
+    and one that has more fails the query instead of being rounded."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        raw = F.col(col) * F.lit(10.0**scale)
+        off = F.abs(raw - F.rint(raw)) > F.greatest(F.lit(1e-4), F.abs(raw) * F.lit(1e-12))
+        fail = F.raise_error(F.concat(F.lit(f"{col} has more than {scale} places: "), F.col(col).cast("string"))).cast("double")
+        return exact_sum(F.when(off, fail).otherwise(F.col(col)), scale)
+    return F.sum(F.col(col) if isinstance(kind, T.DecimalType) else F.col(col).cast("decimal(19,0)"))

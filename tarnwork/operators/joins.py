@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnwork.functions.columns import norm
@@ -151,17 +151,20 @@ def scd2_join(
 ) -> DataFrame:
     """Each fact with the version of its key valid at ``ts`` (``start <= ts <= end``); null columns when there is none.
 
-    ``fallback="latest"`` gives facts without a valid version the key's latest one. Versions of a key must not overlap.
+    ``fallback="latest"`` gives facts without a valid version the key's latest one. Where versions overlap, the one that
+    starts last counts, and of those that start together the one with the largest end, then values. Null keys and times
+    match nothing.
     A dimension measured small, with few versions per key, is broadcast and range-tested, so the facts do not move;
-    any other goes through the single-sort as-of form.
+    any other goes through the single-sort as-of form. Both give the same rows.
     """
-    slim = dim.select(*keys, start, end, *values)
+    slim = dim.groupBy(*keys, start).agg(F.max(F.struct(end, *values)).alias("_v")).select(*keys, start, f"_v.{end}", *[f"_v.{v}" for v in values])
     most, size = key_profile(slim, keys)
     if most <= FEW_VERSIONS and size <= broadcast_limit(facts.sparkSession):
-        d = F.broadcast(slim.select(*[F.col(k).alias(f"_d_{k}") for k in keys], start, end, *values))
-        on = [facts[k] == d[f"_d_{k}"] for k in keys] + [facts[ts].between(d[start], d[end])]
+        following = F.lead(start).over(Window.partitionBy(*keys).orderBy(F.col(start).asc_nulls_first()))
+        d = F.broadcast(slim.select(*[F.col(k).alias(f"_d_{k}") for k in keys], F.col(start).alias("_from"), F.col(end).alias("_to"), following.alias("_next"), *values))
+        on = [facts[k] == d[f"_d_{k}"] for k in keys] + [facts[ts].between(d["_from"], d["_to"]), d["_next"].isNull() | (facts[ts] < d["_next"])]
         hit = facts.join(d, reduce(lambda a, b: a & b, on), "left")
-        joined = hit.withColumn("_hit", F.col(start).isNotNull()).drop(start, end, *[f"_d_{k}" for k in keys])
+        joined = hit.withColumn("_hit", F.col("_from").isNotNull()).drop("_from", "_to", "_next", *[f"_d_{k}" for k in keys])
     else:
         hit = asof_latest(facts, slim.withColumn("_start", F.col(start)), keys, ts, start, ["_start", end, *values])
         valid = F.col("_start").isNotNull() & (F.col(ts) <= F.col(end))

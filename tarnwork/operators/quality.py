@@ -53,8 +53,32 @@ class Rule:
     meta: dict = field(default_factory=dict)
 
 
+RULE_KWARGS = {
+    "expect_column_values_to_not_be_null": {"column"},
+    "expect_column_values_to_be_in_set": {"column", "value_set"},
+    "expect_column_values_to_be_between": {"column", "min_value", "max_value"},
+    "expect_column_values_to_match_regex": {"column", "regex"},
+    "expect_column_value_lengths_to_be_between": {"column", "min_value", "max_value"},
+    "expect_column_values_to_be_unique": {"column"},
+    "expect_compound_columns_to_be_unique": {"column_list"},
+    "expect_table_row_count_to_be_between": {"min_value", "max_value"},
+}
+
+
+def check_rule(rule: Rule) -> None:
+    """Refuse an unknown rule type and options the rule would not follow. Row rules also take ``mostly``."""
+    if rule.type not in RULE_KWARGS:
+        raise ValueError(f"unknown rule type {rule.type!r}")
+    known = RULE_KWARGS[rule.type] | (set() if rule.type in TABLE_RULES else {"mostly"})
+    if unknown := sorted(set(rule.kwargs) - known):
+        raise ValueError(f"rule {rule.name!r} has unknown options {unknown}")
+    if not 0 <= rule.kwargs.get("mostly", 1) <= 1:
+        raise ValueError(f"rule {rule.name!r}: mostly lies outside 0 to 1")
+
+
 def row_condition(rule: Rule) -> Column:
     """Pass condition of a row rule. Null values pass every rule but not-null."""
+    check_rule(rule)
     k = rule.kwargs
     c = F.col(k["column"])
     if rule.type == "expect_column_values_to_not_be_null":
@@ -90,6 +114,7 @@ def with_rule_flags(df: DataFrame, rules: list[Rule]) -> DataFrame:
     repeated keys only, found by a combined count."""
     out = df
     for rule in rules:
+        check_rule(rule)
         if rule.type in UNIQUE_RULES:
             cols = rule.kwargs.get("column_list") or [rule.kwargs["column"]]
             known = df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
@@ -104,7 +129,8 @@ def apply_rules(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame,
     """(clean, failed, metrics).
 
     ``clean`` has the input's columns; ``failed`` adds ``failed_rules`` (comma-separated); ``metrics`` has one row per
-    rule: evaluated, failed, success. All row rules share one pass.
+    rule: evaluated, failed, success. All row rules share one pass. A rule with ``mostly`` succeeds when at least that
+    share of the rows passes; the rows that fail it are failed rows all the same.
     """
     flagged = with_rule_flags(df, rules)
     names = [r.name for r in rules if r.type not in TABLE_RULES]
@@ -123,9 +149,10 @@ def apply_rules(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame,
             bad = (~_between(F.col("_rows"), r.kwargs.get("min_value"), r.kwargs.get("max_value"))).cast("long")
         else:
             bad = F.col(f"_f_{r.name}")
+        good = (bad == 0) if r.type in TABLE_RULES else (F.col("_rows") - bad >= F.col("_rows") * F.lit(float(r.kwargs.get("mostly", 1))))
         entries.append(F.struct(
             F.lit(r.name).alias("rule_name"), F.lit(r.type).alias("rule_type"), F.col("_rows").alias("evaluated_rows"),
-            bad.alias("failed_rows"), (bad == 0).alias("success"),
+            bad.alias("failed_rows"), good.alias("success"),
         ))
     metrics = sums.select(F.explode(F.array(*entries)).alias("m")).select("m.*")
     return clean, failed, metrics
@@ -139,23 +166,15 @@ def drop_rule_flags(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("dq_")])
 
 
-CONSTRAINT_SCHEMA = "type string, kwargs map<string,string>, meta map<string,string>"
-
-
 def check_constraint(df: DataFrame, col: str, out: str = "is_valid") -> DataFrame:
     """1 when the text is a JSON object with a text ``type`` and an object ``kwargs``; ``meta`` may be absent or an
-    object."""
+    object, not null. The kinds are those of the top-level fields; a document that names a field twice is not valid."""
+    parsed = F.try_parse_json(F.col(col))
+
     def kind(path: str) -> Column:
-        raw = F.trim(F.get_json_object(F.col(col), path))
-        return F.substring(raw, 1, 1)
-
-    # A number or boolean also comes back as text, so the raw document decides that type is quoted.
-    quoted = F.col(col).rlike(r'"type"\s*:\s*"[^"]')
-    parsed = F.from_json(F.col(col), CONSTRAINT_SCHEMA, {"mode": "PERMISSIVE"})
-    ok = (
-        F.col(col).isNotNull() & parsed["type"].isNotNull() & quoted & (kind("$.kwargs") == "{")
-        & F.coalesce(kind("$.meta") == "{", F.lit(True))
-    )
+        return F.schema_of_variant(F.try_variant_get(parsed, path, "variant"))
+
+    ok = (kind("$.type") == "STRING") & kind("$.kwargs").startswith("OBJECT") & F.coalesce(kind("$.meta").startswith("OBJECT"), F.lit(True))
     return df.withColumn(out, F.coalesce(ok, F.lit(False)).cast("int"))
 
 

@@ -110,7 +110,11 @@ def dim_lifecycle(tables: dict[str, DataFrame]) -> DataFrame:
     b = policies
     for side in (paid, gov, auto, chased, next_policies(tables, policies)):
         b = b.join(side, "code_n", "left")
-    b = b.join(priors, "prior_n", "left").join(tagged_priors(tables), "prior_n", "left").join(here, "s7", "left").join(there, "next_stat7", "left")
+    # One join for all that is known of the prior policy. New business has none: those rows get a key of their own, which
+    # matches nothing and spreads them.
+    priors = priors.join(tagged_priors(tables), "prior_n", "left").withColumnRenamed("prior_n", "prior_key")
+    b = b.withColumn("prior_key", F.coalesce("prior_n", F.concat(F.lit("\u0000"), "code_n"))).join(priors, "prior_key", "left")
+    b = b.join(here, "s7", "left").join(there, "next_stat7", "left")
 
     text, offer = F.lower(F.trim("stat7_text")), low("offerren")
     issued, canceled = low("stat2") == "i", F.coalesce(low("stat5"), F.lit("")) == "c"

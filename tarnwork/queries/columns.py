@@ -31,11 +31,16 @@ def technical_columns(t):
     return out.withColumn("hash_length", F.length("dl_rowhash")).drop("dl_file", "dl_sourcefilepath", "dl_rowhash")
 
 
-@query("row_hash", """
-    SELECT n_nationkey AS id, sha256(concat_ws('|', n_name, CAST(n_nationkey AS VARCHAR), CAST(n_regionkey AS VARCHAR))) AS dl_rowhash FROM nation
-    UNION ALL SELECT r_regionkey + 1000, sha256(concat_ws('|', r_name, CAST(r_regionkey AS VARCHAR))) FROM region
-    UNION ALL SELECT o_orderkey + 10000, sha256(concat_ws('|', CAST(o_custkey AS VARCHAR), CAST(o_orderkey AS VARCHAR), COALESCE(nullif(o_orderstatus, 'P'), '~')))
-              FROM orders""")
+def hashed(*cols):
+    """SQL of the row hash over columns given in the order of their names."""
+    texts = [f"CAST({c} AS VARCHAR)" for c in cols]
+    return f"sha256(concat_ws('|', {', '.join(f"COALESCE(length({x}) || ':' || {x}, '~')" for x in texts)}))"
+
+
+@query("row_hash", f"""
+    SELECT n_nationkey AS id, {hashed('n_name', 'n_nationkey', 'n_regionkey')} AS dl_rowhash FROM nation
+    UNION ALL SELECT r_regionkey + 1000, {hashed('r_name', 'r_regionkey')} FROM region
+    UNION ALL SELECT o_orderkey + 10000, {hashed('o_custkey', 'o_orderkey', "nullif(o_orderstatus, 'P')")} FROM orders""")
 def row_hash(t):
     n = t.nation.select(F.col("n_nationkey").cast("long").alias("id"), c.row_hash(t.nation).alias("dl_rowhash"))
     r = t.region.select((F.col("r_regionkey") + 1000).cast("long").alias("id"), c.row_hash(t.region).alias("dl_rowhash"))
