@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import ship, text_or_empty
+from tarnwork.llm.common import release, ship
 
 DIM = 512
 SEED = 20_251
@@ -22,6 +22,8 @@ UNKNOWN = "und"
 SYMBOLS = 64  # 0: not a letter, 1 to 26: a to z, above: other letters by their code
 # Characters of one text turned into trigrams at a time.
 STEP = 1_000_000
+# Trigram vectors added up at a time.
+BLOCK = 2048
 
 
 class Space:
@@ -33,7 +35,7 @@ class Space:
         self.shifted = [np.roll(letters, k, axis=1) for k in (2, 1, 0)]
         self.dim = dim
         self.row = np.full(SYMBOLS ** 3, -1, np.int32)
-        self.vectors = np.empty((1024, dim), np.float32)
+        self.vectors = np.empty((1024, dim), np.int8)
         self.used = 0
         self.symbol = np.full(0x110000, 255, np.uint8)
 
@@ -71,7 +73,9 @@ class Space:
             grams, n = np.unique(grams[grams > 0], return_counts=True)
             if len(grams):
                 at = self.rows(grams)  # may make room for new vectors
-                total += np.sqrt(n).astype(np.float32) @ self.vectors[at]
+                weight = np.sqrt(n).astype(np.float32)
+                for k in range(0, len(at), BLOCK):
+                    total += weight[k:k + BLOCK] @ self.vectors[at[k:k + BLOCK]].astype(np.float32)
         if not seen:
             return None
         size = np.linalg.norm(total)
@@ -86,6 +90,7 @@ def fit_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space, sums = Space(dim, seed), {}
         for batch in batches:
+            release()
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 v = space.bundle(text)
                 if v is not None:
@@ -115,9 +120,10 @@ def predict(df: DataFrame, profiles: dict[str, np.ndarray], keep: list[str], tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = Space(dim, seed)
         for batch in batches:
+            release()
             names, scores = [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                v = space.bundle(text) if langs else None
+            for text in batch.column(batch.schema.get_field_index(given)).to_pylist():
+                v = space.bundle(text) if langs and text else None
                 if v is None:
                     names.append(UNKNOWN)
                     scores.append(0.0)
@@ -126,7 +132,9 @@ def predict(df: DataFrame, profiles: dict[str, np.ndarray], keep: list[str], tex
                 best = int(np.argmax(cosines))
                 names.append(langs[best])
                 scores.append(float(min(1.0, max(0.0, (1 + cosines[best]) / 2))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
 
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.select(*keep, text_or_empty(text_col).alias("_text_in")).mapInArrow(run, f"{schema}, lang_pred string, score double")
+    # A text that is kept is not handed over twice.
+    given = text_col if text_col in keep else "_text_in"
+    return df.select(*keep, *([] if text_col in keep else [F.col(text_col).alias(given)])).mapInArrow(run, f"{schema}, lang_pred string, score double")

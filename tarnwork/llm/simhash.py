@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import parts, settle, ship, small, text_or_empty
+from tarnwork.llm.common import parts, release, settle, ship, small, text_or_empty
 from tarnwork.llm.components import components
 
 THRESHOLD = 2
@@ -45,11 +45,13 @@ def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED) -> int:
     width = min(width, len(words))
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])[:len(words) - width + 1].tolist()
-    ends = ends[width - 1:].tolist()
+    del words
+    starts = np.concatenate([[0], ends[:-1] + 1])[:len(ends) - width + 1]
+    ends = ends[width - 1:]
     votes = np.zeros(64, np.int64)
     for lo in range(0, len(starts), STEP):
-        h = np.fromiter((xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts[lo:lo + STEP], ends[lo:lo + STEP], strict=True)), np.uint64, min(STEP, len(starts) - lo))
+        places = zip(starts[lo:lo + STEP].tolist(), ends[lo:lo + STEP].tolist(), strict=True)
+        h = np.fromiter((xxh64_intdigest(joined[a:b], seed) for a, b in places), np.uint64, min(STEP, len(starts) - lo))
         votes += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     bits = (2 * votes > len(starts)).astype(np.uint8)
     return int.from_bytes(np.packbits(bits).tobytes(), "big")
@@ -169,6 +171,7 @@ def fingerprints(df: DataFrame, keep: list[str], text_col: str = "text", width:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            release()
             fps = np.fromiter((fingerprint(t, width, seed) for t in batch.column(batch.num_columns - 1).to_pylist()), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps.view(np.int64))], names=[*keep, "fp"])
 
@@ -185,12 +188,14 @@ def links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             every = batch.column(0).to_numpy().view(np.uint64)
+            release()
             for lo in range(0, len(every), 2000):
                 fps = every[lo:lo + 2000]
                 who, anchor, own = anchors(fps, threshold)
                 yield pa.RecordBatch.from_pydict({"anchor": anchor, "fp": fps[who].view(np.int64), "own": own})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         got = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
         if not got:
             return
@@ -241,6 +246,7 @@ def similar_links(prints: DataFrame, limit: int = SIMILAR) -> DataFrame:
         flat, start, _ = near_errors()
         mask = np.uint64((1 << LENGTH) - 1)
         for batch in batches:
+            release()
             both = [c.to_numpy().view(np.uint64) for c in batch.columns]
             for k, (f, shift) in enumerate((f, s) for f in both for s in (0, LENGTH)):
                 points = (f >> np.uint64(shift) & mask).astype(np.uint32)
@@ -252,6 +258,7 @@ def similar_links(prints: DataFrame, limit: int = SIMILAR) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"anchor": anchor, "f0": both[0][who].view(np.int64), "f1": both[1][who].view(np.int64), "own": np.bitwise_count(e) <= RADIUS})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         got = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
         if not got:
             return
@@ -297,6 +304,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            release()
             both = np.array([fingerprints_of(t, width) for t in batch.column(1).to_pylist()], np.uint64).reshape(-1, 2)
             f0, f1 = both[:, 0].copy(), both[:, 1].copy()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(f0.view(np.int64)), pa.array(f1.view(np.int64)), pa.array(node(f0, f1))], names=[id_col, "f0", "f1", "node"])
