@@ -22,7 +22,7 @@ def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that it need not be installed there, and keep Arrow
     batches small enough for long texts unless the session says otherwise."""
     if spark.conf.get(BATCH_BYTES) == "67108864b":
-        spark.conf.set(BATCH_BYTES, "4m")
+        spark.conf.set(BATCH_BYTES, "2m")
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -310,6 +310,8 @@ def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) ->
             out += emit(KEYS, both, SUFFIX, by_key(both, keys), keys)
             if out:
                 yield as_batch(out)
+            out = kept = found = asked = both = mark = array = None
+        release()
 
     def family(layout, windows: bool) -> Callable:
         def one(blobs: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
@@ -355,6 +357,8 @@ def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) ->
                 out = list(one(held.pop(b)))
                 if out:
                     yield as_batch(out)
+                out = None
+            release()
 
         return run
 
@@ -448,7 +452,10 @@ def without_repeats(df: DataFrame, id_col: str, text_col: str, change: Callable[
             hit = found.get((doc, tag)) if doc is not None else None
             made.append(change(text.encode(), removed_spans(hit, length) if hit is not None else []))
         cols = list(zip(*made, strict=True)) or [[] for _ in fields]
-        return pa.Table.from_arrays([left.column(n) for n in names] + [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=keep + fields)
+        out = pa.Table.from_arrays([left.column(n) for n in names] + [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=keep + fields)
+        found = made = cols = None
+        release()
+        return out
 
     both = rows.groupBy("bucket").cogroup(spans.groupBy("bucket"))
     return both.applyInArrow(finish, f"{types}, {schema}")
@@ -473,6 +480,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def clean_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``df`` with repeated strings cut out of its texts; characters cut in two go as a whole."""
-    others = [c for c in df.columns if c != text_col]
-    kept = without_repeats(df, id_col, text_col, lambda t, s: (cut_out(t, s).decode("utf-8", "ignore"),), "_kept string", length, others + [text_col])
-    return kept.select(*[F.when(F.col(c).isNull(), F.lit(None)).otherwise(F.col("_kept")).alias(c) if c == text_col else F.col(c) for c in df.columns])
+    marked = df.withColumn("_without_text", F.col(text_col).isNull())  # the text itself is moved once
+    others = [c for c in marked.columns if c != text_col]
+    kept = without_repeats(marked, id_col, text_col, lambda t, s: (cut_out(t, s).decode("utf-8", "ignore"),), "_kept string", length, others)
+    return kept.select(*[F.when(~F.col("_without_text"), F.col("_kept")).alias(c) if c == text_col else F.col(c) for c in df.columns])
