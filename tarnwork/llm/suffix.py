@@ -28,7 +28,7 @@ from tarnwork.llm.common import parts, release, settle, ship
 
 LENGTH = 50
 # Text bytes whose suffixes are sorted as one batch, and bytes hashed together.
-BATCH, BLOCK = 4_000_000, 1_000_000
+BATCH, BLOCK = 4_000_000, 250_000
 # Distinct ``a`` of one ``g`` in a batch from which its windows are compared without asking the family.
 CROWD = 4
 SEED = 11
