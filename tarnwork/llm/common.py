@@ -14,6 +14,7 @@ from tarnwork.operators.skew import fits_broadcast
 from tarnwork.session import run_dir
 
 _SHIPPED: set[str] = set()
+_REMEMBERED: list[dict] = []
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -87,10 +88,18 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df) else df
 
 
+def remembered() -> dict:
+    """An empty dict for what a worker keeps from task to task, until an operator that needs the memory calls ``release``."""
+    _REMEMBERED.append({})
+    return _REMEMBERED[-1]
+
+
 def release() -> None:
-    """In a task: hand memory that earlier tasks of this worker have freed back to the machine."""
+    """In a task: forget what tasks of other operators remembered in this worker, and hand freed memory back to the machine."""
     import pyarrow as pa
 
+    for kept in _REMEMBERED:
+        kept.clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

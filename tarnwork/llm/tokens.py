@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import ship, text_or_empty
+from tarnwork.llm.common import remembered, ship, text_or_empty
 
 VOCABULARY = "byte_bpe_50k.json"
 # Runs of text remembered by one worker: about 100 bytes each.
@@ -32,7 +32,7 @@ SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 RUN = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 CROWDED = re.compile(f"[{SPACE}][ \n]|[ \n][{SPACE}]|[ \n]$")
 
-_LOADED: dict[str, "Vocabulary"] = {}
+_LOADED: dict[str, "Vocabulary"] = remembered()
 
 
 def byte_letters() -> dict[str, int]:
