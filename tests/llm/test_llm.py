@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import brute  # noqa: E402
 from oracle import compare, connect  # noqa: E402
 
-from tarnwork.llm import decontam, gru, htmltext, langid, lm, mtree, packing, sharding, simhash, suffix, tokens  # noqa: E402
+from tarnwork.llm import common, decontam, gru, htmltext, langid, lm, mtree, packing, sharding, simhash, suffix, tokens  # noqa: E402
 from tarnwork.llm.components import components  # noqa: E402
 from tarnwork.llm.queries import ORACLES, QUERIES  # noqa: E402
 
@@ -57,6 +57,14 @@ def test_token_counts(docs):
     assert got(tokens.token_counts(df), "doc_id", "n_bytes", "n_tokens", "over_limit") == brute.token_counts(rows)
 
 
+def test_tokenizer_is_dropped_and_loaded_again():
+    before = tokens.Vocabulary.of(None)
+    counts = before.count([LONG, SAME])
+    common.release()
+    after = tokens.Vocabulary.of(None)
+    assert after is not before and after.count([LONG, SAME]) == counts
+
+
 def test_whole_tokens_are_single():
     v = tokens.Vocabulary(None)
     some = sorted(v.whole)[::997]
