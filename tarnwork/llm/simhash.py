@@ -27,8 +27,19 @@ SEED = 42
 RADIUS = 3  # covering radius of the Golay code
 GOLAY = 0b101011100011  # generator polynomial, a fixed value of the code
 LENGTH, DATA = 23, 12
-# Bits of 128 in which similar texts may differ: a shingle similarity of 0.8 gives about 0.15 a bit.
-SIMILAR = 20
+# Share of the distinct shingles of two texts that similar texts have in common, as a fraction.
+SIMILARITY = (4, 5)
+# Fingerprints of 64 bits of a text in the search for similar ones; two stretches of 23 bits of each are searched.
+PRINTS = 10
+# Bits of 128 in which two texts may differ to be compared by their shingles: a similarity of 0.8 gives about 0.15 a bit,
+# 19 with a deviation of 4.
+SIMILAR = 40
+# Anchors of a fingerprint are the code words within this many bits of it, its own within RADIUS.
+REACH = RADIUS + 1
+# Closer pairs, and stretches searched for them, by which dense groups are linked first.
+CLOSE, FIRST = 20, 4
+# Pairs a task holds before it hands them over.
+HELD = 1_000_000
 # Groups with more pairs than this are searched by flipping bits instead of pair by pair.
 PAIRS = 4_000_000
 # Shingles hashed at a time.
@@ -236,68 +247,152 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return prints.join(classes, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_same")
 
 
-def similar_links(prints: DataFrame, limit: int = SIMILAR) -> DataFrame:
-    """Edges between distinct pairs of fingerprints (``f0``, ``f1``, 128 bits) that differ in at most ``limit`` bits and
-    agree, up to 2 bits, on one of their four stretches of 23 bits: a Golay code word each as anchor."""
+def shingle_hashes(text: str, width: int) -> np.ndarray:
+    """Hashes of the distinct shingles of ``width`` words, in order; a shorter text is one shingle, no words are none."""
+    from xxhash import xxh64_intdigest
+
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    width = min(width, len(words))
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    del words
+    starts = np.concatenate([[0], ends[:-1] + 1])[:len(ends) - width + 1]
+    ends = ends[width - 1:]
+    made = []
+    for lo in range(0, len(starts), STEP):
+        places = zip(starts[lo:lo + STEP].tolist(), ends[lo:lo + STEP].tolist(), strict=True)
+        made.append(np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in places), np.uint64, min(STEP, len(starts) - lo)))
+    return np.unique(np.concatenate(made))
+
+
+def sketch(hashes: np.ndarray, prints: int = PRINTS) -> np.ndarray:
+    """``prints`` fingerprints of a set of shingles: a bit is 1 if it is set in over half of the shingles' hashes, which
+    are mixed anew for every fingerprint."""
+    votes = np.zeros(64 * prints, np.int64)
+    add = (np.arange(1, prints + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
+    for lo in range(0, len(hashes), 255):  # as many as a byte can count
+        x = hashes[lo:lo + 255, None] + add
+        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        votes += np.unpackbits(x.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits((2 * votes > len(hashes)).astype(np.uint8)).view(np.uint64)
+
+
+def set_name(hashes: np.ndarray) -> int:
+    """One signed 64-bit name of a set of shingles."""
+    from xxhash import xxh64_intdigest
+
+    n = xxh64_intdigest(hashes.tobytes(), SEED)
+    return n - (1 << 64) if n >> 63 else n
+
+
+def similar_pairs(prints: DataFrame, stretches: int, limit: int, forest: bool) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes that may be similar: their fingerprints (first two of ``fps``) differ in at most
+    ``limit`` bits, their sizes ``n`` allow it, and on one of the stretches the one is within ``REACH`` bits of the
+    other's code word. Pairs of the same ``root`` are left out. With ``forest``, a spanning forest per anchor only."""
     spark = prints.sparkSession
     ship(spark)
+    kind = "anchor bigint, f0 bigint, f1 bigint, node bigint, root bigint, n int, own boolean"
+    few, whole = SIMILARITY
 
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, start, _ = near_errors()
+        # The patterns of a remainder within REACH, as positions in ``flat``.
+        near = np.flatnonzero(np.bitwise_count(flat) <= REACH)
+        start, flat = np.searchsorted(near, start), flat[near]
         mask = np.uint64((1 << LENGTH) - 1)
         for batch in batches:
             release()
-            both = [c.to_numpy().view(np.uint64) for c in batch.columns]
-            for k, (f, shift) in enumerate((f, s) for f in both for s in (0, LENGTH)):
-                points = (f >> np.uint64(shift) & mask).astype(np.uint32)
+            fps = np.array([np.frombuffer(x, np.uint64) for x in batch.column(3).to_pylist()], np.uint64).reshape(batch.num_rows, -1)
+            names, roots, sizes = (batch.column(c).to_numpy() for c in range(3))
+            for k in range(stretches):
+                points = (fps[:, k // 2] >> np.uint64(LENGTH * (k % 2)) & mask).astype(np.uint32)
                 rem = remainder(points)
                 n = start[rem + 1] - start[rem]
-                who = np.repeat(np.arange(len(f)), n)
+                who = np.repeat(np.arange(len(points)), n)
                 e = flat[start[rem][who] + np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)]
-                anchor = (points[who] ^ e).astype(np.int64) << 2 | k
-                yield pa.RecordBatch.from_pydict({"anchor": anchor, "f0": both[0][who].view(np.int64), "f1": both[1][who].view(np.int64), "own": np.bitwise_count(e) <= RADIUS})
+                anchor = (points[who] ^ e).astype(np.int64) * stretches + k
+                yield pa.RecordBatch.from_pydict({
+                    "anchor": anchor, "f0": fps[who, 0].view(np.int64), "f1": fps[who, 1].view(np.int64), "node": names[who], "root": roots[who], "n": sizes[who],
+                    "own": np.bitwise_count(e) <= RADIUS})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         got = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
         if not got:
             return
-        anchor, f0, f1, own = (np.concatenate(c) for c in zip(*got, strict=True))
-        order = np.argsort(anchor, kind="stable")
-        anchor, f0, f1, own = anchor[order], f0[order].view(np.uint64), f1[order].view(np.uint64), own[order]
-        name = node(f0, f1)
+        cols = [np.concatenate(c) for c in zip(*got, strict=True)]
+        del got
+        order = np.argsort(cols[0], kind="stable")
+        anchor, f0, f1, name, root, size, own = (c[order] for c in cols)
+        del cols
+        f0, f1, size = f0.view(np.uint64), f1.view(np.uint64), size.astype(np.int64)
         starts = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-        out = [[], []]
+        held, count = [], 0
+
+        def pairs() -> pa.RecordBatch:
+            ab = np.unique(np.concatenate(held, axis=1), axis=1)
+            held.clear()
+            return pa.RecordBatch.from_pydict({"a": ab[0], "b": ab[1]})
+
         for lo, hi in zip(starts, np.append(starts[1:], len(anchor)), strict=True):
-            forest, mine = Forest(hi - lo), np.flatnonzero(own[lo:hi]) + lo
-            step = max(1, 2_000_000 // (hi - lo))
+            tree, mine = Forest(hi - lo), np.flatnonzero(own[lo:hi]) + lo
+            step = max(1, 1_000_000 // (hi - lo))
             for m in range(0, len(mine), step):
                 block = mine[m:m + step]
                 far = np.bitwise_count(f0[block, None] ^ f0[None, lo:hi]) + np.bitwise_count(f1[block, None] ^ f1[None, lo:hi])
-                for i, j in zip(*np.nonzero(far <= limit), strict=True):
-                    if forest.join(block[i] - lo, j):
-                        out[0].append(name[block[i]])
-                        out[1].append(name[lo + j])
-        if out[0]:
-            yield pa.RecordBatch.from_pydict({"a": np.array(out[0], np.int64), "b": np.array(out[1], np.int64)})
-
-    spread = prints.select("f0", "f1").mapInArrow(copy, "anchor bigint, f0 bigint, f1 bigint, own boolean")
+                i, j = np.nonzero(far <= limit)
+                i, j = block[i], lo + j
+                fits = (root[i] != root[j]) & (few * size[i] <= whole * size[j]) & (few * size[j] <= whole * size[i])
+                i, j = i[fits], j[fits]
+                if forest and len(i):
+                    joins = np.fromiter((tree.join(x, y) for x, y in zip((i - lo).tolist(), (j - lo).tolist(), strict=True)), bool, len(i))
+                    i, j = i[joins], j[joins]
+                if len(i):
+                    held.append(np.array([np.minimum(name[i], name[j]), np.maximum(name[i], name[j])]))
+                    count += len(i)
+                if count >= HELD:
+                    yield pairs()
+                    count = 0
+        if held:
+            yield pairs()
+
+    spread = prints.select("node", "root", "n", "fps").mapInArrow(copy, kind)
     return spread.repartition(parts(spark), "anchor").mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def node(f0: np.ndarray, f1: np.ndarray) -> np.ndarray:
-    """One 64-bit name of a pair of fingerprints."""
-    x = f0 * np.uint64(0x9E3779B97F4A7C15) ^ f1
-    x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-    return (x ^ x >> np.uint64(32)).view(np.int64)
+def similar_links(pairs: DataFrame, classes: DataFrame, df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """The ``pairs`` whose sets of distinct shingles are similar. Texts are read again for the nodes of the pairs only,
+    one row with the class's ``_first`` id each."""
+    ship(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            release()
+            sets = [shingle_hashes(t, width) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(map(set_name, sets), pa.int64()), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], names=["node", "set"])
+
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    ids = settle(classes.join(nodes, "node").select(F.col("_first").alias("_id")).distinct(), "wanted")
+    texts = df.join(small(ids), df[id_col] == ids["_id"], "left_semi").select(text_or_empty(text_col).alias("_t"))
+    sets = settle(texts.mapInArrow(run, "node bigint, set array<bigint>").dropDuplicates(["node"]), "sets")
+    one = sets.select(F.col("node").alias("a"), F.col("set").alias("_sa"))
+    other = sets.select(F.col("node").alias("b"), F.col("set").alias("_sb"))
+    both = F.size(F.array_intersect("_sa", "_sb"))
+    few, whole = SIMILARITY
+    return pairs.join(one, "a").join(other, "b").filter(both * whole >= (F.size("_sa") + F.size("_sb") - both) * few).select("a", "b")
 
 
-def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, limit: int = SIMILAR) -> DataFrame:
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
     """The rows of ``df`` but for near copies: of each group of similar texts those with the smallest id stay.
 
-    Similar are texts whose two fingerprints over ``width``-word shingles differ in at most ``limit`` of 128 bits, which
-    stands for a shingle similarity of about 0.8 (see the README for the recall). Null and wordless texts are alike.
-    Rows with a null id are never dropped and drop none; of rows with the same id, all or none stay.
+    Two texts are similar if their sets of distinct ``width``-word shingles share at least ``SIMILARITY`` of their union,
+    and groups are connected by similar pairs. The pairs to compare are found by fingerprints (see the README for the
+    recall), close ones first, so that a dense group is linked by a forest and not by all its pairs. Null and wordless
+    texts are alike. Rows with a null id are never dropped and drop none; of rows with the same id, all or none stay.
     """
     ship(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
@@ -305,20 +400,29 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             release()
-            both = np.array([fingerprints_of(t, width) for t in batch.column(1).to_pylist()], np.uint64).reshape(-1, 2)
-            f0, f1 = both[:, 0].copy(), both[:, 1].copy()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(f0.view(np.int64)), pa.array(f1.view(np.int64)), pa.array(node(f0, f1))], names=[id_col, "f0", "f1", "node"])
+            names, sizes, fps = [], [], []
+            for t in batch.column(1).to_pylist():
+                h = shingle_hashes(t, width)
+                names.append(set_name(h))
+                sizes.append(len(h))
+                fps.append(sketch(h).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int32()), pa.array(fps, pa.binary())], names=[id_col, "node", "n", "fps"])
+
+    def rooted(edges: DataFrame) -> DataFrame:
+        return settle(classes.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
 
     rows = df.filter(F.col(id_col).isNotNull()).select(id_col, text_or_empty(text_col).alias("_t"))
-    prints = settle(rows.mapInArrow(run, f"`{id_col}` {kind}, f0 bigint, f1 bigint, node bigint"), "prints")
-    classes = prints.groupBy("f0", "f1", "node").agg(F.min(id_col).alias("_first"))
-    member = components(settle(similar_links(classes, limit), "links"))
-    known = settle(classes.select("node", "_first").join(member, "node", "left").withColumn("_root", F.coalesce("root", "node")), "members")
-    first = known.groupBy("_root").agg(F.min("_first").alias("_low"))
-    low = known.select("node", "_root").join(first, "_root").select("node", "_low")
+    prints = settle(rows.mapInArrow(run, f"`{id_col}` {kind}, node bigint, n int, fps binary"), "prints")
+    classes = settle(prints.groupBy("node").agg(F.min(id_col).alias("_first"), F.first("n").alias("n"), F.first("fps").alias("fps")), "classes")
+
+    def similar(of: DataFrame, *how) -> DataFrame:
+        pairs = settle(similar_pairs(of, *how), "pairs")
+        return settle(similar_links(pairs, classes, df, id_col, text_col, width), "links")
+
+    close = similar(classes.withColumn("root", F.col("node")), FIRST, CLOSE, True)
+    links = close.unionByName(similar(rooted(close), 2 * PRINTS, SIMILAR, False))
+    known = rooted(links).select("node", "root", "_first")
+    first = known.groupBy("root").agg(F.min("_first").alias("_low"))
+    low = known.select("node", "root").join(first, "root").select("node", "_low")
     gone = settle(prints.join(low, "node").filter(F.col(id_col) != F.col("_low")).select(F.col(id_col).alias("_gone")).distinct(), "gone")
     return df.join(small(gone), df[id_col] == gone["_gone"], "left_anti")
-
-
-def fingerprints_of(text: str, width: int) -> tuple[int, int]:
-    return fingerprint(text, width, SEED), fingerprint(text, width, SEED + 1)
