@@ -18,8 +18,12 @@ REPEAT_BYTES = 160
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language: null texts and texts without a letter."""
-    named = langid.predict(docs, langid.fit_profiles(docs), docs.columns)
+    """Drop documents without a language: null texts and texts without a letter. Where no document names its language
+    there is nothing to judge by, and all texts with a letter stay."""
+    profiles = langid.fit_profiles(docs)
+    if not profiles:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    named = langid.predict(docs, profiles, docs.columns)
     return named.filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 
 

@@ -69,3 +69,10 @@ def test_near_duplicates_of_a_dense_group_are_linked_by_a_forest(spark):
     words = [f"w{i}" for i in range(200)]
     rows = [(k, " ".join([*words[:-1], f"end{k}"])) for k in rng.permutation(500).tolist()]
     assert ids(simhash.one_of_each(docs_of(spark, rows))) == [0]
+
+
+def test_language_stage_without_labels(spark):
+    import corpus_pipeline as cp
+
+    rows = [(1, "some clean words"), (2, "日本語"), (3, None), (4, ""), (5, "123 !!!")]
+    assert ids(cp.language(spark, docs_of(spark, rows), SF)) == [1, 2]
