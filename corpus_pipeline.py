@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tarnwork.llm import decontam, langid, packing, simhash, suffix
 from tarnwork.llm.common import settle
 
-# Bytes from which a repeated string is cut out: about fifty short words would be longer.
-REPEAT_BYTES = 160
+# Bytes from which a repeated string is cut out: the least of 51 words, one byte each with a space between.
+REPEAT_BYTES = 101
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

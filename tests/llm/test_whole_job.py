@@ -76,3 +76,12 @@ def test_language_stage_without_labels(spark):
 
     rows = [(1, "some clean words"), (2, "日本語"), (3, None), (4, ""), (5, "123 !!!")]
     assert ids(cp.language(spark, docs_of(spark, rows), SF)) == [1, 2]
+
+
+def test_repeats_stage_cuts_fifty_one_short_words(spark):
+    import corpus_pipeline as cp
+
+    passage = " ".join("abcdefghijklmnopqrstuvwxyzyxwvutsrqponmlkjihgfedcba")
+    rows = [(1, "first document: " + passage + " end of it"), (2, "second one, " + passage + "; other end")]
+    out = {r["doc_id"]: r["text"] for r in cp.repeats(spark, docs_of(spark, rows), SF).collect()}
+    assert len(passage) == 101 and out[1] == rows[0][1] and passage not in out[2] and "second one" in out[2]
