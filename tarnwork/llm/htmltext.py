@@ -25,9 +25,10 @@ TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|</([a-zA-Z][^\s/>]*)[
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-label)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 # Element names of HTML by what they do to text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math object select".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr".split())
-NOISE = frozenset("nav footer aside form script style noscript button select option textarea title head iframe template svg math object dialog menu input fieldset".split())
+RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg select".split())
+MATH = frozenset("math mrow mi mn mo ms mtext msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mpadded mspace mfenced menclose mphantom semantics annotation annotation-xml".split())
+INLINE = MATH | frozenset("object a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr".split())
+NOISE = frozenset("nav footer aside form script style noscript button select option textarea title head iframe template svg annotation annotation-xml dialog menu input fieldset".split())
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
 SCOPE = frozenset("table td th article section div main aside nav footer header form body ul ol dl blockquote".split())
@@ -35,6 +36,8 @@ ROOTS = frozenset("article main".split())
 NOISE_NAME = re.compile(
     r"(?:^|[-_\s])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|footer|foot|header|masthead|cookies?|consent|notice\w*|alert|popup|modal|"
     r"comments?|commentlist|disqus|respon[ds]e?s?|replies|reply|share|sharing|social|related|recommend\w*|subscribe|newsletter|signup|login|search\w*|tags?|pagination|pager|toolbar|widget\w*|skip|disclaimer|copyright|legal)(?:$|[-_\s\d])", re.I)
+# Parts of a name that mean nothing inside an article, as its own header holds the headline.
+HEADER_NAME = re.compile(r"(?:^|(?<=[-_\s]))(?:header|masthead)(?=$|[-_\s\d])", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 SIGMA = 1.0
 THRESHOLD = 0.8
@@ -104,9 +107,11 @@ def read_nodes(page: str) -> list[Node]:
             label = " ".join(v for a in ATTRIBUTE.finditer(attrs) if a.group(1).lower() in ("class", "id", "role") for v in (a.group(2) or a.group(3) or a.group(4) or "",))
             hidden = any(a.group(1).lower() == "hidden" for a in ATTRIBUTE.finditer(attrs)) or "display:none" in attrs.replace(" ", "").lower()
             inside = bool(stack and stack[-1][2])
-            own = name in NOISE or hidden or bool(label and name not in ROOTS and name not in ("body", "html") and NOISE_NAME.search(label))
+            within = any(s[0] in ROOTS for s in stack)
+            said = HEADER_NAME.sub("", label) if within else label
+            own = name in NOISE or hidden or bool(said and name not in ROOTS and name not in ("body", "html") and NOISE_NAME.search(said))
             if name == "header":
-                own = own or not any(s[0] in ROOTS for s in stack)
+                own = own or not within
             stack.append((name, number, inside or own, f"{name}.{label}" if label else name))
             if name not in INLINE:
                 block += 1

@@ -7,7 +7,7 @@ import numpy as np
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from tarnwork.llm import simhash  # noqa: E402
+from tarnwork.llm import htmltext, simhash  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -85,3 +85,10 @@ def test_repeats_stage_cuts_fifty_one_short_words(spark):
     rows = [(1, "first document: " + passage + " end of it"), (2, "second one, " + passage + "; other end")]
     out = {r["doc_id"]: r["text"] for r in cp.repeats(spark, docs_of(spark, rows), SF).collect()}
     assert len(passage) == 101 and out[1] == rows[0][1] and passage not in out[2] and "second one" in out[2]
+
+
+def test_html_keeps_mathml_fallbacks_and_the_headline():
+    page = """<body><nav><a>Menu</a></nav><article><div class="entry-header"><h1>Head</h1></div><p>The square <math><semantics><mrow><msup><mi>x</mi>
+<mn>2</mn></msup></mrow><annotation encoding="tex">x^2</annotation></semantics></math> is positive, as a rule, everywhere.</p>
+<p>See <object data=a.pdf>the fallback text</object>, which stands here, too.</p><div class="entry-header ad">Buy</div></article><div class="site-header">Site</div></body>"""
+    assert htmltext.main_text(page) == "Head\nThe square x 2 is positive, as a rule, everywhere.\nSee the fallback text, which stands here, too."
