@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarnwork.llm import decontam, htmltext, langid, lm, mtree, packing, sharding, simhash, suffix, tokens
+from tarnwork.llm import decontam, htmltext, importance, langid, lm, mtree, packing, sharding, simhash, suffix, tokens
 from tarnwork.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -60,3 +60,9 @@ def op9(t):
 @query("op10_hilbert_shards")
 def op10(t):
     return sharding.shard_documents(t.documents)
+
+
+@query("op11_importance", importance.SQL)
+def op11(t):
+    found = importance.importance(t.documents, t.benchmark, ["doc_id"])
+    return found.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
