@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarnwork.llm import decontam, htmltext, importance, langid, lm, mtree, packing, sharding, simhash, suffix, tokens
+from tarnwork.llm import chat, decontam, htmltext, importance, langid, lm, mtree, packing, sharding, simhash, suffix, tokens
 from tarnwork.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -66,3 +66,8 @@ def op10(t):
 def op11(t):
     found = importance.importance(t.documents, t.benchmark, ["doc_id"])
     return found.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+@query("op12_chat_format", chat.SQL)
+def op12(t):
+    return chat.format_conversations(t.conversations)
