@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarnwork.llm import chat, decontam, htmltext, importance, langid, lm, mtree, packing, sharding, simhash, suffix, tokens
+from tarnwork.llm import chat, decontam, htmltext, importance, langid, lm, mtree, packing, sharding, simhash, suffix, tokens, trie
 from tarnwork.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -71,3 +71,8 @@ def op11(t):
 @query("op12_chat_format", chat.SQL)
 def op12(t):
     return chat.format_conversations(t.conversations)
+
+
+@query("op13_prefix_trie", trie.SQL)
+def op13(t):
+    return trie.prefix_trie(t.conversations)

@@ -49,7 +49,7 @@ def docs(request, spark, table):
 
 
 def test_queries_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 13))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_token_counts(docs):
