@@ -46,17 +46,14 @@ def inforce(df: DataFrame, dims: list[str], end_col: str, premium: Column, as_of
 
 
 def customer_360(df: DataFrame, keys: list[str], id_col: str, measures: dict[str, Column], category: str) -> DataFrame:
-    """Per customer: distinct contracts, totals, the sorted category list and its length.
+    """Per customer: distinct contracts, totals, the sorted category list and its length, in one pass over the input.
 
-    The category list is built from distinct (customer, category) pairs, so it holds no more entries than there are
-    categories; keeping it apart from the distinct count avoids multiplying the input rows.
+    The category set of a customer holds no more entries than there are categories, and sets combine in the map tasks.
     """
-    sums = df.groupBy(*keys).agg(F.countDistinct(id_col).alias("total_policies"), *[c.alias(o) for o, c in measures.items()])
-    lists = df.select(*keys, category).distinct().groupBy(*keys).agg(
-        F.array_join(F.array_sort(F.collect_list(category)), ", ").alias("categories"),
-        F.count(category).alias("category_count"),
+    grouped = df.groupBy(*keys).agg(
+        F.countDistinct(id_col).alias("total_policies"), *[c.alias(o) for o, c in measures.items()], F.array_sort(F.collect_set(category)).alias("_set"),
     )
-    return join_null_safe(sums, lists, keys)
+    return grouped.select("*", F.array_join("_set", ", ").alias("categories"), F.size("_set").cast("long").alias("category_count")).drop("_set")
 
 
 def cross_sell(c360: DataFrame, segment_col: str, segment: str) -> DataFrame:

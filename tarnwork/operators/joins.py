@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tarnwork.functions.columns import norm
 from tarnwork.operators.keys import assert_unique, join_null_safe  # noqa: F401 (join_null_safe is offered here too)
-from tarnwork.operators.skew import broadcast_limit, key_profile
+from tarnwork.operators.skew import broadcast_limit, fits_broadcast, hinted, key_profile
 from tarnwork.operators.windows import latest_per_key, running
 
 FEW_VERSIONS = 64  # most versions of one key for which a range test per candidate stays cheap
@@ -31,14 +31,16 @@ def star_lookup(fact: DataFrame, dims: list[tuple], default: int = -1) -> DataFr
 
     Each entry is ``(dimension, {fact column: dimension column}, {output key: dimension key})`` and may have a fourth
     part ``{output: dimension attribute}``. An unmatched key gets ``default``, an unmatched attribute null. Only the
-    columns named here enter the plan.
+    columns named here enter the plan. All dimensions are measured by one job, and those that are small enough together
+    are broadcast, so that the fact moves for the large ones only.
     """
-    out, found = fact, []
+    out, found, sides = fact, [], []
     for i, (dim, on, keys, *rest) in enumerate(dims):
         attrs = rest[0] if rest else {}
-        side = dim.select(*[F.col(d).alias(f"_d{i}_{d}") for d in on.values()], *[F.col(c).alias(o) for o, c in {**keys, **attrs}.items()])
-        out = out.join(side, reduce(lambda a, b: a & b, [out[f] == side[f"_d{i}_{d}"] for f, d in on.items()]), "left")
+        sides.append(dim.select(*[F.col(d).alias(f"_d{i}_{d}") for d in on.values()], *[F.col(c).alias(o) for o, c in {**keys, **attrs}.items()]))
         found += [F.coalesce(F.col(o), F.lit(default)).alias(o) for o in keys] + [F.col(o) for o in attrs]
+    for i, (side, (_, on, *_)) in enumerate(zip(hinted(sides), dims, strict=True)):
+        out = out.join(side, reduce(lambda a, b: a & b, [out[f] == side[f"_d{i}_{d}"] for f, d in on.items()]), "left")
     # One projection at the end: every further step over a wide plan is analysed anew.
     return out.select(*fact.columns, *found)
 
@@ -62,11 +64,14 @@ def join_on_exprs(left: DataFrame, right: DataFrame, on: dict[str, Column], how:
 
 
 def date_roles(fact: DataFrame, dim_date: DataFrame, roles: dict[str, str], date: str = "date", key: str = "date_key", default: int = -1) -> DataFrame:
-    """One date dimension in many roles: ``roles`` maps the new key column to the fact's date or timestamp column."""
-    out = fact
+    """One date dimension in many roles: ``roles`` maps the new key column to the fact's date or timestamp column.
+
+    The dimension is measured once, and if it is small, as dates are, every role looks it up in one and the same broadcast
+    (Spark reuses the exchange of equal plans), so the fact does not move."""
+    out, small = fact, fits_broadcast(dim_date.select(date, key))
     for role, source in roles.items():
         day = dim_date.select(F.col(date).alias(f"_d_{role}"), F.col(key).alias(role))
-        out = out.join(day, F.to_date(out[source]) == day[f"_d_{role}"], "left")
+        out = out.join(F.broadcast(day) if small else day, F.to_date(out[source]) == day[f"_d_{role}"], "left")
     return out.select(*fact.columns, *[F.coalesce(F.col(r), F.lit(default)).alias(r) for r in roles])
 
 

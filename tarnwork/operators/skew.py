@@ -136,6 +136,13 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()["b"]
 
 
+def measured_all(frames: list[DataFrame]) -> list[int]:
+    """Data sizes of several frames by one job."""
+    sizes = [df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).select(F.lit(i).alias("i"), "b") for i, df in enumerate(frames)]
+    found = {r["i"]: r["b"] for r in reduce(DataFrame.unionByName, sizes).collect()} if sizes else {}
+    return [found[i] for i in range(len(frames))]
+
+
 def key_profile(df: DataFrame, keys: list[str]) -> tuple[int, int]:
     """(most rows of one key, measured bytes) in one pass."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b"))
@@ -149,3 +156,16 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 def fits_broadcast(df: DataFrame) -> bool:
     return measured_bytes(df) <= broadcast_limit(df.sparkSession)
+
+
+def hinted(frames: list[DataFrame]) -> list[DataFrame]:
+    """The frames with a broadcast hint where their measured size allows it, the smallest first until together they reach
+    the limit; all are measured by one job."""
+    if not frames:
+        return []
+    left, out = broadcast_limit(frames[0].sparkSession), list(frames)
+    for size, i in sorted((size, i) for i, size in enumerate(measured_all(frames))):
+        if size > left:
+            break
+        left, out[i] = left - size, F.broadcast(frames[i])
+    return out

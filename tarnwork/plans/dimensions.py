@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.functions.columns import norm
+from tarnwork.operators.hierarchy import hierarchy_paths
 from tarnwork.operators.sets import two_branch
 from tarnwork.operators.windows import days_in_status
 from tarnwork.plans.chain import load_target
@@ -91,28 +92,9 @@ def dim_simple(codes: DataFrame, field: str = "carrier", program: str = "*", spe
 
 
 def status_hierarchy(rows: DataFrame, code: str, parent: str, levels: int = LEVELS) -> DataFrame:
-    """Path columns ``l0_level`` … of a parent-pointer hierarchy: the top ancestor first, null below the row's own level.
-
-    Only codes that are somebody's parent climb, one self-join per level as the depth is bounded; the rows themselves,
-    mostly leaves, are joined to their parent's path once. A chain that does not reach a root within ``levels`` (or a
-    cycle) has no path.
-    """
-    parents = rows.select(F.col(parent).alias("_at")).filter("_at IS NOT NULL").distinct()
-    links = rows.select(F.col(code).alias("_code"), F.col(parent).alias("_up")).distinct()
-    # Of the links only those of parents matter.
-    links = links.join(parents, links["_code"] == parents["_at"], "left_semi")
-    climb = parents.withColumns({"_path": F.array("_at"), "_next": F.col("_at")})
-    for _ in range(levels - 1):
-        found = F.col("_code").isNotNull()
-        climb = climb.join(links, climb["_next"] == links["_code"], "left").select(
-            "_at", (F.when(found & F.col("_up").isNotNull(), F.array_append("_path", F.col("_up"))).otherwise(F.col("_path"))).alias("_path"),
-            F.when(found, F.col("_up")).otherwise(F.col("_next")).alias("_next"),
-        )
-    out = rows.join(climb, rows[parent] == climb["_at"], "left")
-    whole = F.reverse(F.concat(F.array(F.col(code)), F.coalesce("_path", F.array().cast("array<string>"))))
-    complete = F.col("_next").isNull() & (F.size(whole) <= levels)
-    paths = {f"l{i}_level": F.when(complete, F.get(whole, F.lit(i))) for i in range(levels)}
-    return out.withColumns(paths).select(*rows.columns, *paths)
+    """Path columns ``l0_level`` … of a parent-pointer hierarchy with ``level_count`` and ``hierarchy_state``, see
+    ``hierarchy_paths``: deeper hierarchies and circles show no path and say so."""
+    return hierarchy_paths(rows, code, parent, levels)
 
 
 def status_history(facts: DataFrame, history: DataFrame, key: str, status: str, ts: str, tie: str) -> DataFrame:

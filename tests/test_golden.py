@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnwork.operators import merge as m
 from tarnwork.operators.joins import scd2_join
+from tarnwork.operators.hierarchy import hierarchy_paths
 from tarnwork.plans.dimensions import status_hierarchy
 
 NOW = datetime(2025, 3, 1)
@@ -112,3 +113,22 @@ def test_scd2_two_changes(spark):
     assert out.filter("is_current = 1").groupBy("id").count().filter("count > 1").count() == 0
     overlap = out.alias("x").join(out.alias("y"), (F.col("x.id") == F.col("y.id")) & (F.col("x.effective_from") < F.col("y.effective_from")) & (F.coalesce("x.effective_to", F.lit(datetime(9999, 1, 1))) > F.col("y.effective_from")))
     assert overlap.count() == 0
+
+
+def test_hierarchies_of_any_depth_say_what_they_are(spark):
+    deep = [(f"d{i}", f"d{i - 1}" if i else None) for i in range(200)]
+    ring = [(f"r{i}", f"r{(i + 1) % 7}") for i in range(7)] + [("below", "r3"), ("self", "self")]
+    other = [("leaf", "absent"), ("twig", "leaf"), (None, "d0"), ("alone", None)]
+    df = spark.createDataFrame(deep + ring + other, "code string, parent string")
+    out = {r["code"]: (r["level_count"], r["hierarchy_state"], r["l0_level"]) for r in hierarchy_paths(df, "code", "parent", 5).collect()}
+    for i in range(200):
+        assert out[f"d{i}"] == (i + 1, "complete" if i < 5 else "too deep", "d0" if i < 5 else None)
+    assert all(out[c] == (None, "cycle", None) for c in [*(f"r{i}" for i in range(7)), "below", "self"])
+    assert out["leaf"] == out["twig"] == (None, "no root", None) and out["alone"] == (1, "complete", "alone") and out[None] == (2, "complete", "d0")
+    six = {r["code"]: [r[f"l{i}_level"] for i in range(6)] for r in hierarchy_paths(df.filter("code like 'd%'"), "code", "parent", 6).collect()}
+    assert six["d5"] == [f"d{i}" for i in range(6)] and six["d6"] == [None] * 6
+
+
+def test_hierarchy_of_an_empty_table(spark):
+    out = hierarchy_paths(spark.createDataFrame([], "code string, parent string"), "code", "parent", 2)
+    assert out.columns == ["code", "parent", "l0_level", "l1_level", "level_count", "hierarchy_state"] and out.count() == 0
