@@ -96,6 +96,33 @@ def run_zone_rollup(
     )
 
 
+def rollup_state(log: DataFrame, run: str = "run_id", zone: str = "zone", ts: str = "start_time", status: str = "status", size: str = "data_written") -> DataFrame:
+    """What ``run_zone_rollup`` needs to know of a piece of the log, per run and zone, so that pieces can be merged. Of
+    rows with the same last time the greatest status counts as the latest."""
+    latest = F.max(F.struct(F.col(ts).alias("at"), F.col(status).alias("status")))
+    return log.groupBy(F.col(run).alias("run_id"), F.col(zone).alias("zone")).agg(
+        F.min(ts).alias("zone_start"), F.max(ts).alias("zone_end"), latest.alias("latest"),
+        F.bool_or(F.col(status) == "Failed").alias("any_failed"), F.sum(size).cast("long").alias("size_sum"),
+    )
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One state per run and zone from several."""
+    return states.groupBy("run_id", "zone").agg(
+        F.min("zone_start").alias("zone_start"), F.max("zone_end").alias("zone_end"), F.max("latest").alias("latest"),
+        F.bool_or("any_failed").alias("any_failed"), F.sum("size_sum").alias("size_sum"),
+    )
+
+
+def finish_rollup(states: DataFrame) -> DataFrame:
+    """The roll-up that the states stand for."""
+    return states.select(
+        "run_id", "zone", "zone_start", "zone_end", F.col("latest.status").alias("latest_status"),
+        F.when(F.col("any_failed"), "Failed").otherwise("Success").alias("zone_status"),
+        F.when(F.col("any_failed"), F.lit(0)).otherwise(F.col("size_sum")).cast("long").alias("total_size"),
+    )
+
+
 def pending_tasks(zone_log: DataFrame, run_id) -> DataFrame:
     """Zone rows of a run that did not succeed."""
     return zone_log.filter((F.col("etl_id") == run_id) & (F.col("zone_status") != "Success"))

@@ -14,20 +14,23 @@ from tarnwork.sources.writer import load_append
 from tarnwork.streaming import loader
 
 START = datetime(2024, 1, 1)
+BUCKETS = 16  # of the small tables made here
 WEEK_SQL = "CAST(floor(CAST(datediff('day', TIMESTAMP '2024-01-01', date_trunc('day', ts)) AS DOUBLE) / 7) AS INTEGER)"
-SLICES = 5
+
+
+def week_of(ts):
+    return F.floor(F.datediff(ts, F.lit(START.date())) / 7).cast("int")
 
 
 def replay(t, df, start, fmt="parquet"):
-    """Append ``df`` to a folder slice by slice and after each one run the stream that ``start`` opens on it: one
-    micro-batch per slice, each continuing from the checkpoint of the one before. The slices are equal stretches of the
-    weeks between the lowest and the highest in the data; rows without a time are in the first."""
+    """Append ``df`` to a folder week by week and after each week run the stream that ``start`` opens on it: one
+    micro-batch per week that has rows, each continuing from the checkpoint of the one before. Rows without a time come
+    first."""
     path = run_dir(t.spark, "feed")
-    week = F.floor(F.datediff(F.col("ts"), F.lit(START.date())) / 7)
-    span = df.agg(F.coalesce(F.min(week), F.lit(0)).alias("lo"), F.coalesce(F.max(week), F.lit(0)).alias("hi")).first()
-    piece = F.coalesce(F.floor((week - span["lo"]) * SLICES / (span["hi"] - span["lo"] + 1)), F.lit(0))
-    for w in range(SLICES):
-        part = df.filter(piece == w)
+    week = week_of(F.col("ts"))
+    weeks = sorted((r[0] for r in df.select(week).distinct().collect()), key=lambda w: (w is not None, w))
+    for w in weeks:
+        part = df.filter(week.eqNullSafe(F.lit(w)))
         if fmt == "text":
             part.select("value").write.mode("append").text(path)
         else:
@@ -35,6 +38,11 @@ def replay(t, df, start, fmt="parquet"):
         start(read_stream(t.spark, path, fmt, "value string" if fmt == "text" else df.schema)).awaitTermination()
 
 
+def week_end(lo, hi):
+    """The end of the week of a batch's last row."""
+    return START + timedelta(days=7 * ((hi - START).days // 7 + 1))
+
+
 def last_per(*keys):
     return lambda df: latest_per_key(df, list(keys), [F.col("ts").desc(), F.col("event_id").desc()])
 
@@ -48,8 +56,8 @@ def stream_merge(t):
     """Latest event per user, merged batch by batch; the per-batch steps deduplicate, then add a column."""
     path, checkpoint = run_dir(t.spark, "table"), run_dir(t.spark, "checkpoint")
     steps = loader.compose(last_per("user_id"), lambda df: df.withColumn("note", F.lit("loaded")))
-    replay(t, t.events.select(*COLUMNS), lambda s: loader.stream_load(s, "merge", path, checkpoint, ["user_id"], "availableNow", steps))
-    return loader.read_version(t.spark, path).select("user_id", "event_id", "event_type", "value", "note")
+    replay(t, t.events.select(*COLUMNS), lambda s: loader.stream_load(s, "merge", path, checkpoint, ["user_id"], "availableNow", steps, buckets=BUCKETS))
+    return loader.read_table(t.spark, path).select("user_id", "event_id", "event_type", "value", "note")
 
 
 @query("stream_append_new", """
@@ -57,10 +65,9 @@ def stream_merge(t):
 def stream_append_new(t):
     """First week in which a user shows an event type; later batches add unseen keys only."""
     path, checkpoint = run_dir(t.spark, "table"), run_dir(t.spark, "checkpoint")
-    week = F.floor(F.datediff("ts", F.lit(START.date())) / 7).cast("int")
-    steps = loader.compose(last_per("user_id", "event_type"), lambda df: df.select("user_id", "event_type", week.alias("first_week")))
-    replay(t, t.events.select(*COLUMNS), lambda s: loader.stream_load(s, "append_new", path, checkpoint, ["user_id", "event_type"], "once", steps))
-    return loader.read_batches(t.spark, path)
+    steps = loader.compose(last_per("user_id", "event_type"), lambda df: df.select("user_id", "event_type", week_of("ts").alias("first_week")))
+    replay(t, t.events.select(*COLUMNS), lambda s: loader.stream_load(s, "append_new", path, checkpoint, ["user_id", "event_type"], "once", steps, buckets=BUCKETS))
+    return loader.read_table(t.spark, path)
 
 
 @query("stream_scd2", f"""
@@ -68,13 +75,13 @@ def stream_append_new(t):
          c AS (SELECT *, LAG(event_type) OVER (PARTITION BY user_id ORDER BY w) AS before FROM s), v AS (SELECT *, TIMESTAMP '2024-01-08' + to_days(7 * w) AS effective_from FROM c WHERE before IS NULL OR before <> event_type)
     SELECT user_id, event_type, value, effective_from, LEAD(effective_from) OVER (PARTITION BY user_id ORDER BY w) AS effective_to, CASE WHEN LEAD(w) OVER (PARTITION BY user_id ORDER BY w) IS NULL THEN 1 ELSE 0 END AS is_current FROM v""")
 def stream_scd2(t):
-    """Weekly type-two versions of each user's latest event type."""
+    """Weekly type-two versions of each user's latest event type; a batch's time comes from its rows."""
     path, checkpoint = run_dir(t.spark, "table"), run_dir(t.spark, "checkpoint")
     steps = loader.compose(last_per("user_id"), lambda df: df.select("user_id", "event_type", "value"))
     replay(t, t.events.select(*COLUMNS), lambda s: loader.stream_load(
-        s, "scd2", path, checkpoint, ["user_id"], "batch", steps, ["event_type"], lambda n: START + timedelta(days=7 * (n + 1))
+        s, "scd2", path, checkpoint, ["user_id"], "batch", steps, ["event_type"], "ts", week_end, BUCKETS
     ))
-    return loader.read_version(t.spark, path).select("user_id", "event_type", "value", "effective_from", "effective_to", "is_current")
+    return loader.read_table(t.spark, path).select("user_id", "event_type", "value", "effective_from", "effective_to", "is_current")
 
 
 @query("stream_run_logs", f"""
@@ -83,8 +90,8 @@ def stream_scd2(t):
 def stream_run_logs(t):
     log, rollup, checkpoint = run_dir(t.spark, "log"), run_dir(t.spark, "rollup"), run_dir(t.spark, "checkpoint")
     timed = messages(t).join(t.events.select("event_id", "ts"), "event_id")
-    replay(t, timed, lambda s: loader.stream_run_logs(s, log, rollup, checkpoint), fmt="text")
-    out = loader.read_version(t.spark, rollup)
+    replay(t, timed, lambda s: loader.stream_run_logs(s, log, rollup, checkpoint, buckets=BUCKETS), fmt="text")
+    out = loader.read_rollup(t.spark, rollup)
     return out.select("run_id", "zone", F.col("zone_start").cast("timestamp_ntz").alias("zone_start"), F.col("zone_end").cast("timestamp_ntz").alias("zone_end"), "zone_status", "total_size")
 
 

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 _LOCAL: dict[str, str] = {}  # fallback folder of each local application
+_OPEN = threading.local()  # the intermediate folders of the thread's open ``scratch`` blocks, innermost last
 
 
 def build_session(app: str = "tarnwork", master: str | None = None, **conf: object) -> SparkSession:
@@ -54,10 +57,36 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Intermediate folders made inside the block by this thread are removed when it ends without an error, so it must
+    write whatever it means to keep. After an error they stay and the run can be looked at. A folder taken off the
+    list stays. Blocks may be nested; each removes its own folders."""
+    opened = getattr(_OPEN, "blocks", None)
+    if opened is None:
+        opened = _OPEN.blocks = []
+    opened.append([])
+    try:
+        yield opened[-1]
+    except BaseException:
+        opened.pop()
+        raise
+    for path in opened.pop():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def passing(path: str) -> str:
+    """Note a folder as intermediate for the innermost ``scratch`` block; without one it stays."""
+    if blocks := getattr(_OPEN, "blocks", None):
+        blocks[-1].append(path)
+    return path
+
+
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """The frame's rows, written once to the shared folder and read back: later steps do not recompute it, and a lost
-    executor costs no more than its own tasks."""
-    path = run_dir(df.sparkSession, label)
+    executor costs no more than its own tasks. Inside a ``scratch`` block the folder goes when the block ends."""
+    path = passing(run_dir(df.sparkSession, label))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
