@@ -57,15 +57,11 @@ def row_hash(df: DataFrame, cols: list[str] | None = None) -> Column:
     return F.sha2(F.concat_ws("|", *marked), 256)
 
 
-def add_technical_columns(
-    df: DataFrame, batch_time: datetime, elt_id: str, run_id: str, file_path: Column | None = None, file_name: Column | None = None
-) -> DataFrame:
-    """Stamp the technical columns of a curated row. ``file_path``/``file_name`` default to empty text; pass
-    ``F.col("_metadata.file_path")`` for file sources."""
+def technical_values(batch_time: datetime, elt_id: str, run_id: str, file_path: Column | None = None, file_name: Column | None = None) -> dict[str, Column]:
+    """The technical columns that are the same for all rows of a batch (or tell of a row's file)."""
     batch = F.lit(batch_time)
     none = F.lit("")
-    return df.withColumns({
-        "dl_rowhash": row_hash(df),
+    return {
         "dl_partitionkey": F.date_format(batch, "yyyyMMdd"),
         "dl_iscurrent": F.lit(1),
         "dl_recordstartdateutc": batch,
@@ -77,7 +73,15 @@ def add_technical_columns(
         "dl_eltid": F.lit(elt_id),
         "dl_runid": F.lit(run_id),
         "dl_is_deleted": F.lit(0),
-    })
+    }
+
+
+def add_technical_columns(
+    df: DataFrame, batch_time: datetime, elt_id: str, run_id: str, file_path: Column | None = None, file_name: Column | None = None
+) -> DataFrame:
+    """Stamp the technical columns of a curated row. ``file_path``/``file_name`` default to empty text; pass
+    ``F.col("_metadata.file_path")`` for file sources."""
+    return df.withColumns({"dl_rowhash": row_hash(df), **technical_values(batch_time, elt_id, run_id, file_path, file_name)})
 
 
 def with_year_month(df: DataFrame, ts: str, prefix: str | None = None) -> DataFrame:

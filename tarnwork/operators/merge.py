@@ -12,13 +12,14 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tarnwork.functions.columns import lit_like
 from tarnwork.operators.keys import assert_unique, join_null_safe
 from tarnwork.operators.skew import broadcast_limit, fits_broadcast, key_profile
 from tarnwork.operators.windows import dense_number, latest_per_key
+from tarnwork.session import cut
 
 
 def sync_columns(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -35,14 +36,19 @@ def any_differs(cols: list[str], left: str = "t", right: str = "s") -> Column:
     return reduce(lambda a, b: a | b, [~F.col(f"{left}_{c}").eqNullSafe(F.col(f"{right}_{c}")) for c in cols])
 
 
+# What a merge did to a row, as its ``action`` column tells (null where the row stayed as it was).
+INSERTED, UPDATED = "inserted", "updated"
+
+
 def merge_rows(
     target: DataFrame, source: DataFrame, keys: list[str], update: dict[str, Column], insert: dict[str, Column] | None,
-    matched: Column | None = None, null_safe: bool = False, small: bool | None = None,
+    matched: Column | None = None, null_safe: bool = False, small: bool | None = None, insert_when: Column | None = None, action: str | None = None,
 ) -> DataFrame:
-    """The common core. Inside ``update``, ``insert`` and ``matched`` target columns are called ``t_<name>`` and source
-    columns ``s_<name>``. ``update`` values replace target columns of matched rows that satisfy ``matched``; ``insert``
-    gives the columns of unmatched source rows, or is ``None`` for no insert. ``small`` says whether the source was
-    measured to fit a broadcast; it is measured here when not given.
+    """The common core. Inside ``update``, ``insert``, ``matched`` and ``insert_when`` target columns are called
+    ``t_<name>`` and source columns ``s_<name>``. ``update`` values replace target columns of matched rows that satisfy
+    ``matched``; ``insert`` gives the columns of unmatched source rows, all of them or those that satisfy
+    ``insert_when``, or is ``None`` for no insert. ``small`` says whether the source was measured to fit a broadcast; it
+    is measured here when not given. ``action`` names a further column that tells what was done to each row.
     """
     cols = target.columns
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"))
@@ -53,20 +59,28 @@ def merge_rows(
     if matched is not None:
         hit = hit & F.coalesce(matched, F.lit(False))
     changed = {c: F.when(hit, update[c]).otherwise(F.col(f"t_{c}")) if c in update else F.col(f"t_{c}") for c in cols}
+    done = [action] if action else []
+    changed |= {c: F.when(hit, F.lit(UPDATED)) for c in done}
 
     if small is None:
         small = fits_broadcast(source)
     if insert is None or small:
-        kept = t.join(F.broadcast(s) if small else s, on, "left").select(*[changed[c].alias(c) for c in cols])
+        kept = t.join(F.broadcast(s) if small else s, on, "left").select(*[changed[c].alias(c) for c in [*cols, *done]])
         if insert is None:
             return kept
-        present = t.join(F.broadcast(s.select(*[f"s_{k}" for k in keys])), on, "left_semi").select(*[F.col(f"t_{k}") for k in keys])
+        present = t.join(F.broadcast(s.select(*[f"s_{k}" for k in keys])), on, "left_semi").select(*[F.col(f"t_{k}") for k in keys]).distinct()
         same = [(s[f"s_{k}"].eqNullSafe(present[f"t_{k}"]) if null_safe else s[f"s_{k}"] == present[f"t_{k}"]) for k in keys]
-        new = s.join(present, reduce(lambda a, b: a & b, same), "left_anti")
-        return kept.unionByName(new.select(*[insert[c].alias(c) for c in cols]))
+        fresh = s if insert_when is None else s.filter(insert_when)
+        # At most the keys of the small source come out of the target, so they are broadcast as well.
+        new = fresh.join(F.broadcast(present), reduce(lambda a, b: a & b, same), "left_anti")
+        return kept.unionByName(new.select(*[insert[c].alias(c) for c in cols], *[F.lit(INSERTED).alias(c) for c in done]))
 
     both = t.join(s, on, "full")
-    return both.select(*[F.when(F.col("_t"), changed[c]).otherwise(insert[c]).alias(c) for c in cols])
+    if insert_when is not None:
+        both = both.filter(F.col("_t") | F.coalesce(insert_when, F.lit(False)))
+    here = F.coalesce(F.col("_t"), F.lit(False))
+    insert = insert | {c: F.lit(INSERTED) for c in done}
+    return both.select(*[F.when(here, changed[c]).otherwise(insert[c]).alias(c) for c in [*cols, *done]])
 
 
 def check_source(source: DataFrame, keys: list[str]) -> bool:
@@ -96,27 +110,30 @@ def merge_insert_only(target: DataFrame | None, source: DataFrame, keys: list[st
 
 
 def merge_upsert(
-    target: DataFrame | None, source: DataFrame, keys: list[str], condition: list[str] | None = None, keep: list[str] | None = None
+    target: DataFrame | None, source: DataFrame, keys: list[str], condition: list[str] | None = None, keep: list[str] | None = None,
+    action: str | None = None,
 ) -> DataFrame:
     """Replace matched rows, insert the others. With ``condition`` a matched row is replaced only if one of those
-    columns differs; ``keep`` names columns that retain the target's value. ``target=None`` is the first load."""
+    columns differs; ``keep`` names columns that retain the target's value. ``target=None`` is the first load. With
+    ``action`` every row also tells what was done to it."""
     small = check_source(source, keys)
     if target is None:
-        return source
+        return source.withColumn(action, F.lit(INSERTED)) if action else source
     t, s = sync_columns(target, source)
     fixed = {*keys, *(keep or [])}
     update = {c: F.col(f"s_{c}") for c in t.columns if c not in fixed}
     insert = {c: F.col(f"s_{c}") for c in t.columns}
-    return merge_rows(t, s, keys, update, insert, any_differs(condition) if condition else None, small=small)
+    return merge_rows(t, s, keys, update, insert, any_differs(condition) if condition else None, small=small, action=action)
 
 
 def merge_on_hash(
-    target: DataFrame | None, source: DataFrame, keys: list[str], hash_col: str = "dl_rowhash", keep: list[str] | None = None
+    target: DataFrame | None, source: DataFrame, keys: list[str], hash_col: str = "dl_rowhash", keep: list[str] | None = None,
+    action: str | None = None,
 ) -> DataFrame:
     """Upsert that rewrites a matched row only when its row hash differs; the creation time stays the target's."""
     kept = keep if keep is not None else ["dl_createddateutc"]
     kept = [c for c in kept if target is None or c in target.columns]
-    return merge_upsert(target, source, keys, [hash_col], kept)
+    return merge_upsert(target, source, keys, [hash_col], kept, action)
 
 
 def merge_update_columns(target: DataFrame, source: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
@@ -138,9 +155,12 @@ def update_where(target: DataFrame, cond: Column, values: dict[str, object]) ->
 
 
 def overwrite_by_key(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Delete every target row whose key occurs in the source, then add the source (which may repeat a key)."""
+    """Delete every target row whose key occurs in the source, then add the source (which may repeat a key). The source's
+    keys are measured: few are broadcast and the target is not moved. Null keys match nothing."""
     t, s = sync_columns(target, source)
-    return t.join(source.select(*keys).distinct(), keys, "left_anti").select(*t.columns).unionByName(s)
+    gone = source.select(*keys).distinct()
+    gone = F.broadcast(gone) if fits_broadcast(gone) else gone
+    return t.join(gone, keys, "left_anti").select(*t.columns).unionByName(s)
 
 
 def capture_deletes(target: DataFrame, snapshot: DataFrame, keys: list[str], flag: str = "is_deleted") -> DataFrame:
@@ -173,12 +193,31 @@ def assign_identity(target: DataFrame | None, source: DataFrame, bus_keys: list[
     return old.select(id_col, *source.columns).unionByName(fresh.select(id_col, *source.columns))
 
 
+class LoadCounts:
+    """Rows inserted and updated, counted while a merge with an ``action`` column is written: no second pass, no join.
+
+    ``watch`` wraps the frame to write and takes the column away; ``counts`` is known once that write has ended.
+    """
+
+    def __init__(self, action: str):
+        self.action, self.seen = action, Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        done = F.col(self.action)
+        counts = [F.count(F.lit(1)).alias("rows_total"), *[F.count(F.when(done == kind, 1)).alias(f"rows_{kind}") for kind in (INSERTED, UPDATED)]]
+        return df.observe(self.seen, *counts).drop(self.action)
+
+    def counts(self) -> dict[str, int]:
+        return {k: int(v or 0) for k, v in self.seen.get.items()}
+
+
 def merge_metrics(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: rows inserted, updated and deleted between two states of a table with unique keys."""
+    """One row: rows inserted, updated and deleted between two states of a table with unique keys; null keys match null
+    keys. For states that are at hand without the load that made them, which counts them itself (``LoadCounts``)."""
     cols = [c for c in after.columns if c in before.columns and c not in keys]
-    b = before.select(*keys, *[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_b"))
-    a = after.select(*keys, *[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_a"))
-    both = b.join(a, keys, "full")
+    b = before.select(*[F.col(k).alias(f"t_{k}") for k in keys], *[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_b"))
+    a = after.select(*[F.col(k).alias(f"s_{k}") for k in keys], *[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_a"))
+    both = b.join(a, reduce(lambda x, y: x & y, [b[f"t_{k}"].eqNullSafe(a[f"s_{k}"]) for k in keys]), "full")
     differs = any_differs(cols) if cols else F.lit(False)
     return both.agg(
         F.count(F.when(F.col("_b").isNull(), 1)).alias("rows_inserted"),
@@ -253,7 +292,8 @@ def cdc_apply(
     missing = {"dl_is_deleted", "dl_iscurrent", "dl_lastmodifiedutc"} - set(target.columns)
     if missing:
         raise ValueError(f"the target lacks {', '.join(sorted(missing))}")
-    net = cdc_net_changes(changes, keys, op, lsn, seq, last_lsn).drop(lsn, seq, "is_deleted")
+    # The merge reads the net feed several times; it is worked out and written once.
+    net = cut(cdc_net_changes(changes, keys, op, lsn, seq, last_lsn).drop(lsn, seq, "is_deleted"), "net")
     business = [c for c in net.columns if c not in (op, *keys)]
     t, _ = sync_columns(target, net.drop(op))
     gone = F.col(f"s_{op}") == OP_DELETE
@@ -267,7 +307,5 @@ def cdc_apply(
         for c in t.columns
     }
     matched = F.when(gone, F.col("t_dl_is_deleted") == 0).otherwise(differs)
-    # A delete without a target row must not be inserted, so those changes leave before the merge.
-    live = net.filter(F.col(op) != OP_DELETE)
-    dead = net.filter(F.col(op) == OP_DELETE).join(target.select(*keys), keys, "left_semi")
-    return merge_rows(t, live.unionByName(dead), keys, update, insert, matched)
+    # A delete without a target row is not inserted.
+    return merge_rows(t, net, keys, update, insert, matched, insert_when=~gone)

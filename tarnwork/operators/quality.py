@@ -109,15 +109,15 @@ def _between(value: Column, low, high) -> Column:
     return ok
 
 
-def with_rule_flags(df: DataFrame, rules: list[Rule]) -> DataFrame:
+def with_rule_flags(df: DataFrame, rules: list[Rule], among: Column | None = None) -> DataFrame:
     """A boolean ``dq_<name>`` per row-level rule. Row rules are plain column conditions; a uniqueness rule joins the
-    repeated keys only, found by a combined count."""
+    repeated keys only, found by a combined count. ``among`` limits the rows that count as repeating a key."""
     out = df
     for rule in rules:
         check_rule(rule)
         if rule.type in UNIQUE_RULES:
             cols = rule.kwargs.get("column_list") or [rule.kwargs["column"]]
-            known = df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
+            known = df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols], F.lit(True) if among is None else among))
             twice = known.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*cols, F.lit(True).alias("_twice"))
             out = join_null_safe(out, twice, cols, "left").withColumn(f"dq_{rule.name}", F.col("_twice").isNull()).drop("_twice")
         elif rule.type not in TABLE_RULES:
@@ -126,19 +126,22 @@ def with_rule_flags(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def apply_rules(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(clean, failed, metrics).
+    """(clean, failed, metrics) of rows that have no flags yet, see ``judge``."""
+    return judge(with_rule_flags(df, rules), rules, df.columns)
 
-    ``clean`` has the input's columns; ``failed`` adds ``failed_rules`` (comma-separated); ``metrics`` has one row per
+
+def judge(flagged: DataFrame, rules: list[Rule], columns: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(clean, failed, metrics) of rows with the flags of ``with_rule_flags``.
+
+    ``clean`` has the given columns; ``failed`` adds ``failed_rules`` (comma-separated); ``metrics`` has one row per
     rule: evaluated, failed, success. All row rules share one pass. A rule with ``mostly`` succeeds when at least that
     share of the rows passes; the rows that fail it are failed rows all the same.
     """
-    flagged = with_rule_flags(df, rules)
     names = [r.name for r in rules if r.type not in TABLE_RULES]
-    flags = [F.col(f"dq_{n}") for n in names]
-    ok = reduce(lambda a, b: a & b, flags, F.lit(True))
-    clean = flagged.filter(ok).select(*df.columns)
+    ok = reduce(lambda a, b: a & b, [F.col(f"dq_{n}") for n in names], F.lit(True))
+    clean = flagged.filter(ok).select(*columns)
     broken = F.concat_ws(",", *[F.when(~F.col(f"dq_{n}"), F.lit(n)) for n in names]) if names else F.lit("")
-    failed = flagged.filter(~ok).select(*df.columns, broken.alias("failed_rules"))
+    failed = flagged.filter(~ok).select(*columns, broken.alias("failed_rules"))
 
     sums = flagged.agg(
         F.count(F.lit(1)).alias("_rows"), *[F.count(F.when(~F.col(f"dq_{n}"), 1)).alias(f"_f_{n}") for n in names]
@@ -154,7 +157,8 @@ def apply_rules(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame,
             F.lit(r.name).alias("rule_name"), F.lit(r.type).alias("rule_type"), F.col("_rows").alias("evaluated_rows"),
             bad.alias("failed_rows"), good.alias("success"),
         ))
-    metrics = sums.select(F.explode(F.array(*entries)).alias("m")).select("m.*")
+    none = F.array().cast("array<struct<rule_name:string,rule_type:string,evaluated_rows:bigint,failed_rows:bigint,success:boolean>>")
+    metrics = sums.select(F.explode(F.array(*entries) if entries else none).alias("m")).select("m.*")
     return clean, failed, metrics
 
 

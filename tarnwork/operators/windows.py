@@ -106,32 +106,23 @@ def duplicate_counts(df: DataFrame, keys: list[str], out: str = "_copies") -> Da
     return join_null_safe(df, counts, keys, "inner")
 
 
-def split_duplicates(
-    df: DataFrame, keys: list[str], policy: str = QUARANTINE_ALL, order: list[Column] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(clean, duplicates): together exactly the input.
+def mark_duplicates(df: DataFrame, keys: list[str], policy: str = QUARANTINE_ALL, order: list[Column] | None = None, out: str = "is_copy") -> DataFrame:
+    """Every row with the mark whether its key's duplicates put it out.
 
-    * ``quarantine_all_duplicates``: a key that occurs more than once goes out whole.
-    * ``retain_one_duplicate``: the first row in ``order`` stays, the rest goes out.
-    * ``retain_all_duplicate``: everything stays; duplicates are reported only.
+    * ``quarantine_all_duplicates``: all rows of a key that occurs more than once are marked.
+    * ``retain_one_duplicate``: all but the first row in ``order`` are marked.
+    * ``retain_all_duplicate``: marked like the first policy, for reporting; the rows stay.
     """
     if policy in (QUARANTINE_ALL, RETAIN_ALL):
-        counted = duplicate_counts(df, keys)
-        duplicates = counted.filter("_copies > 1").drop("_copies")
-        clean = df if policy == RETAIN_ALL else counted.filter("_copies = 1").drop("_copies")
-        return clean, duplicates
+        return duplicate_counts(df, keys).withColumn(out, F.col("_copies") > 1).select(*df.columns, out)
     if policy != RETAIN_ONE:
         raise ValueError(f"unknown duplicate policy {policy!r}")
     if not order:
         raise ValueError("retain_one_duplicate needs an order, or the survivor is arbitrary")
-    return _retain_one(df, keys, order)
-
-
-def _retain_one(df: DataFrame, keys: list[str], order: list[Column]) -> tuple[DataFrame, DataFrame]:
     hot = hot_keys(df, keys)
     if hot is None:
-        ranked = df.withColumn("_rn", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-        return ranked.filter("_rn = 1").drop("_rn"), ranked.filter("_rn > 1").drop("_rn")
+        rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+        return df.withColumn("_rn", rank).select(*df.columns, (F.col("_rn") > 1).alias(out))
     # Two rounds for hot keys: the first among the rows of one salt, then among the winners of the salts (at most one
     # per salt). The salt is the scan partition, as identical copies cannot be told apart by their content.
     salts = shuffle_partitions(df.sparkSession)
@@ -143,9 +134,18 @@ def _retain_one(df: DataFrame, keys: list[str], order: list[Column]) -> tuple[Da
     winners = first.filter("_rn = 1").withColumn(
         "_final", F.row_number().over(W.partitionBy(*keys).orderBy(*order, F.col("_salt")))
     )
-    clean = winners.filter("_final = 1").select(*df.columns)
-    out = first.filter("_rn > 1").select(*df.columns).unionByName(winners.filter("_final > 1").select(*df.columns))
-    return clean, out
+    losers = first.filter("_rn > 1").select(*df.columns, F.lit(True).alias(out))
+    return losers.unionByName(winners.select(*df.columns, (F.col("_final") > 1).alias(out)))
+
+
+def split_duplicates(
+    df: DataFrame, keys: list[str], policy: str = QUARANTINE_ALL, order: list[Column] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(clean, duplicates) by the marks of ``mark_duplicates``: together exactly the input, but for
+    ``retain_all_duplicate``, where everything stays clean and duplicates are reported only."""
+    marked = mark_duplicates(df, keys, policy, order, "_out")
+    clean = df if policy == RETAIN_ALL else marked.filter("NOT _out").drop("_out")
+    return clean, marked.filter("_out").drop("_out")
 
 
 def drop_dups(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

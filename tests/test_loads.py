@@ -1,6 +1,8 @@
 """Merges, sinks, streaming loads and the two drivers."""
 
-from datetime import datetime
+import os
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from conftest import rows
@@ -13,6 +15,7 @@ from tarnwork.operators.quality import Rule
 from tarnwork.plans import chain, ingest
 from tarnwork.session import run_dir
 from tarnwork.sources import extracts, files, writer
+from tarnwork.sources import runs as runs_module
 from tarnwork.streaming import loader
 
 T = datetime(2025, 1, 1)
@@ -129,11 +132,11 @@ def test_replayed_batch_writes_the_same_version(spark, old, new):
     a, b = old.filter("id IS NOT NULL"), new.filter("id IS NOT NULL")
     for batch, number in ((a, 0), (b, 1), (b, 1)):
         loader.load_batch(batch, number, "merge", path, ["id"])
-    assert rows(loader.read_version(spark, path)) == rows(m.merge_upsert(a, b, ["id"]))
+    assert rows(loader.read_table(spark, path)) == rows(m.merge_upsert(a, b, ["id"]))
     inserts = run_dir(spark, "inserts")
     for batch, number in ((a, 0), (b, 1), (b, 1)):
         loader.load_batch(batch, number, "append_new", inserts, ["id"])
-    assert rows(loader.read_batches(spark, inserts)) == rows(m.merge_insert_only(a, b, ["id"]))
+    assert rows(loader.read_table(spark, inserts)) == rows(m.merge_insert_only(a, b, ["id"]))
     with pytest.raises(ValueError):
         loader.load_batch(a, 2, "upside_down", path, ["id"])
 
@@ -174,18 +177,127 @@ def test_chain_strategies(spark, strategy, expected):
 CONFIG = {"curatedProperties": {"primaryKeyList": ["ID"], "duplicateCheckEnabled": True, "duplicateCheckQuarantineType": "quarantine_all_duplicates", "targetLoadType": "merge"}}
 
 
-def test_ingest_advances_the_mark_only_after_the_load(spark, old):
+def in_shared(spark):
+    return {p for p in os.listdir(spark.conf.get("spark.checkpoint.dir"))}
+
+
+def test_ingest_advances_the_mark_only_after_the_load(spark):
     path = run_dir(spark, "t")
     src = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (2, "c", 3.0)], "id int, v string, x double")
     strict = [Rule("small", "expect_column_values_to_be_between", {"column": "x", "max_value": 0.5})]
-    result, mark = ingest.ingest_table(spark, CONFIG, src, path, T, "e", "r", strict, mark="x", previous_mark=0.0)
-    assert result.table is None and mark == 0.0 and writer.read_current(spark, path) is None
-    result, mark = ingest.ingest_table(spark, CONFIG, src, path, T, "e", "r", mark="x", previous_mark=0.0)
-    assert mark == 3.0 and rows(result.table, "id", "v") == [(1, "a")]
-    assert rows(result.duplicates, "id", "v", "log_status") == [(2, "b", "Quarantined"), (2, "c", "Quarantined")]
-    again, _ = ingest.ingest_table(spark, CONFIG, src, path, T, "e", "r2", mark="x", previous_mark=3.0)
-    assert rows(again.table, "id", "dl_runid") == [(1, "r")]
-    assert rows(again.metrics()) == [(0, 0, 0)]
+    runs = ingest.ingest_table(spark, CONFIG, src, path, T, "e", "r", strict, mark="x")
+    assert runs.read(ingest.TARGET) is None and "mark" not in runs.state()
+    assert rows(runs.read(ingest.QUARANTINE), "id", "quarantine_type", "failed_rules") == [(1, "Rule", "small"), (2, "Duplicate", None), (2, "Duplicate", None)]
+    runs = ingest.ingest_table(spark, CONFIG, src, path, T, "e", "r", mark="x")
+    assert runs.state()["mark"] == 3.0 and rows(runs.read(ingest.TARGET), "id", "v") == [(1, "a")]
+    again = ingest.ingest_table(spark, CONFIG, src, path, T, "e", "r2", mark="x")
+    assert rows(again.read(ingest.TARGET), "id", "dl_runid") == [(1, "r")] and again.state()["mark"] == 3.0
+    assert rows(again.read(ingest.METRICS), "run_id", "success", "source_rows", "rows_inserted", "rows_updated", "rows_deleted") == [
+        ("r", False, 3, 0, 0, 0), ("r", True, 3, 1, 0, 0), ("r2", True, 0, 0, 0, 0)]
+    assert rows(again.read(ingest.LOG), "etl_id", "quarantine_type", "total_rows", "primary_key_list") == [("r", "Duplicate", 2, "id"), ("r", "Duplicate", 2, "id"), ("r", "Rule", 1, "id")]
+
+
+def test_a_run_counts_as_a_whole_or_not_at_all(spark, monkeypatch):
+    """Killed before each of its writes in turn, a run leaves what was there, and the next one starts from the old mark."""
+    path = run_dir(spark, "t")
+    first, second = ([(i, "a", float(i)) for i in ids] for ids in (range(1, 4), range(1, 8)))
+    kind = "id int, v string, x double"
+    ingest.ingest_table(spark, CONFIG, spark.createDataFrame(first, kind), path, T, "e", "r1", mark="x")
+    write, at = runs_module.Run.write, [0]
+    for stop in range(5):
+        def failing(self, *args, stop=stop, **more):
+            at[0] += 1
+            if at[0] == stop + 1:
+                raise RuntimeError("killed")
+            return write(self, *args, **more)
+
+        at[0] = 0
+        with monkeypatch.context() as patch:
+            if stop < 4:
+                patch.setattr(runs_module.Run, "write", failing)
+            else:
+                patch.setattr(runs_module.Run, "commit", lambda self, **state: (_ for _ in ()).throw(RuntimeError("killed")))
+            with pytest.raises(RuntimeError, match="killed"):
+                ingest.ingest_table(spark, CONFIG, spark.createDataFrame(second, kind), path, T, "e", "r2", mark="x")
+        held = runs_module.Runs(spark, path)
+        assert held.state()["mark"] == 3.0 and rows(held.read(ingest.TARGET), "id") == [(1,), (2,), (3,)] and held.read(ingest.METRICS).count() == 1
+    held = ingest.ingest_table(spark, CONFIG, spark.createDataFrame(second, kind), path, T, "e", "r2", mark="x")
+    assert held.state()["mark"] == 7.0 and rows(held.read(ingest.TARGET), "id", "dl_runid") == [(i, "r1" if i < 4 else "r2") for i in range(1, 8)]
+    held.expire()
+    assert len(os.listdir(f"{path}/target")) == 1 and len(os.listdir(f"{path}/load_metrics")) == 2
+    assert rows(held.read(ingest.METRICS), "run_id", "source_rows") == [("r1", 3), ("r2", 4)]
+
+
+def test_a_source_that_grows_during_the_load_loses_nothing(spark, monkeypatch):
+    path, feed = run_dir(spark, "t"), run_dir(spark, "feed")
+    kind = "id int, v string, x double"
+    spark.createDataFrame([(1, "a", 1.0)], kind).write.parquet(feed)
+    plan = ingest.load_plan
+
+    def slow(*args):
+        spark.createDataFrame([(2, "b", 2.0)], kind).write.mode("append").parquet(feed)
+        return plan(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "load_plan", slow)
+        runs = ingest.ingest_table(spark, CONFIG, spark.read.parquet(feed), path, T, "e", "r1", mark="x")
+    assert runs.state()["mark"] == 1.0 and rows(runs.read(ingest.TARGET), "id") == [(1,)]
+    runs = ingest.ingest_table(spark, CONFIG, spark.read.parquet(feed), path, T, "e", "r2", mark="x")
+    assert runs.state()["mark"] == 2.0 and rows(runs.read(ingest.TARGET), "id") == [(1,), (2,)]
+
+
+def test_two_runs_from_one_marker_cannot_both_end(spark):
+    runs = runs_module.Runs(spark, run_dir(spark, "t"))
+    one, two = runs.begin(), runs.begin()
+    for run, value in ((one, 1), (two, 2)):
+        run.write("target", spark.range(value))
+    one.commit(mark=datetime(2024, 1, 2, 3, 4, 5, 6), day=date(2024, 1, 2), size=Decimal("1.50"))
+    with pytest.raises(FileExistsError):
+        two.commit()
+    assert runs.read("target").count() == 1 and runs.numbers() == [0]
+    assert runs.state() == {"mark": datetime(2024, 1, 2, 3, 4, 5, 6), "day": date(2024, 1, 2), "size": Decimal("1.50")}
+    with pytest.raises(ValueError, match="already"):
+        run = runs.begin()
+        run.write("target", spark.range(1))
+        run.write("target", spark.range(1))
+
+
+@pytest.mark.parametrize("kind, want, counts", [
+    ("overwrite", [(2, "B"), (3, "c")], [(2, 0, 0), (2, 0, 2)]), ("append", [(1, "a"), (2, "B"), (2, "b"), (3, "c")], [(2, 0, 0), (2, 0, 0)]),
+    ("merge", [(1, "a"), (2, "B"), (3, "c")], [(1, 1, 0), (2, 0, 0)]),
+])
+def test_load_types_are_counted_while_written(spark, kind, want, counts):
+    config = {"curatedProperties": {"primaryKeyList": ["id"], "targetLoadType": kind, "columnList": ["id", "v"]}}
+    path = run_dir(spark, "t")
+    for n, data in enumerate([[(1, "a", 1), (2, "b", 1)], [(2, "B", 2), (3, "c", 2)]]):
+        runs = ingest.ingest_table(spark, config, spark.createDataFrame(data, "id int, v string, at int"), path, T, "e", f"r{n}", mark="at + 0")
+    assert rows(runs.read(ingest.TARGET), "id", "v") == want and runs.state()["mark"] == 2
+    assert rows(runs.read(ingest.METRICS), "rows_inserted", "rows_updated", "rows_deleted") == counts
+
+
+def test_intermediate_tables_go_with_the_run(spark, monkeypatch):
+    path = run_dir(spark, "t")
+    src = spark.createDataFrame([(1, "a", 1.0)], "id int, v string, x double")
+    ingest.ingest_table(spark, CONFIG, src, path, T, "e", "r1")
+    before = in_shared(spark)
+    ingest.ingest_table(spark, CONFIG, src, path, T, "e", "r2")
+    assert in_shared(spark) == before
+    with monkeypatch.context() as patch:
+        patch.setattr(runs_module.Run, "commit", lambda self, **state: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            ingest.ingest_table(spark, CONFIG, src, path, T, "e", "r3")
+    left = in_shared(spark) - before
+    assert left and all(spark.read.parquet(f"{spark.conf.get('spark.checkpoint.dir')}/{p}").count() == 1 for p in left)
+
+
+@pytest.mark.parametrize("limit", ["1", "67108864"])
+def test_a_table_merged_with_itself_has_no_changes(spark, settings, limit):
+    settings(broadcastBytes=limit)
+    table = spark.createDataFrame([(1, "a"), (None, "b")], "id int, v string")
+    assert rows(m.merge_metrics(table, table, ["id"])) == [(0, 0, 0)]
+    tally = m.LoadCounts("done")
+    merged = tally.watch(m.merge_upsert(table.filter("id = 1"), table, ["id"], ["v"], action="done"))
+    assert rows(merged, "id", "v") == [(1, "a"), (None, "b")] and tally.counts() == {"rows_total": 2, "rows_inserted": 1, "rows_updated": 0}
 
 
 def test_config_errors():
