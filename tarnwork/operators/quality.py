@@ -182,6 +182,7 @@ def check_constraint(df: DataFrame, col: str, out: str = "is_valid") -> DataFram
     return df.withColumn(out, F.coalesce(ok, F.lit(False)).cast("int"))
 
 
+# The columns of a rule table.
 RULE_COLUMNS = [
     "dq_rule_id", "data_product_name", "sub_domain_name", "dq_rule_description", "dq_rule_constraint", "dq_rule_dimension",
     "dq_screen_type", "dq_rule_applicable_lakehouse", "dq_rule_applicable_schema", "dq_rule_applicable_object",

@@ -83,7 +83,7 @@ def dim_with_archive(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def dim_simple(codes: DataFrame, field: str = "carrier", program: str = "*", special: str = "azguard") -> DataFrame:
+def dim_simple(codes: DataFrame, special: str, field: str = "carrier", program: str = "*") -> DataFrame:
     """Carriers from the code table, the special one as non-admitted, sorted by code."""
     rows = codes.filter((F.lower("keyfield") == field) & (F.lower("programid") == program)).select(
         F.col("vals").alias("carrier_cd_bus_key"), F.col("descrip").alias("carrier_nm"), F.when(F.lower("descrip") == special, "Non-admitted").otherwise("Admitted").alias("carrier_type"),

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tarnwork.functions.columns import classify, norm
 from tarnwork.operators.aggregates import all_of
 from tarnwork.operators.windows import latest_per_key
-from tarnwork.plans.transactions import TEST_AGENCY, history_columns
+from tarnwork.plans.transactions import House, history_columns
 
+# Stands in the table for the status of a renewal that the insurer itself refuses, which names the insurer.
+HOUSE_DECLINED = ""
 # The decision table: attribute values a policy must have -> status. The first row that fits decides. Attributes:
 # kind (new, renewal), rewrite (w, x), canceled, cancel (flat, short rate, pro-rata), prelim (still a preliminary
 # submission), declined (agency, uw), priced (has a premium estimate), auto (automatic underwriting declined),
@@ -41,7 +43,7 @@ STATUS_TABLE: list[tuple[dict, str]] = [
     ({"kind": "r", "issued": True, "canceled": False, "paid": False}, "rn - issued not paid"),
     ({"kind": "r", "issued": True, "canceled": True, "cancel": "s"}, "rn - canceled short rate"),
     ({"kind": "r", "issued": True, "canceled": True, "cancel": "p"}, "rn - canceled pro-rata"),
-    ({"kind": "r", "issued": False, "declined": "uw"}, "rn - guard declined"),
+    ({"kind": "r", "issued": False, "declined": "uw"}, HOUSE_DECLINED),
     ({"kind": "r", "issued": False, "declined": "agency", "offered": True}, "rn - quote not taken"),
     ({"kind": "r", "issued": True, "canceled": True, "cancel": "f"}, "rn - quote not taken"),
     ({"kind": "r", "issued": False, "offered": True}, "rn - open quote"),
@@ -58,7 +60,12 @@ def low(col: str) -> Column:
     return F.lower(F.trim(F.col(col)))
 
 
-def status_of(attributes: dict[str, Column]) -> Column:
+def status_table(house: House) -> list[tuple[dict, str]]:
+    """The decision table with the insurer's own name for what it refuses."""
+    return [(wanted, status or house.refuses_as) for wanted, status in STATUS_TABLE]
+
+
+def status_of(attributes: dict[str, Column], house: House) -> Column:
     """The status by the decision table."""
     def fits(name: str, value) -> Column:
         col = attributes[name]
@@ -66,7 +73,7 @@ def status_of(attributes: dict[str, Column]) -> Column:
             return col.isin("w", "x")
         return col == F.lit(value)
 
-    return classify([(all_of([fits(n, v) for n, v in wanted.items()]), status) for wanted, status in STATUS_TABLE], DEFAULT_STATUS)
+    return classify([(all_of([fits(n, v) for n, v in wanted.items()]), status) for wanted, status in status_table(house)], DEFAULT_STATUS)
 
 
 def next_policies(tables: dict[str, DataFrame], policies: DataFrame) -> DataFrame:
@@ -91,10 +98,10 @@ def tagged_priors(tables: dict[str, DataFrame]) -> DataFrame:
     return by_code.filter("has_text = 1 AND has_tag = 1").select("prior_n", F.lit(1).alias("is_tagged"))
 
 
-def dim_lifecycle(tables: dict[str, DataFrame]) -> DataFrame:
+def dim_lifecycle(tables: dict[str, DataFrame], house: House) -> DataFrame:
     """Status, dates and renewal flags of every master policy outside the test agency."""
     policies = tables["insured"].withColumn("code_n", norm("code"))
-    policies = policies.filter((F.col("code_n") == norm("basemgacode")) & (norm("agency") != TEST_AGENCY)).withColumns({
+    policies = policies.filter((F.col("code_n") == norm("basemgacode")) & (norm("agency") != house.test_agency)).withColumns({
         "s7": low("stat7"), "prior_n": norm("renewalofcode"),
     })
     paid = tables["billings"].filter("paymentdate IS NOT NULL").groupBy(norm("code").alias("code_n")).agg(F.min("paymentdate").alias("firstpaid"))
@@ -125,7 +132,7 @@ def dim_lifecycle(tables: dict[str, DataFrame]) -> DataFrame:
         "chased": F.coalesce("was_chased", F.lit(False)), "quoted": quoted, "issued": issued,
         "pending": F.coalesce(text.isin(PENDING) & ~issued, F.lit(False)) | F.coalesce((text == WAITING) & quoted, F.lit(False)),
         "paid": F.col("firstpaid").isNotNull(), "offered": F.col("prior_offer") == "y",
-    })
+    }, house)
     followed = F.col("next_n").isNotNull()
     next_issued = F.col("next_stat2") == "i"
     renewable = (

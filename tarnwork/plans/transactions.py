@@ -6,6 +6,8 @@ each is normalised once, before its first join.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,14 +25,23 @@ RECONCILED = {
     "dq_rule_544": "prem_amt", "dq_rule_545": "fsa_amt", "dq_rule_546": "paa_amt", "dq_rule_547": "sf3_amt", "dq_rule_548": "sf4_amt",
     "dq_rule_549": "sf5_amt", "dq_rule_550": "sf6_amt", "dq_rule_551": "sf7_amt", "dq_rule_552": "comm_amt", "dq_rule_553": "non_comm_prem_amt",
 }
-# Fixed values.
-ADMITTED_LOBS = ["WC", "CA", "DB", "PL", "UM", "UP", "CX", "CP"]
-CLASSED_LOBS = ["WC", "BP"]
-TEST_AGENCY = "PAFAKE10"
-SURPLUS_CARRIER = "PAAZGU10"
-SURPLUS_MARKET = "E&S"
 NO_CLASS = "NOT APPLICABLE"
 
+
+@dataclass(frozen=True)
+class House:
+    """The codes by which one insurer's data names its own things; all in upper case but for names."""
+
+    test_agency: str
+    surplus_carrier: str
+    surplus_market: str
+    admitted_lobs: tuple[str, ...]
+    classed_lobs: tuple[str, ...]
+    special_carrier: str
+    cat_teams: tuple[str, ...]
+    refuses_as: str
+
+
 Frames = dict[str, DataFrame]
 
 
@@ -76,11 +87,11 @@ def with_class(rows: DataFrame, tables: Frames, order: list[Column]) -> DataFram
     }).drop("wc_class", "wc_suffix", "bp_class", "bp_suffix", "bp_id")
 
 
-def master_policies(tables: Frames, without_test: bool) -> DataFrame:
-    """Policies that are their own master, with normalised dimension codes."""
+def master_policies(tables: Frames, test_agency: str | None) -> DataFrame:
+    """Policies that are their own master, without those of a test agency, with normalised dimension codes."""
     i = tables["insured"].withColumn("code_n", norm("code")).filter(F.col("code_n") == norm("basemgacode"))
-    if without_test:
-        i = i.filter(norm("agency") != TEST_AGENCY)
+    if test_agency:
+        i = i.filter(norm("agency") != test_agency)
     return i.withColumns({
         "lob_n": norm("lob"), "agency_n": norm("agency"), "market_n": norm("markettype"), "source_n": norm("productionsrc"), "carrier_n": norm("carrier"),
         "is_canceled": F.coalesce(norm("stat5") == "C", F.lit(False)),
@@ -95,7 +106,7 @@ def extra_rows(tables: Frames) -> DataFrame:
     return tables["mgextra"].select(norm("code").alias("code_n"), norm("naics").alias("naics_n")).distinct()
 
 
-def resolve_policies(policies: DataFrame, tables: Frames, order: list[Column], roles: dict[str, str], names: tuple[str, str, str]) -> DataFrame:
+def resolve_policies(policies: DataFrame, tables: Frames, order: list[Column], roles: dict[str, str], names: tuple[str, str, str], house: House) -> DataFrame:
     """Surrogate keys, dates and cross-dimension flags of each policy.
 
     Everything that depends on the policy alone is looked up here, once per policy; the transactions then take it over
@@ -120,7 +131,7 @@ def resolve_policies(policies: DataFrame, tables: Frames, order: list[Column], r
         (classes, {"class_n": "c1", "suffix_n": "c2", "class_id_n": "c3"}, {"bus_class_key": "bus_class_key"}, {"class_found": "c1"}),
     ])
     dated = date_roles(keyed, tables["dim_date"], roles)
-    flags = cross_rules(names)
+    flags = cross_rules(names, house)
     return dated.select("code_n", *POLICY_KEYS, *roles, *[c.alias(o) for o, c in flags.items()])
 
 
@@ -130,13 +141,13 @@ POLICY_KEYS = [
 ]
 
 
-def cross_rules(names: tuple[str, str, str]) -> dict[str, Column]:
+def cross_rules(names: tuple[str, str, str], house: House) -> dict[str, Column]:
     """The three cross-dimension flags (1 pass, 0 fail) under the given names."""
-    surplus = F.col("market") == SURPLUS_MARKET
+    surplus = F.col("market") == house.surplus_market
     bad = [
-        F.col("lob_found").isin(ADMITTED_LOBS) & surplus,
-        (F.col("carrier_found") == SURPLUS_CARRIER) & ~surplus,
-        ~F.col("lob_found").isin(CLASSED_LOBS) & F.col("class_found").isNotNull(),
+        F.col("lob_found").isin(*house.admitted_lobs) & surplus,
+        (F.col("carrier_found") == house.surplus_carrier) & ~surplus,
+        ~F.col("lob_found").isin(*house.classed_lobs) & F.col("class_found").isNotNull(),
     ]
     return {n: F.when(b, 0).otherwise(1) for n, b in zip(names, bad, strict=True)}
 
@@ -185,9 +196,9 @@ def reconciliation(policies: DataFrame, transactions: DataFrame, tables: Frames)
     return both.select("code_n", *[F.when(F.col(f"f_{m}") * copies == F.col(f"s_{m}"), 1).otherwise(0).alias(flag) for flag, m in RECONCILED.items()])
 
 
-def fact_transactions(tables: Frames) -> DataFrame:
+def fact_transactions(tables: Frames, house: House) -> DataFrame:
     """The transaction fact: dimension keys (-1 when unknown), measures and the quality flags."""
-    policy = master_policies(tables, without_test=True).select(
+    policy = master_policies(tables, house.test_agency).select(
         "code_n", "pobegin", "poexpir", F.when(F.col("is_canceled"), F.col("pocancel")).otherwise(F.col("poexpir")).alias("coverage_end"),
         "lob_n", "agency_n", "market_n", "source_n", "carrier_n", norm(prefer(F.col("decsbr"), F.col("decsbr"), F.col("decuw"))).alias("emp_n"),
     ).distinct()
@@ -195,7 +206,7 @@ def fact_transactions(tables: Frames) -> DataFrame:
     begin = {
         "policy_effec_start_dt_key": "pobegin", "policy_effec_end_dt_key": "poexpir", "policy_coverage_start_dt_key": "pobegin", "policy_coverage_end_dt_key": "coverage_end",
     }
-    policies = resolve_policies(policy, tables, order, begin, ("dq_rule_542", "dq_rule_543", "dq_rule_554"))
+    policies = resolve_policies(policy, tables, order, begin, ("dq_rule_542", "dq_rule_543", "dq_rule_554"), house)
     written, other = transaction_rows(tables)
     policies = policies.join(reconciliation(policy, written, tables), "code_n")
     rows = written.unionByName(other, allowMissingColumns=True)
@@ -209,9 +220,9 @@ def fact_transactions(tables: Frames) -> DataFrame:
     )
 
 
-def fact_detail(tables: Frames) -> DataFrame:
+def fact_detail(tables: Frames, house: House) -> DataFrame:
     """The detail fact of transactions that were not written: one row per source row of a master policy."""
-    policy = choice_key(master_policies(tables, without_test=False), norm("flags19") == "S", "decsbr", "decuw", "emp").select(
+    policy = choice_key(master_policies(tables, None), norm("flags19") == "S", "decsbr", "decuw", "emp").select(
         "code_n", "pobegin", "poexpir", F.when(F.col("is_canceled"), F.col("pocancel")).otherwise(F.col("poexpir")).alias("inforce_end"),
         "lob_n", "agency_n", "market_n", "source_n", "carrier_n", norm("emp").alias("emp_n"),
     )
@@ -219,7 +230,7 @@ def fact_detail(tables: Frames) -> DataFrame:
     begin = {
         "policy_effec_start_dt_key": "pobegin", "policy_effec_end_dt_key": "poexpir", "policy_inforce_start_dt_key": "pobegin", "policy_inforce_end_dt_key": "inforce_end",
     }
-    policies = resolve_policies(policy, tables, order, begin, ("dq_rule_558", "dq_rule_559", "dq_rule_560"))
+    policies = resolve_policies(policy, tables, order, begin, ("dq_rule_558", "dq_rule_559", "dq_rule_560"), house)
     details = tables["mgnotrans"].withColumns({"code_n": norm("code"), "trans_type_n": norm("transcode"), "subtype_n": norm(F.col("typeid").cast("string"))})
     keyed = star_lookup(details.join(policies, "code_n"), [
         (_dim(tables, "dim_policy_trans_type", "policy_trans_type_cd_bus_key", "policy_trans_type_key"), {"trans_type_n": "code_n"}, {"policy_trans_type_key": "policy_trans_type_key"}),

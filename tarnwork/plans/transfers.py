@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.functions.columns import classify
-from tarnwork.operators.joins import asof_latest, exists_flag, lookup_codes
+from tarnwork.operators.joins import asof_latest, lookup_codes
 from tarnwork.operators.windows import running
 
 # Fixed values.
@@ -14,7 +14,6 @@ TRANSFER_TYPES = ["N", "TI", "SN", "RO"]
 REOPENED = "RO"
 SYSTEM_ADJUSTER = 11220
 OPEN_STATES = [0, 2]
-CAT_TEAMS = ["Team - BOP*GUARD CAT", "Team - HO*GUARD CAT", "HO CAT Team*GUARD"]
 GROUPS = {"mcuadj": "mcuadj_YN", "lladj": "lladj_YN", "pdliadj": "pdliadj_YN"}
 
 
@@ -25,12 +24,12 @@ def assignments(stats: DataFrame) -> DataFrame:
     )
 
 
-def claim_type() -> Column:
+def claim_type(cat_teams: tuple[str, ...]) -> Column:
     property_lob, lob = F.upper("lob").isin("BP", "HO"), F.upper("lob")
     damage, liability = F.upper("coveragecategory") == "PD", F.upper("coveragecategory") == "LI"
     return classify([
         (lob.isin("WC", "DB"), F.col("lob_descrip")),
-        (property_lob & F.col("adjustor_name").isin(CAT_TEAMS), "Property"),
+        (property_lob & F.col("adjustor_name").isin(*cat_teams), "Property"),
         (property_lob & damage & (F.upper("complexity") == "FT") & (F.col("lladj_YN") == "N"), "Property / Inland Marine"),
         (property_lob & liability & (F.col("pdliadj_YN") == "Y"), "PD Liability"),
         (property_lob & damage, "Property"),
@@ -39,14 +38,14 @@ def claim_type() -> Column:
     ])
 
 
-def unit() -> Column:
+def unit(cat_teams: tuple[str, ...]) -> Column:
     property_lob, lob = F.upper("lob").isin("BP", "HO"), F.upper("lob")
     mcu = F.col("mcuadj_YN") == "Y"
     return classify([
         (F.col("tpa_YN") == "Y", "TPA"),
         (lob == "DB", "All"),
         (lob == "WC", F.concat("unit_code", F.lit("-WC"))),
-        (property_lob & F.col("adjustor_name").isin(CAT_TEAMS), "CAT Team"),
+        (property_lob & F.col("adjustor_name").isin(*cat_teams), "CAT Team"),
         ((lob == "BP") & (F.upper("coveragecategory") == "PD") & (F.col("lladj_YN") == "Y"), "Large Loss"),
         (property_lob & (F.upper("coveragecategory") == "LI") & mcu, "MCU"),
         ((lob == "CA") & mcu, "MCU"),
@@ -54,8 +53,9 @@ def unit() -> Column:
     ])
 
 
-def stg_transfers(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per assignment of a claimant that is neither void nor transferred.
+def stg_transfers(tables: dict[str, DataFrame], cat_teams: tuple[str, ...]) -> DataFrame:
+    """One row per assignment of a claimant that is neither void nor transferred. ``cat_teams`` names the adjusters that stand
+    for catastrophe teams.
 
     The party in force at the assignment is found by the as-of operator, so an assignment stays one row; sequence and
     previous values come from one running pass per claimant.
@@ -70,10 +70,11 @@ def stg_transfers(tables: dict[str, DataFrame]) -> DataFrame:
     a = a.join(tables["lob"].select("lob", F.replace(F.col("lobdescrip"), F.lit("'"), F.lit("")).alias("lob_descrip")), "lob", "left")
     staff = tables["employee"].select(F.col("userid").alias("adjustor"), F.col("name").alias("adjustor_name"), F.lit(True).alias("is_staff"))
     a = a.join(staff, "adjustor", "left")
-    for group, flag in GROUPS.items():
-        members = tables["user_adjustor_groups"].filter(F.col("adjustor_group") == group)
-        a = exists_flag(a, members, {"adjustor": "userid"}, flag)
-        a = a.withColumn(flag, F.when((F.col(flag) == 1) & F.col("is_staff"), "Y").otherwise("N"))
+    # One row per member with all its groups, so that one join tells them.
+    groups = tables["user_adjustor_groups"].groupBy(F.col("userid").alias("adjustor")).agg(
+        *[F.bool_or(F.col("adjustor_group") == group).alias(f"_{flag}") for group, flag in GROUPS.items()]
+    )
+    a = a.join(groups, "adjustor", "left").withColumns({flag: F.when(F.col(f"_{flag}") & F.col("is_staff"), "Y").otherwise("N") for flag in GROUPS.values()})
 
     codes = tables["lookups"]
     by_lob = codes.filter((F.upper("programid") == "WCCLAIM") & (F.upper("keyfield") == "COVERAGECATEGORY"))
@@ -87,7 +88,7 @@ def stg_transfers(tables: dict[str, DataFrame]) -> DataFrame:
     spelled = codes.withColumn("descrip", F.col("vals"))
     a = lookup_codes(a, spelled, [("claimant", "complexity", "complexity", "complexity_code"), ("business_unit", "business_unit", "businessunit", "unit_code")])
 
-    a = a.withColumns({"claimType": claim_type(), "unit": unit()})
+    a = a.withColumns({"claimType": claim_type(cat_teams), "unit": unit(cat_teams)})
     t = running(a, ["claimantid"], ["enteredon", "adjustorstatsid"], {
         "rcount": ("row_number",), "prevClaimType": ("lag", "claimType"), "prev_unit_bus_key": ("lag", "unit"),
     }, profile=assignments(tables["claims_adjustor_stats"]))

@@ -10,6 +10,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
+from tarnwork.plans.transactions import House
+
 PAYROLL = """SELECT concat('P', CAST(l_orderkey AS STRING)) AS code, p_brand AS classcode, lower(p_type) AS classuffix, l_linestatus AS state, l_extendedprice AS premium,
     l_quantity AS exposure, '1' AS primeseq, CASE WHEN l_linenumber <= 5 THEN '000' ELSE '001' END AS seqcode FROM {lineitem} JOIN {part} ON l_partkey = p_partkey WHERE l_shipdate """
 BUILDINGS = """SELECT concat(' P', CAST(l_orderkey AS STRING)) AS code, p_type AS class, p_brand AS classsuffix, p_size AS bpclass_id, l_extendedprice AS premium, l_quantity AS tiv
@@ -108,6 +110,13 @@ INSURED = {
     "fips": "SELECT concat('S', CAST(n_nationkey AS STRING)) AS state, CAST(n_nationkey AS STRING) AS fips, n_name AS name FROM {nation} UNION ALL SELECT concat('S', CAST(n_nationkey AS STRING)), '7', concat('seven ', n_name) FROM {nation} WHERE n_nationkey <> 7",
 }
 
+# Values of the data that the views imitate: codes and names by which one insurer tells its own things apart.
+HOUSE = House(
+    test_agency="PAFAKE10", surplus_carrier="PAAZGU10", surplus_market="E&S", admitted_lobs=("WC", "CA", "DB", "PL", "UM", "UP", "CX", "CP"),
+    classed_lobs=("WC", "BP"), special_carrier="azguard", cat_teams=("Team - BOP*GUARD CAT", "Team - HO*GUARD CAT", "HO CAT Team*GUARD"),
+    refuses_as="rn - guard declined",
+)
+
 GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
