@@ -174,13 +174,63 @@ def test_chain_strategies(spark, strategy, expected):
     assert not spark.catalog.tableExists("chain_src") and not spark.catalog.tableExists("chain_one")
 
 
-CONFIG = {"curatedProperties": {"primaryKeyList": ["ID"], "duplicateCheckEnabled": True, "duplicateCheckQuarantineType": "quarantine_all_duplicates", "targetLoadType": "merge"}}
-
-
 def in_shared(spark):
     return {p for p in os.listdir(spark.conf.get("spark.checkpoint.dir"))}
 
 
+def chain_spec(strategy="merge", **target):
+    return {"target": {"lakehouse": "l", "schema": "s", "table": "t", "load_strategy": strategy, **target}, "source": [{"name": "chain_src", "table": "x"}],
+            "query": [{"name": "chain_one", "sql": "SELECT * FROM chain_src"}]}
+
+
+def test_chain_numbers_every_appended_row(spark):
+    path, src = run_dir(spark, "t"), spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "id int, v string")
+    spec = chain_spec("append", identity=True, key_columns=["id"])
+    for n in range(2):
+        runs = chain.load_chain(spark, spec, lambda s: src, path, T, f"r{n}")
+    out = runs.read(chain.TARGET)
+    assert sorted(r["t_key"] for r in out.collect()) == [1, 2, 3, 4, 5, 6] and rows(out, "id", "v") == sorted([(1, "a")] * 4 + [(2, "b")] * 2)
+
+
+def test_chain_unknown_record_without_identity(spark):
+    path, src = run_dir(spark, "t"), spark.createDataFrame([(1, "a")], "id int, v string")
+    for n in range(2):
+        runs = chain.load_chain(spark, chain_spec(key_columns=["id"], unknown_record=True), lambda s: src, path, T, f"r{n}")
+    assert rows(runs.read(chain.TARGET), "id", "v") == [(-1, None), (1, "a")]
+    for bad in ({"key_columns": ["id", "v"], "unknown_record": True}, {"key_columns": ["id"], "quarantine_strategy": "burn"}, {"key_columns": ["id"], "colour": "red"}):
+        with pytest.raises(ValueError):
+            chain.load_chain(spark, chain_spec(**bad), lambda s: src, run_dir(spark, "t"), T, "r")
+    with pytest.raises(ValueError, match="number"):
+        chain.load_chain(spark, chain_spec(key_columns=["v"], unknown_record=True), lambda s: src, run_dir(spark, "t"), T, "r")
+
+
+@pytest.mark.parametrize("strategy, times", [("merge", 1), ("append", 2)])
+def test_chain_quarantines_repeated_keys(spark, strategy, times):
+    path, src = run_dir(spark, "t"), spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "n")], "id int, v string")
+    before = in_shared(spark)
+    for n in range(2):
+        runs = chain.load_chain(spark, chain_spec(key_columns=["id"], quarantine_strategy=strategy, partition_by=["v"]), lambda s: src, path, T, f"r{n}")
+    assert in_shared(spark) - before == {path.rsplit("/", 1)[-1]}
+    assert rows(runs.read(chain.QUARANTINE), "id", "v") == sorted([(2, "b"), (2, "c")] * times)
+    assert (1, "a") in rows(runs.read(chain.TARGET), "id", "v") and any("v=a" in f for _, names, _ in os.walk(f"{path}/target") for f in names)
+    with pytest.raises(ValueError, match="source"):
+        chain.load_chain(spark, chain_spec(key_columns=["id"]), lambda s: src, path, T, "r")
+    assert runs.numbers() == [0, 1]
+
+
+def test_chain_reads_incremental_sources_since_the_last_run(spark):
+    path = run_dir(spark, "t")
+    src = spark.createDataFrame([(i, datetime(2024, 1, i)) for i in (1, 2, 3)], "id int, dl_lastmodifiedutc timestamp_ntz")
+    spec = chain_spec("append")
+    spec["source"][0]["incremental"] = True
+    chain.load_chain(spark, spec, lambda s: src.filter("id < 3"), path, datetime(2024, 1, 2), "r1")
+    runs = chain.load_chain(spark, spec, lambda s: src, path, datetime(2024, 1, 4), "r2")
+    assert rows(runs.read(chain.TARGET), "id") == [(1,), (2,), (2,), (3,)] and runs.state()["since"] == datetime(2024, 1, 4)
+
+
+CONFIG = {"curatedProperties": {"primaryKeyList": ["ID"], "duplicateCheckEnabled": True, "duplicateCheckQuarantineType": "quarantine_all_duplicates", "targetLoadType": "merge"}}
+
+
 def test_ingest_advances_the_mark_only_after_the_load(spark):
     path = run_dir(spark, "t")
     src = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (2, "c", 3.0)], "id int, v string, x double")
