@@ -44,6 +44,47 @@ def json_fixed_schema(t):
     return files.read_json_docs(t.spark, path, "event_id bigint, k int, missing string", multi_line=False)
 
 
+def write_lines(lines, path):
+    """One text file (or more) for each value of ``k``, its lines in the order of ``at``."""
+    lines.repartition("k").sortWithinPartitions("k", "at").select("k", "line").write.partitionBy("k").text(path)
+
+
+@query("sheet_skip_rows", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders")
+def sheet_skip_rows(t):
+    """Orders as sheets, one file for each priority, under a title, an empty line and a header."""
+    path = run_dir(t.spark, "sheets")
+    table = t.orders.select("o_orderpriority", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    priority = F.col("o_orderpriority").alias("k")
+    above = table.select(priority).distinct().select("k", F.posexplode(F.array(F.concat(F.lit("Orders;"), "k"), F.lit(""), F.lit("key;status;price;day"))).alias("n", "line"))
+    above = above.select("k", (F.col("n") - 3).cast("long").alias("at"), "line")
+    line = F.concat_ws(";", F.col("o_orderkey").cast("string"), "o_orderstatus", F.col("o_totalprice").cast("string"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    write_lines(table.select(priority, F.col("o_orderkey").alias("at"), line.alias("line")).unionByName(above), path)
+    options = {"header": True, "delimiter": ";", "timestampFormat": "yyyy-MM-dd HH:mm:ss"}
+    return files.read_sheet_csv(t.spark, path, "o_orderkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz", 2, options, recursive=True)
+
+
+@query("sheet_first", """
+    SELECT o_custkey, MIN(CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END) AS "F", MIN(CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END) AS "O"
+    FROM orders GROUP BY o_custkey""")
+def sheet_first(t):
+    """A pivot with the first value per cell."""
+    return files.shape_sheet(t.orders, ["o_custkey", "o_orderstatus", "o_orderpriority"], None, {"columns": "o_orderstatus", "values": "o_orderpriority", "keep": ["F", "O"]})
+
+
+@query("json_multi_line", "SELECT s_suppkey, s_name, s_acctbal, CAST(NULL AS VARCHAR) AS missing, s_nationkey FROM supplier")
+def json_multi_line(t):
+    """Suppliers as documents that go over several lines, one array of them for each nation."""
+    path = run_dir(t.spark, "docs")
+    first = t.supplier.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("lowest"))
+    doc = F.to_json(F.struct("s_suppkey", "s_name", "s_acctbal", F.struct("s_nationkey").alias("nation")), {"pretty": "true"})
+    rows = t.supplier.join(first, "s_nationkey").select(
+        F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("at"), F.concat(F.when(F.col("s_suppkey") == F.col("lowest"), "[").otherwise(","), doc).alias("line"))
+    ends = t.supplier.groupBy(F.col("s_nationkey").alias("k")).agg((F.max("s_suppkey") + 1).alias("at")).withColumn("line", F.lit("]"))
+    write_lines(rows.unionByName(ends), path)
+    out = files.read_json_docs(t.spark, path, "s_suppkey bigint, s_name string, s_acctbal double, missing string, nation struct<s_nationkey: int>")
+    return out.select("s_suppkey", "s_name", "s_acctbal", "missing", F.col("nation.s_nationkey").alias("s_nationkey"))
+
+
 @query("json_map_parse", "SELECT event_id, event_type, json_extract_string(props, '$.k') AS k, 1 AS n_keys FROM events")
 def json_map_parse(t):
     """Two levels: the outer document and its nested map."""

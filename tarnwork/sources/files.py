@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarnwork.operators.skew import fits_broadcast
+
 # Config option name -> Spark reader option, per format.
 OPTION_NAMES = {
     "encoding": "encoding", "header": "header", "inferColumnTypes": "inferSchema", "multiline": "multiLine",
@@ -34,6 +37,43 @@ def read_files(spark: SparkSession, path: str, fmt: str, options: dict | None =
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def with_line_numbers(lines: DataFrame, upto: int) -> DataFrame:
+    """Lines of text files (with ``_metadata``) with ``_line``: the number of the line in its file, from 0, for the first
+    ``upto`` lines at least; null for lines far behind them.
+
+    Within one split of a file rows keep their order, and the splits are told by their offsets in the file. So a count per
+    split (one small row each) says where a split begins, and only splits that begin among the first lines are looked up;
+    all others pass untouched. Nothing is sorted and no file is read by one task alone.
+    """
+    place = lines.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_from"), F.monotonically_increasing_id().alias("_id")
+    )
+    splits = place.groupBy("_file", "_from").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    ahead = F.coalesce(F.sum("_n").over(W.partitionBy("_file").orderBy("_from").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    heads = splits.withColumn("_before", ahead).filter(F.col("_before") < upto).select("_file", "_from", "_first", "_before")
+    heads = F.broadcast(heads) if fits_broadcast(heads) else heads
+    numbered = place.join(heads, ["_file", "_from"], "left").withColumn("_line", F.col("_id") - F.col("_first") + F.col("_before"))
+    return numbered.drop("_file", "_from", "_id", "_first", "_before")
+
+
+def read_sheet_csv(spark: SparkSession, path: str, schema: str, skip_rows: int = 0, options: dict | None = None, recursive: bool = False) -> DataFrame:
+    """CSV files that were sheets: ``skip_rows`` lines above the table are dropped in every file, then with ``header`` one
+    more, and the rest is read under the schema. A record is one line; empty lines are no records but count as lines.
+    """
+    mapped = reader_options(options)
+    if mapped.pop("multiLine", "false") == "true":
+        raise ValueError("lines cannot be skipped in files whose records go over several lines")
+    encoding = mapped.pop("encoding", "UTF-8")
+    if encoding.upper() not in ("UTF-8", "UTF8"):
+        raise ValueError(f"lines of files in {encoding} cannot be told apart")
+    mapped.pop("inferSchema", None)
+    skip = skip_rows + (mapped.pop("header", "false") == "true")
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
+    lines = with_line_numbers(reader.text(path), skip).filter(F.coalesce(F.col("_line") >= skip, F.lit(True))) if skip else reader.text(path)
+    kept = lines.filter(F.length(F.trim("value")) > 0)
+    return kept.select(F.inline(F.array(F.from_csv("value", schema, mapped))))
+
+
 def read_json_docs(spark: SparkSession, path: str, schema, multi_line: bool = True) -> DataFrame:
     """JSON documents under a fixed schema; absent fields are null, broken documents are all null. A multi-line file
     is one document (or array) and is read by one task; large data belongs into one document per line."""

@@ -379,6 +379,35 @@ def test_multi_line_documents(spark, tmp_path):
     assert rows(out) == [("x", ["a", "b"], None), ("y", None, None)]
 
 
+@pytest.mark.parametrize("split", ["16", "1000000"])
+def test_rows_above_a_sheet_are_skipped_in_every_file(spark, tmp_path, split):
+    """Also where the first lines of a file lie in several splits, and where several files share a task."""
+    want = []
+    for k in range(7):
+        body = [f"{k * 100 + i};name {k} {i}" for i in range(5 + 20 * k)]
+        want += [(k * 100 + i, f"name {k} {i}") for i in range(len(body))]
+        (tmp_path / f"{k}.csv").write_text("\n".join([f"Title {k} that is rather long", "", "id;name", *body[:3], "", *body[3:]]) + "\n")
+    (tmp_path / "short.csv").write_text("Title only\n")
+    (tmp_path / "empty.csv").write_text("")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")  if spark.conf.get(k, None)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        out = files.read_sheet_csv(spark, str(tmp_path), "id int, name string", 2, {"header": True, "delimiter": ";"})
+        assert rows(out) == sorted(want, key=str)
+        whole = files.read_sheet_csv(spark, str(tmp_path), "id int, name string", 0, {"delimiter": ";"})
+        assert whole.count() == len(want) + 7 * 2 + 1
+        spark.conf.set("tarnwork.broadcastBytes", "1")
+        assert rows(files.read_sheet_csv(spark, str(tmp_path), "id int, name string", 3, {"delimiter": ";"})) == sorted(want, key=str)
+    finally:
+        spark.conf.unset("tarnwork.broadcastBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    for bad in ({"multiline": True}, {"encoding": "UTF-16"}):
+        with pytest.raises(ValueError):
+            files.read_sheet_csv(spark, str(tmp_path), "id int", 1, bad)
+
+
 def test_row_hash_tells_null_from_empty(spark):
     df = spark.createDataFrame([("a", None), ("a", ""), (None, "a")], "x string, y string")
     hashes = [r[0] for r in df.select(c.row_hash(df)).collect()]
