@@ -24,42 +24,30 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import parts, release, settle, ship
+from tarnwork.llm.common import parts, release, settle, ship, small
 
 LENGTH = 50
 # Text bytes whose suffixes are sorted as one batch, and bytes hashed together.
 BATCH, BLOCK = 4_000_000, 250_000
+# Rows that go into a family as one array, and rows given out at once.
+LEAF, EMIT = 400_000, 50_000
 # Distinct ``a`` of one ``g`` in a batch from which its windows are compared without asking the family.
 CROWD = 4
 SEED = 11
 ODD = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 
-# One suffix: key bytes, document, its text's tag, first window, further windows, anchor's place in the first window.
-SUFFIX = [("g", 5), ("a", 6), ("doc", 8), ("tag", 2), ("lo", 4), ("more", 1), ("at", 1)]
-WINDOW = [("g", 8), ("a", 4), ("doc", 8), ("tag", 2), ("lo", 4)]
-SPAN = [("doc", 8), ("tag", 2), ("lo", 4), ("more", 1), ("at", 1)]
+# Rows that tasks hand over, four numbers each: a key of two hashes, a document, and in one number the first window (32
+# bits), further windows (8), a mark (1) and the tag of the document's text (23).
+KINDS = {"kind": pa.int8(), "g": pa.int64(), "a": pa.int64(), "doc": pa.int64(), "at": pa.int64()}
+ROWS = "kind tinyint, g bigint, a bigint, doc bigint, at bigint"
+KEYS, SPANS, ASKED = 0, 1, 2  # rows for a family; matched bytes, g to a; suffixes whose windows are to be compared
+TAGS = 1 << 23
 
 Columns = dict[str, np.ndarray]
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def pack(rows: Columns, layout: list[tuple[str, int]]) -> bytes:
-    """Columns of unsigned numbers as so many low bytes each, one column after the other."""
-    return b"".join(np.ascontiguousarray(rows[c].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]).tobytes() for c, n in layout)
-
-
-def unpack(blob: bytes, layout: list[tuple[str, int]]) -> Columns:
-    width = sum(n for _, n in layout)
-    count, at, out = len(blob) // width, 0, {}
-    for c, n in layout:
-        wide = np.zeros((count, 8), np.uint8)
-        wide[:, :n] = np.frombuffer(blob, np.uint8, count * n, at).reshape(count, n)
-        out[c] = wide.view("<u8").reshape(-1)
-        at += count * n
-    return out
-
-
 def take(rows: Columns, which) -> Columns:
     return {k: v[which] for k, v in rows.items()}
 
@@ -122,13 +110,34 @@ def first_smallest(values: np.ndarray, width: int) -> np.ndarray:
     return off
 
 
+def located(docs: list[int], tags: list[int], who: np.ndarray, lo: np.ndarray, more) -> Columns:
+    """Document and place of rows: ``who`` counts documents, ``lo`` bytes from the document's start."""
+    at = lo.astype(np.int64) << 32 | np.asarray(more, np.int64) << 24 | np.array(tags, np.int64)[who]
+    return {"doc": np.array(docs, np.int64)[who], "at": at}
+
+
+def first_window(at: np.ndarray) -> np.ndarray:
+    return at >> 32
+
+
+def further(at: np.ndarray) -> np.ndarray:
+    return at >> 24 & 255
+
+
+def is_mark(at: np.ndarray) -> np.ndarray:
+    return (at >> 23 & 1).astype(bool)
+
+
+def nothing(*names: str) -> Columns:
+    return {c: np.zeros(0, np.int64) for c in names or ("g", "a", "doc", "at")}
+
+
 def block_suffixes(texts: list[bytes], docs: list[int], tags: list[int], length: int) -> Columns:
-    """Anchors of all windows of some documents, with 64-bit ``g`` and ``a``."""
+    """Anchors of all windows of some documents."""
     sizes = np.array([len(t) for t in texts])
     data = np.frombuffer(b"".join(texts), np.uint8)
-    names = [c for c, _ in SUFFIX]
     if len(data) < length:
-        return {c: np.zeros(0, np.uint64) for c in names}
+        return nothing()
     h = Hashes(data, ODD)
     q = gram(length)
     g = h.every(q)
@@ -140,21 +149,21 @@ def block_suffixes(texts: list[bytes], docs: list[int], tags: list[int], length:
     np.add.at(inside, (start + sizes - length + 1)[long], -1)
     i = np.flatnonzero(np.cumsum(inside[:-1], dtype=np.int8))
     if not len(i):
-        return {c: np.zeros(0, np.uint64) for c in names}
+        return nothing()
     p = i + place[i]
     new = np.flatnonzero(np.append(True, (p[1:] != p[:-1]) | (i[1:] != i[:-1] + 1)))
     lo, hi, p = i[new], i[np.append(new[1:], len(i)) - 1], p[new]
     who = np.searchsorted(start, lo, side="right") - 1
     a = h.at(lo, length) * np.uint64(ODD) + h.at(hi, length)
     a = mixed(a + ((p - lo) * 65_537 + (hi - lo)).astype(np.uint64))
-    return {"g": g[p], "a": a, "doc": np.array(docs, np.int64).view(np.uint64)[who], "tag": np.array(tags, np.uint64)[who], "lo": (lo - start[who]).astype(np.uint64), "more": (hi - lo).astype(np.uint64), "at": (p - lo).astype(np.uint64)}
+    return {"g": g[p].view(np.int64), "a": a.view(np.int64)} | located(docs, tags, who, lo - start[who], hi - lo)
 
 
 def resolve(rows: Columns) -> tuple[Columns, Columns]:
     """Rows sorted by key and document, parted into those of each key's smallest document and all others."""
     if not len(rows["g"]):
         return rows, rows
-    order = np.lexsort((rows["doc"].view(np.int64), rows["a"], rows["g"]))
+    order = np.lexsort((rows["doc"], rows["a"], rows["g"]))
     rows = take(rows, order)
     new = np.append(True, (rows["g"][1:] != rows["g"][:-1]) | (rows["a"][1:] != rows["a"][:-1]))
     at = np.flatnonzero(new)
@@ -204,45 +213,32 @@ def crowded(rows: Columns, least: int) -> np.ndarray:
     return np.repeat(np.add.reduceat(new.astype(np.int64), at) >= least, np.diff(np.append(at, len(new_g))))
 
 
-def emit(kind: int, rows: Columns, layout, bucket: np.ndarray, count: int) -> Iterator[tuple[int, int, bytes]]:
-    """Rows dealt to buckets as packed blobs, in document order within each."""
-    order = np.lexsort((rows["lo"], rows["doc"], bucket))
-    rows, bucket = take(rows, order), bucket[order]
-    for lo, hi in zip(at := np.searchsorted(bucket, np.arange(count)), np.append(at[1:], len(bucket)), strict=True):
-        if hi > lo:
-            yield int(bucket[lo]), kind, pack(take(rows, slice(lo, hi)), layout)
-
-
-def as_batch(blobs: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    b, k, x = zip(*blobs, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(k, pa.int32()), pa.array(x, pa.binary())], names=["bucket", "kind", "blob"])
-
-
-BLOBS = "bucket int, kind int, blob binary"
-KEYS, SPANS, ASKED = 0, 1, 2  # rows for a family; matched spans; suffixes whose windows are to be compared
-
-
-def by_key(rows: Columns, count: int) -> np.ndarray:
-    return (mixed(rows["g"] ^ np.uint64(0xA5A5)) % np.uint64(count)).astype(np.int64)
-
-
-def by_doc(rows: Columns, count: int) -> np.ndarray:
-    doc = rows["doc"].view(np.int64)
-    return (doc ^ doc >> 7 ^ doc >> 19) % count
-
-
-def bucket_of(doc: str, count: int) -> Column:
-    """``by_doc`` as a column."""
-    return F.expr(f"cast(pmod({doc} ^ shiftright({doc}, 7) ^ shiftright({doc}, 19), {count}L) as int)")
-
-
-def low_bytes(rows: Columns, layout) -> Columns:
-    """Keys cut to the bytes that are shipped, so that all places compare alike."""
-    width = dict(layout)
-    return rows | {c: rows[c] & np.uint64((1 << 8 * width[c]) - 1) for c in ("g", "a") if width[c] < 8}
-
-
-def batched(source: Iterator[tuple[list[bytes], list[int], list[int]]], make: Callable, size: int) -> Iterator[Columns]:
+def as_rows(kind: int, rows: Columns) -> Iterator[pa.RecordBatch]:
+    """Rows of a kind as Arrow batches."""
+    for lo in range(0, len(rows["doc"]), EMIT):
+        part = take(rows, slice(lo, lo + EMIT))
+        n = len(part["doc"])
+        columns = [np.full(n, kind, np.int8), *(part.get(c, np.zeros(n, np.int64)) for c in ("g", "a", "doc", "at"))]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, KINDS.values(), strict=True)], names=list(KINDS))
+
+
+def runs(found: Columns, length: int) -> Columns:
+    """The bytes that matched windows cover, as maximal runs ``g`` to ``a`` for each document and tag."""
+    found = take(found, ~is_mark(found["at"])) if len(found["doc"]) else found
+    if not len(found["doc"]):
+        return nothing()
+    tag = found["at"] & (TAGS - 1)
+    lo, end = first_window(found["at"]), first_window(found["at"]) + further(found["at"]) + length
+    order = np.lexsort((lo, tag, found["doc"]))
+    doc, tag, lo, end = found["doc"][order], tag[order], lo[order], end[order]
+    text = np.cumsum(np.append(True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])))
+    # Ends are carried forward within a text: texts are set apart by more than any offset.
+    far = np.maximum.accumulate(end + (text << 33)) - (text << 33)
+    new = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (lo[1:] > far[:-1])))
+    return {"g": lo[new], "a": far[np.append(new[1:], len(lo)) - 1], "doc": doc[new], "at": tag[new]}
+
+
+def batched(source: Iterator[list[list]], make: Callable, size: int) -> Iterator[Columns]:
     """Rows of blocks of documents, gathered to batches of ``size`` bytes of text."""
     held, have = [], 0
     for texts, *rest in source:
@@ -255,171 +251,143 @@ def batched(source: Iterator[tuple[list[bytes], list[int], list[int]]], make: Ca
         yield stack(held)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK) -> Iterator[tuple[list[bytes], list[int], list[int]]]:
-    texts, docs, tags, have = [], [], [], 0
+def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK) -> Iterator[list[list]]:
+    """Texts as bytes, documents, tags and whatever further columns there are, in lists of about ``size`` bytes of text."""
+    held, have = None, 0
     for batch in batches:
-        for doc, text, tag in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True):
+        for doc, text, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             raw = text.encode()
-            texts.append(raw)
-            docs.append(doc)
-            tags.append(tag)
+            row = [raw, doc, *rest]
+            held = held or [[] for _ in row]
+            for column, value in zip(held, row, strict=True):
+                column.append(value)
             have += len(raw)
             if have >= size:
-                yield texts, docs, tags
-                texts, docs, tags, have = [], [], [], 0
-    if texts:
-        yield texts, docs, tags
-
-
-def removed_spans(rows: Columns, length: int) -> list[tuple[int, int]]:
-    """Maximal runs covered by the windows of the rows: ``lo`` to ``lo + more``, ``length`` bytes each."""
-    if not len(rows["lo"]):
-        return []
-    order = np.argsort(rows["lo"])
-    lo = rows["lo"][order].astype(np.int64)
-    end = np.maximum.accumulate(lo + rows["more"][order].astype(np.int64) + length)
-    new = np.flatnonzero(np.append(True, lo[1:] > end[:-1]))
-    return list(zip(lo[new].tolist(), end[np.append(new[1:], len(lo)) - 1].tolist(), strict=True))
+                yield held
+                held, have = None, 0
+    if held:
+        yield held
 
 
 def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) -> DataFrame:
-    """Packed spans ``(bucket of the document, kind, blob)`` of all repeated windows of ``length`` bytes."""
+    """``doc, tag, spans`` (``lo`` to ``hi``): the bytes of a text that repeated windows of ``length`` bytes cover, in runs
+    that may touch or overlap; at most one row for a text."""
     if not 8 <= length <= 256:
         raise ValueError("length must be 8 to 256")
     spark = df.sparkSession
     ship(spark)
     tasks = parts(spark)
-    # A task gives out one blob at most per bucket: as many buckets of documents as tasks, and two of keys for each.
-    count, keys = tasks, 2 * tasks
     rows = documents(df, id_col, text_col)
 
     def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        source = batched(blocks(batches), lambda t, d, g: block_suffixes(t, d, g, length), BATCH)
-        for array in source:
-            kept, found = resolve(low_bytes(array, SUFFIX))
-            out = list(emit(SPANS, found, SPAN, by_doc(found, count), count))
+        for array in batched(blocks(batches), lambda t, d, g: block_suffixes(t, d, g, length), BATCH):
+            kept, found = resolve(array)
+            yield from as_rows(SPANS, runs(found, length))
             many = crowded(kept, CROWD)
             asked, kept = take(kept, many), take(kept, ~many)
-            out += emit(ASKED, asked, SPAN, by_doc(asked, count), count)
+            yield from as_rows(ASKED, asked)
             # One row in the name of a crowded g: two different a tell the family that windows are compared.
             new = np.flatnonzero(np.append(True, asked["g"][1:] != asked["g"][:-1])) if len(asked["g"]) else np.zeros(0, np.int64)
             mark = take(asked, new)
-            mark["at"] = np.full(len(new), 255, np.uint64)
-            both = stack([kept, mark, mark | {"a": mark["a"] ^ np.uint64(1)}])
-            out += emit(KEYS, both, SUFFIX, by_key(both, keys), keys)
-            if out:
-                yield as_batch(out)
-            out = kept = found = asked = both = mark = array = None
+            mark["at"] = mark["at"] | TAGS
+            yield from as_rows(KEYS, stack([kept, mark, mark | {"a": mark["a"] ^ 1}]))
+            array = kept = found = asked = mark = None
         release()
 
-    def family(layout, windows: bool) -> Callable:
-        def one(blobs: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
-            index = Family()
+    def family(ask: bool) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release()
+            index, held, have = Family(), [], 0
 
-            def spans(found: Columns) -> Iterator[tuple[int, int, bytes]]:
-                if windows:
-                    found = found | {"more": np.zeros(len(found["lo"]), np.uint64), "at": np.zeros(len(found["lo"]), np.uint64)}
-                found = take(found, found["at"] != 255)
-                yield from emit(SPANS, found, SPAN, by_doc(found, count), count)
+            def add() -> Iterator[pa.RecordBatch]:
+                batch, found = resolve(stack(held))
+                yield from as_rows(SPANS, runs(found, length))
+                for found in index.add(batch):
+                    yield from as_rows(SPANS, runs(found, length))
 
-            # Blobs of few rows first become one sorted batch.
-            held, have = [], 0
-            for k, blob in enumerate(blobs):
-                held.append(unpack(blob, layout))
+            for batch in batches:
+                kind = batch.column(0).to_numpy(zero_copy_only=False)
+                if (kind != KEYS).any():
+                    yield batch.filter(pa.array(kind != KEYS))
+                held.append({c: batch.column(k).to_numpy()[kind == KEYS] for k, c in enumerate(("g", "a", "doc", "at"), 1)})
                 have += len(held[-1]["g"])
-                if have >= 50_000 or k == len(blobs) - 1:
-                    batch, found = resolve(stack(held))
-                    yield from spans(found)
-                    for found in index.add(batch):
-                        yield from spans(found)
+                if have >= LEAF:
+                    yield from add()
                     held, have = [], 0
+            if have:
+                yield from add()
+            held = []
             for found in index.close():
-                yield from spans(found)
-            if not windows and index.whole is not None:
+                yield from as_rows(SPANS, runs(found, length))
+            if ask and index.whole is not None:
                 asked = take(index.whole, crowded(index.whole, 2))
-                asked = take(asked, asked["at"] != 255)
-                yield from emit(ASKED, asked, SPAN, by_doc(asked, count), count)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            release()
-            held: dict[int, list[bytes]] = {}
-            for batch in batches:
-                passed = []
-                for b, k, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    if k == KEYS:
-                        held.setdefault(b, []).append(x)
-                    else:
-                        passed.append((b, k, x))
-                if passed:
-                    yield as_batch(passed)
-            for b in list(held):
-                out = list(one(held.pop(b)))
-                if out:
-                    yield as_batch(out)
-                out = None
+                yield from as_rows(ASKED, take(asked, ~is_mark(asked["at"])))
+            index = None
             release()
 
         return run
 
-    first = rows.mapInArrow(first_round, BLOBS).repartition(tasks, "bucket").mapInArrow(family(SUFFIX, False), BLOBS)
-    first = settle(first, "suffixes")
+    def dealt(df: DataFrame) -> DataFrame:
+        # What is no key only passes through, spread by document.
+        return df.repartition(tasks, F.when(F.col("kind") == KEYS, F.col("g")).otherwise(F.xxhash64("doc", "g")))
+
+    first = settle(dealt(rows.mapInArrow(first_round, ROWS)).mapInArrow(family(True), ROWS), "suffixes")
 
-    def ask(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        """Windows asked for, of one bucket of documents."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Keys of the windows that were asked for."""
         release()
-        wanted = asked_by_doc(right.column("blob").to_pylist())
-        out: list[tuple[int, int, bytes]] = []
-        if wanted and left.num_rows:
-            source = blocks(iter(left.select(["doc", "text", "tag"]).to_batches()))
-            for array in batched(source, lambda t, d, g: block_windows(t, d, g, wanted, length), BATCH):
-                kept, found = resolve(low_bytes(array, WINDOW))
-                found |= {"more": np.zeros(len(found["lo"]), np.uint64), "at": np.zeros(len(found["lo"]), np.uint64)}
-                out += emit(SPANS, found, SPAN, by_doc(found, count), count)
-                out += emit(KEYS, kept, WINDOW, by_key(kept, keys), keys)
-        return pa.Table.from_batches([as_batch(out)] if out else [], schema=pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())]))
-
-    dealt = rows.withColumn("bucket", bucket_of("doc", count))
-    windows = dealt.groupBy("bucket").cogroup(first.filter(F.col("kind") == ASKED).groupBy("bucket")).applyInArrow(ask, BLOBS)
-    second = settle(windows.repartition(tasks, "bucket").mapInArrow(family(WINDOW, True), BLOBS), "windows")
-    return first.filter(F.col("kind") == SPANS).unionByName(second.filter(F.col("kind") == SPANS))
+        for array in batched(blocks(batches), lambda t, d, g, at: block_windows(t, d, g, at, length), BATCH):
+            kept, found = resolve(array)
+            yield from as_rows(SPANS, runs(found, length))
+            yield from as_rows(KEYS, kept)
+        release()
+
+    asked = settle(first.filter(F.col("kind") == ASKED).groupBy("doc", tag_of("at").alias("tag")).agg(F.collect_list("at").alias("at")), "asked")
+    windows = rows.join(small(asked), ["doc", "tag"]).select("doc", "text", "tag", "at")
+    second = settle(dealt(windows.mapInArrow(ask, ROWS)).mapInArrow(family(False), ROWS), "windows")
+    spans = first.filter(F.col("kind") == SPANS).unionByName(second.filter(F.col("kind") == SPANS))
+    return spans.groupBy("doc", tag_of("at").alias("tag")).agg(F.collect_list(F.struct(F.col("g").alias("lo"), F.col("a").alias("hi"))).alias("spans"))
+
+
+def tag_of(at: str) -> Column:
+    return F.col(at).bitwiseAND(F.lit(TAGS - 1)).cast("int")
 
 
 def documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows that can match: with an id and a text, and a tag that tells texts of one id apart."""
     rows = df.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    return rows.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(text_col), F.lit(65_521)).cast("int").alias("tag"))
+    return rows.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), text_tag(F.col(text_col)).alias("tag"))
 
 
-def asked_by_doc(blobs: list[bytes]) -> dict[tuple[int, int], Columns]:
-    if not blobs:
-        return {}
-    rows = stack([unpack(b, SPAN) for b in blobs])
-    order = np.lexsort((rows["tag"], rows["doc"]))
-    rows = take(rows, order)
-    new = np.flatnonzero(np.append(True, (rows["doc"][1:] != rows["doc"][:-1]) | (rows["tag"][1:] != rows["tag"][:-1])))
-    docs = rows["doc"].view(np.int64)
-    return {(int(docs[lo]), int(rows["tag"][lo])): take(rows, slice(lo, hi)) for lo, hi in zip(new, np.append(new[1:], len(docs)), strict=True)}
+def text_tag(text: Column) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(TAGS)).cast("int")
 
 
-def block_windows(texts: list[bytes], docs: list[int], tags: list[int], wanted: dict, length: int) -> Columns:
+def block_windows(texts: list[bytes], docs: list[int], tags: list[int], asked: list[list[int]], length: int) -> Columns:
     """Keys of the windows asked for, of some documents."""
     data = np.frombuffer(b"".join(texts), np.uint8)
-    base, starts, who = 0, [], []
-    for k, (t, d, g) in enumerate(zip(texts, docs, tags, strict=True)):
-        rows = wanted.get((d, g))
-        if rows is not None:
-            n = rows["more"].astype(np.int64) + 1
-            at = np.repeat(rows["lo"].astype(np.int64), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            starts.append(at + base)
-            who.append(np.full(len(at), k))
-        base += len(t)
-    if not starts:
-        return {c: np.zeros(0, np.uint64) for c, _ in WINDOW}
-    starts, who = np.concatenate(starts), np.concatenate(who)
-    begin = np.cumsum([len(t) for t in texts]) - np.array([len(t) for t in texts])
+    sizes = np.array([len(t) for t in texts])
+    begin = np.cumsum(sizes) - sizes
+    counts = np.array([len(x) for x in asked])
+    at = np.fromiter((v for x in asked for v in x), np.int64, counts.sum())
+    n = further(at) + 1
+    who = np.repeat(np.repeat(np.arange(len(texts)), counts), n)
+    lo = np.repeat(first_window(at) - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    starts = lo + begin[who]
     one, two = Hashes(data, ODD), Hashes(data, 0xC2B2AE3D27D4EB4F)
-    return {"g": one.at(starts, length), "a": two.at(starts, length), "doc": np.array(docs, np.int64).view(np.uint64)[who], "tag": np.array(tags, np.uint64)[who], "lo": (starts - begin[who]).astype(np.uint64)}
+    return {"g": one.at(starts, length).view(np.int64), "a": two.at(starts, length).view(np.int64)} | located(docs, tags, who, lo, 0)
+
+
+def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
+    """Runs that touch or overlap become one."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted((x["lo"], x["hi"]) for x in spans or ()):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], hi))
+        else:
+            out.append((lo, hi))
+    return out
 
 
 def without_repeats(df: DataFrame, id_col: str, text_col: str, change: Callable[[bytes, list[tuple[int, int]]], tuple], schema: str, length: int = LENGTH, keep: list[str] | None = None) -> DataFrame:
@@ -431,34 +399,32 @@ def without_repeats(df: DataFrame, id_col: str, text_col: str, change: Callable[
     """
     spark = df.sparkSession
     keep = keep or [id_col]
-    tasks = parts(spark)
-    count = tasks
     spans = matches(df, id_col, text_col, length)
-    fields = [f.name for f in spark.createDataFrame([], schema).schema.fields]
-    types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    fields = spark.createDataFrame([], schema).schema.fields
     arrow = {"bigint": pa.int64(), "string": pa.string(), "int": pa.int32()}
-    kinds = [arrow[f.dataType.simpleString()] for f in spark.createDataFrame([], schema).schema.fields]
-    names = [f"_k{i}" for i in range(len(keep))]
+    kinds = [arrow[f.dataType.simpleString()] for f in fields]
+    names = [f"k{i}" for i in range(len(keep))]  # inner names, so that no column can clash
     rows = df.select(
-        *[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], F.col(id_col).cast("long").alias("_doc"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"),
-        F.pmod(F.xxhash64(text_col), F.lit(65_521)).cast("int").alias("_tag"),
-    ).withColumn("_place", F.coalesce("_doc", F.xxhash64("_t"))).withColumn("bucket", bucket_of("_place", count)).drop("_place")
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{id_col}`").cast("long").alias("doc"),
+        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"), text_tag(F.col(f"`{text_col}`")).alias("tag"),
+    )
+    types = ", ".join(f"{n} {df.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True))
 
-    def finish(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        found = asked_by_doc(right.column("blob").to_pylist())
-        made = []
-        for doc, text, tag in zip(*(left.column(c).to_pylist() for c in ("_doc", "_t", "_tag")), strict=True):
-            hit = found.get((doc, tag)) if doc is not None else None
-            made.append(change(text.encode(), removed_spans(hit, length) if hit is not None else []))
-        cols = list(zip(*made, strict=True)) or [[] for _ in fields]
-        out = pa.Table.from_arrays([left.column(n) for n in names] + [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=keep + fields)
-        found = made = cols = None
+        for batch in batches:
+            texts, found = batch.column(len(names)), batch.column(len(names) + 1)
+            made = [change(t.as_py().encode(), merged(x.as_py())) for t, x in zip(texts, found, strict=True)]
+            cols = list(zip(*made, strict=True)) or [[] for _ in fields]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=[*names, *(f"c{i}" for i in range(len(fields)))])
         release()
-        return out
 
-    both = rows.groupBy("bucket").cogroup(spans.groupBy("bucket"))
-    return both.applyInArrow(finish, f"{types}, {schema}")
+    # Rows without an id lose nothing and stay out of the join, where they would meet in one task.
+    marked = rows.filter("doc IS NOT NULL").join(small(settle(spans, "spans")), ["doc", "tag"], "left").select(*names, "t", "spans")
+    other = rows.filter("doc IS NULL").select(*names, "t", F.lit(None).cast(marked.schema["spans"].dataType).alias("spans"))
+    made = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields))
+    out = marked.unionByName(other).mapInArrow(finish, f"{types}, {made}")
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], *[F.col(f"c{i}").alias(f.name) for i, f in enumerate(fields)])
 
 
 def cut_out(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -479,8 +445,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def clean_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """``df`` with repeated strings cut out of its texts; characters cut in two go as a whole."""
-    marked = df.withColumn("_without_text", F.col(text_col).isNull())  # the text itself is moved once
-    others = [c for c in marked.columns if c != text_col]
-    kept = without_repeats(marked, id_col, text_col, lambda t, s: (cut_out(t, s).decode("utf-8", "ignore"),), "_kept string", length, others)
-    return kept.select(*[F.when(~F.col("_without_text"), F.col("_kept")).alias(c) if c == text_col else F.col(c) for c in df.columns])
+    """``df`` with repeated strings cut out of its texts; characters cut in two go as a whole, null texts stay null."""
+    others = [c for c in df.columns if c != text_col]
+    empty, new = "_" * (1 + max(map(len, df.columns))), "_" * (2 + max(map(len, df.columns)))  # longer than any other name
+    marked = df.withColumn(empty, F.col(f"`{text_col}`").isNull())
+    kept = without_repeats(marked, id_col, text_col, lambda t, s: (cut_out(t, s).decode("utf-8", "ignore"),), f"{new} string", length, [*others, empty])
+    return kept.select(*[F.when(~F.col(empty), F.col(new)).alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])

@@ -143,15 +143,44 @@ def test_family_levels_merge_geometrically():
     family = suffix.Family()
     found = 0
     for k in range(13):
-        batch = {c: np.arange(20, dtype=np.uint64) for c, _ in suffix.SUFFIX} | {"doc": np.full(20, 13 - k, np.uint64)}
+        batch = {c: np.arange(20) for c in ("g", "a", "at")} | {"doc": np.full(20, 13 - k)}
         found += sum(len(f["g"]) for f in family.add(batch))
     assert [x is not None for x in family.levels] == [True, False, True, True]
     found += sum(len(f["g"]) for f in family.close())
     assert found == 12 * 20 and set(family.whole["doc"]) == {1}
 
 
+def test_rows_handed_over_do_not_grow_with_the_number_of_tasks(spark, monkeypatch):
+    """Keys are rows, one for each anchor, and not one parcel for each pair of tasks."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 300, 60))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1][:200] + " and more of it") for i in range(40)]
+    wrote = []
+    monkeypatch.setattr(suffix, "settle", lambda df, label: wrote.append((label, (kept := common.settle(df, label)).count())) or kept)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for n in (4, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            results.append(got(suffix.remove_repeats(odd(spark, rows).repartition(n)), "doc_id", "n_removed", "kept_sha256"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    few, many = dict(wrote[:len(wrote) // 2]), dict(wrote[len(wrote) // 2:])
+    assert results[0] == results[1] == [(r[0], r[2], r[4]) for r in brute.removed(rows)]
+    # What is given out is bounded by the anchors in matches, however many tasks there are.
+    matched = sum(r[2] for r in brute.removed(rows))
+    assert few["suffixes"] <= many["suffixes"] < matched / 4 and few["windows"] <= many["windows"] < matched / 4
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 2000, 40)) for _ in range(60)]
+    rows = [(7, t) for t in texts] + [(3, texts[5]), (5, texts[9][:120]), (9, texts[30]), (None, texts[2])] + [(7, texts[1])] * 3
+    assert got(suffix.remove_repeats(odd(spark, rows)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.removed(rows)
+
+
 def test_clean_texts_keeps_columns(spark):
-    df = odd(spark).withColumn("bucket", F.lit(1)).withColumn("_t", F.lit("x"))
+    df = odd(spark).withColumns({c: F.lit("x") for c in ("bucket", "_t", "_kept", "_without_text", "k0", "t", "tag", "doc", "spans", "c0", "_", "__")})
     out = suffix.clean_texts(df)
     assert out.columns == df.columns and out.count() == len(ODD)
     assert {r["text"] for r in out.filter("doc_id = 9").collect()} == {""}  # parts of one document: both repeat number 7
