@@ -21,33 +21,61 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import parts, release, settle, ship, small
+from tarnwork.llm.common import parts, release, settle, ship
 
 LENGTH = 50
 # Text bytes whose suffixes are sorted as one batch, and bytes hashed together.
 BATCH, BLOCK = 4_000_000, 250_000
-# Rows that go into a family as one array, and rows given out at once.
-LEAF, EMIT = 400_000, 50_000
+# Rows that go into a family as one array.
+LEAF = 200_000
 # Distinct ``a`` of one ``g`` in a batch from which its windows are compared without asking the family.
 CROWD = 4
 SEED = 11
 ODD = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 
-# Rows that tasks hand over, four numbers each: a key of two hashes, a document, and in one number the first window (32
-# bits), further windows (8), a mark (1) and the tag of the document's text (23).
-KINDS = {"kind": pa.int8(), "g": pa.int64(), "a": pa.int64(), "doc": pa.int64(), "at": pa.int64()}
-ROWS = "kind tinyint, g bigint, a bigint, doc bigint, at bigint"
-KEYS, SPANS, ASKED = 0, 1, 2  # rows for a family; matched bytes, g to a; suffixes whose windows are to be compared
+# What a suffix and a window take in a parcel, in bytes: a key of two hashes, the document, and in one number the first window
+# (32 bits), further windows (8), a mark (1) and the tag of the document's text (23).
+SUFFIX = [("g", 5), ("a", 6), ("doc", 8), ("at", 8)]
+WINDOW = [("g", 8), ("a", 4), ("doc", 8), ("at", 8)]
 TAGS = 1 << 23
+# Text bytes whose keys make a bucket on average. A batch sends one parcel to each bucket, so there are never more parcels
+# than rows, and their number depends on the text and not on the number of tasks.
+BUCKET = 8_000_000
+# Rows that tasks hand over: parcels of keys; or matched bytes, or first windows asked for, ``lo`` to ``hi`` of a document.
+KEYS, SPANS, ASKED = 0, 1, 2
+KINDS = {"kind": pa.int8(), "bucket": pa.int64(), "blob": pa.binary(), "doc": pa.int64(), "tag": pa.int32(), "lo": pa.int64(), "hi": pa.int64()}
+ROWS = "kind tinyint, bucket bigint, blob binary, doc bigint, tag int, lo bigint, hi bigint"
 
 Columns = dict[str, np.ndarray]
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def pack(rows: Columns, layout: list[tuple[str, int]]) -> bytes:
+    """Columns of numbers as so many low bytes each, one column after the other."""
+    return b"".join(np.ascontiguousarray(rows[c].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :n]).tobytes() for c, n in layout)
+
+
+def unpack(blob: bytes, layout: list[tuple[str, int]]) -> Columns:
+    width = sum(n for _, n in layout)
+    count, at, out = len(blob) // width, 0, {}
+    for c, n in layout:
+        wide = np.zeros((count, 8), np.uint8)
+        wide[:, :n] = np.frombuffer(blob, np.uint8, count * n, at).reshape(count, n)
+        out[c] = wide.view("<i8").reshape(-1)
+        at += count * n
+    return out
+
+
+def shipped(rows: Columns, layout: list[tuple[str, int]]) -> Columns:
+    """Keys cut to the bytes that are shipped, so that all places compare alike."""
+    return rows | {c: rows[c] & ((1 << 8 * n) - 1) for c, n in layout if n < 8}
+
+
 def take(rows: Columns, which) -> Columns:
     return {k: v[which] for k, v in rows.items()}
 
@@ -213,29 +241,40 @@ def crowded(rows: Columns, least: int) -> np.ndarray:
     return np.repeat(np.add.reduceat(new.astype(np.int64), at) >= least, np.diff(np.append(at, len(new_g))))
 
 
-def as_rows(kind: int, rows: Columns) -> Iterator[pa.RecordBatch]:
-    """Rows of a kind as Arrow batches."""
-    for lo in range(0, len(rows["doc"]), EMIT):
-        part = take(rows, slice(lo, lo + EMIT))
-        n = len(part["doc"])
-        columns = [np.full(n, kind, np.int8), *(part.get(c, np.zeros(n, np.int64)) for c in ("g", "a", "doc", "at"))]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, KINDS.values(), strict=True)], names=list(KINDS))
+def parcels(rows: Columns, layout: list[tuple[str, int]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows dealt to buckets by their key, packed."""
+    if not len(rows["g"]):
+        return
+    bucket = (mixed(rows["g"].view(np.uint64) ^ np.uint64(0xA5A5)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    rows, bucket = take(rows, order), bucket[order]
+    at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    blobs = [pack(take(rows, slice(lo, hi)), layout) for lo, hi in zip(at, np.append(at[1:], len(bucket)), strict=True)]
+    yield handed(KEYS, len(at), bucket=pa.array(bucket[at]), blob=pa.array(blobs, pa.binary()))
+
+
+def handed(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
+    filled = {"kind": pa.array(np.full(n, kind, np.int8)), **columns}
+    return pa.RecordBatch.from_arrays([filled.get(c, pa.nulls(n, t)) for c, t in KINDS.items()], names=list(KINDS))
 
 
-def runs(found: Columns, length: int) -> Columns:
-    """The bytes that matched windows cover, as maximal runs ``g`` to ``a`` for each document and tag."""
+def spans_of(kind: int, found: Columns, add: int) -> Iterator[pa.RecordBatch]:
+    """The first windows of rows, or with ``add`` bytes for each the bytes they cover, as maximal runs for each text."""
     found = take(found, ~is_mark(found["at"])) if len(found["doc"]) else found
     if not len(found["doc"]):
-        return nothing()
+        return
     tag = found["at"] & (TAGS - 1)
-    lo, end = first_window(found["at"]), first_window(found["at"]) + further(found["at"]) + length
+    lo = first_window(found["at"])
+    end = lo + further(found["at"]) + add
     order = np.lexsort((lo, tag, found["doc"]))
     doc, tag, lo, end = found["doc"][order], tag[order], lo[order], end[order]
     text = np.cumsum(np.append(True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])))
     # Ends are carried forward within a text: texts are set apart by more than any offset.
     far = np.maximum.accumulate(end + (text << 33)) - (text << 33)
     new = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (lo[1:] > far[:-1])))
-    return {"g": lo[new], "a": far[np.append(new[1:], len(lo)) - 1], "doc": doc[new], "at": tag[new]}
+    doc, last = doc[new], far[np.append(new[1:], len(lo)) - 1]
+    spread = doc ^ lo[new] >> 4  # these rows only pass through the next shuffle
+    yield handed(kind, len(new), bucket=pa.array(spread), doc=pa.array(doc), tag=pa.array(tag[new].astype(np.int32)), lo=pa.array(lo[new]), hi=pa.array(last))
 
 
 def batched(source: Iterator[list[list]], make: Callable, size: int) -> Iterator[Columns]:
@@ -251,11 +290,17 @@ def batched(source: Iterator[list[list]], make: Callable, size: int) -> Iterator
         yield stack(held)
 
 
+def slices_of(column: pa.ListArray) -> list[np.ndarray]:
+    """The numbers of each list. Null is an empty list."""
+    n = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    return np.split(column.flatten().to_numpy(), np.cumsum(n)[:-1]) if len(n) else []
+
+
 def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK) -> Iterator[list[list]]:
     """Texts as bytes, documents, tags and whatever further columns there are, in lists of about ``size`` bytes of text."""
     held, have = None, 0
     for batch in batches:
-        for doc, text, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for doc, text, *rest in zip(*(slices_of(c) if pa.types.is_list(c.type) else c.to_pylist() for c in batch.columns), strict=True):
             raw = text.encode()
             row = [raw, doc, *rest]
             held = held or [[] for _ in row]
@@ -270,88 +315,94 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK) -> Iterator[lis
 
 
 def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) -> DataFrame:
-    """``doc, tag, spans`` (``lo`` to ``hi``): the bytes of a text that repeated windows of ``length`` bytes cover, in runs
-    that may touch or overlap; at most one row for a text."""
+    """``doc, tag, lo, hi``: the bytes of a text that repeated windows of ``length`` bytes cover, as two lists of the begins
+    and ends of runs, which may touch or overlap; at most one row for a text."""
     if not 8 <= length <= 256:
         raise ValueError("length must be 8 to 256")
     spark = df.sparkSession
     ship(spark)
     tasks = parts(spark)
     rows = documents(df, id_col, text_col)
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = size // BUCKET + 1
 
     def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for array in batched(blocks(batches), lambda t, d, g: block_suffixes(t, d, g, length), BATCH):
-            kept, found = resolve(array)
-            yield from as_rows(SPANS, runs(found, length))
+            kept, found = resolve(shipped(array, SUFFIX))
+            yield from spans_of(SPANS, found, length)
             many = crowded(kept, CROWD)
             asked, kept = take(kept, many), take(kept, ~many)
-            yield from as_rows(ASKED, asked)
+            yield from spans_of(ASKED, asked, 1)
             # One row in the name of a crowded g: two different a tell the family that windows are compared.
             new = np.flatnonzero(np.append(True, asked["g"][1:] != asked["g"][:-1])) if len(asked["g"]) else np.zeros(0, np.int64)
             mark = take(asked, new)
             mark["at"] = mark["at"] | TAGS
-            yield from as_rows(KEYS, stack([kept, mark, mark | {"a": mark["a"] ^ 1}]))
+            yield from parcels(stack([kept, mark, mark | {"a": mark["a"] ^ 1}]), SUFFIX, buckets)
             array = kept = found = asked = mark = None
         release()
 
-    def family(ask: bool) -> Callable:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            release()
-            index, held, have = Family(), [], 0
+    def family(layout: list[tuple[str, int]], ask: bool) -> Callable:
+        def ended(index: Family) -> Iterator[pa.RecordBatch]:
+            for found in index.close():
+                yield from spans_of(SPANS, found, length)
+            if ask and index.whole is not None:
+                yield from spans_of(ASKED, take(index.whole, crowded(index.whole, 2)), 1)
 
-            def add() -> Iterator[pa.RecordBatch]:
+        def joined(index: Family, held: list[Columns]) -> Iterator[pa.RecordBatch]:
+            if held:
                 batch, found = resolve(stack(held))
-                yield from as_rows(SPANS, runs(found, length))
+                yield from spans_of(SPANS, found, length)
                 for found in index.add(batch):
-                    yield from as_rows(SPANS, runs(found, length))
+                    yield from spans_of(SPANS, found, length)
 
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Buckets come one after the other; one family is held at a time."""
+            release()
+            now, index, held, have = None, Family(), [], 0
             for batch in batches:
-                kind = batch.column(0).to_numpy(zero_copy_only=False)
-                if (kind != KEYS).any():
-                    yield batch.filter(pa.array(kind != KEYS))
-                held.append({c: batch.column(k).to_numpy()[kind == KEYS] for k, c in enumerate(("g", "a", "doc", "at"), 1)})
-                have += len(held[-1]["g"])
-                if have >= LEAF:
-                    yield from add()
-                    held, have = [], 0
-            if have:
-                yield from add()
+                keys = pc.equal(batch.column(0), KEYS)
+                if pc.any(pc.invert(keys)).as_py():
+                    yield batch.filter(pc.invert(keys))
+                    batch = batch.filter(keys)
+                for bucket, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                    if bucket != now or have >= LEAF:
+                        yield from joined(index, held)
+                        held, have = [], 0
+                    if bucket != now:
+                        yield from ended(index)
+                        now, index = bucket, Family()
+                    held.append(unpack(blob, layout))
+                    have += len(held[-1]["g"])
+            yield from joined(index, held)
             held = []
-            for found in index.close():
-                yield from as_rows(SPANS, runs(found, length))
-            if ask and index.whole is not None:
-                asked = take(index.whole, crowded(index.whole, 2))
-                yield from as_rows(ASKED, take(asked, ~is_mark(asked["at"])))
+            yield from ended(index)
             index = None
             release()
 
         return run
 
     def dealt(df: DataFrame) -> DataFrame:
-        # What is no key only passes through, spread by document.
-        return df.repartition(tasks, F.when(F.col("kind") == KEYS, F.col("g")).otherwise(F.xxhash64("doc", "g")))
+        return df.repartition(tasks, "bucket").sortWithinPartitions("kind", "bucket")
 
-    first = settle(dealt(rows.mapInArrow(first_round, ROWS)).mapInArrow(family(True), ROWS), "suffixes")
+    first = settle(dealt(rows.mapInArrow(first_round, ROWS)).mapInArrow(family(SUFFIX, True), ROWS), "suffixes")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Keys of the windows that were asked for."""
         release()
-        for array in batched(blocks(batches), lambda t, d, g, at: block_windows(t, d, g, at, length), BATCH):
-            kept, found = resolve(array)
-            yield from as_rows(SPANS, runs(found, length))
-            yield from as_rows(KEYS, kept)
+        for array in batched(blocks(batches), lambda t, d, g, lo, hi: block_windows(t, d, g, lo, hi, length), BATCH):
+            kept, found = resolve(shipped(array, WINDOW))
+            yield from spans_of(SPANS, found, length)
+            yield from parcels(kept, WINDOW, buckets)
+            array = kept = found = None
         release()
 
-    asked = settle(first.filter(F.col("kind") == ASKED).groupBy("doc", tag_of("at").alias("tag")).agg(F.collect_list("at").alias("at")), "asked")
-    windows = rows.join(small(asked), ["doc", "tag"]).select("doc", "text", "tag", "at")
-    second = settle(dealt(windows.mapInArrow(ask, ROWS)).mapInArrow(family(False), ROWS), "windows")
+    lists = [F.collect_list(c).alias(c) for c in ("lo", "hi")]
+    asked = settle(first.filter(F.col("kind") == ASKED).groupBy("doc", "tag").agg(*lists), "asked")
+    windows = rows.join(asked, ["doc", "tag"]).select("doc", "text", "tag", "lo", "hi")
+    second = settle(dealt(windows.mapInArrow(ask, ROWS)).mapInArrow(family(WINDOW, False), ROWS), "windows")
     spans = first.filter(F.col("kind") == SPANS).unionByName(second.filter(F.col("kind") == SPANS))
-    return spans.groupBy("doc", tag_of("at").alias("tag")).agg(F.collect_list(F.struct(F.col("g").alias("lo"), F.col("a").alias("hi"))).alias("spans"))
-
-
-def tag_of(at: str) -> Column:
-    return F.col(at).bitwiseAND(F.lit(TAGS - 1)).cast("int")
+    return spans.groupBy("doc", "tag").agg(*lists)
 
 
 def documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -364,30 +415,29 @@ def text_tag(text: Column) -> Column:
     return F.pmod(F.xxhash64(text), F.lit(TAGS)).cast("int")
 
 
-def block_windows(texts: list[bytes], docs: list[int], tags: list[int], asked: list[list[int]], length: int) -> Columns:
-    """Keys of the windows asked for, of some documents."""
+def block_windows(texts: list[bytes], docs: list[int], tags: list[int], lo: list[np.ndarray], hi: list[np.ndarray], length: int) -> Columns:
+    """Keys of the windows asked for, of some documents; a window asked for twice comes once."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts])
     begin = np.cumsum(sizes) - sizes
-    counts = np.array([len(x) for x in asked])
-    at = np.fromiter((v for x in asked for v in x), np.int64, counts.sum())
-    n = further(at) + 1
-    who = np.repeat(np.repeat(np.arange(len(texts)), counts), n)
-    lo = np.repeat(first_window(at) - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    starts = lo + begin[who]
+    asked = np.zeros(len(data) + 1, np.int32)
+    for b, x, y in zip(begin, lo, hi, strict=True):
+        np.add.at(asked, b + x, 1)
+        np.add.at(asked, b + y, -1)
+    starts = np.flatnonzero(np.cumsum(asked[:-1]))
+    who = np.searchsorted(begin, starts, side="right") - 1
     one, two = Hashes(data, ODD), Hashes(data, 0xC2B2AE3D27D4EB4F)
-    return {"g": one.at(starts, length).view(np.int64), "a": two.at(starts, length).view(np.int64)} | located(docs, tags, who, lo, 0)
+    return {"g": one.at(starts, length).view(np.int64), "a": two.at(starts, length).view(np.int64)} | located(docs, tags, who, starts - begin[who], 0)
 
 
-def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
+def merged(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
     """Runs that touch or overlap become one."""
-    out: list[tuple[int, int]] = []
-    for lo, hi in sorted((x["lo"], x["hi"]) for x in spans or ()):
-        if out and lo <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], hi))
-        else:
-            out.append((lo, hi))
-    return out
+    if not len(lo):
+        return []
+    order = np.argsort(lo)
+    lo, hi = lo[order], np.maximum.accumulate(hi[order])
+    new = np.flatnonzero(np.append(True, lo[1:] > hi[:-1]))
+    return list(zip(lo[new].tolist(), hi[np.append(new[1:], len(lo)) - 1].tolist(), strict=True))
 
 
 def without_repeats(df: DataFrame, id_col: str, text_col: str, change: Callable[[bytes, list[tuple[int, int]]], tuple], schema: str, length: int = LENGTH, keep: list[str] | None = None) -> DataFrame:
@@ -413,15 +463,15 @@ def without_repeats(df: DataFrame, id_col: str, text_col: str, change: Callable[
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
-            texts, found = batch.column(len(names)), batch.column(len(names) + 1)
-            made = [change(t.as_py().encode(), merged(x.as_py())) for t, x in zip(texts, found, strict=True)]
+            texts, found = batch.column(len(names)).to_pylist(), zip(*(slices_of(batch.column(len(names) + k)) for k in (1, 2)), strict=True)
+            made = [change(t.encode(), merged(*x)) for t, x in zip(texts, found, strict=True)]
             cols = list(zip(*made, strict=True)) or [[] for _ in fields]
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=[*names, *(f"c{i}" for i in range(len(fields)))])
         release()
 
     # Rows without an id lose nothing and stay out of the join, where they would meet in one task.
-    marked = rows.filter("doc IS NOT NULL").join(small(settle(spans, "spans")), ["doc", "tag"], "left").select(*names, "t", "spans")
-    other = rows.filter("doc IS NULL").select(*names, "t", F.lit(None).cast(marked.schema["spans"].dataType).alias("spans"))
+    marked = rows.filter("doc IS NOT NULL").join(settle(spans, "spans"), ["doc", "tag"], "left").select(*names, "t", "lo", "hi")
+    other = rows.filter("doc IS NULL").select(*names, "t", *[F.lit(None).cast("array<bigint>").alias(c) for c in ("lo", "hi")])
     made = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields))
     out = marked.unionByName(other).mapInArrow(finish, f"{types}, {made}")
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], *[F.col(f"c{i}").alias(f.name) for i, f in enumerate(fields)])
