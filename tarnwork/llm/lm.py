@@ -2,9 +2,9 @@
 
 Words are counted over all training documents. The most frequent ones have a place in an output class and an input
 vector of their own; every rarer word belongs to a class by its last letters and has, within it, its smoothed share of
-the class's count. A short warm start on a bounded sample makes one model; then every task learns from all its training
-documents, starting there, and the models are averaged by the tokens they saw. Scoring reads each text once and carries
-the state from its first word to its end.
+the class's count. A short warm start on a bounded sample makes one model; then every part of the training documents is learnt
+whole, starting there, and the parts' models are averaged by the tokens they saw. Scoring carries the state from a text's
+first word to its end.
 """
 
 from __future__ import annotations
@@ -20,15 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.llm import gru
-from tarnwork.llm.common import parts, settle, ship, text_or_empty
+from tarnwork.llm.common import settle, ship, text_or_empty
 
 HEAD, PLACES = 512, 32  # frequent words in classes of so many
 TAILS = 32  # classes of rarer words
 KNOWN = 200_000  # counts that tasks look up at once; those of rarer words are joined
 WARM = 512  # documents of the warm start
 ALPHA = 0.1
-# Distinct words counted before a task hands them on; documents scored side by side.
-FLUSH, SIDE = 400_000, 4096
+PART = 2_000_000  # training tokens of one part, which one task learns
+# Distinct words counted before a task hands them on; documents, or tokens, learnt or scored side by side.
+FLUSH, SIDE, SIDE_TOKENS = 400_000, 4096, 500_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -125,10 +126,6 @@ class Words:
                 have[at:at + len(new)] = values
         return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
 
-    def inputs_of(self, text: str) -> np.ndarray:
-        at = self.places_of(words_of(text))  # may replace the arrays
-        return np.append(self.input[at], np.int32(self.end_input))
-
     def facts(self, text: str) -> tuple[np.ndarray, float, float, int, Counter]:
         """(input numbers, base, constant, known, rare words with their number) of a text and its end."""
         words = words_of(text)
@@ -139,44 +136,65 @@ class Words:
         return np.append(self.input[at], np.int32(self.end_input)), float(self.base[at].sum()) + end, float(self.constant[at].sum()), int((seen > 0).sum()) + (self.ends > 0), rare
 
 
-def train_model(train: DataFrame, sent, shape: gru.Params) -> gru.Params:
-    """Warm start on ``WARM`` documents (the smallest hashes of their keys), then one pass over all in every task."""
-    spark = train.sparkSession
+def train_model(rows: DataFrame, sent, shape: gru.Params, tokens: int) -> gru.Params:
+    """Warm start on ``WARM`` different documents (the smallest hashes of their keys), then one pass over all of them.
+
+    Documents are dealt to parts of about ``PART`` tokens by the hash of their key and learnt in the order of their keys, so
+    the model depends on the documents and not on how files or tasks hold them; more documents make more parts.
+    """
+    spark = rows.sparkSession
+    count = tokens // PART + 1
+    schema = "part int, flat binary, seen bigint"
 
     def learn(batches: Iterator[pa.RecordBatch], p: gru.Params, lanes: int, rounds: int, rate: float) -> Iterator[pa.RecordBatch]:
-        words, trainer = sent.value, gru.Trainer(p, rate)
+        words, now, trainer, held, have = sent.value, None, None, [], 0
+
+        def taught() -> None:
+            for _ in range(rounds if held else 0):
+                trainer.learn(held, words.end_input, words.outs, lanes)
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if trainer is not None and trainer.seen:
+                flat = gru.pack_params(trainer.p).astype(np.float64) * trainer.seen
+                yield pa.RecordBatch.from_pydict({"part": pa.array([now], pa.int32()), "flat": pa.array([flat.tobytes()], pa.binary()), "seen": pa.array([trainer.seen], pa.int64())})
+
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for lo in range(0, len(texts), SIDE):
-                docs = [words.inputs_of(t) for t in texts[lo:lo + SIDE]]
-                for _ in range(rounds):
-                    trainer.learn(docs, words.end_input, words.outs, lanes)
-        if trainer.seen:
-            flat = gru.pack_params(trainer.p).astype(np.float64) * trainer.seen
-            yield pa.RecordBatch.from_pydict({"flat": pa.array([flat.tobytes()], pa.binary()), "seen": pa.array([trainer.seen], pa.int64()), "log": pa.array([trainer.log], pa.float64())})
+            for part, inputs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if part != now or len(held) == SIDE or have > SIDE_TOKENS:
+                    taught()
+                    held, have = [], 0
+                if part != now:
+                    yield from ended()
+                    now, trainer = part, gru.Trainer(p, rate)
+                held.append(np.frombuffer(inputs, "<u2").astype(np.int32))
+                have += len(held[-1])
+        taught()
+        yield from ended()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, seen, log = None, 0, 0.0
+        flat, seen, first = None, 0, None
         for batch in batches:
-            for f, s, g in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for part, f, s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 f = np.frombuffer(f, np.float64)
-                flat = f if flat is None else flat + f
-                seen, log = seen + s, log + g
+                flat, seen, first = f if flat is None else flat + f, seen + s, part if first is None else first
         if seen:
-            yield pa.RecordBatch.from_pydict({"flat": pa.array([flat.tobytes()], pa.binary()), "seen": pa.array([seen], pa.int64()), "log": pa.array([log], pa.float64())})
+            yield pa.RecordBatch.from_pydict({"part": pa.array([first], pa.int32()), "flat": pa.array([flat.tobytes()], pa.binary()), "seen": pa.array([seen], pa.int64())})
 
-    schema = "flat binary, seen bigint, log double"
-
-    def averaged(rows: DataFrame) -> gru.Params | None:
-        few = max(1, math.isqrt(parts(spark)))  # the sums of so many groups of tasks come to the driver
-        got = rows.withColumn("_g", F.pmod(F.spark_partition_id(), F.lit(few))).repartition(few, "_g").drop("_g").mapInArrow(add, schema).collect()
+    def averaged(models: DataFrame) -> gru.Params | None:
+        few = math.isqrt(count) + 1  # the sums of so many groups of parts come to the driver
+        summed = models.repartitionById(few, F.col("part") % few).sortWithinPartitions("part").mapInArrow(add, schema)
+        got = sorted(summed.collect(), key=lambda r: r["part"])
         seen = sum(r["seen"] for r in got)
         return gru.unpack_params(sum(np.frombuffer(r["flat"], np.float64) for r in got) / seen, shape) if seen else None
 
-    picked = train.select("_key").orderBy(F.xxhash64("_key")).limit(WARM)
-    sample = train.join(F.broadcast(picked), "_key", "left_semi").select("_t").repartition(1)
+    train = rows.filter("NOT held_out").select("key", "inputs")
+    picked = train.select("key").distinct().orderBy(F.xxhash64("key")).limit(WARM)
+    sample = train.join(F.broadcast(picked), "key", "left_semi").dropDuplicates(["key"])
+    sample = sample.select(F.lit(0).alias("part"), "inputs", "key").repartition(1).sortWithinPartitions("key").select("part", "inputs")
     warm = averaged(sample.mapInArrow(lambda b: learn(b, shape, 32, 2, 2 * gru.RATE), schema)) or shape
-    return averaged(train.select("_t").mapInArrow(lambda b: learn(b, warm, gru.LANES, 1, gru.RATE / 2), schema)) or warm
+    dealt = train.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(count)).cast("int")).repartitionById(count, F.col("part"))
+    ordered = dealt.sortWithinPartitions("part", "key").select("part", "inputs")
+    return averaged(settle(ordered.mapInArrow(lambda b: learn(b, warm, gru.LANES, 1, gru.RATE / 2), schema), "models")) or warm
 
 
 def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, held_fold: int = 0) -> DataFrame:
@@ -184,13 +202,14 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Held out are rows with ``crc32(id as text) % folds = held_fold`` and rows with a null id; the others teach. Null
     text is empty: one token, the end. Repeated rows teach and are scored as often as they come. Without any training
-    row all counts are zero and the model is the untrained one.
+    row all counts are zero and the model is the untrained one. Words are looked up once; training and scoring read the
+    numbers that the model knows them by.
     """
     spark = df.sparkSession
     ship(spark)
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == held_fold, F.lit(True))
     rows = df.select(F.col(id_col).alias("_id"), held.alias("held_out"), text_or_empty(text_col).alias("_t"))
-    train = rows.filter(~F.col("held_out")).select("_t", F.xxhash64("_id", "_t").alias("_key"))
+    train = rows.filter(~F.col("held_out"))
     counts = settle(count_words(train), "counts")
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     ends = train.count()
@@ -208,37 +227,52 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Words of a head shorter than HEAD leave places that no word has.
     for i in range(len(head), HEAD):
         shape["bo"][i // PLACES, i % PLACES] = -30
-    model = spark.sparkContext.broadcast(train_model(train, sent, shape))
     kind = df.schema[id_col].dataType.simpleString()
-    names = ["row", "_id", "held_out", "n_tokens", "n_known", "base", "score", "word", "n"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, p = sent.value, model.value
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text, and one for each of its words whose count is joined."""
+        words = sent.value
+        names = ["row", "_id", "held_out", "key", "inputs", "n_known", "base", "constant", "word", "n"]
         for batch in batches:
-            texts = batch.column(3).to_pylist()
+            texts = batch.column(4).to_pylist()
             for lo in range(0, len(texts), SIDE):
                 got = [words.facts(t) for t in texts[lo:lo + SIDE]]
-                ll = gru.score(p, gru.Texts([g[0] for g in got], words.end_input, words.outs)) / math.log(10)
                 n, part = len(got), batch.slice(lo, len(got))
                 yield pa.RecordBatch.from_arrays([
-                    *part.columns[:3], pa.array([len(g[0]) for g in got], pa.int64()), pa.array([g[3] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.float64()),
-                    pa.array([s + g[2] for s, g in zip(ll.tolist(), got, strict=True)], pa.float64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
+                    *part.columns[:4], pa.array([g[0].astype("<u2").tobytes() for g in got], pa.binary()), pa.array([g[3] for g in got], pa.int64()),
+                    pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.float64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
                 ], names=names)
                 rare = [(i, w, c) for i, g in enumerate(got) for w, c in g[4].items()]
                 if rare:
                     i, w, c = zip(*rare, strict=True)
                     m = len(i)
                     yield pa.RecordBatch.from_arrays([
-                        part.column(0).take(pa.array(i)), pa.nulls(m, part.column(1).type), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-                        pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64()), pa.array(w, pa.binary()), pa.array(c, pa.int64()),
+                        part.column(0).take(pa.array(i)), pa.nulls(m, part.column(1).type), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()),
+                        pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64()), pa.array(w, pa.binary()), pa.array(c, pa.int64()),
                     ], names=names)
 
-    scored = rows.select(F.monotonically_increasing_id().alias("row"), "_id", "held_out", "_t").mapInArrow(
-        run, f"row bigint, _id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, word binary, n bigint")
-    both = settle(scored, "scored")
-    rare = both.filter(F.col("word").isNotNull()).select("row", "word", "n").join(counts.select("word", "c"), "word", "left")
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "_id", "held_out", F.xxhash64("_id", "_t").alias("key"), "_t")
+    seen = settle(numbered.mapInArrow(
+        look, f"row bigint, _id {kind}, held_out boolean, key bigint, inputs binary, n_known bigint, base double, constant double, word binary, n bigint"), "seen")
+    texts = seen.filter(F.col("word").isNull())
+    model = spark.sparkContext.broadcast(train_model(texts, sent, shape, total))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, p = sent.value, model.value
+        for batch in batches:
+            every = [np.frombuffer(x, "<u2").astype(np.int32) for x in batch.column(batch.num_columns - 1).to_pylist()]
+            constant = batch.column(batch.num_columns - 2).to_numpy()
+            out = np.zeros(len(every))
+            for lo in range(0, len(every), SIDE):
+                out[lo:lo + SIDE] = gru.score(p, gru.Texts(every[lo:lo + SIDE], words.end_input, words.outs)) / math.log(10)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-2], pa.array([len(x) for x in every], pa.int64()), pa.array(out + constant)], names=["row", "_id", "held_out", "n_known", "base", "n_tokens", "score"])
+
+    both = texts.select("row", "_id", "held_out", "n_known", "base", "constant", "inputs").mapInArrow(
+        run, f"row bigint, _id {kind}, held_out boolean, n_known bigint, base double, n_tokens bigint, score double")
+    rare = seen.filter(F.col("word").isNotNull()).select("row", "word", "n").join(counts.select("word", "c"), "word", "left")
     late = rare.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + ALPHA)).alias("_l"), F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("_k"))
-    done = both.filter(F.col("word").isNull()).drop("word", "n").join(late, "row", "left")
+    done = both.join(late, "row", "left")
     extra = F.coalesce("_l", F.lit(0.0))
     return done.select(
         F.col("_id").alias(id_col), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("_k", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
