@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwork.operators.skew import fits_broadcast
-from tarnwork.session import run_dir
+from tarnwork.session import passing, run_dir
 
 _SHIPPED: set[str] = set()
 _REMEMBERED: list[dict] = []
@@ -44,13 +44,15 @@ def parts(spark: SparkSession) -> int:
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write the frame to the shared folder, let Spark drop the shuffle files behind it, and read it back."""
+    """Write the frame to the shared folder, let Spark drop the shuffle files behind it, and read it back. Inside a
+    ``scratch`` block of the session the folder goes when the block ends."""
     spark = df.sparkSession
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
         path = run_dir(spark, label)
         df.write.parquet(path)
+        passing(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -106,11 +106,17 @@ def fit_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     return {k: out[k] for k in sorted(out)}
 
 
-def predict(df: DataFrame, profiles: dict[str, np.ndarray], keep: list[str], text_col: str = "text", dim: int = DIM, seed: int = SEED) -> DataFrame:
-    """``keep`` with ``lang_pred`` and ``score`` in 0 to 1. Null text, a text without a letter, or no profile: ``und``, 0.
-
-    The mean of the profiles is taken from each of them, so that what all languages share does not count.
+def predict(
+    df: DataFrame, profiles: dict[str, np.ndarray], keep: list[str], text_col: str = "text", dim: int = DIM, seed: int = SEED, out: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """The columns ``keep`` with the language and a score in 0 to 1, named by ``out``. Null text, a text without a letter, or
+    no profile: ``und``, 0.
+
+    The mean of the profiles is taken from each of them, so that what all languages share does not count. Repeated rows
+    are predicted each; an empty table gives no rows. A kept column with a name in ``out`` is an error.
     """
+    if clash := set(keep) & set(out):
+        raise ValueError(f"kept columns have names of results: {sorted(clash)}")
     ship(df.sparkSession)
     langs = list(profiles)
     unit = np.array([profiles[k] / (np.linalg.norm(profiles[k]) or 1) for k in langs]).reshape(len(langs), dim)
@@ -122,7 +128,7 @@ def predict(df: DataFrame, profiles: dict[str, np.ndarray], keep: list[str], tex
         for batch in batches:
             release()
             names, scores = [], []
-            for text in batch.column(batch.schema.get_field_index(given)).to_pylist():
+            for text in batch.column(given).to_pylist():
                 v = space.bundle(text) if langs and text else None
                 if v is None:
                     names.append(UNKNOWN)
@@ -132,9 +138,12 @@ def predict(df: DataFrame, profiles: dict[str, np.ndarray], keep: list[str], tex
                 best = int(np.argmax(cosines))
                 names.append(langs[best])
                 scores.append(float(min(1.0, max(0.0, (1 + cosines[best]) / 2))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
-
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    # A text that is kept is not handed over twice.
-    given = text_col if text_col in keep else "_text_in"
-    return df.select(*keep, *([] if text_col in keep else [F.col(text_col).alias(given)])).mapInArrow(run, f"{schema}, lang_pred string, score double")
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*kept, "l", "s"])
+
+    # Inner names by position, so that no column can clash. A text that is kept is not handed over twice.
+    kept = [f"k{i}" for i in range(len(keep))]
+    given = keep.index(text_col) if text_col in keep else len(keep)
+    rows = df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept, strict=True)], *([] if text_col in keep else [F.col(f"`{text_col}`").alias("t")]))
+    schema = ", ".join(f"{k} {df.schema[c].dataType.simpleString()}" for c, k in zip(keep, kept, strict=True))
+    named = rows.mapInArrow(run, f"{schema}, l string, s double")
+    return named.select(*[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)], F.col("l").alias(out[0]), F.col("s").alias(out[1]))

@@ -36,8 +36,11 @@ PRINTS = 10
 SIMILAR = 40
 # Anchors of a fingerprint are the code words within this many bits of it, its own within RADIUS.
 REACH = RADIUS + 1
-# Closer pairs, and stretches searched for them, by which dense groups are linked first.
-CLOSE, FIRST = 20, 4
+# One-bit minimum hashes of a text, and in how many of them two texts may differ to be compared by their shingles: a
+# similarity of 0.8 gives a tenth, 26 with a deviation of 5.
+MIN_BITS, MIN_LIMIT = 256, 54
+# Words of 64 bits of these columns that are copied to anchors.
+WORDS = {"fps": 2, "mins": MIN_BITS // 64}
 # Pairs a task holds before it hands them over.
 HELD = 1_000_000
 # Groups with more pairs than this are searched by flipping bits instead of pair by pair.
@@ -289,15 +292,23 @@ def set_name(hashes: np.ndarray) -> int:
     return n - (1 << 64) if n >> 63 else n
 
 
-def similar_pairs(prints: DataFrame, stretches: int, limit: int, forest: bool) -> DataFrame:
-    """Pairs ``(a, b)`` of nodes that may be similar: their fingerprints (first two of ``fps``) differ in at most
-    ``limit`` bits, their sizes ``n`` allow it, and on one of the stretches the one is within ``REACH`` bits of the
-    other's code word. Pairs of the same ``root`` are left out. With ``forest``, a spanning forest per anchor only."""
-    spark = prints.sparkSession
-    ship(spark)
-    kind = "anchor bigint, f0 bigint, f1 bigint, node bigint, root bigint, n int, own boolean"
-    few, whole = SIMILARITY
+def minhash_bits(hashes: np.ndarray, bits: int = MIN_BITS) -> np.ndarray:
+    """One bit of the smallest value of the set under each of ``bits`` hashes: two sets differ in a bit with half the
+    probability of their Jaccard distance, whatever their sizes."""
+    rng = np.random.default_rng(SEED)
+    a, b = (rng.integers(0, 1 << 32, bits, np.uint32) for _ in range(2))
+    a |= np.uint32(1)
+    low = np.full(bits, 0xFFFFFFFF, np.uint32)
+    short = (hashes ^ hashes >> np.uint64(32)).astype(np.uint32)
+    for lo in range(0, len(short), 256):
+        np.minimum(low, (short[lo:lo + 256, None] * a + b).min(axis=0), out=low)
+    low = (low ^ low >> np.uint32(15)) * np.uint32(0x2C1B3C6D)
+    return np.packbits((low >> np.uint32(31)).astype(np.uint8)).view(np.uint64)
+
 
+def dealt_to_anchors(prints: DataFrame, stretches: int, words: list[str]) -> DataFrame:
+    """``anchor, node, root, own`` and the numbers ``w0``…: each node with the 64-bit words of the binary columns ``words``,
+    at every anchor within ``REACH`` bits of its fingerprints' stretches; ``own`` where it lies within the radius."""
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, start, _ = near_errors()
         # The patterns of a remainder within REACH, as positions in ``flat``.
@@ -306,8 +317,8 @@ def similar_pairs(prints: DataFrame, stretches: int, limit: int, forest: bool) -
         mask = np.uint64((1 << LENGTH) - 1)
         for batch in batches:
             release()
-            fps = np.array([np.frombuffer(x, np.uint64) for x in batch.column(3).to_pylist()], np.uint64).reshape(batch.num_rows, -1)
-            names, roots, sizes = (batch.column(c).to_numpy() for c in range(3))
+            fps, payload = (np.array([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()], np.uint64).reshape(batch.num_rows, -1) for c in (2, 3))
+            names, roots = (batch.column(c).to_numpy() for c in range(2))
             for k in range(stretches):
                 points = (fps[:, k // 2] >> np.uint64(LENGTH * (k % 2)) & mask).astype(np.uint32)
                 rem = remainder(points)
@@ -315,53 +326,110 @@ def similar_pairs(prints: DataFrame, stretches: int, limit: int, forest: bool) -
                 who = np.repeat(np.arange(len(points)), n)
                 e = flat[start[rem][who] + np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)]
                 anchor = (points[who] ^ e).astype(np.int64) * stretches + k
-                yield pa.RecordBatch.from_pydict({
-                    "anchor": anchor, "f0": fps[who, 0].view(np.int64), "f1": fps[who, 1].view(np.int64), "node": names[who], "root": roots[who], "n": sizes[who],
-                    "own": np.bitwise_count(e) <= RADIUS})
+                yield pa.RecordBatch.from_pydict(
+                    {"anchor": anchor, "node": names[who], "root": roots[who], "own": np.bitwise_count(e) <= RADIUS}
+                    | {f"w{i}": payload[who, i].view(np.int64) for i in range(payload.shape[1])})
+
+    kind = "anchor bigint, node bigint, root bigint, own boolean, " + ", ".join(f"w{i} bigint" for i in range(sum(WORDS[w] for w in words)))
+    whole = prints.select("node", "root", "fps", F.concat(*[F.substring(w, 1, 8 * WORDS[w]) for w in words]).alias("_w"))
+    return whole.mapInArrow(copy, kind).repartition(parts(prints.sparkSession), "anchor").sortWithinPartitions("anchor")
+
+
+def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of one anchor after the other, from rows sorted by anchor."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        cuts = np.flatnonzero(cols[0][1:] != cols[0][:-1]) + 1
+        if held and held[-1][0][-1] != cols[0][0]:
+            yield [np.concatenate(c) for c in zip(*held, strict=True)]
+            held = []
+        for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(cols[0])), strict=True):
+            part = [c[lo:hi] for c in cols]
+            if held and lo:
+                yield [np.concatenate(c) for c in zip(*held, strict=True)]
+                held = []
+            held.append(part)
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def near_in(words: list[np.ndarray], own: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places ``i`` (own) and ``j`` of one anchor whose words differ in at most ``limit`` bits, in blocks."""
+    mine = np.flatnonzero(own)
+    w = [x.view(np.uint64) for x in words]
+    step = max(1, 500_000 // len(own))
+    for m in range(0, len(mine), step):
+        block = mine[m:m + step]
+        far = np.zeros((len(block), len(own)), np.uint16)
+        for x in w:
+            far += np.bitwise_count(x[block, None] ^ x[None, :])
+        i, j = np.nonzero(far <= limit)
+        yield block[i], j
+
+
+def two_columns(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"a": a, "b": b})
+
+
+def neighbours(prints: DataFrame, stretches: int, limit: int) -> DataFrame:
+    """``a, b``: for every node that has others within ``limit`` bits of 128 at some anchor, the one with the smallest hash
+    there, and no more: nodes of a dense group nearly all see the same one, so the rows are a few stars and not pairs."""
+    ship(prints.sparkSession)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for _, node, _, own, *words in anchors(batches):
+            if len(node) < 2:
+                continue
+            rank = np.argsort(np.argsort((node.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), kind="stable"))
+            best = np.full(len(node), len(node))
+            for i, j in near_in(words, own, limit):
+                other = node[i] != node[j]
+                i, j = i[other], j[other]
+                np.minimum.at(best, i, rank[j])
+                np.minimum.at(best, j, rank[i])
+            has = np.flatnonzero(best < len(node))
+            if len(has):
+                by_rank = np.empty(len(node), np.int64)
+                by_rank[rank] = node
+                yield two_columns(node[has], by_rank[best[has]])
+
+    mapped = dealt_to_anchors(prints, stretches, ["fps"]).mapInArrow(compare, "a bigint, b bigint")
+    # Of the stars of several anchors a node keeps the one with the smallest hash.
+    return mapped.groupBy("a").agg(F.min_by("b", F.xxhash64("b")).alias("b"))
+
+
+def similar_pairs(prints: DataFrame, stretches: int, limit: int) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes of different ``root`` that may be similar: their minimum bits differ in at most ``limit``
+    places, and on one of the stretches the one is within ``REACH`` bits of the other's code word."""
+    ship(prints.sparkSession)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        got = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
-        if not got:
-            return
-        cols = [np.concatenate(c) for c in zip(*got, strict=True)]
-        del got
-        order = np.argsort(cols[0], kind="stable")
-        anchor, f0, f1, name, root, size, own = (c[order] for c in cols)
-        del cols
-        f0, f1, size = f0.view(np.uint64), f1.view(np.uint64), size.astype(np.int64)
-        starts = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
         held, count = [], 0
 
         def pairs() -> pa.RecordBatch:
             ab = np.unique(np.concatenate(held, axis=1), axis=1)
             held.clear()
-            return pa.RecordBatch.from_pydict({"a": ab[0], "b": ab[1]})
-
-        for lo, hi in zip(starts, np.append(starts[1:], len(anchor)), strict=True):
-            tree, mine = Forest(hi - lo), np.flatnonzero(own[lo:hi]) + lo
-            step = max(1, 1_000_000 // (hi - lo))
-            for m in range(0, len(mine), step):
-                block = mine[m:m + step]
-                far = np.bitwise_count(f0[block, None] ^ f0[None, lo:hi]) + np.bitwise_count(f1[block, None] ^ f1[None, lo:hi])
-                i, j = np.nonzero(far <= limit)
-                i, j = block[i], lo + j
-                fits = (root[i] != root[j]) & (few * size[i] <= whole * size[j]) & (few * size[j] <= whole * size[i])
-                i, j = i[fits], j[fits]
-                if forest and len(i):
-                    joins = np.fromiter((tree.join(x, y) for x, y in zip((i - lo).tolist(), (j - lo).tolist(), strict=True)), bool, len(i))
-                    i, j = i[joins], j[joins]
-                if len(i):
-                    held.append(np.array([np.minimum(name[i], name[j]), np.maximum(name[i], name[j])]))
-                    count += len(i)
+            return two_columns(ab[0], ab[1])
+
+        for _, node, root, own, *words in anchors(batches):
+            if len(node) < 2:
+                continue
+            for i, j in near_in(words, own, limit):
+                apart = root[i] != root[j]
+                a, b = node[i[apart]], node[j[apart]]
+                if len(a):
+                    held.append(np.array([np.minimum(a, b), np.maximum(a, b)]))
+                    count += len(a)
                 if count >= HELD:
                     yield pairs()
                     count = 0
         if held:
             yield pairs()
 
-    spread = prints.select("node", "root", "n", "fps").mapInArrow(copy, kind)
-    return spread.repartition(parts(spark), "anchor").mapInArrow(compare, "a bigint, b bigint").distinct()
+    return dealt_to_anchors(prints, stretches, ["mins"]).mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def similar_links(pairs: DataFrame, classes: DataFrame, df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -390,9 +458,13 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     """The rows of ``df`` but for near copies: of each group of similar texts those with the smallest id stay.
 
     Two texts are similar if their sets of distinct ``width``-word shingles share at least ``SIMILARITY`` of their union,
-    and groups are connected by similar pairs. The pairs to compare are found by fingerprints (see the README for the
-    recall), close ones first, so that a dense group is linked by a forest and not by all its pairs. Null and wordless
-    texts are alike. Rows with a null id are never dropped and drop none; of rows with the same id, all or none stay.
+    and groups are connected by similar pairs; a pair links only if its sets say so. Which pairs to compare is found by
+    fingerprints (see the README for the recall), in two steps. First every text that has others near it is compared with
+    one of them, the same for nearly all of a dense group, which so becomes a star. Then the texts that have others near
+    them, and only these, are searched for pairs that the stars have left apart.
+
+    Null and wordless texts are alike. Rows with a null id are never dropped and drop none; of rows with the same id, all
+    or none stay.
     """
     ship(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
@@ -400,29 +472,34 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             release()
-            names, sizes, fps = [], [], []
+            names, fps, mins = [], [], []
             for t in batch.column(1).to_pylist():
                 h = shingle_hashes(t, width)
                 names.append(set_name(h))
-                sizes.append(len(h))
                 fps.append(sketch(h).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int32()), pa.array(fps, pa.binary())], names=[id_col, "node", "n", "fps"])
+                mins.append(minhash_bits(h).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(fps, pa.binary()), pa.array(mins, pa.binary())], names=["id", "node", "fps", "mins"])
 
-    def rooted(edges: DataFrame) -> DataFrame:
-        return settle(classes.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
+    def rooted(of: DataFrame, edges: DataFrame) -> DataFrame:
+        return settle(of.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
 
-    rows = df.filter(F.col(id_col).isNotNull()).select(id_col, text_or_empty(text_col).alias("_t"))
-    prints = settle(rows.mapInArrow(run, f"`{id_col}` {kind}, node bigint, n int, fps binary"), "prints")
-    classes = settle(prints.groupBy("node").agg(F.min(id_col).alias("_first"), F.first("n").alias("n"), F.first("fps").alias("fps")), "classes")
+    def similar(pairs: DataFrame) -> DataFrame:
+        return settle(similar_links(settle(pairs, "pairs"), classes, df, id_col, text_col, width), "links")
 
-    def similar(of: DataFrame, *how) -> DataFrame:
-        pairs = settle(similar_pairs(of, *how), "pairs")
-        return settle(similar_links(pairs, classes, df, id_col, text_col, width), "links")
+    rows = df.filter(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("id"), text_or_empty(f"`{text_col}`").alias("t"))
+    prints = settle(rows.mapInArrow(run, f"id {kind}, node bigint, fps binary, mins binary"), "prints")
+    classes = settle(prints.groupBy("node").agg(F.min("id").alias("_first"), F.first("fps").alias("fps"), F.first("mins").alias("mins")), "classes")
 
-    close = similar(classes.withColumn("root", F.col("node")), FIRST, CLOSE, True)
-    links = close.unionByName(similar(rooted(close), 2 * PRINTS, SIMILAR, False))
-    known = rooted(links).select("node", "root", "_first")
+    stars = settle(neighbours(classes.withColumn("root", F.col("node")), 2 * PRINTS, SIMILAR), "stars")
+    close = similar(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    near = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
+    searched = rooted(classes.join(near, "node"), close)
+    links = close.unionByName(similar(similar_pairs(searched, 2 * PRINTS, MIN_LIMIT)))
+    known = rooted(searched.drop("root"), links).select("node", "root", "_first")
     first = known.groupBy("root").agg(F.min("_first").alias("_low"))
     low = known.select("node", "root").join(first, "root").select("node", "_low")
-    gone = settle(prints.join(low, "node").filter(F.col(id_col) != F.col("_low")).select(F.col(id_col).alias("_gone")).distinct(), "gone")
+    # Texts without others near them are dropped only where a copy has a smaller id.
+    alone = classes.join(near, "node", "left_anti").select("node", F.col("_first").alias("_low"))
+    gone = prints.join(low.unionByName(alone), "node").filter(F.col("id") != F.col("_low")).select(F.col("id").alias("_gone")).distinct()
+    gone = settle(gone, "gone")
     return df.join(small(gone), df[id_col] == gone["_gone"], "left_anti")

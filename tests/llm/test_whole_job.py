@@ -4,6 +4,7 @@ import os
 import sys
 
 import numpy as np
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -92,3 +93,30 @@ def test_html_keeps_mathml_fallbacks_and_the_headline():
 <mn>2</mn></msup></mrow><annotation encoding="tex">x^2</annotation></semantics></math> is positive, as a rule, everywhere.</p>
 <p>See <object data=a.pdf>the fallback text</object>, which stands here, too.</p><div class="entry-header ad">Buy</div></article><div class="site-header">Site</div></body>"""
     assert htmltext.main_text(page) == "Head\nThe square x 2 is positive, as a rule, everywhere.\nSee the fallback text, which stands here, too."
+
+
+CLASHING = "lang_pred score _kept bucket _t doc tag spans lo hi k0 c0 l s t id node root _gone _found _doc _w fps mins".split()
+
+
+def test_stages_take_extra_columns_of_any_name(spark):
+    import corpus_pipeline as cp
+
+    rows = [(1, "some clean words, enough of them to stand alone here"), (2, "some clean words, enough of them to stand alone here"), (3, None), (4, "123"), (5, "other words, which nobody has said before in this table")]
+    docs = docs_of(spark, rows).withColumns({c: F.lit(f"extra {c}") for c in CLASHING})
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert {r[c] for r in out.collect() for c in ("lang_pred", "_kept", "node")} == {"extra lang_pred", "extra _kept", "extra node"}, name
+        docs = out
+    assert ids(docs) == [1, 5] and ids(cp.packed(spark, docs, SF)) == [1, 5]
+
+
+def test_the_pipeline_leaves_only_the_stages_rows(spark):
+    import corpus_pipeline as cp
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    cp.run(spark, SF)
+    left = sorted(p.rsplit("-", 1)[0] for p in set(os.listdir(shared)) - before)
+    assert [p for p in left if p in dict(cp.STAGES)] == sorted(name for name, _ in cp.STAGES[:-1])
+    assert not {"prints", "classes", "pairs", "suffixes", "windows", "stars"} & set(left)
