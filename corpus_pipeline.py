@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tarnwork.llm import decontam, langid, packing, simhash, suffix
 from tarnwork.llm.common import settle
+from tarnwork.session import scratch
 
 # Bytes from which a repeated string is cut out: the least of 51 words, one byte each with a space between.
 REPEAT_BYTES = 101
@@ -23,8 +24,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     profiles = langid.fit_profiles(docs)
     if not profiles:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    named = langid.predict(docs, profiles, docs.columns)
-    return named.filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    longest = max(map(len, docs.columns))
+    lang, score = "_" * (longest + 1), "_" * (longest + 2)  # names that no column has
+    named = langid.predict(docs, profiles, docs.columns, out=(lang, score))
+    return named.filter(F.col(lang) != langid.UNKNOWN).select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,5 +60,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), name)
+        # What a stage writes on its way is removed once its rows are written.
+        with scratch(spark) as passing:
+            docs = settle(stage(spark, docs, sf_dir), name)
+            passing.pop()
     return STAGES[-1][1](spark, docs, sf_dir)
