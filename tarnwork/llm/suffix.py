@@ -49,6 +49,7 @@ BUCKET = 8_000_000
 # Rows that tasks hand over: parcels of keys; or matched bytes, or first windows asked for, ``lo`` to ``hi`` of a document.
 KEYS, SPANS, ASKED = 0, 1, 2
 KINDS = {"kind": pa.int8(), "bucket": pa.int64(), "blob": pa.binary(), "doc": pa.int64(), "tag": pa.int32(), "lo": pa.int64(), "hi": pa.int64()}
+KEPT = ["kind", "doc", "tag", "lo", "hi"]
 ROWS = "kind tinyint, bucket bigint, blob binary, doc bigint, tag int, lo bigint, hi bigint"
 
 Columns = dict[str, np.ndarray]
@@ -385,7 +386,7 @@ def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) ->
     def dealt(df: DataFrame) -> DataFrame:
         return df.repartition(tasks, "bucket").sortWithinPartitions("kind", "bucket")
 
-    first = settle(dealt(rows.mapInArrow(first_round, ROWS)).mapInArrow(family(SUFFIX, True), ROWS), "suffixes")
+    first = settle(dealt(rows.mapInArrow(first_round, ROWS)).mapInArrow(family(SUFFIX, True), ROWS).select(*KEPT), "suffixes")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Keys of the windows that were asked for."""
@@ -400,7 +401,7 @@ def matches(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) ->
     lists = [F.collect_list(c).alias(c) for c in ("lo", "hi")]
     asked = settle(first.filter(F.col("kind") == ASKED).groupBy("doc", "tag").agg(*lists), "asked")
     windows = rows.join(asked, ["doc", "tag"]).select("doc", "text", "tag", "lo", "hi")
-    second = settle(dealt(windows.mapInArrow(ask, ROWS)).mapInArrow(family(WINDOW, False), ROWS), "windows")
+    second = settle(dealt(windows.mapInArrow(ask, ROWS)).mapInArrow(family(WINDOW, False), ROWS).select(*KEPT), "windows")
     spans = first.filter(F.col("kind") == SPANS).unionByName(second.filter(F.col("kind") == SPANS))
     return spans.groupBy("doc", "tag").agg(*lists)
 

@@ -14,7 +14,7 @@ import os
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,12 +25,14 @@ from tarnwork.llm.common import remembered, ship, text_or_empty
 VOCABULARY = "byte_bpe_50k.json"
 # Runs of text remembered by one worker: about 100 bytes each.
 REMEMBER = 600_000
+# Pre-tokens encoded as one text.
+GROUP = 256
 # Texts handled together: bounds what a worker holds besides one Arrow batch.
 SLICE_CHARS = 4_000_000
 # White space as the pre-token pattern of the vocabulary sees it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 RUN = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-CROWDED = re.compile(f"[{SPACE}][ \n]|[ \n][{SPACE}]|[ \n]$")
+SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
 
 _LOADED: dict[str, "Vocabulary"] = remembered()
 
@@ -42,6 +44,13 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def crowded(run: str) -> bool:
+    """Whether a run from behind a space has white space at an end, so that more than that space stands there. A line break
+    at its front is no part of it."""
+    rest = run[1:] if run[:1] == "\n" else run
+    return not rest or rest[0] in SPACES or rest[-1] in SPACES
+
+
 class Vocabulary:
     """A tokenizer file with its proved whole tokens and what has been seen so far."""
 
@@ -60,6 +69,7 @@ class Vocabulary:
         self.counts: tuple[dict, dict] = ({}, {})
         self.ids: tuple[dict, dict] = ({}, {})
         self.pre: dict[str, bytes] = {}
+        self.bad: set[str] = set()
 
     @classmethod
     def of(cls, path: str | None) -> "Vocabulary":
@@ -110,13 +120,30 @@ class Vocabulary:
         if len(self.pre) > REMEMBER:
             self.pre.clear()
         if not self.pre:
-            self.pre.update(zip(w := sorted(self.whole), self._bytes(self._encode(w)), strict=True))
+            self.pre.update(zip(w := sorted(self.whole), self.encode_each(w), strict=True))
         pre = self.pre
         split = [[run] if "|" in run and any(s in run for s in self.special) else self.pattern.findall(run) for run in runs]
         new = list({p for s in split for p in s if p not in pre})
-        pre.update(zip(new, self._bytes(self._encode(new)), strict=True))
+        pre.update(zip(new, self.encode_each(new), strict=True))
         return [pre[s[0]] if len(s) == 1 else b"".join([pre[p] for p in s]) for s in split]
 
+    def encode_each(self, pre: list[str]) -> list[bytes]:
+        """Ids of each pre-token. Those that begin with a space go through the tool many at a time, as one text: it cuts
+        them at the spaces again and tells which id belongs to which. If it should find another number of them, each is
+        encoded alone."""
+        out: dict[str, bytes] = {}
+        begins = [p for p in pre if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()]
+        groups = [begins[lo:lo + GROUP] for lo in range(0, len(begins), GROUP)]
+        for group, code in zip(groups, self.tool.encode_batch(["".join(g) for g in groups], add_special_tokens=False), strict=True):
+            words = code.word_ids
+            cuts = [0, *(k for k in range(1, len(words)) if words[k] != words[k - 1]), len(words)]
+            if None not in words and len(cuts) == len(group) + 1:
+                ids = struct.pack(f"<{len(words)}I", *code.ids)
+                out.update(zip(group, (ids[4 * a:4 * b] for a, b in pairwise(cuts)), strict=True))
+        rest = [p for p in pre if p not in out]
+        out.update(zip(rest, self._bytes(self._encode(rest)), strict=True))
+        return [out[p] for p in pre]
+
     @staticmethod
     def _bytes(codes: list[list[int]]) -> list[bytes]:
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in codes]
@@ -124,20 +151,23 @@ class Vocabulary:
     def per_text(self, texts: list[str], memo: tuple[dict, dict], learn) -> Iterator[map]:
         """For each text the remembered values of its runs. ``memo``: of runs as they stand, of runs behind one space."""
         plain, spaced = memo
-        if len(plain) + len(spaced) > REMEMBER:
+        if len(plain) + len(spaced) + len(self.bad) > REMEMBER:
             plain.clear()
             spaced.clear()
-        cut = []
+            self.bad.clear()
+        cut, bad = [], self.bad
         for t in texts:
-            if CROWDED.search(t):
-                cut.append((RUN.findall(t), ()))
-            else:
-                first, *rest = t.replace("\n", " \n").split(" ")
-                cut.append(([first] if first else (), rest))
+            first, *rest = t.replace("\n", " \n").split(" ")
+            cut.append(((first,) if first else (), rest))
+        new = {r for r in set(chain.from_iterable(b for _, b in cut)) if r not in spaced and r not in bad}
+        bad |= (worse := {r for r in new if crowded(r)})
+        new = list(new - worse)
+        spaced.update(zip(new, learn([r if r[:1] == "\n" else " " + r for r in new]), strict=True))
+        for k, (a, b) in enumerate(cut):
+            if b and (a and a[0][-1] in SPACES or not bad.isdisjoint(b)):
+                cut[k] = RUN.findall(texts[k]), ()
         new = [r for r in set(chain.from_iterable(a for a, _ in cut)) if r not in plain]
         plain.update(zip(new, learn(new), strict=True))
-        new = [r for r in set(chain.from_iterable(b for _, b in cut)) if r not in spaced]
-        spaced.update(zip(new, learn([r if r[:1] == "\n" else " " + r for r in new]), strict=True))
         for a, b in cut:
             yield chain(map(plain.__getitem__, a), map(spaced.__getitem__, b))
 
