@@ -2,9 +2,13 @@
 
 Every text node of a page belongs to its root-to-leaf tag path. Text length and punctuation are added up per path and
 divided by the path's number of nodes; the two ratios are smoothed along the page with a Gaussian, fused by
-multiplication, and the paths above the threshold (their deviation from the mean) select content nodes. The smallest
-element that holds most of the selected text is the article; its blocks are given back but for those under paths that
-are never content (menus, forms, notices, comments of readers, and the like).
+multiplication, and the paths above the threshold (their deviation from the mean) select content nodes.
+
+The smallest element that holds most of the selected text is the article. Where the page marks it (``article``, ``main``),
+all of it is given back but for what is never content (menus, forms, scripts, comments of readers) and for blocks whose
+name sounds like a notice, a share bar and the like *and* whose path is below the threshold. Where the page does not mark
+it, the ratios alone tell where it begins and ends: from the first selected block, with the headings right above it, to
+the last. Outside an article names still tell notices and adverts from text, as these may be as dense.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ ROOTS = frozenset("article main".split())
 NOISE_NAME = re.compile(
     r"(?:^|[-_\s])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|footer|foot|header|masthead|cookies?|consent|notice\w*|alert|popup|modal|"
     r"comments?|commentlist|disqus|respon[ds]e?s?|replies|reply|share|sharing|social|related|recommend\w*|subscribe|newsletter|signup|login|search\w*|tags?|pagination|pager|toolbar|widget\w*|skip|disclaimer|copyright|legal)(?:$|[-_\s\d])", re.I)
+COMMENT_NAME = re.compile(r"(?:^|[-_\s])(?:comments?|commentlist|disqus|replies)(?:$|[-_\s\d])", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Parts of a name that mean nothing inside an article, as its own header holds the headline.
 HEADER_NAME = re.compile(r"(?:^|(?<=[-_\s]))(?:header|masthead)(?=$|[-_\s\d])", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
@@ -44,24 +50,25 @@ THRESHOLD = 0.8
 
 
 class Node:
-    """A run of text: its path (element numbers from the root), its block and its words."""
+    """A run of text: its path (element numbers from the root), its block and its words, whether it is never content
+    (``noise``), and whether an article's element around it has a name that sounds so (``suspect``)."""
 
-    __slots__ = ("path", "names", "block", "text", "noise")
+    __slots__ = ("path", "names", "block", "text", "noise", "suspect")
 
-    def __init__(self, path, names, block, text, noise):
-        self.path, self.names, self.block, self.text, self.noise = path, names, block, text, noise
+    def __init__(self, path, names, block, text, noise, suspect):
+        self.path, self.names, self.block, self.text, self.noise, self.suspect = path, names, block, text, noise, suspect
 
 
 def read_nodes(page: str) -> list[Node]:
     """Text nodes in page order. Unclosed and stray tags are tolerated: a start tag closes what it cannot stand in, an
     end tag closes up to its start tag if there is one."""
-    stack: list[tuple[str, int, bool, str]] = []  # name, number, noise, name with class
+    stack: list[tuple[str, int, bool, str, bool]] = []  # name, number, noise, name with class, suspect
     nodes: list[Node] = []
     number = block = at = 0
 
     def add(text: str) -> None:
         if text:
-            nodes.append(Node(tuple(s[1] for s in stack), tuple(s[3] for s in stack), block, html.unescape(text), bool(stack and stack[-1][2])))
+            nodes.append(Node(tuple(s[1] for s in stack), tuple(s[3] for s in stack), block, html.unescape(text), bool(stack and stack[-1][2]), bool(stack and stack[-1][4])))
 
     def pop_to(k: int) -> None:
         nonlocal block
@@ -106,13 +113,14 @@ def read_nodes(page: str) -> list[Node]:
             number += 1
             label = " ".join(v for a in ATTRIBUTE.finditer(attrs) if a.group(1).lower() in ("class", "id", "role") for v in (a.group(2) or a.group(3) or a.group(4) or "",))
             hidden = any(a.group(1).lower() == "hidden" for a in ATTRIBUTE.finditer(attrs)) or "display:none" in attrs.replace(" ", "").lower()
-            inside = bool(stack and stack[-1][2])
+            inside, doubted = (bool(stack[-1][2]), bool(stack[-1][4])) if stack else (False, False)
             within = any(s[0] in ROOTS for s in stack)
             said = HEADER_NAME.sub("", label) if within else label
-            own = name in NOISE or hidden or bool(said and name not in ROOTS and name not in ("body", "html") and NOISE_NAME.search(said))
+            sounds = bool(said and name not in ROOTS and name not in ("body", "html") and NOISE_NAME.search(said))
+            own = name in NOISE or hidden or sounds and (not within or bool(COMMENT_NAME.search(said)))
             if name == "header":
                 own = own or not within
-            stack.append((name, number, inside or own, f"{name}.{label}" if label else name))
+            stack.append((name, number, inside or own, f"{name}.{label}" if label else name, doubted or sounds))
             if name not in INLINE:
                 block += 1
             if name in RAW:
@@ -144,7 +152,13 @@ def content_nodes(nodes: list[Node], sigma: float = SIGMA, threshold: float = TH
     for n, f in zip(nodes, fused, strict=True):
         best[n.names] = max(best.get(n.names, 0.0), float(f))
     line = min(threshold * float(fused.std()), float(fused.max()))
-    return [i for i, n in enumerate(nodes) if not n.noise and n.text.strip() and best[n.names] >= line]
+
+    def dense(n: Node) -> bool:
+        # What lies beside text is lifted by smoothing; a suspect's path has to be dense by itself.
+        own = length[n.names] / count[n.names] * (1 + marks[n.names] / count[n.names])
+        return (own if n.suspect else best[n.names]) >= line
+
+    return [i for i, n in enumerate(nodes) if not n.noise and n.text.strip() and dense(n)]
 
 
 def main_text(page: str | None) -> str:
@@ -172,22 +186,43 @@ def main_text(page: str | None) -> str:
         for e in sorted(weight):
             if 10 * weight[e] > 9 * total and block_like[e] in SCOPE:
                 root = e
+    first, last = 0, len(nodes) - 1
+    if not main:
+        first, last = chosen[0], chosen[-1]
+        while first and (nodes[first - 1].block == nodes[first].block or not nodes[first - 1].text.strip() or is_heading(nodes[first - 1])):
+            first -= 1
+        while last + 1 < len(nodes) and nodes[last + 1].block == nodes[last].block:
+            last += 1
+    dense = {nodes[i].block for i in chosen}
     blocks: dict[int, list[str]] = {}
-    for n in nodes:
-        if not n.noise and (root is None or root in n.path):
+    for n in nodes[first:last + 1]:
+        if not n.noise and (root is None or root in n.path) and not (n.suspect and n.block not in dense):
             blocks.setdefault(n.block, []).append(n.text)
     lines = (" ".join("".join(b).split()) for b in blocks.values())
     return "\n".join(line for line in lines if line)
 
 
+def is_heading(n: Node) -> bool:
+    return any(name.partition(".")[0] in HEADINGS for name in n.names)
+
+
 def extract_pages(df: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
-    """``keep``, ``text`` and ``n_chars`` (code points) of every row. Null or empty pages give empty text."""
+    """The columns ``keep``, ``text`` and ``n_chars`` (code points) of every row.
+
+    Null or empty pages, and pages without text, give empty text; a null url stays null; repeated rows are read each; an
+    empty table gives no rows. A kept column with a name of the results is an error.
+    """
+    if clash := set(keep) & {"text", "n_chars"}:
+        raise ValueError(f"kept columns have names of results: {sorted(clash)}")
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [main_text(h) for h in batch.column(batch.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=[*keep, "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=[*kept, "t", "n"])
 
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.select(*keep, text_or_empty(html_col).alias("_html_in")).mapInArrow(run, f"{schema}, text string, n_chars bigint")
+    kept = [f"k{i}" for i in range(len(keep))]  # inner names by position, so that no column can clash
+    schema = ", ".join(f"{k} {df.schema[c].dataType.simpleString()}" for c, k in zip(keep, kept, strict=True))
+    rows = df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept, strict=True)], text_or_empty(f"`{html_col}`").alias("h"))
+    out = rows.mapInArrow(run, f"{schema}, t string, n bigint")
+    return out.select(*[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)], F.col("t").alias("text"), F.col("n").alias("n_chars"))
