@@ -25,6 +25,7 @@ from tarnwork.llm.common import settle, ship, text_or_empty
 HEAD, PLACES = 512, 32  # frequent words in classes of so many
 TAILS = 32  # classes of rarer words
 KNOWN = 200_000  # counts that tasks look up at once; those of rarer words are joined
+MANY = 500_000  # words that a worker remembers the numbers of
 WARM = 512  # documents of the warm start
 ALPHA = 0.1
 PART = 2_000_000  # training tokens of one part, which one task learns
@@ -90,6 +91,7 @@ class Words:
         self.classes = self.groups + 1 + TAILS
         self.inputs = HEAD + 1 + TAILS  # words of the head, the end, classes of the tail
         self.log_all = math.log10(total + ALPHA * (distinct + 1))
+        self.log_mass = np.log10(np.maximum(np.array(mass) + ALPHA, 1e-300))
         head_input = np.arange(HEAD)
         tail = np.arange(TAILS + 1)  # the end first
         self.outs = (np.concatenate([head_input // PLACES, self.end_class + tail]).astype(np.int64), np.concatenate([head_input % PLACES, np.full(TAILS + 1, -1)]).astype(np.int64))
@@ -97,28 +99,32 @@ class Words:
 
     def forget(self) -> None:
         self.number: dict[bytes, int] = {}  # word seen -> its place in the arrays
+        self.names: list[bytes] = []
         self.input, self.base, self.constant, self.seen = np.zeros(0, np.int32), np.zeros(0), np.zeros(0), np.zeros(0, np.int8)
 
-    def look(self, word: bytes) -> tuple[int, float, float, int]:
-        """(input, base, constant, known): base and constant without what a joined count adds; known -1: to be joined."""
-        c = self.known.get(word)
-        part = 0.0 if c is None else math.log10(c + ALPHA)
-        i = self.head.get(word)
-        if i is not None:
-            return i, part - self.log_all, 0.0, 1
-        t = tail_class(word)
-        return HEAD + 1 + t, part - self.log_all, part - math.log10(self.mass[t] + ALPHA), -1 if c is None else 1
+    def look(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word (input, base, constant, known): base and constant without what a joined count adds; known -1: to be
+        joined."""
+        none = -1.0
+        counts = np.array([self.known.get(w, none) for w in words])
+        heads = np.array([self.head.get(w, -1) for w in words], np.int32)
+        tails = np.array([tail_class(w) for w in words], np.int32)
+        part = np.log10(np.where(counts < 0, 1.0, counts + ALPHA))
+        head = heads >= 0
+        constant = np.where(head, 0.0, part - self.log_mass[tails])
+        return np.where(head, heads, HEAD + 1 + tails).astype(np.int32), part - self.log_all, constant, np.where(head | (counts >= 0), 1, -1).astype(np.int8)
 
     def places_of(self, words: list[bytes]) -> np.ndarray:
         number = self.number
         new = [w for w in set(words) if w not in number]
         if new:
-            if len(number) > 2 * KNOWN:
+            if len(number) > MANY:
                 self.forget()
                 return self.places_of(words)
-            at, facts = len(number), list(zip(*map(self.look, new), strict=True))
+            at = len(number)
             number.update(zip(new, range(at, at + len(new)), strict=True))
-            for name, values in zip(("input", "base", "constant", "seen"), facts, strict=True):
+            self.names += new
+            for name, values in zip(("input", "base", "constant", "seen"), self.look(new), strict=True):
                 have = getattr(self, name)
                 if at + len(new) > len(have):
                     have = np.concatenate([have, np.zeros(len(have) + len(new) + 1000, have.dtype)])
@@ -126,14 +132,30 @@ class Words:
                 have[at:at + len(new)] = values
         return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
 
-    def facts(self, text: str) -> tuple[np.ndarray, float, float, int, Counter]:
-        """(input numbers, base, constant, known, rare words with their number) of a text and its end."""
-        words = words_of(text)
-        at = self.places_of(words)
+    def facts(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, list[bytes], np.ndarray]]:
+        """Of each text and its end the input numbers, base, constant and known words; and of all texts the words whose
+        counts are joined, as (text, word, how often)."""
+        listed = [words_of(t) for t in texts]
+        at = self.places_of([w for words in listed for w in words])  # may replace the arrays
+        sizes = np.array([len(words) for words in listed])
+        cuts = np.concatenate([[0], np.cumsum(sizes)])
+
+        def sums(values: np.ndarray) -> np.ndarray:
+            running = np.concatenate([[0], np.cumsum(values)])
+            return running[cuts[1:]] - running[cuts[:-1]]
+
         seen = self.seen[at]
-        rare = Counter(words[i] for i in np.flatnonzero(seen < 0).tolist())
+        who = np.repeat(np.arange(len(texts)), sizes)
+        rare = np.flatnonzero(seen < 0)
+        pairs, often = np.unique(who[rare] << 32 | at[rare], return_counts=True)
+        names = self.names
+        joined = pairs >> 32, [names[k] for k in (pairs & 0xFFFFFFFF).tolist()], often
+        inputs = self.input[at]
         end = math.log10(self.ends + ALPHA) - self.log_all
-        return np.append(self.input[at], np.int32(self.end_input)), float(self.base[at].sum()) + end, float(self.constant[at].sum()), int((seen > 0).sum()) + (self.ends > 0), rare
+        every = [np.append(inputs[lo:hi], np.int32(self.end_input)) for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        # One text after the other, as sums over all texts would lose digits of a short text behind long ones.
+        base, constant = (np.array([values[lo:hi].sum() for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]) for values in (self.base[at], self.constant[at]))
+        return every, base + end, constant, sums((seen > 0).astype(np.int64)) + (self.ends > 0), joined
 
 
 def train_model(rows: DataFrame, sent, shape: gru.Params, tokens: int) -> gru.Params:
@@ -236,19 +258,16 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for batch in batches:
             texts = batch.column(4).to_pylist()
             for lo in range(0, len(texts), SIDE):
-                got = [words.facts(t) for t in texts[lo:lo + SIDE]]
-                n, part = len(got), batch.slice(lo, len(got))
+                every, base, constant, known_words, (who, word, often) = words.facts(texts[lo:lo + SIDE])
+                n, m, part = len(every), len(word), batch.slice(lo, SIDE)
                 yield pa.RecordBatch.from_arrays([
-                    *part.columns[:4], pa.array([g[0].astype("<u2").tobytes() for g in got], pa.binary()), pa.array([g[3] for g in got], pa.int64()),
-                    pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.float64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
+                    *part.columns[:4], pa.array([x.astype("<u2").tobytes() for x in every], pa.binary()), pa.array(known_words), pa.array(base), pa.array(constant),
+                    pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
                 ], names=names)
-                rare = [(i, w, c) for i, g in enumerate(got) for w, c in g[4].items()]
-                if rare:
-                    i, w, c = zip(*rare, strict=True)
-                    m = len(i)
+                if m:
                     yield pa.RecordBatch.from_arrays([
-                        part.column(0).take(pa.array(i)), pa.nulls(m, part.column(1).type), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()),
-                        pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64()), pa.array(w, pa.binary()), pa.array(c, pa.int64()),
+                        part.column(0).take(pa.array(who)), pa.nulls(m, part.column(1).type), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()),
+                        pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64()), pa.array(word, pa.binary()), pa.array(often),
                     ], names=names)
 
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "_id", "held_out", F.xxhash64("_id", "_t").alias("key"), "_t")
