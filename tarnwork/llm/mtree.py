@@ -26,7 +26,9 @@ SCALE = 256
 SAMPLE, ROUTES = 4096, 64
 PAGE, BUCKET = 128, 2048
 BLOCK = 4096
-SLACK = 1e-6  # for rounding in bounds; scores are whole numbers
+DIMENSIONS = 1000  # so many dimensions, the most frequent ones, get routing objects of their own
+SLACK = 1e-6  # share of a length by which rounding may shift a bound
+EXACT = 2.0**53  # scores below it are whole numbers in a double
 
 
 def codes(vectors: pa.Array, scale: int = SCALE) -> tuple[np.ndarray, np.ndarray]:
@@ -85,16 +87,19 @@ def split(vectors: np.ndarray, most: int) -> Iterator[np.ndarray]:
         todo += [at[left], at[~left]]
 
 
+def roots_of(roots: dict[int, np.ndarray], dim: int) -> np.ndarray:
+    return roots[dim] if dim in roots else np.zeros((1, dim))
+
+
 def build(vectors: DataFrame, sample_size: int = SAMPLE, routes: int = ROUTES, page: int = PAGE) -> DataFrame:
     """Index over ``id, dim, code``, written to the shared folder: one row per page. Routing objects come from the
     ``sample_size`` vectors with the smallest hashes of their ids; every vector is indexed. Vectors of different
-    dimensions get trees of their own."""
+    dimensions get trees of their own; those of dimensions beyond the ``DIMENSIONS`` most frequent ones hang under the
+    origin. Repeated vectors and ties share pages as they come."""
     spark = vectors.sparkSession
-    dims = [r["dim"] for r in vectors.select("dim").distinct().limit(1001).collect()]
-    if len(dims) > 1000:
-        raise ValueError("more than 1000 different dimensions")
+    often = vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "dim").limit(DIMENSIONS)
     roots = {}
-    for d in dims:
+    for d in [r["dim"] for r in often.collect()]:
         picked = vectors.filter(F.col("dim") == d).orderBy(F.xxhash64("id"), "code").select("code").limit(sample_size).collect()
         roots[d] = routing_objects(np.array([np.frombuffer(r["code"], "<f8") for r in picked]), routes)
 
@@ -105,7 +110,7 @@ def build(vectors: DataFrame, sample_size: int = SAMPLE, routes: int = ROUTES, p
             for d in np.unique(dim):
                 at = np.flatnonzero(dim == d)
                 x = np.array([np.frombuffer(batch.column(2)[int(i)].as_py(), "<f8") for i in at])
-                r = roots[int(d)]
+                r = roots_of(roots, int(d))
                 near[at] = ((r ** 2).sum(axis=1) - 2 * x @ r.T).argmin(axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near)], names=["id", "dim", "code", "route"])
 
@@ -117,7 +122,7 @@ def build(vectors: DataFrame, sample_size: int = SAMPLE, routes: int = ROUTES, p
         for (d, r, _), rows in held.items():
             ids = np.array([i for i, _ in rows], np.int64)
             x = np.frombuffer(b"".join(c for _, c in rows), "<f8").reshape(len(ids), d)
-            parent = roots[d][r]
+            parent = roots_of(roots, d)[r]
             out = []
             for at in split(x, page):
                 at = at[np.argsort(ids[at], kind="stable")]
@@ -134,22 +139,27 @@ def build(vectors: DataFrame, sample_size: int = SAMPLE, routes: int = ROUTES, p
     return settle(made, "pages"), roots
 
 
-def search_pages(pages: list[dict], roots: np.ndarray, q_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, scores) of the k best of some pages for each query; unused places have id -1. Ties go to smaller ids."""
-    nq = len(q)
-    ids, scores = np.full((nq, k), -1, np.int64), np.full((nq, k), -np.inf)
+def search_pages(pages: list[dict], roots: np.ndarray, q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+    """Improve ``ids, scores``, the k best found so far for each query, by some pages; unused places have id -1 and score
+    minus infinity. Ties go to smaller ids."""
+    nq, k = ids.shape
     size = (q ** 2).sum(axis=1)
     route = np.array([p["route"] for p in pages])
     to_parent, radius, largest = (np.array([p[c] for p in pages]) for c in ("to_parent", "radius", "largest"))
     lowest = np.array([p["ids"][0] for p in pages])
+    longest = float(max(size.max(), largest.max(), (roots ** 2).sum(axis=1).max()))
+    if float(np.sqrt(size.max() * largest.max())) >= EXACT:
+        raise ValueError("scores of 2^53 and more cannot be told exactly; use a smaller scale")
+    shift = SLACK * (1 + np.sqrt(longest))  # of distances, whose squares lose digits where they are small
+    loose = SLACK + 1e-11 * longest  # of scores
     to_root = np.sqrt(np.maximum(size[:, None] + (roots ** 2).sum(axis=1) - 2 * q @ roots.T, 0))
 
     def most(distance):  # the best score a vector at this distance or farther can have
-        return (size[:, None] + largest - np.maximum(distance - SLACK, 0) ** 2) / 2 + SLACK
+        return (size[:, None] + largest - np.maximum(distance - shift, 0) ** 2) / 2 + loose
 
     # From stored distances alone: no centre is touched.
     bound = most(np.maximum(np.abs(to_root[:, route] - to_parent) - radius, 0))
-    bound = np.minimum(bound, np.sqrt(size)[:, None] * np.sqrt(largest) + SLACK)
+    bound = np.minimum(bound, np.sqrt(size)[:, None] * np.sqrt(largest) + loose)
     measured = np.zeros(bound.shape, bool)
     centres = np.array([p["centre"] for p in pages])
     active = np.arange(nq)
@@ -169,8 +179,8 @@ def search_pages(pages: list[dict], roots: np.ndarray, q_ids: np.ndarray, q: np.
             new = mine[~measured[mine, p]]
             if len(new):  # one distance to the centre tightens the bound; the page then waits for its turn
                 d = np.sqrt(np.maximum(((q[new] - centres[p]) ** 2).sum(axis=1), 0))
-                closest = np.maximum(d - radius[p] - SLACK, 0)
-                tight = np.minimum((size[new] + largest[p] - closest ** 2) / 2, q[new] @ centres[p] + np.sqrt(size[new]) * radius[p]) + 1e-3
+                closest = np.maximum(d - radius[p] - shift, 0)
+                tight = np.minimum((size[new] + largest[p] - closest ** 2) / 2, q[new] @ centres[p] + np.sqrt(size[new]) * radius[p]) + 1e-3 + loose
                 bound[new, p] = np.minimum(bound[new, p], tight)
                 measured[new, p] = True
             old = np.setdiff1d(mine, new, assume_unique=True)
@@ -186,7 +196,6 @@ def search_pages(pages: list[dict], roots: np.ndarray, q_ids: np.ndarray, q: np.
                 found = np.take_along_axis(names, order, axis=1)
                 ids[old] = np.where(np.isneginf(scores[old]), -1, found)
                 bound[old, p] = -np.inf
-    return ids, scores
 
 
 def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 50, k: int = 5, scale: int = SCALE, block: int = BLOCK) -> DataFrame:
@@ -214,26 +223,37 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
 
 
 def search(index: DataFrame, roots: dict[int, np.ndarray], queries: list[tuple[int, int, bytes]], k: int) -> DataFrame:
-    """The k best of every task's pages for each of a block of queries; ``_n`` tells queries of one id apart."""
+    """The k best of every task's pages for each of a block of queries; ``_n`` tells queries of one id apart. What a task
+    has found bounds its search of later pages, and it gives out k rows a query at most."""
     spark = index.sparkSession
     sent = spark.sparkContext.broadcast((roots, queries))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roots, queries = sent.value
+        asked: dict[int, list[list]] = {}  # dimension -> parts of the queries, each with the best found so far in this task
+        for n, (i, d, c) in enumerate(queries):
+            groups = asked.setdefault(d, [])
+            if not groups or len(groups[-1]) == 1024:
+                groups.append([])
+            groups[-1].append((n, i, np.frombuffer(c, "<f8")))
+        state = {
+            d: [(np.array([n for n, _, _ in g], np.int32), np.array([i for _, i, _ in g], np.int64), np.array([c for _, _, c in g]).reshape(len(g), d),
+                 np.full((len(g), k), -1, np.int64), np.full((len(g), k), -np.inf)) for g in groups] for d, groups in asked.items()
+        }
         for batch in batches:
             by_dim: dict[int, list[dict]] = {}
             for row in batch.to_pylist():
                 d = row["dim"]
-                ids = np.frombuffer(row["ids"], np.int64)
-                by_dim.setdefault(d, []).append(row | {"ids": ids, "x": np.frombuffer(row["vectors"], "<f8").reshape(len(ids), d), "centre": np.frombuffer(row["centre"], "<f8")})
+                if d in state:
+                    ids = np.frombuffer(row["ids"], np.int64)
+                    by_dim.setdefault(d, []).append(row | {"ids": ids, "x": np.frombuffer(row["vectors"], "<f8").reshape(len(ids), d), "centre": np.frombuffer(row["centre"], "<f8")})
             for d, pages in by_dim.items():
-                asked = [(n, i, c) for n, (i, qd, c) in enumerate(queries) if qd == d]
-                for lo in range(0, len(asked), 1024):
-                    some = asked[lo:lo + 1024]
-                    q_ids = np.array([i for _, i, _ in some], np.int64)
-                    q = np.array([np.frombuffer(c, "<f8") for _, _, c in some]).reshape(len(some), d)
-                    ids, scores = search_pages(pages, roots[d], q_ids, q, k)
-                    r, c = np.nonzero(np.isfinite(scores))
-                    yield pa.RecordBatch.from_pydict({"query_id": q_ids[r], "_n": np.array([n for n, _, _ in some], np.int32)[r], "vec_id": ids[r, c], "score": scores[r, c].astype(np.int64)})
+                for _, q_ids, q, ids, scores in state[d]:
+                    search_pages(pages, roots_of(roots, d), q_ids, q, ids, scores)
+        for groups in state.values():
+            for n, q_ids, _, ids, scores in groups:
+                r, c = np.nonzero(np.isfinite(scores))
+                if len(r):
+                    yield pa.RecordBatch.from_pydict({"query_id": q_ids[r], "_n": n[r], "vec_id": ids[r, c], "score": scores[r, c].astype(np.int64)})
 
     return index.mapInArrow(run, "query_id bigint, _n int, vec_id bigint, score bigint")

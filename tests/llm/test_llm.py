@@ -227,6 +227,45 @@ def test_top_k_ties_and_odd_vectors(spark):
     assert mtree.top_k(df.filter("vec_id < 0")).count() == 0
 
 
+VECTORS = "vec_id bigint, embedding array<double>"
+
+
+@pytest.mark.parametrize("size", [1.0, 1e3, 1e4])
+def test_top_k_of_large_components(spark, size):
+    rng = np.random.default_rng(int(size))
+    rows = [(i, (rng.normal(0, size, 24) if i % 3 else rng.normal(0, size / 50, 24) + size).tolist()) for i in range(700)]
+    assert got(mtree.top_k(spark.createDataFrame(rows, VECTORS)), "query_id", "rank", "vec_id", "score") == brute.top(rows)
+
+
+def test_top_k_refuses_scores_that_doubles_cannot_tell(spark):
+    rows = [(i, [1e6 + i, 1e6]) for i in range(60)]
+    with pytest.raises(Exception, match="2\\^53"):
+        mtree.top_k(spark.createDataFrame(rows, VECTORS)).collect()
+
+
+def test_top_k_with_more_dimensions_than_have_routes(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "DIMENSIONS", 2)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 1, 2 + i % 7).tolist()) for i in range(900)]
+    found = got(mtree.top_k(spark.createDataFrame(rows, VECTORS)), "query_id", "rank", "vec_id", "score")
+    want = [r for d in range(2, 9) for r in brute.top([v for v in rows if len(v[1]) == d])]
+    assert found == sorted(want)
+
+
+def test_search_keeps_what_a_task_has_found(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(0, 1, 8).tolist()) for i in range(3000)]
+    vectors = mtree.settle(mtree.coded(spark.createDataFrame(rows, VECTORS).repartition(3), "vec_id", "embedding"), "codes")
+    index, roots = mtree.build(vectors, page=16)
+    asked = [(r["id"], r["dim"], bytes(r["code"])) for r in vectors.filter("id % 50 = 0").collect()]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        out = mtree.search(index.coalesce(2), roots, asked, 5)
+        assert out.count() <= 5 * len(asked) * out.rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_scores(docs):
     df, rows = docs
     if rows is ODD:
