@@ -124,7 +124,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def gram(length: int) -> int:
     """Bytes of an anchor: shorter ones are fewer, longer ones repeat less by chance."""
-    return max(1, min(length, max(22, length // 4)))
+    return max(1, min(length, max(22, 2 * length // 5)))
 
 
 def first_smallest(values: np.ndarray, width: int) -> np.ndarray:
