@@ -14,8 +14,9 @@ import os
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain, pairwise
+from itertools import accumulate, chain, pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +26,8 @@ from tarnwork.llm.common import remembered, ship, text_or_empty
 VOCABULARY = "byte_bpe_50k.json"
 # Runs of text remembered by one worker: about 100 bytes each.
 REMEMBER = 600_000
-# Pre-tokens encoded as one text.
-GROUP = 256
+# Runs encoded as one text.
+GROUP = 512
 # Texts handled together: bounds what a worker holds besides one Arrow batch.
 SLICE_CHARS = 4_000_000
 # White space as the pre-token pattern of the vocabulary sees it.
@@ -120,35 +121,36 @@ class Vocabulary:
         if len(self.pre) > REMEMBER:
             self.pre.clear()
         if not self.pre:
-            self.pre.update(zip(w := sorted(self.whole), self.encode_each(w), strict=True))
+            self.pre.update(zip(w := sorted(self.whole), self._bytes(self._encode(w)), strict=True))
         pre = self.pre
         split = [[run] if "|" in run and any(s in run for s in self.special) else self.pattern.findall(run) for run in runs]
         new = list({p for s in split for p in s if p not in pre})
-        pre.update(zip(new, self.encode_each(new), strict=True))
+        pre.update(zip(new, self._bytes(self._encode(new)), strict=True))
         return [pre[s[0]] if len(s) == 1 else b"".join([pre[p] for p in s]) for s in split]
 
-    def encode_each(self, pre: list[str]) -> list[bytes]:
-        """Ids of each pre-token. Those that begin with a space go through the tool many at a time, as one text: it cuts
-        them at the spaces again and tells which id belongs to which. If it should find another number of them, each is
-        encoded alone."""
-        out: dict[str, bytes] = {}
-        begins = [p for p in pre if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()]
-        groups = [begins[lo:lo + GROUP] for lo in range(0, len(begins), GROUP)]
+    def spaced_runs(self, runs: list[str]) -> list[bytes]:
+        """Ids of each run, many encoded as one text. Every run begins with white space behind which something else stands,
+        and ends with something else, so no pre-token goes from one to the next; where each id begins in the text tells
+        the run it belongs to. If a run should be left without ids, the runs of its text are encoded alone."""
+        if any(c in SPACES for s in self.special for c in s):
+            return self.id_runs(runs)
+        out: list[bytes] = []
+        groups = [runs[lo:lo + GROUP] for lo in range(0, len(runs), GROUP)]
         for group, code in zip(groups, self.tool.encode_batch(["".join(g) for g in groups], add_special_tokens=False), strict=True):
-            words = code.word_ids
-            cuts = [0, *(k for k in range(1, len(words)) if words[k] != words[k - 1]), len(words)]
-            if None not in words and len(cuts) == len(group) + 1:
-                ids = struct.pack(f"<{len(words)}I", *code.ids)
-                out.update(zip(group, (ids[4 * a:4 * b] for a, b in pairwise(cuts)), strict=True))
-        rest = [p for p in pre if p not in out]
-        out.update(zip(rest, self._bytes(self._encode(rest)), strict=True))
-        return [out[p] for p in pre]
+            begins = list(accumulate(map(len, group), initial=0))
+            cuts = np.searchsorted([a for a, _ in code.offsets], begins).tolist()
+            if all(a < b for a, b in pairwise(cuts)) and cuts[0] == 0 and cuts[-1] == len(code.ids):
+                ids = struct.pack(f"<{len(code.ids)}I", *code.ids)
+                out += [ids[4 * a:4 * b] for a, b in pairwise(cuts)]
+            else:
+                out += self.id_runs(group)
+        return out
 
     @staticmethod
     def _bytes(codes: list[list[int]]) -> list[bytes]:
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in codes]
 
-    def per_text(self, texts: list[str], memo: tuple[dict, dict], learn) -> Iterator[map]:
+    def per_text(self, texts: list[str], memo: tuple[dict, dict], learn, learn_spaced) -> Iterator[map]:
         """For each text the remembered values of its runs. ``memo``: of runs as they stand, of runs behind one space."""
         plain, spaced = memo
         if len(plain) + len(spaced) + len(self.bad) > REMEMBER:
@@ -162,7 +164,7 @@ class Vocabulary:
         new = {r for r in set(chain.from_iterable(b for _, b in cut)) if r not in spaced and r not in bad}
         bad |= (worse := {r for r in new if crowded(r)})
         new = list(new - worse)
-        spaced.update(zip(new, learn([r if r[:1] == "\n" else " " + r for r in new]), strict=True))
+        spaced.update(zip(new, learn_spaced([r if r[:1] == "\n" else " " + r for r in new]), strict=True))
         for k, (a, b) in enumerate(cut):
             if b and (a and a[0][-1] in SPACES or not bad.isdisjoint(b)):
                 cut[k] = RUN.findall(texts[k]), ()
@@ -172,11 +174,11 @@ class Vocabulary:
             yield chain(map(plain.__getitem__, a), map(spaced.__getitem__, b))
 
     def count(self, texts: list[str]) -> list[int]:
-        return [sum(v) for v in self.per_text(texts, self.counts, self.count_runs)]
+        return [sum(v) for v in self.per_text(texts, self.counts, self.count_runs, self.count_runs)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        return [b"".join(v) for v in self.per_text(texts, self.ids, self.id_runs)]
+        return [b"".join(v) for v in self.per_text(texts, self.ids, self.id_runs, self.spaced_runs)]
 
 
 def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:

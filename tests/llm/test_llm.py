@@ -65,6 +65,15 @@ def test_tokenizer_is_dropped_and_loaded_again():
     assert after is not before and after.count([LONG, SAME]) == counts
 
 
+def test_ids_of_runs_encoded_together():
+    rng = np.random.default_rng(17)
+    bits = ["a", "b c", " ", "  ", "\n", "\n\n", "\t", "\u3000", "\xa0", "don't", "<|endoftext|>", "é", "日本", "🙂", "1234", "...", "!", " '", "x\t", "\x1c"]
+    texts = ["".join(rng.choice(bits, int(rng.integers(0, 14))).tolist()) for _ in range(8000)]
+    v = tokens.Vocabulary(None)
+    codes = [c.ids for c in v.tool.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in v.encode(texts)] == codes and v.count(texts) == [len(c) for c in codes]
+
+
 def test_whole_tokens_are_single():
     v = tokens.Vocabulary(None)
     some = sorted(v.whole)[::997]
