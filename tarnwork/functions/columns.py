@@ -190,20 +190,21 @@ def parse_timestamp(col: str | Column, formats: list[str]) -> Column:
 
 
 def units(col: str | Column, scale: int = 2) -> Column:
-    """A double amount as a whole number of its smallest unit, in decimal form so that sums cannot overflow. Casting a
-    double to a decimal with places goes through text and is many times slower."""
+    """A double amount as a whole number of its smallest unit, in decimal form so that sums cannot overflow; what lies
+    beyond ``scale`` places is rounded away, value by value (three times 0.004 makes 0 at two places). ``total_of``
+    refuses such values instead. Casting a double to a decimal with places goes through text and is many times slower."""
     c = F.col(col) if isinstance(col, str) else col
     return F.rint(c * F.lit(10.0**scale)).cast("long").cast("decimal(18,0)")
 
 
 def exact_sum(col: str | Column, scale: int = 2) -> Column:
-    """Order-independent sum of a double amount, as decimal with ``scale`` places."""
+    """Order-independent sum of a double amount of ``scale`` places, as decimal; see ``units`` for more places."""
     return F.sum(units(col, scale)) * F.lit(Decimal(1).scaleb(-scale))
 
 
-def money_sum(col: str | Column) -> Column:
-    """Order-independent sum of a double amount with two places, returned as double."""
-    return exact_sum(col).cast("double")
+def money_sum(col: str | Column, scale: int = 2) -> Column:
+    """Order-independent sum of a double amount of ``scale`` places, returned as double; see ``units`` for more places."""
+    return exact_sum(col, scale).cast("double")
 
 
 def total_of(df: DataFrame, col: str, scale: int = 2) -> Column:
