@@ -25,7 +25,7 @@ from tarnwork.llm.common import remembered, ship, text_or_empty
 
 VOCABULARY = "byte_bpe_50k.json"
 # Runs of text remembered by one worker: about 100 bytes each.
-REMEMBER = 600_000
+REMEMBER = 1_000_000
 # Runs encoded as one text.
 GROUP = 512
 # Texts handled together: bounds what a worker holds besides one Arrow batch.
@@ -117,11 +117,9 @@ class Vocabulary:
         return out
 
     def id_runs(self, runs: list[str]) -> list[bytes]:
-        """Ids of each run: of whole tokens from the vocabulary, through the merges for pre-tokens not met before."""
+        """Ids of each run, through the merges for pre-tokens not met before."""
         if len(self.pre) > REMEMBER:
             self.pre.clear()
-        if not self.pre:
-            self.pre.update(zip(w := sorted(self.whole), self._bytes(self._encode(w)), strict=True))
         pre = self.pre
         split = [[run] if "|" in run and any(s in run for s in self.special) else self.pattern.findall(run) for run in runs]
         new = list({p for s in split for p in s if p not in pre})
