@@ -335,7 +335,7 @@ def dealt_to_anchors(prints: DataFrame, stretches: int, words: list[str]) -> Dat
     return whole.mapInArrow(copy, kind).repartition(parts(prints.sparkSession), "anchor").sortWithinPartitions("anchor")
 
 
-def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+def by_anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """The columns of one anchor after the other, from rows sorted by anchor."""
     held: list[list[np.ndarray]] = []
     for batch in batches:
@@ -379,7 +379,7 @@ def neighbours(prints: DataFrame, stretches: int, limit: int) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        for _, node, _, own, *words in anchors(batches):
+        for _, node, _, own, *words in by_anchor(batches):
             if len(node) < 2:
                 continue
             rank = np.argsort(np.argsort((node.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), kind="stable"))
@@ -414,7 +414,7 @@ def similar_pairs(prints: DataFrame, stretches: int, limit: int) -> DataFrame:
             held.clear()
             return two_columns(ab[0], ab[1])
 
-        for _, node, root, own, *words in anchors(batches):
+        for _, node, root, own, *words in by_anchor(batches):
             if len(node) < 2:
                 continue
             for i, j in near_in(words, own, limit):
