@@ -10,13 +10,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import numbered, settle, ship
+from tarnwork.llm.common import numbered, parts, settle, ship
 
 BITS = 6
-SAMPLE = 4096  # distinct values of a dimension from which its cells are cut
 
 
 def hilbert_index(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -61,18 +60,24 @@ def ordered_cells(df: DataFrame, name: str, bits: int = BITS) -> Column:
     """Cell of a column along its order: about as many rows lie in each, and rows of neighbouring values lie in the same
     or in neighbouring cells, so a shard covers a range of them.
 
-    The cuts come from the counts of a bounded number of distinct values, those with the smallest hashes; they are
-    constants of the plan, and all that depends on the sample is how even the cells are.
+    The cuts come from the counts of all distinct values: these are dealt to ranges, each range adds its own counts up, and
+    the sums of the earlier ranges, one a shuffle partition, are added. Fetched are these sums and the cuts, at most one a
+    cell, which become constants of the plan.
     """
+    spark = df.sparkSession
     counts = df.filter(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
-    rows = sorted(tuple(r) for r in counts.orderBy(F.xxhash64(name)).limit(SAMPLE).collect())
-    total, seen, cuts = sum(n for _, n in rows), 0, []
-    for value, n in rows:
-        cell = ((2 * seen + n) << bits) // (2 * total)
-        if not cuts or cell > cuts[-1][1]:
-            cuts.append((value, cell))
-        seen += n
-    return placed(F.col(name), cuts, bits)
+    ranged = settle(counts.repartitionByRange(parts(spark), name).withColumn("_p", F.spark_partition_id()), "values")
+    sizes = {r["_p"]: r["n"] for r in ranged.groupBy("_p").agg(F.sum("_n").alias("n")).collect()}
+    offsets, total = [], 0
+    for p in sorted(sizes):
+        offsets.append((p, total))
+        total += sizes[p]
+    earlier = Window.partitionBy("_p").orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    within = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    seen = ranged.withColumn("_seen", within).join(F.broadcast(spark.createDataFrame(offsets, "_p int, _off bigint")), "_p")
+    cell = F.expr(f"shiftleft(2 * (_seen + _off) + _n, {bits}) div {max(2 * total, 1)}L")
+    first = seen.groupBy(cell.alias("_cell")).agg(F.min(name).alias("_value")).orderBy("_cell").collect()
+    return placed(F.col(name), [(r["_value"], r["_cell"]) for r in first], bits)
 
 
 def shard_rows(df: DataFrame, dims: list[Column], tie: list[str], shards: int, bits: int = BITS) -> DataFrame:

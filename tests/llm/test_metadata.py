@@ -57,6 +57,14 @@ def test_shards_as_by_the_definition(spark):
     assert sharding.shard_documents(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_cells_come_from_all_values(spark):
+    """Many distinct sources of very uneven counts: the cells are those of all of them."""
+    rows = [(i, f"text {i}", "en", f"s{i:05d}" if i % 3 else f"t{i % 7}", 1) for i in range(9000)]
+    columns = ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    out = sharding.shard_documents(spark.createDataFrame(rows, DOCS)).select(*columns).collect()
+    assert sorted((tuple(r) for r in out), key=str) == plainly(rows)
+
+
 def test_a_filter_touches_few_shards(spark):
     """A language, or a stretch of the sources, lies in some of the shards and not in all."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").dropDuplicates(["text"])
