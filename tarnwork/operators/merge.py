@@ -9,6 +9,7 @@ the matched keys are looked up for the inserts. A larger source is joined full o
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
@@ -38,21 +39,27 @@ def any_differs(cols: list[str], left: str = "t", right: str = "s") -> Column:
 
 # What a merge did to a row, as its ``action`` column tells (null where the row stayed as it was).
 INSERTED, UPDATED = "inserted", "updated"
+# Source columns that follow from the others or are the same for all rows, by the prefix of the names that they read: they
+# are worked out where the rows meet instead of being moved there.
+Derived = Callable[[str], dict[str, Column]]
 
 
 def merge_rows(
     target: DataFrame, source: DataFrame, keys: list[str], update: dict[str, Column], insert: dict[str, Column] | None,
     matched: Column | None = None, null_safe: bool = False, small: bool | None = None, insert_when: Column | None = None, action: str | None = None,
+    derived: Derived | None = None,
 ) -> DataFrame:
     """The common core. Inside ``update``, ``insert``, ``matched`` and ``insert_when`` target columns are called
     ``t_<name>`` and source columns ``s_<name>``. ``update`` values replace target columns of matched rows that satisfy
     ``matched``; ``insert`` gives the columns of unmatched source rows, all of them or those that satisfy
     ``insert_when``, or is ``None`` for no insert. ``small`` says whether the source was measured to fit a broadcast; it
-    is measured here when not given. ``action`` names a further column that tells what was done to each row.
+    is measured here when not given. ``action`` names a further column that tells what was done to each row. ``derived``
+    gives source columns that need not move with the rows.
     """
     cols = target.columns
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"))
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_s"))
+    late = {f"s_{c}": e for c, e in (derived("s_") if derived else {}).items() if c not in keys}
+    s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns if f"s_{c}" not in late], F.lit(True).alias("_s"))
     same = [(t[f"t_{k}"].eqNullSafe(s[f"s_{k}"]) if null_safe else t[f"t_{k}"] == s[f"s_{k}"]) for k in keys]
     on = reduce(lambda a, b: a & b, same)
     hit = F.col("_t") & F.col("_s")
@@ -65,17 +72,17 @@ def merge_rows(
     if small is None:
         small = fits_broadcast(source)
     if insert is None or small:
-        kept = t.join(F.broadcast(s) if small else s, on, "left").select(*[changed[c].alias(c) for c in [*cols, *done]])
+        kept = t.join(F.broadcast(s) if small else s, on, "left").withColumns(late).select(*[changed[c].alias(c) for c in [*cols, *done]])
         if insert is None:
             return kept
         present = t.join(F.broadcast(s.select(*[f"s_{k}" for k in keys])), on, "left_semi").select(*[F.col(f"t_{k}") for k in keys]).distinct()
         same = [(s[f"s_{k}"].eqNullSafe(present[f"t_{k}"]) if null_safe else s[f"s_{k}"] == present[f"t_{k}"]) for k in keys]
-        fresh = s if insert_when is None else s.filter(insert_when)
         # At most the keys of the small source come out of the target, so they are broadcast as well.
-        new = fresh.join(F.broadcast(present), reduce(lambda a, b: a & b, same), "left_anti")
+        new = s.join(F.broadcast(present), reduce(lambda a, b: a & b, same), "left_anti").withColumns(late)
+        new = new if insert_when is None else new.filter(insert_when)
         return kept.unionByName(new.select(*[insert[c].alias(c) for c in cols], *[F.lit(INSERTED).alias(c) for c in done]))
 
-    both = t.join(s, on, "full")
+    both = t.join(s, on, "full").withColumns(late)
     if insert_when is not None:
         both = both.filter(F.col("_t") | F.coalesce(insert_when, F.lit(False)))
     here = F.coalesce(F.col("_t"), F.lit(False))
@@ -111,29 +118,29 @@ def merge_insert_only(target: DataFrame | None, source: DataFrame, keys: list[st
 
 def merge_upsert(
     target: DataFrame | None, source: DataFrame, keys: list[str], condition: list[str] | None = None, keep: list[str] | None = None,
-    action: str | None = None,
+    action: str | None = None, derived: Derived | None = None,
 ) -> DataFrame:
     """Replace matched rows, insert the others. With ``condition`` a matched row is replaced only if one of those
     columns differs; ``keep`` names columns that retain the target's value. ``target=None`` is the first load. With
-    ``action`` every row also tells what was done to it."""
-    small = check_source(source, keys)
+    ``action`` every row also tells what was done to it. Columns that ``derived`` gives do not move with the rows."""
+    small = check_source(source.drop(*(c for c in (derived("") if derived else {}) if c not in keys)), keys)
     if target is None:
         return source.withColumn(action, F.lit(INSERTED)) if action else source
     t, s = sync_columns(target, source)
     fixed = {*keys, *(keep or [])}
     update = {c: F.col(f"s_{c}") for c in t.columns if c not in fixed}
     insert = {c: F.col(f"s_{c}") for c in t.columns}
-    return merge_rows(t, s, keys, update, insert, any_differs(condition) if condition else None, small=small, action=action)
+    return merge_rows(t, s, keys, update, insert, any_differs(condition) if condition else None, small=small, action=action, derived=derived)
 
 
 def merge_on_hash(
     target: DataFrame | None, source: DataFrame, keys: list[str], hash_col: str = "dl_rowhash", keep: list[str] | None = None,
-    action: str | None = None,
+    action: str | None = None, derived: Derived | None = None,
 ) -> DataFrame:
     """Upsert that rewrites a matched row only when its row hash differs; the creation time stays the target's."""
     kept = keep if keep is not None else ["dl_createddateutc"]
     kept = [c for c in kept if target is None or c in target.columns]
-    return merge_upsert(target, source, keys, [hash_col], kept, action)
+    return merge_upsert(target, source, keys, [hash_col], kept, action, derived)
 
 
 def merge_update_columns(target: DataFrame, source: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

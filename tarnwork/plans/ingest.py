@@ -1,7 +1,7 @@
 """Config-driven ingest: project, stamp, deduplicate, check rules, load, count, and keep what came of it.
 
-A batch is worked out and written once, with a mark for each row that duplicates put out and a flag per rule. Everything
-else reads that batch: the rows to load, the quarantine, its log, the rule metrics and the next high-water mark, so a
+A batch is worked out and written once, with a mark for each row that duplicates put out and a flag per rule, but without
+the technical columns and the row hash, which follow from the rest. Everything else reads that batch: the rows to load, the quarantine, its log, the rule metrics and the next high-water mark, so a
 source that grows meanwhile changes nothing. ``ingest_table`` stores all of it as one run (``sources.runs``).
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwork.functions.columns import add_technical_columns, lit_like, project, row_hash, technical_values, validate_keys
-from tarnwork.operators.merge import INSERTED, LoadCounts, merge_on_hash, sync_columns
+from tarnwork.operators.merge import INSERTED, Derived, LoadCounts, merge_on_hash, sync_columns
 from tarnwork.operators.quality import UNIQUE_RULES, Rule, drop_rule_flags, judge, quarantine, quarantine_log, rules_succeeded, with_rule_flags
 from tarnwork.operators.windows import RETAIN_ALL, RETAIN_ONE, mark_duplicates
 from tarnwork.session import cut, scratch
@@ -41,6 +41,7 @@ class Batch:
     duplicates: DataFrame
     failed: DataFrame
     rule_metrics: DataFrame
+    derived: Derived
 
     @property
     def accepted(self) -> bool:
@@ -80,16 +81,18 @@ def prepare(
         rows = mark_duplicates(rows, keys, policy, order or [F.col("dl_rowhash")], COPY)
     else:
         rows = rows.withColumn(COPY, F.lit(False))
-    if "dl_rowhash" not in rows.columns:
-        rows = rows.withColumn("dl_rowhash", row_hash(plain))
+
+    def derived(prefix: str = "") -> dict[str, Column]:
+        return {"dl_rowhash": row_hash(plain, prefix=prefix), **same}
+
     stays = F.lit(True) if policy == RETAIN_ALL else ~F.col(COPY)
     if any(r.type in UNIQUE_RULES for r in rules):
-        rows = cut(rows, "deduplicated")  # such a rule counts keys first
-    # What is the same for all rows is not written with them.
-    rows = cut(with_rule_flags(rows.withColumns(same), rules, stays).drop(*same), "batch").withColumns(same)
+        rows = cut(rows.drop(*derived()), "deduplicated")  # such a rule counts keys first
+    # What is the same for all rows is not written with them, nor is their hash, which is larger than most rows.
+    rows = cut(with_rule_flags(rows.withColumns(derived()), rules, stays).drop(*derived()), "batch").withColumns(derived())
     columns = [*(c for c in plain.columns if c != MARK), "dl_rowhash", *same]
     clean, failed, metrics = judge(rows.filter(stays), rules, columns)
-    return Batch(rows, columns, keys, rules, policy, clean, drop_rule_flags(rows.filter(COPY)).select(*columns), failed, metrics)
+    return Batch(rows, columns, keys, rules, policy, clean, drop_rule_flags(rows.filter(COPY)).select(*columns), failed, metrics, derived)
 
 
 def _orders(df: DataFrame, order: list[Column]) -> bool:
@@ -104,7 +107,7 @@ def load_plan(config: dict, batch: Batch, target: DataFrame | None) -> DataFrame
     """The rows to write, with ``dl_action``: the table's next state, or for an append the added rows alone."""
     kind = check_config(config).get("targetLoadType", "merge")
     if kind == "merge" and target is not None:
-        return merge_on_hash(target, batch.clean, batch.keys, action=ACTION)
+        return merge_on_hash(target, batch.clean, batch.keys, action=ACTION, derived=batch.derived)
     rows = batch.clean
     if kind == "append" and target is not None:
         rows = sync_columns(target, rows)[1]

@@ -20,6 +20,7 @@ from decimal import Decimal
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from tarnwork.session import CODEC
 from tarnwork.sources.writer import _fs, _writer
 
 MARKERS = "_runs"
@@ -135,7 +136,7 @@ class Run:
         """Write rows to an output; they replace it unless ``append``. One write to an output per run."""
         if self.token in self.folders.get(output, []):
             raise ValueError(f"the run has already written {output!r}")
-        _writer(df, parts).parquet(f"{self.runs.base}/{output}/{self.token}")
+        _writer(df, parts).option("compression", CODEC).parquet(f"{self.runs.base}/{output}/{self.token}")
         self.folders[output] = [*self.folders.get(output, []), self.token] if append else [self.token]
 
     def write_all(self, writes: list[tuple[str, DataFrame, bool, list[str] | None]]) -> None:

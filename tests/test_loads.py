@@ -350,6 +350,29 @@ def test_a_table_merged_with_itself_has_no_changes(spark, settings, limit):
     assert rows(merged, "id", "v") == [(1, "a"), (None, "b")] and tally.counts() == {"rows_total": 2, "rows_inserted": 1, "rows_updated": 0}
 
 
+@pytest.mark.parametrize("limit", ["0", "67108864"])
+def test_a_hash_is_worked_out_where_the_rows_meet(spark, settings, limit):
+    """Neither the stored batch nor the join of a merge carries the row hash and the columns that are the same for all."""
+    settings(broadcastBytes=limit)
+    early = spark.createDataFrame([(1, "a", 1.0), (2, None, 2.0), (3, "c", 3.0)], "id int, v string, x double")
+    later = spark.createDataFrame([(2, None, 2.0), (3, "d", 3.0), (4, None, None), (None, "n", 0.0)], "id int, v string, x double")
+    first, second = (ingest.prepare(CONFIG, df, T, "e", run) for df, run in ((early, "r1"), (later, "r2")))
+    for batch in (first, second):
+        stored = spark.read.parquet(*batch.rows.inputFiles()).columns
+        assert not {"dl_rowhash", "dl_runid", "dl_createddateutc"} & set(stored)
+    target = ingest.load_plan(CONFIG, first, None).drop(ingest.ACTION)
+    hashes = rows(early.withColumn("h", c.row_hash(early)), "id", "h")
+    assert rows(target, "id", "dl_rowhash") == hashes
+    path = run_dir(spark, "target")
+    target.write.parquet(path)
+    merged = ingest.load_plan(CONFIG, second, spark.read.parquet(path))
+    plain = m.merge_on_hash(spark.read.parquet(path), second.clean, second.keys, action=ingest.ACTION)
+    assert rows(merged) == rows(plain)
+    assert rows(merged, "id", "dl_runid", ingest.ACTION) == [(1, "r1", None), (2, "r1", None), (3, "r2", "updated"), (4, "r2", "inserted"), (None, "r2", "inserted")]
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" in plan and (limit != "0" or "sha2" not in plan[plan.index("Join FullOuter"):])
+
+
 def test_config_errors():
     with pytest.raises(ValueError):
         ingest.check_config({"curatedProperties": {"targetLoadType": "merge"}})
