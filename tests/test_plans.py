@@ -2,10 +2,13 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from tarnwork.operators import aggregates, joins
+from tarnwork.operators import aggregates, joins, skew
 from tarnwork.operators import merge as m
+from tarnwork.plans import transactions
+from tarnwork.queries.fixtures import POLICY, frames
 from tarnwork.session import cut
 
 
@@ -91,3 +94,45 @@ def test_overwrite_by_few_keys_does_not_move_the_target(spark):
         assert sorted(map(tuple, out.filter("id = 1 OR id IS NULL").collect()), key=str) == [(1, "x"), (1, "y"), (None, "n"), (None, "z")]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_transactions_move_once_and_count_as_often_as_the_source_has_them(tables, monkeypatch, hot):
+    if hot:
+        monkeypatch.setattr(transactions, "dealt", lambda df, key: df)
+    t = frames(tables, POLICY)
+    given = cut(t["mgtrans"])
+    t["mgtrans"] = given.unionByName(given.filter("trancnt = 1")).unionByName(given.filter("trancnt = 1 AND transno % 2 = 0"))
+    written, _ = transactions.transaction_rows(t)
+    codes = written.select("code_n").distinct()
+    flags = transactions.reconciliation(codes, written, t).select("code_n", "dq_rule_544", "dq_rule_553").collect()
+    kinds = {}
+    for r in t["mgtrans"].collect():
+        kinds.setdefault(r["code"].strip().upper(), []).append(r)
+    extras = {r["code_n"]: r["n"] for r in transactions.extra_rows(t).groupBy("code_n").agg(F.count(F.lit(1)).alias("n")).collect()}
+    want = {}
+    for code, found in kinds.items():
+        once = {tuple(r): r for r in found}.values()
+        fact = sum(round(r["amount"] * 100) for r in once) * extras.get(code, 1)
+        want[code] = int(fact == sum(round(r["amount"] * 100) for r in found))
+    assert {r["code_n"]: r["dq_rule_544"] for r in flags} == want and set(want.values()) == {0, 1}
+    assert {r["dq_rule_553"] for r in flags} == {0}  # a total of nulls fails
+    if not hot:
+        assert moved(written.groupBy("code_n").agg(F.sum("prem_amt"))) == 1
+
+
+def test_rows_of_a_hot_key_are_not_dealt_by_it(spark, settings):
+    df = cut(spark.range(1000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id")).alias("k"), "id"))
+    assert moved(skew.dealt(df, "k")) == 1
+    settings(hotRows=1)
+    assert moved(skew.dealt(df, "k")) == 0
+
+
+def test_payroll_classes_of_the_policies_that_use_them(tables):
+    t = frames(tables, POLICY)
+    order = [F.col("exposure").desc(), F.col("premium").desc(), F.col("state"), F.col("classcode"), F.col("classuffix")]
+    policies = transactions.master_policies(t, None)
+    every = {r["code_n"]: tuple(r) for r in transactions.payroll_class(t, order, policies).collect()}
+    some = policies.filter("lob_n = 'WC'")
+    wanted = {r["code_n"] for r in some.select("code_n").collect()}
+    assert {r["code_n"]: tuple(r) for r in transactions.payroll_class(t, order, some).collect()} == {k: v for k, v in every.items() if k in wanted}
