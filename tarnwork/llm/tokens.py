@@ -135,11 +135,12 @@ class Vocabulary:
         out: list[bytes] = []
         groups = [runs[lo:lo + GROUP] for lo in range(0, len(runs), GROUP)]
         for group, code in zip(groups, self.tool.encode_batch(["".join(g) for g in groups], add_special_tokens=False), strict=True):
+            found = code.ids  # made anew each time it is asked for
             begins = list(accumulate(map(len, group), initial=0))
-            cuts = np.searchsorted([a for a, _ in code.offsets], begins).tolist()
-            if all(a < b for a, b in pairwise(cuts)) and cuts[0] == 0 and cuts[-1] == len(code.ids):
-                ids = struct.pack(f"<{len(code.ids)}I", *code.ids)
-                out += [ids[4 * a:4 * b] for a, b in pairwise(cuts)]
+            cuts = np.searchsorted([a for a, _ in code.offsets], begins)
+            if (cuts[1:] > cuts[:-1]).all() and cuts[0] == 0 and cuts[-1] == len(found):
+                ids = np.array(found, "<u4").tobytes()
+                out += [ids[a:b] for a, b in pairwise((4 * cuts).tolist())]
             else:
                 out += self.id_runs(group)
         return out
@@ -159,7 +160,8 @@ class Vocabulary:
         for t in texts:
             first, *rest = t.replace("\n", " \n").split(" ")
             cut.append(((first,) if first else (), rest))
-        new = {r for r in set(chain.from_iterable(b for _, b in cut)) if r not in spaced and r not in bad}
+        # Differences with a dict or a set look the runs up without a step of Python for each.
+        new = set().union(*[b for _, b in cut]).difference(spaced).difference(bad)
         bad |= (worse := {r for r in new if crowded(r)})
         new = list(new - worse)
         spaced.update(zip(new, learn_spaced([r if r[:1] == "\n" else " " + r for r in new]), strict=True))

@@ -468,3 +468,27 @@ def test_pipeline_stages_take_empty_tables(spark, stage):
     import corpus_pipeline as cp
 
     assert cp.STAGES[stage][1](spark, odd(spark, []), SF).count() == 0
+
+
+def test_ids_of_a_group_of_runs_are_fetched_once():
+    """The library makes a new list of all ids each time they are asked for."""
+    asked = []
+
+    class Code:
+        def __init__(self, code):
+            self.code, self.offsets = code, code.offsets
+
+        @property
+        def ids(self):
+            asked.append(1)
+            return self.code.ids
+
+    class Tool:
+        def encode_batch(self, texts, add_special_tokens):
+            return [Code(c) for c in tool.encode_batch(texts, add_special_tokens=add_special_tokens)]
+
+    vocabulary = tokens.Vocabulary(None)
+    tool, runs = vocabulary.tool, [" a", " word", "\nof", " many", " words"]
+    want = vocabulary.id_runs(runs)
+    vocabulary.tool = Tool()
+    assert vocabulary.spaced_runs(runs) == want and len(asked) == 1
