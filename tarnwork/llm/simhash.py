@@ -31,18 +31,17 @@ LENGTH, DATA = 23, 12
 SIMILARITY = (4, 5)
 # Fingerprints of 64 bits of a text in the search for similar ones; two stretches of 23 bits of each are searched.
 PRINTS = 10
-# Bits of 128 in which two texts may differ to be compared by their shingles: a similarity of 0.8 gives about 0.15 a bit,
-# 19 with a deviation of 4.
-SIMILAR = 40
 # Anchors of a fingerprint are the code words within this many bits of it, its own within RADIUS.
 REACH = RADIUS + 1
 # One-bit minimum hashes of a text, and in how many of them two texts may differ to be compared by their shingles: a
 # similarity of 0.8 gives a tenth, 26 with a deviation of 5.
 MIN_BITS, MIN_LIMIT = 256, 54
-# Words of 64 bits of these columns that are copied to anchors.
-WORDS = {"fps": 2, "mins": MIN_BITS // 64}
-# Pairs a task holds before it hands them over.
-HELD = 1_000_000
+# The same for the first half of them, by which texts are told that have no others near them: 13 with a deviation of 3.4.
+FIRST_BITS, FIRST_LIMIT = 128, 32
+# Texts, and shingles of them, that a block of a group holds: a task compares two blocks.
+BLOCK_TEXTS, BLOCK_SHINGLES = 2_048, 2_000_000
+# Shingles looked up at a time.
+LOOKED_UP = 1_000_000
 # Groups with more pairs than this are searched by flipping bits instead of pair by pair.
 PAIRS = 4_000_000
 # Shingles hashed at a time.
@@ -155,6 +154,30 @@ class Forest:
         return True
 
 
+class Trees:
+    """Trees over positions that start with the given labels (below their number) and are joined by many pairs at once."""
+
+    def __init__(self, label: np.ndarray):
+        self.label = label
+
+    def join(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which of the pairs ``i, j`` joined two trees: at most one less than there are trees, and all pairs end in one."""
+        at, taken = np.arange(len(i)), [np.zeros(0, np.int64)]
+        while True:
+            a, b = self.label[i[at]], self.label[j[at]]
+            apart = a != b
+            at, a, b = at[apart], a[apart], b[apart]
+            if not len(at):
+                return np.concatenate(taken)
+            high, first = np.unique(np.maximum(a, b), return_index=True)
+            taken.append(at[first])
+            up = np.arange(len(self.label))
+            up[high] = np.minimum(a, b)[first]
+            while not np.array_equal(up, further := up[up]):
+                up = further
+            self.label = up[self.label]
+
+
 def group_links(prints: np.ndarray, own: np.ndarray, threshold: int = THRESHOLD, most: int = PAIRS) -> Iterator[tuple[int, int]]:
     """Pairs of positions that link the group as all its pairs within ``threshold`` would, own against all."""
     forest, mine = Forest(len(prints)), np.flatnonzero(own)
@@ -306,9 +329,9 @@ def minhash_bits(hashes: np.ndarray, bits: int = MIN_BITS) -> np.ndarray:
     return np.packbits((low >> np.uint32(31)).astype(np.uint8)).view(np.uint64)
 
 
-def dealt_to_anchors(prints: DataFrame, stretches: int, words: list[str]) -> DataFrame:
-    """``anchor, node, root, own`` and the numbers ``w0``…: each node with the 64-bit words of the binary columns ``words``,
-    at every anchor within ``REACH`` bits of its fingerprints' stretches; ``own`` where it lies within the radius."""
+def dealt_to_anchors(prints: DataFrame, stretches: int, bits: int, names: list[str]) -> DataFrame:
+    """``anchor``, the numbers ``names``, ``own`` and the numbers ``w0``…: each node with its first ``bits`` minimum bits at
+    every anchor within ``REACH`` bits of its fingerprints' stretches; ``own`` where it lies within the radius."""
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, start, _ = near_errors()
         # The patterns of a remainder within REACH, as positions in ``flat``.
@@ -317,8 +340,9 @@ def dealt_to_anchors(prints: DataFrame, stretches: int, words: list[str]) -> Dat
         mask = np.uint64((1 << LENGTH) - 1)
         for batch in batches:
             release()
-            fps, payload = (np.array([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()], np.uint64).reshape(batch.num_rows, -1) for c in (2, 3))
-            names, roots = (batch.column(c).to_numpy() for c in range(2))
+            *named, fps, payload = batch.columns
+            named = {name: c.to_numpy() for name, c in zip(names, named, strict=True)}
+            fps, payload = (np.array([np.frombuffer(x, np.uint64) for x in c.to_pylist()], np.uint64).reshape(batch.num_rows, -1) for c in (fps, payload))
             for k in range(stretches):
                 points = (fps[:, k // 2] >> np.uint64(LENGTH * (k % 2)) & mask).astype(np.uint32)
                 rem = remainder(points)
@@ -327,11 +351,11 @@ def dealt_to_anchors(prints: DataFrame, stretches: int, words: list[str]) -> Dat
                 e = flat[start[rem][who] + np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)]
                 anchor = (points[who] ^ e).astype(np.int64) * stretches + k
                 yield pa.RecordBatch.from_pydict(
-                    {"anchor": anchor, "node": names[who], "root": roots[who], "own": np.bitwise_count(e) <= RADIUS}
+                    {"anchor": anchor} | {name: c[who] for name, c in named.items()} | {"own": np.bitwise_count(e) <= RADIUS}
                     | {f"w{i}": payload[who, i].view(np.int64) for i in range(payload.shape[1])})
 
-    kind = "anchor bigint, node bigint, root bigint, own boolean, " + ", ".join(f"w{i} bigint" for i in range(sum(WORDS[w] for w in words)))
-    whole = prints.select("node", "root", "fps", F.concat(*[F.substring(w, 1, 8 * WORDS[w]) for w in words]).alias("_w"))
+    kind = ", ".join(["anchor bigint", *(f"{name} bigint" for name in names), "own boolean", *(f"w{i} bigint" for i in range(bits // 64))])
+    whole = prints.select(*names, "fps", F.substring("mins", 1, bits // 8).alias("_w"))
     return whole.mapInArrow(copy, kind).repartition(parts(prints.sparkSession), "anchor").sortWithinPartitions("anchor")
 
 
@@ -372,14 +396,14 @@ def two_columns(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"a": a, "b": b})
 
 
-def neighbours(prints: DataFrame, stretches: int, limit: int) -> DataFrame:
-    """``a, b``: for every node that has others within ``limit`` bits of 128 at some anchor, the one with the smallest hash
-    there, and no more: nodes of a dense group nearly all see the same one, so the rows are a few stars and not pairs."""
+def neighbours(prints: DataFrame, stretches: int, bits: int, limit: int) -> DataFrame:
+    """``a, b``: for every node that has others within ``limit`` of the first ``bits`` minimum bits at some anchor, the one
+    with the smallest hash there, and no more: nodes of a dense group nearly all see the same one, so the rows are a few stars and not pairs."""
     ship(prints.sparkSession)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        for _, node, _, own, *words in by_anchor(batches):
+        for _, node, own, *words in by_anchor(batches):
             if len(node) < 2:
                 continue
             rank = np.argsort(np.argsort((node.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), kind="stable"))
@@ -395,41 +419,123 @@ def neighbours(prints: DataFrame, stretches: int, limit: int) -> DataFrame:
                 by_rank[rank] = node
                 yield two_columns(node[has], by_rank[best[has]])
 
-    mapped = dealt_to_anchors(prints, stretches, ["fps"]).mapInArrow(compare, "a bigint, b bigint")
+    mapped = dealt_to_anchors(prints, stretches, bits, ["node"]).mapInArrow(compare, "a bigint, b bigint")
     # Of the stars of several anchors a node keeps the one with the smallest hash.
     return mapped.groupBy("a").agg(F.min_by("b", F.xxhash64("b")).alias("b"))
 
 
-def similar_pairs(prints: DataFrame, stretches: int, limit: int) -> DataFrame:
-    """Pairs ``(a, b)`` of nodes of different ``root`` that may be similar: their minimum bits differ in at most ``limit``
-    places, and on one of the stretches the one is within ``REACH`` bits of the other's code word."""
+def meetings(prints: DataFrame, stretches: int, limit: int) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes that connect all nodes of different ``root`` that may be similar: whose minimum bits differ
+    in at most ``limit`` places, and of which the one is within ``REACH`` bits of the other's code word on one of the
+    stretches. An anchor gives back a spanning forest of its pairs, so never more of them than it holds nodes."""
     ship(prints.sparkSession)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        held, count = [], 0
-
-        def pairs() -> pa.RecordBatch:
-            ab = np.unique(np.concatenate(held, axis=1), axis=1)
-            held.clear()
-            return two_columns(ab[0], ab[1])
-
         for _, node, root, own, *words in by_anchor(batches):
             if len(node) < 2:
                 continue
+            trees = Trees(np.arange(len(node)))
             for i, j in near_in(words, own, limit):
                 apart = root[i] != root[j]
-                a, b = node[i[apart]], node[j[apart]]
-                if len(a):
-                    held.append(np.array([np.minimum(a, b), np.maximum(a, b)]))
-                    count += len(a)
-                if count >= HELD:
-                    yield pairs()
-                    count = 0
-        if held:
-            yield pairs()
+                i, j = i[apart], j[apart]
+                if len(joined := trees.join(i, j)):
+                    yield two_columns(node[i[joined]], node[j[joined]])
+
+    return dealt_to_anchors(prints, stretches, MIN_BITS, ["node", "root"]).mapInArrow(compare, "a bigint, b bigint").distinct()
+
+
+def block_links(root: np.ndarray, mins: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Pairs of places ``(i, j)`` that connect the texts ``left`` with the texts ``right`` as all their similar pairs of
+    different ``root`` would. Of the pairs whose minimum bits differ in at most ``limit`` places, those that are not yet
+    connected are compared by their shingles."""
+    few, whole = SIMILARITY
+    trees = Trees(np.unique(root, return_inverse=True)[1])
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    starts = np.cumsum(sizes) - sizes
+    # Shingles are numbered within the blocks.
+    flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    marked = np.zeros(flat.max(initial=0) + 1, bool)
+    mine = np.zeros(len(sets), bool)
+    mine[left] = True
+    for some, others in near_in([np.ascontiguousarray(w) for w in mins.T], mine, limit):
+        # The larger set has no more than this share of its shingles in common with the smaller one.
+        fit = np.minimum(sizes[some], sizes[others]) * whole >= np.maximum(sizes[some], sizes[others]) * few
+        fit &= right[others] & (trees.label[some] != trees.label[others]) & (~(mine[others] & right[some]) | (some < others))
+        some, others = some[fit], others[fit]
+        firsts = np.flatnonzero(np.append(True, some[1:] != some[:-1])) if len(some) else []
+        for i, candidates in zip(some[firsts], np.split(others, firsts[1:]), strict=True) if len(some) else ():
+            own = flat[starts[i]:starts[i] + sizes[i]]
+            marked[own] = True
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes[candidates]) // LOOKED_UP)) + 1
+            for js in np.split(candidates, cuts):
+                js = js[trees.label[js] != trees.label[i]]
+                if not len(js):
+                    continue
+                ends = np.cumsum(sizes[js])
+                at = np.arange(ends[-1]) + np.repeat(starts[js] - ends + sizes[js], sizes[js])
+                both = np.add.reduceat(marked[flat[at]], ends - sizes[js], dtype=np.int64)
+                js = js[both * whole >= (sizes[i] + sizes[js] - both) * few]
+                for k in trees.join(np.full(len(js), i), js):
+                    yield i, js[k]
+            marked[own] = False
+
+
+def group_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The distinct rows of one pair of blocks after the other, from rows sorted by group, blocks and node."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and held[-1][:3] != row[:3]:
+                yield held
+                held = []
+            if not held or held[-1][3] != row[3]:
+                held.append(row)
+    if held:
+        yield held
 
-    return dealt_to_anchors(prints, stretches, ["mins"]).mapInArrow(compare, "a bigint, b bigint").distinct()
+
+def links_in_groups(members: DataFrame, df: DataFrame, id_col: str, text_col: str, width: int, limit: int) -> DataFrame:
+    """Links ``(a, b)`` between the ``members`` (``node, root, mins, n, _first, group``) of each group that connect it as all
+    similar pairs of its texts would; only pairs of different ``root`` are compared.
+
+    Texts are read again for the members only, and the set of each goes to the tasks that compare its block with the others
+    of its group. A group of up to ``BLOCK_TEXTS`` is one block, so its sets move once; a larger one of k blocks moves them
+    k times, and no task holds more than two blocks.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    kept = ["node", "root", "group", "mins", "blocks", "block"]
+    kinds = "node bigint, root bigint, group bigint, mins binary, blocks int, block int"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            release()
+            sets = [shingle_hashes(t, width) for t in batch.column(len(kept)).to_pylist()]
+            # Another text may have the same id.
+            same = pa.array([set_name(h) == n for h, n in zip(sets, batch.column(0).to_pylist(), strict=True)], pa.bool_())
+            whole = pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([h.tobytes() for h in sets], pa.binary())], names=[*kept, "set"])
+            yield whole.filter(same)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for rows in group_blocks(batches):
+            _, low, high, node, root, block, mins, sets = (list(c) for c in zip(*rows, strict=True))
+            block, root, node = (np.array(c, np.int64) for c in (block, root, node))
+            mins = np.array([np.frombuffer(x, np.uint64) for x in mins], np.uint64)
+            sets = [np.frombuffer(x, np.uint64) for x in sets]
+            found = np.array(list(block_links(root, mins, sets, block == low[0], block == high[0], limit)), np.int64).reshape(-1, 2)
+            if len(found):
+                yield two_columns(node[found[:, 0]], node[found[:, 1]])
+
+    size = members.groupBy("group").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("blocks"))
+    wanted = members.join(size, "group").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    wanted = settle(wanted.select(*kept, F.col("_first").alias("_id")), "wanted")
+    texts = df.select(F.col(f"`{id_col}`").alias("_key"), text_or_empty(f"`{text_col}`").alias("_t")).join(small(wanted), F.col("_key") == F.col("_id")).select(*kept, "_t")
+    dealt = texts.mapInArrow(run, f"{kinds}, set binary").withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("group", F.least("block", "_other").alias("low"), F.greatest("block", "_other").alias("high"), "node", "root", "block", "mins", "set")
+    key = ["group", "low", "high"]
+    return dealt.repartition(parts(spark), *key).sortWithinPartitions(*key, "node").mapInArrow(compare, "a bigint, b bigint")
 
 
 def similar_links(pairs: DataFrame, classes: DataFrame, df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -461,7 +567,8 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     and groups are connected by similar pairs; a pair links only if its sets say so. Which pairs to compare is found by
     fingerprints (see the README for the recall), in two steps. First every text that has others near it is compared with
     one of them, the same for nearly all of a dense group, which so becomes a star. Then the texts that have others near
-    them, and only these, are searched for pairs that the stars have left apart.
+    them, and only these, are searched for those that the stars have left apart; these meet in groups, and within a group
+    all pairs that may be similar are compared where its sets lie, so that texts and links move but no pairs.
 
     Null and wordless texts are alike. Rows with a null id are never dropped and drop none; of rows with the same id, all
     or none stay.
@@ -472,29 +579,31 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             release()
-            names, fps, mins = [], [], []
+            names, fps, mins, sizes = [], [], [], []
             for t in batch.column(1).to_pylist():
                 h = shingle_hashes(t, width)
                 names.append(set_name(h))
                 fps.append(sketch(h).tobytes())
                 mins.append(minhash_bits(h).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(fps, pa.binary()), pa.array(mins, pa.binary())], names=["id", "node", "fps", "mins"])
+                sizes.append(len(h))
+            made = [pa.array(names, pa.int64()), pa.array(fps, pa.binary()), pa.array(mins, pa.binary()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["id", "node", "fps", "mins", "n"])
 
     def rooted(of: DataFrame, edges: DataFrame) -> DataFrame:
         return settle(of.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
 
-    def similar(pairs: DataFrame) -> DataFrame:
-        return settle(similar_links(settle(pairs, "pairs"), classes, df, id_col, text_col, width), "links")
-
     rows = df.filter(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("id"), text_or_empty(f"`{text_col}`").alias("t"))
-    prints = settle(rows.mapInArrow(run, f"id {kind}, node bigint, fps binary, mins binary"), "prints")
-    classes = settle(prints.groupBy("node").agg(F.min("id").alias("_first"), F.first("fps").alias("fps"), F.first("mins").alias("mins")), "classes")
+    prints = settle(rows.mapInArrow(run, f"id {kind}, node bigint, fps binary, mins binary, n bigint"), "prints")
+    classes = settle(prints.groupBy("node").agg(F.min("id").alias("_first"), F.first("fps").alias("fps"), F.first("mins").alias("mins"), F.first("n").alias("n")), "classes")
 
-    stars = settle(neighbours(classes.withColumn("root", F.col("node")), 2 * PRINTS, SIMILAR), "stars")
-    close = similar(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    stars = settle(neighbours(classes, 2 * PRINTS, FIRST_BITS, FIRST_LIMIT), "stars")
+    rays = settle(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rays")
+    close = settle(similar_links(rays, classes, df, id_col, text_col, width), "links")
     near = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
     searched = rooted(classes.join(near, "node"), close)
-    links = close.unionByName(similar(similar_pairs(searched, 2 * PRINTS, MIN_LIMIT)))
+    group = components(meetings(searched, 2 * PRINTS, MIN_LIMIT)).withColumnRenamed("root", "group")
+    members = settle(searched.drop("fps").join(group, "node"), "met")
+    links = close.unionByName(settle(links_in_groups(members, df, id_col, text_col, width, MIN_LIMIT), "links"))
     known = rooted(searched.drop("root"), links).select("node", "root", "_first")
     first = known.groupBy("root").agg(F.min("_first").alias("_low"))
     low = known.select("node", "root").join(first, "root").select("node", "_low")

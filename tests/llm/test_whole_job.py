@@ -4,11 +4,12 @@ import os
 import sys
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from tarnwork.llm import htmltext, simhash  # noqa: E402
+from tarnwork.llm import common, htmltext, simhash  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -72,6 +73,33 @@ def test_near_duplicates_of_a_dense_group_are_linked_by_a_forest(spark):
     assert ids(simhash.one_of_each(docs_of(spark, rows))) == [0]
 
 
+@pytest.mark.parametrize("texts", [2048, 40])
+def test_near_duplicates_of_a_group_near_the_limit_move_no_pairs(spark, monkeypatch, texts):
+    rng = np.random.default_rng(10)
+    rows = []
+    for k in range(300):  # most pairs lie between 0.6 and 0.8
+        words = [f"w{i}" for i in range(120)]
+        for at in rng.integers(0, 120, 2 + k % 2):
+            words[at] = f"x{k}-{at}"
+        rows.append((k, " ".join(words)))
+    sets = [shingles(t) for _, t in rows]
+    links = [(i, j) for j in range(300) for i in range(j) if jaccard(sets[i], sets[j]) >= 0.8]
+    forest = simhash.Forest(300)
+    for i, j in links:
+        forest.join(i, j)
+    counts = []
+
+    def settle(df, label):
+        out = common.settle(df, label)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "settle", settle)
+    monkeypatch.setattr(simhash, "BLOCK_TEXTS", texts, raising=False)
+    assert ids(simhash.one_of_each(docs_of(spark, rows))) == [k for k in range(300) if forest.root(k) == k]
+    assert max(counts) <= 40 * len(rows)
+
+
 def test_language_stage_without_labels(spark):
     import corpus_pipeline as cp
 
