@@ -14,6 +14,7 @@ WINDOW = 16  # steps of truncated backpropagation; the state is carried on
 LANES = 512  # stretches of text side by side in training
 STRETCH = 256  # tokens of a stretch: in training a long text is learnt in several, each from a fresh state
 RATE = 0.006
+BLOCK = 4096  # tokens whose classes are weighed at once, small enough for a processor's cache
 Params = dict[str, np.ndarray]
 
 
@@ -42,141 +43,177 @@ def unpack_params(flat: np.ndarray, like: Params) -> Params:
     return out
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
-
-
 class Texts:
-    """Input numbers of several documents, longest first; step ``t`` holds the first ``alive(t)`` of them. ``outs``: class
-    and place of each input number."""
+    """Input numbers of several documents, longest first; those of step ``t``, of all documents that reach it, stand next to
+    each other from ``at[t]`` on. ``outs``: class and place of each input number."""
 
     def __init__(self, docs: list[np.ndarray], end_input: int, outs: tuple[np.ndarray, np.ndarray]):
         sizes = np.array([len(d) for d in docs])
         self.order = np.argsort(-sizes, kind="stable")
         self.sizes = sizes[self.order]
-        docs = [docs[i] for i in self.order]
-        self.off = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
-        self.inputs = np.concatenate(docs)
-        self.classes, self.places = (table[self.inputs] for table in outs)
-        self.end = end_input
         self.longest = int(self.sizes[0])
-
-    def alive(self, t: int) -> int:
-        return int(np.searchsorted(-self.sizes, -t, side="left"))
-
-    def read(self, t: int, n: int) -> np.ndarray:
-        return self.inputs[self.off[:n] + t - 1] if t else np.full(n, self.end)
+        self.at = np.concatenate([[0], np.cumsum(np.searchsorted(-self.sizes, -np.arange(self.longest), side="left"))])
+        self.inputs = np.empty(self.at[-1], np.uint16)
+        for i, k in enumerate(self.order.tolist()):
+            self.inputs[self.at[:len(docs[k])] + i] = docs[k]
+        self.outs, self.end = outs, end_input
+
+    def window(self, t0: int) -> tuple[list[tuple[np.ndarray, int, int]], np.ndarray, np.ndarray]:
+        """Of each step of a window the inputs read and (from, to) among its tokens; class and place of its tokens."""
+        at = self.at[t0:t0 + WINDOW + 1].tolist()
+        first, said = at[0], self.inputs[at[0]:at[-1]]
+        before = [int(self.at[t0 - 1]) if t0 else -1, *at[:-2]]
+        steps = []
+        for was, lo, hi in zip(before, at, at[1:], strict=False):
+            ids = np.full(hi - lo, self.end, np.uint16) if was < 0 else self.inputs[was:was + hi - lo]
+            steps.append((ids, lo - first, hi - first))
+        return steps, self.outs[0][said], self.outs[1][said]
 
 
 def outputs(p: Params, h: np.ndarray, cls: np.ndarray, place: np.ndarray, learn: bool):
     """Natural log probabilities of (class, place) at states ``h``; with ``learn`` also the gradients."""
     # States lie between -1 and 1, so logits stay far below what exp can take: no maximum is subtracted.
-    rows = np.arange(len(h))
-    e = h @ p["wc"]
-    e += p["bc"]
-    ll = e[rows, cls]
-    np.exp(e, out=e)
-    total = e @ np.ones(e.shape[1], np.float32)
-    ll -= np.log(total)
+    ll = np.empty(len(h), h.dtype)
     grads = dh = None
     if learn:
-        e /= total[:, None]
-        e[rows, cls] -= 1
-        grads = {"wc": h.T @ e, "bc": e.sum(axis=0), "wo": np.zeros_like(p["wo"]), "bo": np.zeros_like(p["bo"])}
-        dh = e @ p["wc"].T
+        grads = {"wc": np.zeros_like(p["wc"]), "bc": np.zeros_like(p["bc"]), "wo": np.zeros_like(p["wo"]), "bo": np.zeros_like(p["bo"])}
+        dh = np.empty_like(h)
+    for lo in range(0, len(h), BLOCK):
+        hh, c = h[lo:lo + BLOCK], cls[lo:lo + BLOCK]
+        part, e = softmax(hh, p["wc"], p["bc"], c, learn)
+        ll[lo:lo + BLOCK] = part
+        if learn:
+            grads["wc"] += hh.T @ e
+            grads["bc"] += np.ones(len(e), e.dtype) @ e
+            np.matmul(e, p["wc"].T, out=dh[lo:lo + BLOCK])
     head = np.flatnonzero(place >= 0)
     if len(head):
-        head = head[np.argsort(cls[head], kind="stable")]
+        # Numbers of 16 bits are sorted by their digits, in time in proportion to their count.
+        head = head[np.argsort(cls[head].astype(np.uint16), kind="stable")]
         groups, at = np.unique(cls[head], return_index=True)
-        for g, lo, hi in zip(groups, at, np.append(at[1:], len(head)), strict=True):
-            who = head[lo:hi]
-            hh = h[who]
-            e = hh @ p["wo"][g]
-            e += p["bo"][g]
-            k, i = place[who], np.arange(len(who))
-            part = e[i, k]
-            np.exp(e, out=e)
-            total = e @ np.ones(e.shape[1], np.float32)
-            ll[who] += part - np.log(total)
+        states, places = h[head], place[head]
+        back, gone = np.empty(len(head), ll.dtype), np.empty_like(states) if learn else None
+        for g, lo, hi in zip(groups.tolist(), at.tolist(), [*at[1:].tolist(), len(head)], strict=True):
+            hh = states[lo:hi]
+            back[lo:hi], e = softmax(hh, p["wo"][g], p["bo"][g], places[lo:hi], learn)
             if learn:
-                e /= total[:, None]
-                e[i, k] -= 1
                 grads["wo"][g] = hh.T @ e
-                grads["bo"][g] = e.sum(axis=0)
-                dh[who] += e @ p["wo"][g].T
+                grads["bo"][g] = np.ones(len(e), e.dtype) @ e
+                np.matmul(e, p["wo"][g].T, out=gone[lo:hi])
+        ll[head] += back
+        if learn:
+            dh[head] += gone
     return ll, grads, dh
 
 
+def softmax(h: np.ndarray, w: np.ndarray, b: np.ndarray, said: np.ndarray, learn: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log probabilities of ``said``; with ``learn`` also the gradients of the logits."""
+    e = h @ w
+    e += b
+    flat = e.reshape(-1)
+    at = np.arange(0, len(flat), e.shape[1])
+    at += said
+    ll = flat[at]
+    np.exp(e, out=e)
+    total = e @ np.ones(e.shape[1], e.dtype)
+    ll -= np.log(total)
+    if learn:
+        e *= (1 / total)[:, None]
+        flat[at] -= 1
+    return ll, e
+
+
 def score(p: Params, texts: Texts) -> np.ndarray:
     """Natural log probability of every whole document, in the order given to ``Texts``."""
-    table = p["emb"] @ p["wx"] + p["b"]
+    table, wh = gates(p, p["emb"] @ p["wx"] + p["b"])
     total = np.zeros(len(texts.sizes))
-    h = np.zeros((len(texts.sizes), STATE), np.float32)
+    h = np.zeros((len(texts.sizes), STATE), table.dtype)
     for t0 in range(0, texts.longest, WINDOW):
-        states, index = [], []
-        for t in range(t0, min(t0 + WINDOW, texts.longest)):
-            n = texts.alive(t)
-            h = step(p, table[texts.read(t, n)], h[:n])
-            states.append(h)
-            index.append(texts.off[:n] + t)
-        at = np.concatenate(index)
-        ll, _, _ = outputs(p, np.concatenate(states), texts.classes[at], texts.places[at], False)
-        lo = 0
-        for i in index:
-            total[:len(i)] += ll[lo:lo + len(i)]
-            lo += len(i)
+        steps, cls, place = texts.window(t0)
+        states = np.empty((len(cls), STATE), table.dtype)
+        for ids, lo, hi in steps:
+            gx, h = table.take(ids, axis=1), h[:hi - lo]
+            gh = h @ wh
+            rz, new = gx[:2], gh[2]
+            rz += gh[:2]
+            half_open(rz)
+            new *= rz[0]
+            new += gx[2]
+            np.tanh(new, out=new)
+            h = np.subtract(h, new, out=states[lo:hi])
+            h *= rz[1]
+            h += new
+        ll, _, _ = outputs(p, states, cls, place, False)
+        for _, lo, hi in steps:
+            total[:hi - lo] += ll[lo:hi]
     out = np.empty_like(total)
     out[texts.order] = total
     return out
 
 
-def step(p: Params, gx: np.ndarray, h: np.ndarray) -> np.ndarray:
-    gh = h @ p["wh"]
-    rz = sigmoid(gx[:, :2 * STATE] + gh[:, :2 * STATE])
-    n = np.tanh(gx[:, 2 * STATE:] + rz[:, :STATE] * gh[:, 2 * STATE:])
-    z = rz[:, STATE:]
-    return n + z * (h - n)
+def gates(p: Params, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each input and the state add to the gates, gate by gate (reset, update, new), so that a gate's numbers lie next
+    to each other; those of the first two are halved, see ``half_open``."""
+    parts = np.array([0.5, 0.5, 1], table.dtype)[:, None, None]
+    by_gate = (w.reshape(len(w), 3, STATE).transpose(1, 0, 2) for w in (table, p["wh"]))
+    return tuple(np.ascontiguousarray(w) * parts for w in by_gate)
+
+
+def half_open(x: np.ndarray) -> None:
+    """The logistic function of twice ``x``, in its place."""
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
 
 
 def window_gradients(p: Params, table: np.ndarray, texts: Texts, h: np.ndarray, t0: int):
     """(log probability, tokens, gradients, state carried on) of one window; no gradient flows into what lies before."""
-    kept, states, index = [], [], []
-    for t in range(t0, min(t0 + WINDOW, texts.longest)):
-        n = texts.alive(t)
-        ids = texts.read(t, n)
-        gx, before = table[ids], h[:n]
-        gh = before @ p["wh"]
-        rz = sigmoid(gx[:, :2 * STATE] + gh[:, :2 * STATE])
-        r, z, ghn = rz[:, :STATE], rz[:, STATE:], gh[:, 2 * STATE:]
-        new = np.tanh(gx[:, 2 * STATE:] + r * ghn)
-        h = new + z * (before - new)
-        kept.append((ids, before, r, z, ghn, new))
-        states.append(h)
-        index.append(texts.off[:n] + t)
-    at = np.concatenate(index)
-    ll, grads, dout = outputs(p, np.concatenate(states), texts.classes[at], texts.places[at], True)
-    cuts = np.concatenate([[0], np.cumsum([len(i) for i in index])])
-    grads["wh"] = np.zeros_like(p["wh"])
-    dgx = np.empty((len(at), 3 * STATE), np.float32)
-    dh = np.zeros((0, STATE), np.float32)
-    for k in range(len(kept) - 1, -1, -1):
-        ids, before, r, z, ghn, new = kept[k]
-        d = dout[cuts[k]:cuts[k + 1]].copy()
-        d[:len(dh)] += dh
-        dn = d * (1 - z) * (1 - new * new)
-        dz = d * (before - new) * z * (1 - z)
-        dr = dn * ghn * r * (1 - r)
-        dgx[cuts[k]:cuts[k + 1]] = np.concatenate([dr, dz, dn], axis=1)
-        dgh = np.concatenate([dr, dz, dn * r], axis=1)
-        grads["wh"] += before.T @ dgh
-        dh = d * z + dgh @ p["wh"].T
-    ids = np.concatenate([k[0] for k in kept])
+    table, wh = gates(p, table)
+    steps, cls, place = texts.window(t0)
+    n = len(cls)
+    before, states, rz, new, ghn = (np.empty((*k, n, STATE), table.dtype) for k in ((), (), (2,), (), ()))
+    for ids, lo, hi in steps:
+        gx = table.take(ids, axis=1)
+        before[lo:hi] = h[:hi - lo]
+        gh = before[lo:hi] @ wh
+        ghn[lo:hi] = gh[2]
+        gate = np.add(gx[:2], gh[:2], out=rz[:, lo:hi])
+        half_open(gate)
+        made = np.multiply(gate[0], gh[2], out=new[lo:hi])
+        made += gx[2]
+        np.tanh(made, out=made)
+        h = np.subtract(before[lo:hi], made, out=states[lo:hi])
+        h *= gate[1]
+        h += made
+    ll, grads, d = outputs(p, states, cls, place, True)
+    # What a change of the state does to each gate's sum: on the state's side, and on the input's for the new value.
+    r, z = rz
+    dn = (1 - z) * (1 - new * new)
+    side = np.empty((3, n, STATE), table.dtype)
+    np.multiply(dn * ghn, r * (1 - r), out=side[0])
+    np.multiply(before - new, z * (1 - z), out=side[1])
+    np.multiply(dn, r, out=side[2])
+    back = np.ascontiguousarray(p["wh"].T.reshape(3, STATE, STATE))
+    dh = None
+    for _, lo, hi in reversed(steps):
+        now = d[lo:hi]
+        if dh is not None:
+            now[:len(dh)] += dh
+        dh = now * z[lo:hi]
+        for g in (now * side[:, lo:hi]) @ back:
+            dh += g
+    side *= d
+    grads["wh"] = (before.T @ side).transpose(1, 0, 2).reshape(STATE, 3 * STATE)
+    np.multiply(d, dn, out=side[2])
+    ids = np.concatenate([ids for ids, _, _ in steps])
     order = np.argsort(ids, kind="stable")
-    new = np.flatnonzero(np.append(True, ids[order][1:] != ids[order][:-1]))
-    dtable = np.zeros_like(table)
-    dtable[ids[order][new]] = np.add.reduceat(dgx[order], new, axis=0)
+    ids = ids[order]
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    dgx = side.transpose(1, 0, 2).reshape(n, 3 * STATE)
+    dtable = np.zeros((len(p["emb"]), 3 * STATE), table.dtype)
+    dtable[ids[first]] = np.add.reduceat(dgx[order], first, axis=0)
     grads |= {"emb": dtable @ p["wx"].T, "wx": p["emb"].T @ dtable, "b": dtable.sum(axis=0)}
-    return float(ll.sum()), len(at), grads, h
+    return float(ll.sum()), n, grads, h
 
 
 class Trainer:

@@ -13,6 +13,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +26,11 @@ from tarnwork.llm.common import settle, ship, text_or_empty
 HEAD, PLACES = 512, 32  # frequent words in classes of so many
 TAILS = 32  # classes of rarer words
 KNOWN = 200_000  # counts that tasks look up at once; those of rarer words are joined
-MANY = 500_000  # words that a worker remembers the numbers of
 WARM = 512  # documents of the warm start
 ALPHA = 0.1
 PART = 2_000_000  # training tokens of one part, which one task learns
-# Distinct words counted before a task hands them on; documents, or tokens, learnt or scored side by side.
-FLUSH, SIDE, SIDE_TOKENS = 400_000, 4096, 500_000
+# Distinct words counted before a task hands them on; documents, or tokens, learnt side by side; tokens scored so.
+FLUSH, SIDE, SIDE_TOKENS, SCORED = 400_000, 4096, 500_000, 2_000_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -85,7 +85,7 @@ class Words:
     def __init__(self, head: list[bytes], known: dict[bytes, int], mass: list[float], ends: int, total: int, distinct: int):
         self.places, self.head = PLACES, {w: i for i, w in enumerate(head)}
         self.groups = max(1, -(-HEAD // PLACES))
-        self.known, self.mass, self.ends = known, mass, ends
+        self.ends = ends
         self.end_class = self.groups
         self.end_input = HEAD
         self.classes = self.groups + 1 + TAILS
@@ -95,67 +95,39 @@ class Words:
         head_input = np.arange(HEAD)
         tail = np.arange(TAILS + 1)  # the end first
         self.outs = (np.concatenate([head_input // PLACES, self.end_class + tail]).astype(np.int64), np.concatenate([head_input % PLACES, np.full(TAILS + 1, -1)]).astype(np.int64))
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[bytes, int] = {}  # word seen -> its place in the arrays
-        self.names: list[bytes] = []
-        self.input, self.base, self.constant, self.seen = np.zeros(0, np.int32), np.zeros(0), np.zeros(0), np.zeros(0, np.int8)
-
-    def look(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of each word (input, base, constant, known): base and constant without what a joined count adds; known -1: to be
-        joined."""
-        none = -1.0
-        counts = np.array([self.known.get(w, none) for w in words])
-        heads = np.array([self.head.get(w, -1) for w in words], np.int32)
-        tails = np.array([tail_class(w) for w in words], np.int32)
-        part = np.log10(np.where(counts < 0, 1.0, counts + ALPHA))
-        head = heads >= 0
-        constant = np.where(head, 0.0, part - self.log_mass[tails])
-        return np.where(head, heads, HEAD + 1 + tails).astype(np.int32), part - self.log_all, constant, np.where(head | (counts >= 0), 1, -1).astype(np.int8)
-
-    def places_of(self, words: list[bytes]) -> np.ndarray:
-        number = self.number
-        new = [w for w in set(words) if w not in number]
-        if new:
-            if len(number) > MANY:
-                self.forget()
-                return self.places_of(words)
-            at = len(number)
-            number.update(zip(new, range(at, at + len(new)), strict=True))
-            self.names += new
-            for name, values in zip(("input", "base", "constant", "seen"), self.look(new), strict=True):
-                have = getattr(self, name)
-                if at + len(new) > len(have):
-                    have = np.concatenate([have, np.zeros(len(have) + len(new) + 1000, have.dtype)])
-                    setattr(self, name, have)
-                have[at:at + len(new)] = values
-        return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        # Of each known word, and last of any other: input, base and constant without what a joined count adds.
+        self.number = {w: i for i, w in enumerate(known)}
+        part = np.append(np.log10(np.array([*known.values()], float) + ALPHA), 0.0)
+        heads = np.array([self.head.get(w, -1) for w in known] + [-1])
+        tails = np.array([tail_class(w) for w in known] + [0])
+        self.input = np.where(heads >= 0, heads, HEAD + 1 + tails).astype(np.uint16)
+        self.base = part - self.log_all
+        self.constant = np.where(heads >= 0, 0.0, part - self.log_mass[tails])
 
     def facts(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, list[bytes], np.ndarray]]:
         """Of each text and its end the input numbers, base, constant and known words; and of all texts the words whose
         counts are joined, as (text, word, how often)."""
         listed = [words_of(t) for t in texts]
-        at = self.places_of([w for words in listed for w in words])  # may replace the arrays
-        sizes = np.array([len(words) for words in listed])
-        cuts = np.concatenate([[0], np.cumsum(sizes)])
-
-        def sums(values: np.ndarray) -> np.ndarray:
-            running = np.concatenate([[0], np.cumsum(values)])
-            return running[cuts[1:]] - running[cuts[:-1]]
-
-        seen = self.seen[at]
-        who = np.repeat(np.arange(len(texts)), sizes)
-        rare = np.flatnonzero(seen < 0)
-        pairs, often = np.unique(who[rare] << 32 | at[rare], return_counts=True)
-        names = self.names
-        joined = pairs >> 32, [names[k] for k in (pairs & 0xFFFFFFFF).tolist()], often
-        inputs = self.input[at]
+        flat = [w for words in listed for w in words]
+        other = len(self.number)
+        at = np.fromiter(map(self.number.get, flat, repeat(other)), np.int64, len(flat))
+        cuts = np.concatenate([[0], np.cumsum([len(words) for words in listed])])
+        inputs, constants = self.input[at], self.constant[at]
+        rare = np.flatnonzero(at == other)
+        names: dict[bytes, int] = {}
+        named = np.array([names.setdefault(flat[i], len(names)) for i in rare.tolist()], np.int64)
+        word = list(names)
+        tails = np.array([tail_class(w) for w in word], np.int64)[named]
+        inputs[rare], constants[rare] = HEAD + 1 + tails, -self.log_mass[tails]
+        who = np.searchsorted(cuts, rare, side="right") - 1
+        pairs, often = np.unique(who << 32 | named, return_counts=True)
+        joined = pairs >> 32, [word[k] for k in (pairs & 0xFFFFFFFF).tolist()], often
+        known = np.diff(cuts) - np.bincount(who, minlength=len(texts))
         end = math.log10(self.ends + ALPHA) - self.log_all
-        every = [np.append(inputs[lo:hi], np.int32(self.end_input)) for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        every = [np.append(inputs[lo:hi], np.uint16(self.end_input)) for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
         # One text after the other, as sums over all texts would lose digits of a short text behind long ones.
-        base, constant = (np.array([values[lo:hi].sum() for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]) for values in (self.base[at], self.constant[at]))
-        return every, base + end, constant, sums((seen > 0).astype(np.int64)) + (self.ends > 0), joined
+        base, constant = (np.array([values[lo:hi].sum() for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]) for values in (self.base[at], constants))
+        return every, base + end, constant, known + (self.ends > 0), joined
 
 
 def train_model(rows: DataFrame, sent, shape: gru.Params, tokens: int) -> gru.Params:
@@ -188,7 +160,7 @@ def train_model(rows: DataFrame, sent, shape: gru.Params, tokens: int) -> gru.Pa
                 if part != now:
                     yield from ended()
                     now, trainer = part, gru.Trainer(p, rate)
-                held.append(np.frombuffer(inputs, "<u2").astype(np.int32))
+                held.append(np.frombuffer(inputs, "<u2"))
                 have += len(held[-1])
         taught()
         yield from ended()
@@ -219,6 +191,35 @@ def train_model(rows: DataFrame, sent, shape: gru.Params, tokens: int) -> gru.Pa
     return averaged(settle(ordered.mapInArrow(lambda b: learn(b, warm, gru.LANES, 1, gru.RATE / 2), schema), "models")) or warm
 
 
+def score_batches(batches: Iterator[pa.RecordBatch], words: Words, p: gru.Params) -> Iterator[pa.RecordBatch]:
+    """The columns before the last two, ``n_tokens`` and ``score``, from (..., constant, inputs).
+
+    A step of a few long texts costs nearly as much as one of thousands, so texts are gathered over batches.
+    """
+    held, every, have = [], [], 0
+
+    def scored() -> Iterator[pa.RecordBatch]:
+        out, lo = gru.score(p, gru.Texts(every, words.end_input, words.outs)) / math.log(10), 0
+        for batch in held:
+            cut = slice(lo, lo := lo + batch.num_rows)
+            score = out[cut] + batch.column(batch.num_columns - 1).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array([len(x) for x in every[cut]], pa.int64()), pa.array(score)], names=[*batch.schema.names[:-1], "n_tokens", "score"])
+
+    for batch in batches:
+        for lo in range(0, batch.num_rows, SIDE):
+            part = batch.slice(lo, SIDE)
+            inputs = part.column(part.num_columns - 1).to_pylist()
+            if every and (len(every) + len(inputs) > SIDE or have > SCORED):
+                yield from scored()
+                held, every, have = [], [], 0
+            held.append(pa.RecordBatch.from_arrays(part.columns[:-1], names=part.schema.names[:-1]))
+            every += [np.frombuffer(x, "<u2") for x in inputs]
+            have += sum(map(len, inputs)) // 2
+    if every:
+        yield from scored()
+
+
 def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, held_fold: int = 0) -> DataFrame:
     """``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
@@ -277,15 +278,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     model = spark.sparkContext.broadcast(train_model(texts, sent, shape, total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, p = sent.value, model.value
-        for batch in batches:
-            every = [np.frombuffer(x, "<u2").astype(np.int32) for x in batch.column(batch.num_columns - 1).to_pylist()]
-            constant = batch.column(batch.num_columns - 2).to_numpy()
-            out = np.zeros(len(every))
-            for lo in range(0, len(every), SIDE):
-                out[lo:lo + SIDE] = gru.score(p, gru.Texts(every[lo:lo + SIDE], words.end_input, words.outs)) / math.log(10)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], pa.array([len(x) for x in every], pa.int64()), pa.array(out + constant)], names=["row", "_id", "held_out", "n_known", "base", "n_tokens", "score"])
+        return score_batches(batches, sent.value, model.value)
 
     both = texts.select("row", "_id", "held_out", "n_known", "base", "constant", "inputs").mapInArrow(
         run, f"row bigint, _id {kind}, held_out boolean, n_known bigint, base double, n_tokens bigint, score double")

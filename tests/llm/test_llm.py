@@ -6,6 +6,7 @@ import sys
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -323,6 +324,78 @@ def test_model_beats_the_base_on_held_out(spark):
     assert r["s"] > r["b"]
 
 
+def plain_score(p, doc, end, outs):
+    """Natural log probability of one document, token by token, as the formulas of a gated recurrent unit say."""
+    p = {k: v.astype(np.float64) for k, v in p.items()}
+    h, read, total, n = np.zeros(gru.STATE), end, 0.0, gru.STATE
+    for token in doc.tolist():
+        gx, gh = p["emb"][read] @ p["wx"] + p["b"], h @ p["wh"]
+        r, z = (1 / (1 + np.exp(-(gx[a:a + n] + gh[a:a + n]))) for a in (0, n))
+        new = np.tanh(gx[2 * n:] + r * gh[2 * n:])
+        h = (1 - z) * new + z * h
+        c, k = outs[0][token], outs[1][token]
+        logits = h @ p["wc"] + p["bc"]
+        total += logits[c] - np.log(np.exp(logits).sum())
+        if k >= 0:
+            logits = h @ p["wo"][c] + p["bo"][c]
+            total += logits[k] - np.log(np.exp(logits).sum())
+        read = token
+    return total
+
+
+def test_scores_and_gradients_in_blocks(monkeypatch):
+    rng = np.random.default_rng(1)
+    p = {k: v * 5 for k, v in gru.start(10, 5, 2, 3).items()}
+    outs = (np.array([0, 0, 0, 1, 1, 1, 2, 3, 4, 4]), np.array([0, 1, 2, 0, 1, 2, -1, -1, -1, -1]))
+    docs = [np.append(rng.integers(0, 10, n), 6).astype("<u2") for n in (3, 0, 70, 15, 16, 17, 3, 40)]
+    table = p["emb"] @ p["wx"] + p["b"]
+
+    def gradients():
+        return gru.window_gradients(p, table, gru.Texts(docs, 6, outs), np.zeros((len(docs), gru.STATE), np.float32), 0)
+
+    whole = gradients()
+    monkeypatch.setattr(gru, "BLOCK", 7)
+    blocks = gradients()
+    assert whole[1] == blocks[1] == sum(min(len(d), gru.WINDOW) for d in docs) and math.isclose(whole[0], blocks[0], rel_tol=1e-5)
+    assert all(np.allclose(whole[2][k], blocks[2][k], rtol=1e-4, atol=1e-4) for k in p)
+    assert np.allclose(gru.score(p, gru.Texts(docs, 6, outs)), [plain_score(p, d, 6, outs) for d in docs], rtol=1e-5)
+
+
+def test_rare_words_are_not_remembered():
+    """What a worker holds does not grow with the words it meets; those that it has no counts of are given to the join."""
+    known = {b"the": 9, b"of": 4}
+    words = lm.Words(list(known), known, [1.0] * lm.TAILS, 3, 100, 50)
+    before = len(words.number)
+    for _ in range(2):
+        every, base, constant, n_known, (who, word, often) = words.facts(["The new of NEW", "", "old new"])
+        tails = {w: lm.HEAD + 1 + lm.tail_class(w) for w in (b"new", b"old")}
+        assert [x.tolist() for x in every] == [[0, tails[b"new"], 1, tails[b"new"], lm.HEAD], [lm.HEAD], [tails[b"old"], tails[b"new"], lm.HEAD]]
+        assert sorted(zip(who.tolist(), word, often.tolist(), strict=True)) == [(0, b"new", 2), (2, b"new", 1), (2, b"old", 1)]
+        assert n_known.tolist() == [3, 1, 1]
+        log_all, end = math.log10(100 + lm.ALPHA * 51), math.log10(3 + lm.ALPHA)
+        assert np.allclose(base, [math.log10(9.1) + math.log10(4.1) + end - 5 * log_all, end - log_all, end - 3 * log_all])
+        assert np.allclose(constant, [-2 * math.log10(1.1), 0, -2 * math.log10(1.1)])
+    assert len(words.number) == before == len(known)
+
+
+def test_texts_of_several_batches_are_scored_side_by_side(monkeypatch):
+    known = {b"the": 9, b"of": 4}
+    words = lm.Words(list(known), known, [1.0] * lm.TAILS, 3, 100, 50)
+    p = gru.start(words.inputs, words.classes, words.groups, words.places)
+    every = words.facts(["the of the " * n for n in (3, 0, 40, 1, 7)])[0]
+    batches = [pa.RecordBatch.from_pydict({"row": [i], "constant": [float(i)], "inputs": pa.array([x.astype("<u2").tobytes()], pa.binary())}) for i, x in enumerate(every)]
+    batches.insert(2, batches[0].slice(0, 0))
+    calls, score = [], gru.score
+    monkeypatch.setattr(gru, "score", lambda p, texts: calls.append(len(texts.sizes)) or score(p, texts))
+    want = [score(p, gru.Texts([x], words.end_input, words.outs))[0] / math.log(10) + i for i, x in enumerate(every)]
+    for tokens, sizes in ((lm.SCORED, [5]), (100, [3, 2]), (0, [1] * 5)):
+        monkeypatch.setattr(lm, "SCORED", tokens)
+        calls.clear()
+        out = pa.Table.from_batches(lm.score_batches(iter(batches), words, p)).to_pydict()
+        assert calls == sizes and list(out) == ["row", "n_tokens", "score"] and out["row"] == [0, 1, 2, 3, 4]
+        assert out["n_tokens"] == [len(x) for x in every] and np.allclose(out["score"], want, rtol=1e-5)
+
+
 def test_model_is_a_distribution_and_gradients_hold():
     p = gru.start(10, 5, 2, 3)
     h = np.random.default_rng(0).normal(0, 0.3, (1, gru.STATE)).astype(np.float32)
