@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarnwork.operators import aggregates, joins, skew
 from tarnwork.operators import merge as m
 from tarnwork.plans import transactions
-from tarnwork.queries.fixtures import POLICY, frames
+from tarnwork.queries.fixtures import HOUSE, POLICY, frames
 from tarnwork.session import cut
 
 
@@ -136,3 +136,58 @@ def test_payroll_classes_of_the_policies_that_use_them(tables):
     some = policies.filter("lob_n = 'WC'")
     wanted = {r["code_n"] for r in some.select("code_n").collect()}
     assert {r["code_n"]: tuple(r) for r in transactions.payroll_class(t, order, some).collect()} == {k: v for k, v in every.items() if k in wanted}
+
+
+def test_rows_whose_keys_are_not_wanted_do_not_move(spark):
+    wanted = spark.range(0, 3000, 3).select(F.col("id").cast("string").alias("k"))
+    a = cut(spark.range(5000).select((F.col("id") * 2).alias("x"), "id"))
+    b = cut(spark.range(5000).select(F.col("id").alias("q"), (F.col("id") % 7).alias("t")))
+    view = a.join(b, F.col("id") == F.col("q")).select(F.trim(F.concat(F.col("x").cast("string"), F.lit(" "))).alias("k"), "t")
+    exact = {tuple(r) for r in view.join(wanted, "k", "left_semi").collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for size, most in ((2**22, 20), (2**15, 200)):  # 1000 keys: others stay by chance
+            bits = skew.key_bits(wanted, ["k"], size)
+            for below in (False, True):
+                got = skew.likely(view, ["k"], bits, below).collect()
+                assert exact <= {tuple(r) for r in got} and len(got) <= len(exact) + most
+        text = plan(skew.likely(view.filter("t < 3").union(view.filter("t > 2")).distinct(), ["k"], bits, below_joins=True))
+        assert text.index("HashAggregate") < text.index("SortMergeJoin") < text.index("getbit")
+        text = plan(skew.likely(skew.dealt(a.select(F.col("x").cast("string").alias("k"), "id"), "k"), ["k"], bits))
+        assert text.index("REPARTITION_BY_COL") < text.index("getbit")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Numbers that are equal in a join are found whatever their width; of keys that cannot be compared by a hash all stay.
+    numbers = skew.key_bits(spark.range(10).select(F.col("id").cast("int").alias("n")), ["n"])
+    assert skew.likely(spark.range(100), ["id"], numbers).count() == 10 and skew.likely(view, ["k"], numbers).count() == 5000
+    none = skew.key_bits(wanted.filter("k = 'x'"), ["k"])
+    assert [skew.likely(view, ["k"], none, below).count() for below in (False, True)] == [0, 0]
+
+
+def test_hot_keys_among_large_groups_of_keys(spark, settings, monkeypatch):
+    monkeypatch.setattr(skew, "KEY_GROUPS", 1)
+    settings(hotRows=10)
+    rows = cut(spark.range(1000).select("id", F.when(F.col("id") >= 700, F.col("id")).alias("k")))
+    assert skew.hot_keys(rows, ["id"]) is None
+    assert [(r["k"], r["_n"]) for r in skew.hot_keys(rows, ["k"]).collect()] == [(None, 700)]
+
+
+def test_rows_of_other_policies_are_left_out_before_they_move(tables):
+    t = frames(tables, POLICY)
+    some = cut(transactions.master_policies(t, None).filter("lob_n = 'BP'").select("code_n"))
+    every = [*transactions.transaction_rows(t), transactions.building_class(t, transactions.master_policies(t, None))]
+    few = [*transactions.transaction_rows(t, skew.key_bits(some, ["code_n"])), transactions.building_class(t, some)]
+    for a, b in zip(every, few, strict=True):
+        a, b = cut(a), cut(b)
+        theirs = a.join(some, "code_n", "left_semi")
+        assert theirs.count() > 0 and theirs.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        assert b.count() < theirs.count() * 1.1 < a.count()
+
+
+def test_the_fact_works_its_policies_out_once(tables):
+    text = plan(transactions.fact_transactions(frames(tables, POLICY), HOUSE))
+    dealt = [u.split("FileScan parquet", 1) for u in text.split("REPARTITION_BY_COL")[1:]]
+    policies = [above for above, scan in dealt if scan.startswith(" [code_n")]
+    # All read what was written, and none is filtered in a way of its own, so they share one exchange.
+    assert len(policies) > 1 and not any("getbit" in above for above in policies)
+    assert "c_acctbal" not in text
